@@ -96,17 +96,19 @@ def spans(data: np.ndarray, at: np.ndarray, apart: np.ndarray = SPACE) -> tuple[
     return starts, ends, np.searchsorted(starts, at)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes; spans are ascending and don't overlap."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, upto: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each span's bytes. upto: running_hash(data), if spans of the same bytes are hashed more than once."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    term = _BYTE[data] * _power(_P, len(data), "up")
-    edges = np.empty(2 * len(starts), np.int64)
-    edges[0::2], edges[1::2] = starts, ends
-    full = edges < len(data)
-    total = np.add.reduceat(term, edges[full])[::2]
-    total = np.where(ends > starts, total, np.uint64(0))
-    return mix(total * _power(_P_INV, len(data) + 1, "down")[starts] + (ends - starts).astype(np.uint64))
+    upto = running_hash(data) if upto is None else upto
+    return mix((upto[ends] - upto[starts]) * _power(_P_INV, len(data) + 1, "down")[starts] + (ends - starts).astype(np.uint64))
+
+
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """Sums from the first byte on, of which the difference at two places gives the hash of the bytes between."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _power(_P, len(data), "up"), out=out[1:])
+    return out
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Operator 7: toxicity by a factorization machine over hashed terms.
 
-Terms are words without case and punctuation, hashed to ``BUCKETS``; the machine adds to the linear weights the inner
+Terms are words without case and punctuation, and their first ``PREFIXES`` bytes (stems carry the sense of inflected
+and compound words), hashed to ``BUCKETS``; the machine adds to the linear weights the inner
 products of the factors of every pair of terms in a text, so that an insult beside a mention of a group can weigh
 more than both alone. It is fitted on a bounded, documented sample of labelled rows (``DOCS``, those of the smallest
 hashes), over the ``TERMS`` buckets that tell most about the label there; scoring covers every word of every text.
@@ -19,19 +20,30 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, held_out, row_of, slices, span_hashes, spans, table
+from .common import PUNCTUATION, held_out, row_of, running_hash, slices, span_hashes, spans, table
 
 #: Bounds of the fit: labelled documents, buckets, terms and factors.
-DOCS, BUCKETS, TERMS, FACTORS = 12_000, 1 << 20, 1024, 8
+DOCS, BUCKETS, TERMS, FACTORS = 8_000, 1 << 20, 1536, 8
+PREFIXES = (4, 5, 6, 7)
 
 
-def terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, text of each term, bucket) with each bucket of a text once."""
+def terms(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, text of each term, bucket) with each bucket of a text once. wanted: a flag for each bucket."""
     for i, j, _, _ in slices(column):
         low = pc.utf8_lower(column.slice(i, j - i))
         for _, _, data, at in slices(low, 1 << 40):
             starts, ends, bounds = spans(data, at, PUNCTUATION)
-            pairs = np.unique(row_of(bounds) * BUCKETS + (span_hashes(data, starts, ends) % np.uint64(BUCKETS)).astype(np.int64))
+            text, upto = row_of(bounds), running_hash(data)
+            found = []
+            for most in (*PREFIXES, None):
+                part = np.arange(len(starts)) if most is None else np.flatnonzero(ends - starts > most)
+                s = starts[part]
+                bucket = (span_hashes(data, s, ends[part] if most is None else s + most, upto) % np.uint64(BUCKETS)).astype(np.int64)
+                if wanted is not None:
+                    keep = wanted[bucket]
+                    part, bucket = part[keep], bucket[keep]
+                found.append(text[part] * BUCKETS + bucket)
+            pairs = np.unique(np.concatenate(found))
             yield i, j, pairs // BUCKETS, pairs % BUCKETS
 
 
@@ -41,6 +53,11 @@ class Machine:
     def __init__(self, buckets: np.ndarray, bias: float, linear: np.ndarray, factors: np.ndarray):
         self.buckets, self.bias, self.linear, self.factors = buckets, bias, linear, factors
 
+    def wanted(self) -> np.ndarray:
+        flags = np.zeros(BUCKETS, bool)
+        flags[self.buckets] = True
+        return flags
+
     def raw(self, rows: int, text: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-odds, and the summed factors, of each text. term: positions in ``buckets``."""
         total = np.zeros((rows, self.factors.shape[1]))
@@ -55,9 +72,9 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(texts: list[str], labels: np.ndarray, rounds: int = 300, rate: float = 0.1, decay: float = 2e-3, seed: int = 5) -> Machine | None:
+def fit(texts: list[str], labels: np.ndarray, rounds: int = 200, rate: float = 0.1, decay: float = 2e-3, seed: int = 5) -> Machine | None:
     """Logistic loss with weight decay, by AdaGrad over the whole sample."""
-    labels = np.asarray(labels, float)
+    labels = np.asarray(labels, np.float32)
     n = len(labels)
     if not n or labels.min() == labels.max():
         return None
@@ -76,8 +93,8 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 300, rate: float = 0
     x = np.zeros((n, len(best)), np.float32)  # DOCS x TERMS at most
     x[text[term >= 0], term[term >= 0]] = 1
     draw = np.random.default_rng(seed)
-    m = Machine(kinds[best], float(np.log(labels.sum() / (n - labels.sum()))), np.zeros(len(best)), draw.normal(0, 0.01, (len(best), FACTORS)))
-    seen = [1e-8, np.full(len(best), 1e-8), np.full((len(best), FACTORS), 1e-8)]
+    m = Machine(kinds[best], float(np.log(labels.sum() / (n - labels.sum()))), np.zeros(len(best), np.float32), draw.normal(0, 0.01, (len(best), FACTORS)).astype(np.float32))
+    seen = [1e-8, np.full(len(best), 1e-8, np.float32), np.full((len(best), FACTORS), 1e-8, np.float32)]
     for _ in range(rounds):
         total = x @ m.factors
         z = m.bias + x @ m.linear + 0.5 * ((total**2).sum(1) - x @ (m.factors**2).sum(1))
@@ -86,7 +103,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 300, rate: float = 0
         grads = [off.sum(), slope + decay / n * m.linear, x.T @ (off[:, None] * total) - slope[:, None] * m.factors + decay / n * m.factors]
         seen = [s + g * g for s, g in zip(seen, grads, strict=True)]
         steps = [rate * g / np.sqrt(s) for g, s in zip(grads, seen, strict=True)]
-        m.bias, m.linear, m.factors = m.bias - float(steps[0]), m.linear - steps[1], m.factors - steps[2]
+        m.bias, m.linear, m.factors = float(m.bias - steps[0]), m.linear - steps[1], m.factors - steps[2]
     return m
 
 
@@ -117,7 +134,7 @@ def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
             column = b["text"]
             out = np.zeros(len(b))
             if machine is not None:
-                for i, j, text, bucket in terms(column):
+                for i, j, text, bucket in terms(column, machine.wanted()):
                     out[i:j] = machine.score(j - i, text, bucket)
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(out), pa.array((out >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
