@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from .bpe_chunks import op4_bpe_roundtrip
+from .decontaminate import op6_decontaminate
+from .language_id import op9_language_id
+from .line_dedup import op2_line_dedup
+from .quality_rules import op8_quality_rules
 from .token_ids import op3_token_ids
+from .toxicity import op7_toxicity
 from .url_filter import ORACLE_SQL as URL_SQL
 from .url_filter import op10_url_filter
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_token_ids": op3_token_ids,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE_SQL = {"op10_url_filter": URL_SQL}
