@@ -1,4 +1,10 @@
-"""Encoding of many short spans with a public tokenizer, each different span once per worker process."""
+"""Encoding of many short spans with a public tokenizer, each different span once per worker process.
+
+Most words need none of the tokenizer's general steps: of ASCII and of letters of two bytes that begin with C3
+(Latin-1 letters, composed as they stand), the lower-casing and the split into runs of letters, single digits and runs
+of other marks are done here on whole slices, and only the tokenizer's own model sees the pieces. Any other span goes
+through the whole tokenizer.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +12,68 @@ import os
 
 import numpy as np
 
-from .common import ranges, span_hashes
+from .common import SPACE, ranges, separators, span_hashes
 
 #: A worker forgets what it has encoded beyond so many spans or ids; that costs time only.
-MOST_SPANS, MOST_IDS = 400_000, 6_000_000
+MOST_SPANS, MOST_IDS = 900_000, 8_000_000
+
+#: Bytes that always need the whole tokenizer: controls, the apostrophe (contractions), < (special tokens), and every
+#: byte over 7F but C3 and those that follow one.
+_ODD = separators(bytes([*range(9), *range(14, 32), 127, ord("'"), ord("<"), *(b for b in range(128, 256) if b != 0xC3)]))
+_KIND = np.full(256, 3, np.int8)
+_KIND[SPACE] = 0
+_KIND[[b for b in range(256) if b > 127 or chr(b).isalpha()]] = 1
+_KIND[[b for b in range(128) if chr(b).isdigit()]] = 2
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def odd_bytes(data: np.ndarray) -> np.ndarray:
+    """Flags of the bytes that need the whole tokenizer."""
+    odd = _ODD[data]
+    after = np.zeros(len(data), bool)
+    after[1:] = data[:-1] == 0xC3
+    odd[after] = (data[after] == 0x97) | (data[after] == 0xB7) | (data[after] < 0x80)  # the two signs among the letters
+    return odd
+
+
+def lower_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """White-space words as pieces of a lower-casing word tokenizer: (bytes, piece starts, piece ends, whole, first piece of each
+    word and the end). ``whole`` marks words that go through the whole tokenizer in one piece."""
+    n = len(data)
+    if not len(starts):
+        return data, starts, ends, np.zeros(0, bool), np.zeros(1, np.int64)
+    odd = np.concatenate([[0], np.cumsum(odd_bytes(data))])
+    whole = odd[ends] > odd[starts]
+    mark = np.zeros(n + 1, np.int8)
+    mark[starts[whole]] += 1
+    np.add.at(mark, ends[whole], -1)
+    kept = np.cumsum(mark[:-1], dtype=np.int8).astype(bool)
+    low = _LOWER[data]
+    accent = np.zeros(n, bool)
+    accent[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    low[accent] += 32
+    low[kept] = data[kept]
+    kind = _KIND[data]
+    kind[kept] = 4
+    begin = np.zeros(n, bool)
+    begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begin &= kind > 0
+    begin[starts] = True
+    piece = np.flatnonzero(begin)
+    first = np.searchsorted(piece, starts)
+    stop = np.append(piece[1:], n)
+    last = np.append(first[1:], len(piece)) - 1
+    stop[last] = ends
+    return low, piece, stop, kept[piece], np.append(first, len(piece))
+
+
+def byte_characters() -> list[str]:
+    """The printable characters by which byte-level vocabularies write the 256 bytes: printable ones of Latin-1 stand for
+    themselves, the others, in order, are 256 and on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
 class SpanEncoder:
@@ -22,6 +86,7 @@ class SpanEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.written = dict(enumerate(byte_characters()))
         self.forget()
 
     def forget(self) -> None:
@@ -35,19 +100,30 @@ class SpanEncoder:
         while len(self.flat) < ids:
             self.flat = np.concatenate([self.flat, self.flat])
 
-    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all spans together, and how many each span has."""
+    def _ids(self, texts: list[bytes], whole: np.ndarray) -> list[list[int]]:
+        model, out = self.tokenizer.model, [None] * len(texts)
+        rest = np.flatnonzero(whole).tolist()
+        for i, x in zip(rest, self.tokenizer.encode_batch([texts[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False), strict=True):
+            out[i] = x.ids
+        for i in np.flatnonzero(~whole).tolist():
+            out[i] = [t.id for t in model.tokenize(texts[i].decode("latin-1").translate(self.written))]
+        return out
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all spans together, and how many each span has. whole: which spans need more than the model (else all)."""
         if not len(starts):
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
         if len(self.index) > MOST_SPANS or self.used > MOST_IDS:
             self.forget()
-        distinct, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        whole = np.ones(len(starts), bool) if whole is None else whole
+        hashes = span_hashes(data, starts, ends) ^ whole.astype(np.uint64) * np.uint64(0xA5A5A5A55A5A5A5A)
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
         at = np.fromiter((self.index.get(k, -1) for k in keys), np.int64, len(keys))
         if len(new := np.flatnonzero(at < 0)):
             raw = data.tobytes()
             s, e = starts[first[new]].tolist(), ends[first[new]].tolist()
-            found = [x.ids for x in self.tokenizer.encode_batch([raw[a:b].decode("utf-8", "replace") for a, b in zip(s, e, strict=True)], add_special_tokens=False)]
+            found = self._ids([raw[a:b] for a, b in zip(s, e, strict=True)], whole[first[new]])
             counts = np.fromiter(map(len, found), np.int64, len(found))
             base = len(self.index)
             self._grow(base + len(found), self.used + int(counts.sum()))

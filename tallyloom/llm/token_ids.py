@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop_stage, file_system, materialize, row_of, shared_dir, slices, spans, table, texts
-from .encoding import span_encoder
+from .encoding import lower_pieces, span_encoder
 
 _BLOCK = "<8sQQQ"  # magic, documents, values, data bytes
 _MAGIC = b"RANKVB01"
@@ -69,8 +69,9 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         for b in batches:
             for i, j, data, at in slices(b["text"]):
                 starts, ends, bounds = spans(data, at)
-                ids, counts = encoder.encode(data, starts, ends)
-                total = np.concatenate([[0], np.cumsum(counts)])[bounds]
+                low, piece, stop, whole, first = lower_pieces(data, starts, ends)
+                ids, counts = encoder.encode(low, piece, stop, whole)
+                total = np.concatenate([[0], np.cumsum(counts)])[first[bounds]]
                 out = np.full(len(ids) + j - i, end_id, np.uint16)
                 out[np.arange(len(ids)) + row_of(total)] = ids
                 cut = (total + np.arange(j - i + 1)) * 2
