@@ -106,11 +106,19 @@ class Index:
                         yield i + text, item, share
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, containment of every pair at or over ``threshold``. docs: doc_id, text; benchmark: item_id, text."""
+def indexes(benchmark: DataFrame) -> Iterator[Index]:
+    """The items in blocks of bounded size."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     sizes = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    blocks = max(1, -(-2 * sizes["n"] // ITEMS), -(-2 * (sizes["b"] or 0) // ITEM_BYTES)) if sizes["n"] > ITEMS or (sizes["b"] or 0) > ITEM_BYTES else 1
+    n, size = sizes["n"], sizes["b"] or 0
+    blocks = 1 if n <= ITEMS and size <= ITEM_BYTES else 2 * max(-(-n // ITEMS), -(-size // ITEM_BYTES))
+    for k in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
+        yield Index([r["item_id"] for r in rows], [r["text"] for r in rows])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, containment of every pair at or over ``threshold``. docs: doc_id, text; benchmark: item_id, text."""
 
     def pass_over(index: Index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +132,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         return docs.mapInArrow(run, "doc_id long, item_id long, containment double")
 
     out = None
-    for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        part = pass_over(Index([r["item_id"] for r in rows], [r["text"] for r in rows]))
+    for index in indexes(benchmark):
+        part = pass_over(index)
         out = part if out is None else out.union(part)
     return out
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all their columns; judged where they stand, so no text is shuffled."""
+    place = docs.columns.index(text_col)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+
+    def pass_over(rows: DataFrame, index: Index) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                text = b.column(place)
+                keep = np.ones(len(b), bool)
+                keep[[r for r, _, _ in index.search(text.fill_null("") if text.null_count else text, threshold)]] = False
+                yield b.filter(pa.array(keep))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for index in indexes(benchmark):
+        plain = pass_over(plain, index)
+    return plain.toDF(*docs.columns)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(texts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .bpe_chunks import op4_bpe_roundtrip
 from .decontaminate import op6_decontaminate
+from .html_text import op5_html_text
 from .language_id import op9_language_id
 from .line_dedup import op2_line_dedup
+from .near_dedup import op1_near_dedup
 from .quality_rules import op8_quality_rules
 from .token_ids import op3_token_ids
 from .toxicity import op7_toxicity
@@ -13,9 +15,11 @@ from .url_filter import ORACLE_SQL as URL_SQL
 from .url_filter import op10_url_filter
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_ids": op3_token_ids,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
+    "op5_html_text": op5_html_text,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
