@@ -179,7 +179,7 @@ def find_blocks(docs: DataFrame, least: int = WORDS) -> DataFrame:
     by_run = materialize(runs(kept, least), "runs")
     firsts = by_run.groupBy("run").agg(F.min("doc_id").alias("earlier_id"), F.max("doc_id").alias("last")).where("earlier_id < last")
     firsts = materialize(firsts.select("run", "earlier_id"), "firsts")
-    pairs = materialize(by_run.join(firsts, "run").where("earlier_id < doc_id").select("doc_id", "earlier_id").distinct(), "pairs")
+    pairs = materialize(by_run.join(firsts.hint("merge"), "run").where("earlier_id < doc_id").select("doc_id", "earlier_id").distinct(), "pairs")
     a = kept.select("doc_id", F.col("hashes").alias("a"), "words")
     b = kept.select(F.col("doc_id").alias("earlier_id"), F.col("hashes").alias("b"))
 
@@ -190,7 +190,7 @@ def find_blocks(docs: DataFrame, least: int = WORDS) -> DataFrame:
             found = [[x for block in common_blocks(x_a, x_w, x_b, least) for x in block] for x_a, x_w, x_b in rows]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["earlier_id"], pa.array([hash(tuple(x)) for x in of_a], pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "earlier_id", "version", "blocks"])
 
-    both = pairs.join(a, "doc_id").join(b, "earlier_id").select("doc_id", "earlier_id", "a", "words", "b")
+    both = pairs.join(a.hint("merge"), "doc_id").join(b.hint("merge"), "earlier_id").select("doc_id", "earlier_id", "a", "words", "b")
     out = materialize(both.mapInArrow(run, "doc_id long, earlier_id long, version long, blocks array<int>").where(F.size("blocks") > 0), "blocks")
     drop_stage(kept, by_run, firsts, pairs)
     return out
@@ -220,7 +220,7 @@ def dedup_lines(docs: DataFrame, least: int = WORDS, counts: bool = False, id_co
     grouped = blocks.groupBy(F.col("doc_id").alias("__dedup_id")).agg(F.collect_list(F.struct("version", "blocks", "earlier_id")).alias(mark))
     grouped = materialize(grouped, "cuts")
     drop_stage(blocks)
-    joined = docs.join(grouped, docs[id_col].cast("long") == grouped["__dedup_id"], "left").drop("__dedup_id")
+    joined = docs.join(grouped.hint("merge"), docs[id_col].cast("long") == grouped["__dedup_id"], "left").drop("__dedup_id")
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
