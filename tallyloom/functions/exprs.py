@@ -13,7 +13,7 @@ MILLI_LIMIT, OUTLIER_LIMIT = 9223372036854775.0, 100000.0
 ORDER_TYPE_RULES = [("掃碼|qr", 8), ("快一點自取", 6), ("快一點外送", 7), ("熊貓|foodpanda", 2), ("ubereats|uber eats", 5), ("外送", 3), ("自取", 4), ("來店|內用|店內", 1)]
 ORDER_TYPES = {0: "unknown", 1: "in_store", 2: "foodpanda", 3: "delivery", 4: "pickup", 5: "ubereats", 6: "quick_pickup", 7: "quick_delivery", 8: "qr_order", 9: "other"}
 PAYMENT_TYPES = {0: "unknown_payment", 1: "cash", 2: "card", 3: "e_wallet", 4: "platform_payment", 5: "coupon", 8: "mixed", 9: "other"}
-STATUSES = {1: "completed", -2: "voided", -1: "cancelled", 2: "other"}
+STATUSES = {1: "normal_sales", -2: "void", -1: "cancelled_like", 2: "other_excluded"}
 WALLETS = ["linepay", "easycard", "uupay"]
 SPECIAL_PRODUCT = "幣|券|折抵|折扣|點數|贈|服務費|運費|調整|測試"
 
