@@ -155,7 +155,7 @@ LOCATIONS = """loc AS (SELECT cast(1 AS bigint) AS owner_user_id, branch_id, 'S'
  CASE WHEN branch_id = 'B8' THEN 'lost' ELSE 'matched' END AS location_status FROM ob GROUP BY branch_id)"""
 WEATHER = """wea AS (SELECT DISTINCT cast(1 AS bigint) AS owner_user_id, CASE WHEN month(business_date) = 1 THEN NULL ELSE branch_id END AS location, business_date AS signal_date, CASE WHEN day(business_date) % 2 = 0 THEN 'forecast' ELSE 'actual' END AS observation_kind,
  cast(day(business_date) AS double) AS value, business_date AS updated_at FROM ob WHERE order_status = 1)"""
-PROMOTION = "prom AS (SELECT DISTINCT cast(1 AS bigint) AS owner_user_id, cast(NULL AS varchar) AS location, CASE WHEN month(business_date) = 2 THEN NULL ELSE product_no END AS item, business_date AS signal_date, cast(month(business_date) AS double) AS value, business_date AS updated_at FROM il0 WHERE product_no IN ('P10', 'P20'))"
+PROMOTION = "prom AS (SELECT DISTINCT cast(1 AS bigint) AS owner_user_id, cast(NULL AS string) AS location, CASE WHEN month(business_date) = 2 THEN NULL ELSE product_no END AS item, business_date AS signal_date, cast(month(business_date) AS double) AS value, business_date AS updated_at FROM il0 WHERE product_no IN ('P10', 'P20'))"
 
 
 def _made(k: Chain, sql: str) -> DataFrame:
