@@ -20,9 +20,10 @@ def fact_metrics(fact: DataFrame) -> DataFrame:
 
 def source_metrics(chain: Chain, owner: int = 1) -> DataFrame:
     """The fact's sums with the number of allocated lines and of status 1 orders by day."""
-    lines = chain.allocations.groupBy("business_date").agg(F.count("*").alias("item_count"))
+    grain = chain.allocations.withColumn("owner_user_id", F.lit(owner).cast("bigint")).groupBy(*GRAIN).agg(*(F.sum(m).alias(m) for m in MEASURES), F.count("*").alias("lines"))
+    days = grain.groupBy(*KEY).agg(F.count("*").alias("row_count"), *(F.sum(m).alias(m) for m in MEASURES), F.sum("lines").alias("item_count"))
     orders = chain.orders.groupBy("business_date").agg(F.count("*").alias("status_1_row_count"))
-    return fact_metrics(chain.fact(owner)).join(lines, "business_date", "left").join(orders, "business_date", "left").withColumn("non_status_1_row_count", F.lit(0).cast("bigint")).withColumn("latest_row_count", c("status_1_row_count"))
+    return days.join(orders, "business_date", "left").withColumn("non_status_1_row_count", F.lit(0).cast("bigint")).withColumn("latest_row_count", c("status_1_row_count"))
 
 
 def compare_metrics(source: DataFrame, target: DataFrame, scope: str = "persisted_fact") -> DataFrame:

@@ -15,10 +15,9 @@ c = F.col
 
 
 def write_fact_day_replace(fact: DataFrame, path: str) -> None:
-    """Replaces the days that ``fact`` has and leaves all others. Each day is written by several tasks at need: rows are dealt
-    by day and a hash of their branch, and adaptive execution joins small parts. Days are replaced together, but a reader
-    may see some replaced before others."""
-    fact.repartition("owner_user_id", "business_date").sortWithinPartitions(*GRAIN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("owner_user_id", "business_date").parquet(path)
+    """Replaces the days that ``fact`` has and leaves all others. Rows are dealt by day, and adaptive execution splits a large day over
+    several tasks and joins small ones. Days are replaced together, but a reader may see some replaced before others."""
+    fact.hint("rebalance", "owner_user_id", "business_date").sortWithinPartitions(*GRAIN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("owner_user_id", "business_date").parquet(path)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -36,10 +35,10 @@ def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: Da
     staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
     write_fact_day_replace(chain.fact(owner), staging)
     staged = read_fact(spark, staging)
-    source = gates.source_metrics(chain, owner)
+    source = gates.source_metrics(chain, owner).persist()  # a row for each day
     candidate = gates.fact_metrics(staged).join(source.select(*gates.KEY, "item_count"), gates.KEY, "left")
     pre = gates.pre_insert_report(source, candidate, gates.dimension_gate(staged, products, branches, codes), staged.columns)
-    days = pre.select(*gates.KEY, "reasons", "passed").join(candidate.select(*gates.KEY, "row_count"), gates.KEY, "left")
+    days = pre.select(*gates.KEY, "reasons", "passed").join(candidate.select(*gates.KEY, "row_count"), gates.KEY, "left").persist()
     first_bad = days.where(~c("passed")).agg(F.min("business_date")).first()[0]
     good = F.lit(True) if first_bad is None else c("business_date") < F.lit(first_bad)
     if mode == "write":
