@@ -15,7 +15,7 @@ import numpy as np
 from .common import SPACE, ranges, separators, span_hashes
 
 #: A worker forgets what it has encoded beyond so many spans or ids; that costs time only.
-MOST_SPANS, MOST_IDS = 900_000, 8_000_000
+MOST_SPANS, MOST_IDS = 500_000, 5_000_000
 
 #: Bytes that always need the whole tokenizer: controls, the apostrophe (contractions), < (special tokens), and every
 #: byte over 7F but C3 and those that follow one.
