@@ -41,7 +41,7 @@ def raw_to_parquet(spark: SparkSession, path: str, name: str, to: str) -> None:
 
 def write_raw_text(df: DataFrame, path: str) -> None:
     """The text twin of a source, by day."""
-    df.write.mode("overwrite").partitionBy("t_open_date").option("sep", "|").option("nullValue", "\\N").option("quote", "\u0000").csv(path)
+    df.write.mode("overwrite").partitionBy("t_open_date").option("sep", "|").option("nullValue", "\\N").option("quote", "\u0000").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def window(src: Sources, start: str | None = None, end: str | None = None) -> Sources:
