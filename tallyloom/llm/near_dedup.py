@@ -10,11 +10,13 @@ coordinate with the probability of their weighted Jaccard similarity.
 1. Texts of equal weighted sets are one node (their smallest id).
 2. Signatures are cut into ``BANDS`` bands of ``ROWS`` coordinates; nodes that share a band are in a bucket.
 3. In each bucket the nodes are split by a hash into ``HUBS`` parts and each part's most central node (the one whose buckets hold most
-   nodes) is a hub; each node is a candidate of the bucket's hubs, so a bucket of m nodes gives at most ``HUBS`` m pairs.
+   nodes) is a hub; each node is a candidate of the bucket's hubs, so a bucket of m nodes gives at most ``HUBS`` m pairs in this pass.
 4. Candidates whose signatures agree far enough are verified by the exact weighted Jaccard similarity of the full shingle
    sets: first each node's ``BEST`` of highest agreement, then, once the verified links have made classes, every other
    candidate pair whose two classes still differ.
 5. Verified links are joined to classes by passing on the smallest id, with all state in shared storage.
+6. Nodes of a bucket that are not its hubs and whose classes still differ are all compared with one another, in blocks of about
+   ``SIDE`` nodes against blocks, and verified as in 4. Then no bucket holds a pair of two classes that wasn't compared.
 
 Null and empty texts have no shingles and are one class; a text of one to four words is one shingle; rows of the same
 id and text are one document;
@@ -32,12 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_stage, materialize, mix, row_of, slices, span_hashes, spans, table, texts, windows
+from .common import drop_stage, materialize, mix, ranges, row_of, slices, span_hashes, spans, table, texts, windows
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 DARTS = BANDS * ROWS
 HUBS, BEST = 3, 3
+#: Nodes in a block of a bucket, where all of them are compared.
+SIDE = 128
 #: Pairs are verified only if their signatures agree so far at least: 4.3 standard deviations under the threshold.
 AGREE = 0.66
 _U = 2.0**-53
@@ -148,6 +152,11 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, c1 long, c2 long, bands array<long>, sketch binary")
 
 
+def shares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The share of equal bytes of the sketches in each row, freed of chance."""
+    return ((x == y).mean(1) - 1 / 256) / (1 - 1 / 256)
+
+
 def agreement(pairs: DataFrame) -> DataFrame:
     """Adds agree: the share of equal bytes of sketches a and b, freed of chance."""
 
@@ -156,12 +165,68 @@ def agreement(pairs: DataFrame) -> DataFrame:
             if not len(b):
                 continue
             x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint8).reshape(len(b), -1) for c in ("sa", "sb"))
-            share = ((x == y).mean(1) - 1 / 256) / (1 - 1 / 256)
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(share)], ["a", "b", "agree"])
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(shares(x, y))], ["a", "b", "agree"])
 
     return pairs.mapInArrow(run, "a long, b long, agree double")
 
 
+def cell_pairs(cell: np.ndarray, side: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places (at most about ``most`` at once) of rows that are sorted by cell and side: each row of side 0 with each
+    of side 1 of its cell, or with each later one in a cell of one block, whose rows have side 2."""
+    edge = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    size = np.diff(np.append(edge, len(cell)))
+    end = np.repeat(edge + size, size)
+    middle = np.repeat(edge + np.add.reduceat((side == 0).astype(np.int64), edge), size)
+    place = np.arange(len(cell))
+    first = np.where(side == 2, place + 1, middle)
+    count = np.where(side == 1, 0, end - first)
+    upto = np.cumsum(count)
+    i = 0
+    while i < len(cell):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + most, "right")))
+        yield np.repeat(place[i:j], count[i:j]), ranges(first[i:j], count[i:j])
+        i = j
+
+
+def across(rest: DataFrame) -> DataFrame:
+    """a, b, agree: all pairs of nodes of different classes in a bucket whose signatures agree far enough. rest: band, node,
+    class, sketch, blocks (of the bucket). A task holds one pair of blocks at a time, so a large bucket is dealt over many."""
+
+    def pairs_of(t: pa.Table, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, of, side = (t[c].to_numpy() for c in ("node", "class", "side"))
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(t), -1)
+        for x, y in cell_pairs(cell, side):
+            apart = of[x] != of[y]
+            x, y = x[apart], y[apart]
+            share = shares(sketch[x], sketch[y])
+            near = share >= AGREE
+            x, y = node[x[near]], node[y[near]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(share[near])], ["a", "b", "agree"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for b in batches:
+            if not len(b):
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if left is None else pa.concat_tables([left, t])
+            keys = [t[c].to_numpy() for c in ("band", "one", "two")]
+            new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
+            last, cell = int(np.flatnonzero(new)[-1]), np.cumsum(new)
+            if last:
+                yield from pairs_of(t.slice(0, last), cell[:last])
+            left = t.slice(last)
+        if left is not None:
+            yield from pairs_of(left, np.zeros(len(left), np.int64))
+
+    own = rest.withColumn("own", F.pmod(F.xxhash64("node", "band"), "blocks"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    dealt = dealt.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), side.alias("side"), "node", "class", "sketch")
+    cells = dealt.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two", "side")
+    return cells.mapInArrow(run, "a long, b long, agree double").distinct()
+
+
 def sets_of(docs: DataFrame) -> DataFrame:
     """node, shingles and weights (binary, 64-bit) of ``docs`` (node, text)."""
 
@@ -215,7 +280,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (smallest id of the class), class_links of every row of ``docs`` (doc_id, text)."""
+    """doc_id, class_id (smallest id of the class), verified_links (the links of the document that were verified on the way to the
+    classes; pairs within a class needn't be) of every row of ``docs`` (doc_id, text)."""
     base = materialize(signed(docs), "signed")
     nodes = base.groupBy("c1", "c2").agg(F.min("doc_id").alias("node"))
     nodes = materialize(nodes, "nodes")
@@ -240,23 +306,49 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     up = placed.withColumn("end", F.least("place_a", "place_b")["node"]).withColumn("other", F.greatest("place_a", "place_b"))
     order = Window.partitionBy("end").orderBy(F.desc("agree"), F.desc("other"))
     chosen = materialize(up.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BEST).select("a", "b").distinct(), "chosen")
-    asked = agreed.select(F.col("a").alias("doc_id")).union(agreed.select("b")).distinct()
     named_once = nodes.where("node is not null").select(F.col("node").alias("doc_id")).distinct()
-    first = docs.join(materialize(asked, "asked").hint("merge"), "doc_id", "left_semi").join(named_once.hint("merge"), "doc_id", "left_semi")
-    sets = materialize(sets_of(first.select(F.col("doc_id").alias("node"), "text")).dropDuplicates(["node"]), "sets")
+
+    def sets_in(asked: DataFrame) -> DataFrame:
+        ends = materialize(asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct(), "asked")
+        first = docs.join(ends.hint("merge"), "doc_id", "left_semi").join(named_once.hint("merge"), "doc_id", "left_semi")
+        return materialize(sets_of(first.select(F.col("doc_id").alias("node"), "text")).dropDuplicates(["node"]), "sets")
+
+    def classes_now(classes: DataFrame) -> DataFrame:
+        return materialize(central.select("node").join(classes.hint("merge"), "node", "left").select("node", F.coalesce("class", "node").alias("class")), "of")
+
+    def still_apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        return pairs.select("a", "b").join(of.toDF("a", "class_a").hint("merge"), "a").join(of.toDF("b", "class_b").hint("merge"), "b").where("class_a <> class_b").select("a", "b")
+
+    sets = sets_in(agreed)
     links = materialize(verified(chosen, sets, threshold), "verified")
     classes = components(links)
-    of = central.select("node").join(classes.hint("merge"), "node", "left").select("node", F.coalesce("class", "node").alias("class"))
-    of = materialize(of, "of")
-    apart = agreed.select("a", "b").join(of.toDF("a", "class_a").hint("merge"), "a").join(of.toDF("b", "class_b").hint("merge"), "b").where("class_a <> class_b").select("a", "b")
-    more = materialize(verified(apart.join(chosen, ["a", "b"], "left_anti"), sets, threshold), "more")
+    of = classes_now(classes)
+    more = materialize(verified(still_apart(agreed, of).join(chosen, ["a", "b"], "left_anti"), sets, threshold), "more")
     links = links.union(more)
     classes = components(links)
-    linked = links.groupBy("a").count().union(links.groupBy("b").count()).toDF("node", "n").groupBy("node").agg(F.sum("n").alias("links"))
+    # what no hub has joined: the other nodes of each bucket that holds several classes
+    of = classes_now(classes)
+    rest = members.select("band", "node").join(hubs.select("band", F.col("b").alias("node")).hint("merge"), ["band", "node"], "left_anti").join(of.hint("merge"), "node")
+    rest = materialize(rest, "rest")
+    mixed = rest.groupBy("band").agg(F.count("*").alias("m"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    mixed = materialize(mixed.select("band", F.ceil(F.col("m") / SIDE).cast("long").alias("blocks")), "mixed")
+    rest_sketched = rest.join(mixed.hint("merge"), "band").join(sketches.hint("merge"), "node")
+    unmet = materialize(across(rest_sketched).join(agreed.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), "unmet")
+    if unmet.limit(1).count():
+        more_sets = sets_in(unmet)
+        order = Window.partitionBy("b").orderBy(F.desc("agree"), F.desc("a"))
+        best = materialize(unmet.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BEST).select("a", "b"), "best")
+        links = links.union(materialize(verified(best, more_sets, threshold), "across"))
+        of_best = classes_now(components(links))
+        left = materialize(still_apart(unmet, of_best).join(best, ["a", "b"], "left_anti"), "left")
+        links = links.union(materialize(verified(left, more_sets, threshold), "across"))
+        classes = components(links)
+        drop_stage(more_sets, best, left, of_best)
+    linked = links.groupBy("a").count().union(links.groupBy("b").count()).toDF("node", "n").groupBy("node").agg(F.sum("n").alias("verified_links"))
     known = nodes.join(classes.hint("merge"), "node", "left").join(linked.hint("merge"), "node", "left")
-    known = materialize(known.select("c1", "c2", F.coalesce("class", "node").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links")), "known")
-    drop_stage(banded, members, hubs, pairs, sketches, agreed, chosen, sets)
-    return base.select("doc_id", "c1", "c2").join(known.hint("merge"), ["c1", "c2"]).select("doc_id", "class_id", "links")
+    known = materialize(known.select("c1", "c2", F.coalesce("class", "node").alias("class_id"), F.coalesce("verified_links", F.lit(0)).cast("long").alias("verified_links")), "known")
+    drop_stage(banded, members, hubs, pairs, sketches, agreed, chosen, sets, rest, mixed, unmet)
+    return base.select("doc_id", "c1", "c2").join(known.hint("merge"), ["c1", "c2"]).select("doc_id", "class_id", "verified_links")
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -3,6 +3,7 @@ repeated rows, extra columns, empty tables."""
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -93,6 +94,25 @@ def test_op1_signatures_estimate_weighted_jaccard():
     assert abs((sig[0] == sig[1]).mean() - want) < 0.03
 
 
+def test_op1_pairs_without_a_hub(spark, monkeypatch):
+    """Texts on one template: twins are 0.807 alike, all others 0.779; most of what twins share is shared by all."""
+    part = lambda name, n: "".join(f" {name}x{k}" for k in range(n))
+    rows = [(d, part("template", 300) + part(f"twin{d // 2}", 6) + part(f"own{d}", 36)) for d in range(240)]
+    bags = [bag(t) for _, t in rows]
+    like = lambda a, b: (both := sum((a & b).values())) / (sum(a.values()) + sum(b.values()) - both)
+    assert all(like(bags[a], bags[b]) >= 0.8 if a // 2 == b // 2 else like(bags[a], bags[b]) < 0.8 for a, b in itertools.combinations(range(20), 2))
+    monkeypatch.setattr(near_dedup, "SIDE", 16, raising=False)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
+
+
+def test_op1_cells_hold_each_pair_once():
+    cell, side = np.array([0, 0, 0, 1, 1, 1, 1, 2, 3, 3]), np.array([2, 2, 2, 0, 1, 1, 1, 2, 1, 1])
+    for most in (1, 4, 100):
+        got = [(int(a), int(b)) for x, y in near_dedup.cell_pairs(cell, side, most) for a, b in zip(x, y, strict=True)]
+        assert got == [(0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (3, 6)]
+
+
 def test_op2_blocks(spark, docs, odd, empty):
     block = [f"line {k} " + "word " * 12 for k in range(3)]
     a, b = "\n".join(["first own line", *block, "tail a"]), "\n".join(["other start", *block, "tail b"])
