@@ -1,8 +1,9 @@
 """Operator 8: quality rules as weak supervision.
 
 Each rule votes good, bad or abstains on a text's counts. Expectation-maximisation over the counts of all vote
-patterns of the corpus (at most 3 ** rules of them, so they may go to the driver) estimates how often each rule votes
-how on good and on bad texts; a text is kept if its posterior probability of being good is at least a half.
+patterns of the texts that pass the base rule (at most 3 ** rules of them, so they may go to the driver) estimates the share
+of good texts and how often each rule votes how on good and on bad ones; a text is kept if it passes the base rule and its
+posterior probability of being good is at least a half.
 
 A null or empty text has no words and fails the base rule; equal texts get equal verdicts; an empty table gives no
 rows. Extra columns are ignored. Lines and word windows are compared by 64-bit hashes.
@@ -72,8 +73,8 @@ def counts(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def votes(c: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """1 good, -1 bad, 0 abstains; one array for each rule. Eight rules each look for one fault and abstain without it,
-    the last one speaks for texts that are far from all of them."""
+    """1 good, -1 bad, 0 abstains; one array for each rule. Each rule looks at one share (the last at the mean length of words)
+    and votes on its own: bad where it is high, good where it is clearly fine, neither between."""
     w, lines, letters = c["n_words"], c["n_lines"], c["n_letters"]
     some = np.maximum(w, 1)
     mean = c["word_chars"] / some
@@ -88,13 +89,12 @@ def votes(c: dict[str, np.ndarray]) -> list[np.ndarray]:
     }
     bad = {"symbols": 0.1, "repeated lines": 0.3, "repeated words": 0.3, "no letters": 0.3, "upper case": 0.5, "open lines": 0.95, "bangs": 0.3}
     good = {"symbols": 0.05, "repeated lines": 0.15, "repeated words": 0.15, "no letters": 0.1, "upper case": 0.2, "open lines": 0.7, "bangs": 0.1}
-    out = [np.where(share[k] >= bad[k], -1, 0) for k in bad]
-    out.append(np.where((mean < 2.5) | (mean > 12), -1, 0))
-    far = (mean >= 3) & (mean <= 9) & np.logical_and.reduce([share[k] <= good[k] for k in good])
-    return [v.astype(np.int8) for v in [*out, np.where(far, 1, 0)]]
+    out = [np.where(share[k] >= bad[k], -1, np.where(share[k] <= good[k], 1, 0)) for k in bad]
+    out.append(np.where((mean < 2.5) | (mean > 12), -1, np.where((mean >= 3) & (mean <= 9), 1, 0)))
+    return [v.astype(np.int8) for v in out]
 
 
-RULES = 9
+RULES = 8
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -111,32 +111,43 @@ def score(docs: DataFrame) -> DataFrame:
 
 
 def label_model(patterns: np.ndarray, weight: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """The posterior probability of good of each vote pattern, by expectation-maximisation over accuracies.
-
-    A rule's accuracy is the share of its cast votes that are right; abstaining says nothing. Begins with accuracies of
-    0.9; both classes weigh the same beforehand, as few texts have a fault; no accuracy leaves 0.55 to 0.99."""
-    v = (patterns[:, None] // 3 ** np.arange(RULES)) % 3 - 1.0
-    cast = weight @ np.abs(v)
-    accuracy, post = np.full(RULES, 0.9), None
+    """The posterior probability of good of each vote pattern, by expectation-maximisation over the share of good texts and how
+    often each rule votes how (bad, abstains, good) on texts of each class, so that what a rule's vote weighs, and for which
+    class, is learnt alone. Begins with rules that are mostly right; the class with the higher sum of votes is the good one."""
+    v = patterns[:, None] // 3 ** np.arange(RULES) % 3
+    cast = np.eye(3)[v]  # pattern, rule, vote
+    rates = np.repeat(np.log([[[0.3, 0.2, 0.5]], [[0.02, 0.08, 0.9]]]), RULES, axis=1)
+    prior, post = np.log([0.2, 0.8]), None
     for _ in range(rounds):
-        odds = v @ np.log(accuracy / (1 - accuracy))
-        before, post = post, 1 / (1 + np.exp(-odds))
+        odds = np.einsum("prv,crv->pc", cast, rates) + prior
+        before, post = post, 1 / (1 + np.exp(np.clip(odds[:, 0] - odds[:, 1], -500, 500)))
         if before is not None and np.abs(post - before).max() < 1e-9:
             break
-        right = weight @ ((v > 0) * post[:, None] + (v < 0) * (1 - post[:, None]))
-        accuracy = np.clip((right + 1) / (cast + 1.25), 0.55, 0.99)
-    return post
+        of_class = np.stack([weight * (1 - post), weight * post])
+        rates = np.log((np.einsum("cp,prv->crv", of_class, cast) + 0.1) / (of_class.sum(1)[:, None, None] + 0.3))
+        prior = np.log((of_class.sum(1) + 1) / (weight.sum() + 2))
+    leaning = (np.exp(rates) @ [-1, 0, 1]).sum(1)
+    return post if leaning[1] >= leaning[0] else 1 - post
+
+
+def base_failed():
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def passing(scored: DataFrame) -> list:
+    """Of each vote pattern, how many texts pass the base rule; the model learns from them, as it judges no others."""
+    return scored.groupBy("votes").agg(F.sum(F.when(base_failed(), 0).otherwise(1)).alias("passing")).orderBy("votes").collect()
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed, quality (posterior), kept, of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     scored = materialize(score(docs), "quality")
-    seen = scored.groupBy("votes").count().orderBy("votes").collect()
+    seen = passing(scored)
     patterns = np.array([r["votes"] for r in seen], np.int64)
-    posterior = label_model(patterns, np.array([r["count"] for r in seen], float)) if seen else np.zeros(0)
+    posterior = label_model(patterns, np.array([r["passing"] for r in seen], float)) if seen else np.zeros(0)
     known = spark.createDataFrame(list(zip(patterns.tolist(), posterior.tolist(), strict=True)), "votes int, quality double")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = base_failed()
     out = scored.join(F.broadcast(known), "votes").withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)).drop("votes")
 
@@ -145,11 +156,11 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass the base rule and the label model, with all their columns. The model is fitted over all
     rows first; then each row is judged where it stands, so no text is shuffled."""
     patterns = score(docs.select(F.lit(None).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
-    seen = patterns.groupBy("votes").count().orderBy("votes").collect()
+    seen = passing(patterns)
     number = np.array([r["votes"] for r in seen], np.int64)
     good = np.zeros(3**RULES, bool)
     if seen:
-        good[number] = label_model(number, np.array([r["count"] for r in seen], float)) >= 0.5
+        good[number] = label_model(number, np.array([r["passing"] for r in seen], float)) >= 0.5
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -229,6 +229,17 @@ def test_op8_counts(docs, odd, empty):
     assert quality_rules.judge(common.texts(empty)).count() == 0
 
 
+def test_op8_unreliable_rule_is_outvoted(spark):
+    """Verse trips one rule that says nothing here, as junk trips it as often; junk trips two that agree."""
+    prose = lambda d, end: "\n".join(" ".join(f"word{k}{c}{d}" for c in "abcdefghijklm") + end for k in range(5))
+    junk = lambda d, end: "\n".join(" ".join(f"{d}{k}{j} # 9{d}{j}" for j in range(6)) + f" letters{d}{end}" for k in range(5))
+    rows = [(d, prose(d, "" if d % 5 < 2 else ".")) for d in range(100)] + [(d, junk(d, "" if d % 5 < 2 else ".")) for d in range(100, 120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.judge(df).collect()}
+    assert not any(failed for failed, _ in got.values())
+    assert {d for d, (_, kept) in got.items() if kept} == set(range(100)) == {r.doc_id for r in quality_rules.keep_good(df).collect()}
+
+
 def test_op9_parse_and_held_out(spark, docs, odd, empty):
     p = language_id.Parser({"a": "abracadabra", "b": "zzzz"})
     codes = np.frombuffer("abradabraq".encode("utf-32-le"), np.uint32)
