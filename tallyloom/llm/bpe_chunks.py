@@ -2,10 +2,11 @@
 
 A rolling hash over 16 bytes cuts each text into chunks of about half a kilobyte, so equal passages give equal chunks
 wherever they stand. Documents are dealt to tasks by the smallest of their chunk hashes: documents that share most of
-their chunks meet in one task, which encodes each different chunk once. Where two chunks join, the text from the last
-safe cut of the one to the first safe cut of the other is encoded again; a safe cut is a place (ASCII white space
-after a letter, digit or mark) where the tokenizer's pattern always begins a new piece whatever stands before it, so
-on both sides of the window the ids agree exactly with those of the whole text.
+their chunks meet in one task, which encodes each different chunk once (chunks are told apart by their bytes). A chunk is
+encoded in pieces that begin at likely cuts (ASCII white space after a letter, digit or mark). Where two chunks join, the
+``NEAR`` pieces before and after are encoded again together. If that gives the outermost piece on either side the ids that its
+chunk has for it, the two encodings agree from there on and the new ids stand between; else all joins of the text are
+encoded again with twice the pieces, until they agree or the window is the whole text.
 
 A group of copies may be any part of the corpus: keys with over 1 / ``PARTS`` of the rows (at most that many) are
 dealt to several tasks, in parts of about that size. Null is the empty text and has no tokens; repeated rows stay; an
@@ -24,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SPACE, mix, slices, span_hashes, table, texts
-from .encoding import span_encoder
+from .encoding import byte_characters, span_encoder
 
 PARTS = 1000
 WINDOW, MASK, LEAST = 16, 511, 64
+#: Pieces on each side of a join that are encoded again at first; the outermost one must come out as before.
+NEAR = 2
 #: Bytes of chunks that a worker keeps; beyond that it begins anew.
-MOST_KEPT = 24 << 20
+MOST_KEPT = 16 << 20
 _GEAR = np.random.default_rng(7).integers(1, 2**32, 256, dtype=np.uint32)
 
 
@@ -71,22 +74,48 @@ def safe_cuts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
 class ChunkEncoder:
     def __init__(self, path: str):
         self.spans = span_encoder(path)
-        self.kept: dict[bytes, tuple] = {}
-        self.size = 0
+        self.kept: dict[bytes, tuple[np.ndarray, list[int], list[int]]] = {}
+        self.size = self.repairs = 0
 
     def _learn(self, new: list[bytes]) -> None:
-        """Encodes chunks: ids, pieces, bytes and ids of the first piece, start and ids of the last."""
+        """Encodes chunks: the ids, and where each piece and the end stand in the bytes and in the ids."""
         data = np.frombuffer(b"".join(new), np.uint8)
         ends = np.cumsum([len(c) for c in new])
         begins = np.concatenate([[0], ends[:-1]])
         starts = safe_cuts(data, begins)
-        ids, counts = self.spans.encode(data, starts, np.append(starts[1:], len(data)))
+        ids, counts = self.spans.encode_plain(data, starts, np.append(starts[1:], len(data)))
         upto = np.concatenate([[0], np.cumsum(counts)])
         first = np.searchsorted(starts, begins)
-        last = np.append(first[1:], len(starts)) - 1
-        for c, b, f, l, in zip(new, begins.tolist(), first.tolist(), last.tolist(), strict=True):
-            self.kept[c] = (ids[upto[f] : upto[l + 1]].copy(), l - f + 1, int(starts[f + 1]) - b if l > f else len(c), int(counts[f]), int(starts[l]) - b, int(counts[l]))
-            self.size += len(c) + 200
+        last = np.append(first[1:], len(starts))
+        for c, b, f, l in zip(new, begins.tolist(), first.tolist(), last.tolist(), strict=True):
+            own = ids[upto[f] : upto[l]].astype(np.uint16)
+            self.kept[c] = (own, [*(starts[f:l] - b).tolist(), len(c)], (upto[f : l + 1] - upto[f]).tolist())
+            self.size += len(c) + 2 * len(own) + 16 * (l - f) + 400
+
+    def windows(self, chunks: list[bytes], begin: int, near: int) -> tuple[list, list[tuple[int, int, np.ndarray, np.ndarray]]]:
+        """Of a text that begins at the byte ``begin``: the parts of its ids, None for each window; and the windows as (first byte,
+        end byte, ids that the window's must begin with, ids that they must end with)."""
+        parts, found = [], []
+        low, head, at = begin, None, begin  # an open window's first byte and the ids it must begin with
+        for k, c in enumerate(chunks):
+            ids, cut, upto = self.kept[c]
+            left, right, n = k > 0, k + 1 < len(chunks), len(cut) - 1
+            if n < near * (left + right) + 1:  # the window goes on over this chunk
+                if not left:
+                    low, head = at, ids[:0]
+                if not right:
+                    found.append((low, at + len(c), head, ids[:0]))
+                    parts.append(None)
+            else:
+                if left:
+                    found.append((low, at + cut[near], head, ids[upto[near - 1] : upto[near]]))
+                    parts.append(None)
+                a, b = near if left else 0, n - near if right else n
+                parts.append(ids[upto[a] : upto[b]])
+                if right:
+                    low, head = at + cut[b], ids[upto[b] : upto[b + 1]]
+            at += len(c)
+        return parts, found
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, and each text's bounds in them."""
@@ -94,51 +123,38 @@ class ChunkEncoder:
             self.kept, self.size = {}, 0
         begins = chunk_starts(data, at)
         raw = data.tobytes()
-        ends = np.append(begins[1:], len(data)).tolist()
-        chunks = [raw[s:e] for s, e in zip(begins.tolist(), ends, strict=True)]
+        chunks = [raw[s:e] for s, e in zip(begins.tolist(), np.append(begins[1:], len(data)).tolist(), strict=True)]
         if new := [c for c in dict.fromkeys(chunks) if c not in self.kept]:
             self._learn(new)
-        pieces: list = []  # arrays of ids; None stands for the next window
-        lows: list[int] = []
-        highs: list[int] = []
-        marks = [0]
-        k, begin_list = 0, begins.tolist()
-        for end in at[1:].tolist():
-            low = -1
-            while k < len(chunks) and begin_list[k] < end:
-                s = begin_list[k]
-                ids, n, first_bytes, first_ids, last_at, last_ids = self.kept[chunks[k]]
-                k += 1
-                if n > 1:
-                    if low < 0:
-                        pieces.append(ids[: len(ids) - last_ids])
-                    else:
-                        lows.append(low)
-                        highs.append(s + first_bytes)
-                        pieces += [None, ids[first_ids : len(ids) - last_ids]]
-                    low = s + last_at
-                elif low < 0:
-                    low = s
-            if low >= 0:
-                lows.append(low)
-                highs.append(end)
-                pieces.append(None)
-            marks.append(len(pieces))
-        ids, counts = self.spans.encode(data, np.array(lows, np.int64), np.array(highs, np.int64))
-        window = iter(np.split(ids, np.cumsum(counts)[:-1])) if len(counts) else iter(())
-        pieces = [next(window) if p is None else p for p in pieces]
-        upto = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
-        return (np.concatenate(pieces) if pieces else np.zeros(0, np.uint16)), upto[marks]
+        edge = np.searchsorted(begins, at).tolist()
+        first = at[:-1].tolist()
+        done: list[list[np.ndarray]] = [[] for _ in first]
+        near, todo = NEAR, [t for t in range(len(first)) if edge[t + 1] > edge[t]]
+        while todo:
+            asked = [self.windows(chunks[edge[t] : edge[t + 1]], first[t], near) for t in todo]
+            ids, counts = self.spans.encode_plain(data, np.array([w[0] for _, ws in asked for w in ws], np.int64), np.array([w[1] for _, ws in asked for w in ws], np.int64))
+            upto = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            k, again = 0, []
+            for t, (parts, ws) in zip(todo, asked, strict=True):
+                got = [ids[upto[k + i] : upto[k + i + 1]] for i in range(len(ws))]
+                k += len(ws)
+                if all(np.array_equal(g[: len(h)], h) and np.array_equal(g[len(g) - len(e) :], e) for g, (_, _, h, e) in zip(got, ws, strict=True)):
+                    new_ids = iter(got)
+                    done[t] = [next(new_ids) if p is None else p for p in parts]
+                else:
+                    again.append(t)
+            todo, near = again, 2 * near
+            self.repairs += len(again)
+        upto = np.concatenate([[0], np.cumsum([sum(map(len, d)) for d in done])]).astype(np.int64)
+        every = [p for d in done for p in d]
+        return (np.concatenate(every) if every else np.zeros(0, np.uint16)), upto
 
 
 def byte_table(path: str) -> list[bytes]:
-    """The bytes of every id of a byte-level BPE file. Its vocabulary writes the bytes as printable characters: those of
-    Latin-1 that are printable stand for themselves, the others, in order, for 256 and on."""
+    """The bytes of every id of a byte-level BPE file."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(plain)]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    byte_of = {c: b for b, c in enumerate(byte_characters())}
     out = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]))
     for token, i in spec["model"]["vocab"].items():
         out[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()

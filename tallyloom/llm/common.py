@@ -19,20 +19,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 ASCII_SPACE = b" \t\n\v\f\r"
 
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_P = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8
-_P_INV = np.uint64(pow(int(_P), -1, 2**64))
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(base: np.uint64, n: int, key: str) -> np.ndarray:
-    have = _powers.get(key)
-    if have is None or len(have) < n:
-        with np.errstate(over="ignore"):
-            have = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, SLICE_BYTES + 64), base)]), dtype=np.uint64)
-        _powers[key] = have
-    return have[:n]
+#: The bytes that count of a block of eight of which so many belong to the span.
+_PART = np.array([256**n - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,19 +84,62 @@ def spans(data: np.ndarray, at: np.ndarray, apart: np.ndarray = SPACE) -> tuple[
     return starts, ends, np.searchsorted(starts, at)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, upto: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of each span's bytes. upto: running_hash(data), if spans of the same bytes are hashed more than once."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    upto = running_hash(data) if upto is None else upto
-    return mix((upto[ends] - upto[starts]) * _power(_P_INV, len(data) + 1, "down")[starts] + (ends - starts).astype(np.uint64))
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """At each byte, that byte and the seven after it as one number (zeros after the end)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
-def running_hash(data: np.ndarray) -> np.ndarray:
-    """Sums from the first byte on, of which the difference at two places gives the hash of the bytes between."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power(_P, len(data), "up"), out=out[1:])
-    return out
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span's bytes. Each block of eight bytes is mixed with its place before the blocks are added, so no
+    pattern of bytes cancels out; spans are still to be compared where a collision would give a wrong result."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    blocks, size = _blocks(data), ends - starts
+    total = mix(blocks[starts] & _PART[np.minimum(size, 8)])
+    if len(long := np.flatnonzero(size > 8)):
+        more = (size[long] - 1) // 8
+        k = ranges(np.ones(len(long), np.int64), more)
+        at = np.repeat(starts[long], more) + 8 * k
+        part = blocks[at] & _PART[np.minimum(np.repeat(ends[long], more) - at, 8)]
+        total[long] += np.add.reduceat(mix(mix(part) + k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), np.cumsum(more) - more)
+    return mix(total + size.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Whether each span has the bytes of the span at the place that ``like`` names."""
+    blocks, size = _blocks(data), ends - starts
+    same = (size == size[like]) & (((blocks[starts] ^ blocks[starts[like]]) & _PART[np.minimum(size, 8)]) == 0)
+    long = np.flatnonzero(same & (size > 8) & (like != np.arange(len(like))))
+    if len(long):
+        more = (size[long] - 1) // 8
+        k = 8 * ranges(np.ones(len(long), np.int64), more)
+        at = np.repeat(starts[long], more) + k
+        off = (blocks[at] ^ blocks[np.repeat(starts[like[long]], more) + k]) & _PART[np.minimum(np.repeat(ends[long], more) - at, 8)]
+        same[long] = ~np.logical_or.reduceat(off != 0, np.cumsum(more) - more)
+    return same
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each different span, and for each span which of them it is. Hashes sort the spans, their bytes decide.
+    kind: a small number of each span, by which equal spans may differ."""
+    h = span_hashes(data, starts, ends)
+    if kind is not None:
+        h = h ^ mix(kind.astype(np.uint64))
+    _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    odd = ~same_spans(data, starts, ends, first[inverse])
+    if kind is not None:
+        odd |= kind != kind[first[inverse]]
+    if odd.any():  # different spans of one hash
+        raw, known, more = data.tobytes(), {}, []
+        for i in np.flatnonzero(odd).tolist():
+            span = (raw[starts[i] : ends[i]], 0 if kind is None else int(kind[i]))
+            if span not in known:
+                known[span] = len(first) + len(more)
+                more.append(i)
+            inverse[i] = known[span]
+        first = np.concatenate([first, more])
+    return first, inverse
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -145,9 +176,12 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all machines share (spark.checkpoint.dir); a temporary one only where that isn't set."""
+    """A new path in the folder that all machines share (spark.checkpoint.dir). Where that isn't set, a temporary one of this
+    machine, but only if Spark runs on this machine alone."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="tallyloom-"))
         base = _own[0]
@@ -174,6 +208,28 @@ def drop_stage(*stages: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of one key that a join takes to one place.
+SPLIT = 1024
+
+
+def places_of(many: DataFrame, keys: list[str], split: int = SPLIT) -> DataFrame:
+    """keys, places: of the keys with over ``split`` rows, how many places they are dealt to. At most rows / split rows."""
+    heavy = many.groupBy(*keys).count().where(F.col("count") > split)
+    return materialize(heavy.select(*keys, F.ceil(F.col("count") / split).cast("int").alias("places")), "places")
+
+
+def dealt(many: DataFrame, places: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``many`` with its place, by the hash of the column ``by``: 0 for keys of few rows."""
+    out = many.join(places, keys, "left").withColumn("place", F.pmod(F.xxhash64(by), F.coalesce("places", F.lit(1))).cast("int"))
+    return out.drop("places")
+
+
+def copied(few: DataFrame, places: DataFrame, keys: list[str]) -> DataFrame:
+    """``few`` (one row a key) with a copy for each place of its key."""
+    out = few.join(places, keys, "left").withColumn("place", F.explode(F.sequence(F.lit(0), F.coalesce("places", F.lit(1)) - 1)))
+    return out.drop("places")
+
+
 def file_system(uri: str):
     """pyarrow's file system for a URI, and the path in it."""
     from pyarrow import fs

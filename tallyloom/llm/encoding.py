@@ -12,10 +12,10 @@ import os
 
 import numpy as np
 
-from .common import SPACE, ranges, separators, span_hashes
+from .common import SPACE, distinct_spans, ranges, separators
 
 #: A worker forgets what it has encoded beyond so many spans or ids; that costs time only.
-MOST_SPANS, MOST_IDS = 500_000, 5_000_000
+MOST_SPANS, MOST_IDS = 250_000, 2_500_000
 
 #: Bytes that always need the whole tokenizer: controls, the apostrophe (contractions), < (special tokens), and every
 #: byte over 7F but C3 and those that follow one.
@@ -45,10 +45,7 @@ def lower_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
         return data, starts, ends, np.zeros(0, bool), np.zeros(1, np.int64)
     odd = np.concatenate([[0], np.cumsum(odd_bytes(data))])
     whole = odd[ends] > odd[starts]
-    mark = np.zeros(n + 1, np.int8)
-    mark[starts[whole]] += 1
-    np.add.at(mark, ends[whole], -1)
-    kept = np.cumsum(mark[:-1], dtype=np.int8).astype(bool)
+    kept = _covered(n, starts[whole], ends[whole])
     low = _LOWER[data]
     accent = np.zeros(n, bool)
     accent[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
@@ -68,6 +65,39 @@ def lower_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     return low, piece, stop, kept[piece], np.append(first, len(piece))
 
 
+def _covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    mark = np.zeros(n + 1, np.int8)
+    np.add.at(mark, starts, 1)
+    np.add.at(mark, ends, -1)
+    return np.cumsum(mark[:-1], dtype=np.int8).astype(bool)
+
+
+def plain_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rising spans as pieces of a byte-level tokenizer that splits into runs of letters, digits and other marks, each with one
+    space before it: (piece starts, piece ends, whole, first piece of each span and the end). ``whole`` marks spans that go through
+    the whole tokenizer in one piece: those with odd bytes, or white space other than one space at their begin."""
+    n = len(data)
+    if not len(starts):
+        return starts, ends, np.zeros(0, bool), np.zeros(1, np.int64)
+    lead = data[starts] == 0x20
+    rest = starts + lead
+    odd = np.concatenate([[0], np.cumsum(odd_bytes(data) | SPACE[data])])
+    whole = (odd[ends] > odd[rest]) | (rest == ends)
+    kind = _KIND[data]
+    kind[_covered(n, starts[whole], ends[whole])] = 4
+    begin = np.zeros(n, bool)
+    begin[1:] = kind[1:] != kind[:-1]
+    begin &= _covered(n, starts, ends)
+    begin[rest[lead & ~whole]] = False
+    begin[starts] = True
+    piece = np.flatnonzero(begin)
+    first = np.searchsorted(piece, starts)
+    stop = np.append(piece[1:], n)
+    last = np.append(first[1:], len(piece)) - 1
+    stop[last] = ends
+    return piece, stop, whole[np.searchsorted(starts, piece, "right") - 1], np.append(first, len(piece))
+
+
 def byte_characters() -> list[str]:
     """The printable characters by which byte-level vocabularies write the 256 bytes: printable ones of Latin-1 stand for
     themselves, the others, in order, are 256 and on."""
@@ -90,7 +120,7 @@ class SpanEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[int, int] = {}
+        self.index: tuple[dict[bytes, int], dict[bytes, int]] = ({}, {})  # of spans for the model, and for the whole tokenizer
         self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.uint16), 0
 
@@ -113,19 +143,17 @@ class SpanEncoder:
         """The ids of all spans together, and how many each span has. whole: which spans need more than the model (else all)."""
         if not len(starts):
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
-        if len(self.index) > MOST_SPANS or self.used > MOST_IDS:
+        if len(self.index[0]) + len(self.index[1]) > MOST_SPANS or self.used > MOST_IDS:
             self.forget()
         whole = np.ones(len(starts), bool) if whole is None else whole
-        hashes = span_hashes(data, starts, ends) ^ whole.astype(np.uint64) * np.uint64(0xA5A5A5A55A5A5A5A)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        at = np.fromiter((self.index.get(k, -1) for k in keys), np.int64, len(keys))
+        first, inverse = distinct_spans(data, starts, ends, whole)
+        raw, general = data.tobytes(), whole[first]
+        keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        at = np.fromiter((self.index[w].get(k, -1) for k, w in zip(keys, general.astype(int).tolist(), strict=True)), np.int64, len(keys))
         if len(new := np.flatnonzero(at < 0)):
-            raw = data.tobytes()
-            s, e = starts[first[new]].tolist(), ends[first[new]].tolist()
-            found = self._ids([raw[a:b] for a, b in zip(s, e, strict=True)], whole[first[new]])
+            found = self._ids([keys[i] for i in new.tolist()], general[new])
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            base = len(self.index)
+            base = len(self.index[0]) + len(self.index[1])
             self._grow(base + len(found), self.used + int(counts.sum()))
             self.start[base : base + len(found)] = self.used + np.cumsum(counts) - counts
             self.count[base : base + len(found)] = counts
@@ -133,12 +161,18 @@ class SpanEncoder:
             self.flat[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
             at[new] = np.arange(base, base + len(found))
-            for i in new.tolist():
-                self.index[keys[i]] = len(self.index)
+            for i, n in zip(new.tolist(), range(base, base + len(found)), strict=True):
+                self.index[int(general[i])][keys[i]] = n
         at = at[inverse]
         counts = self.count[at]
         return self.flat[ranges(self.start[at], counts)], counts
 
+    def encode_plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, of rising spans and by plain_pieces."""
+        piece, stop, whole, first = plain_pieces(data, starts, ends)
+        ids, counts = self.encode(data, piece, stop, whole)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[first])
+
 
 _encoders: dict[str, SpanEncoder] = {}
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -101,22 +102,23 @@ def id_counts(tokens: DataFrame) -> DataFrame:
 
 
 def write_files(tokens: DataFrame, ranked: np.ndarray, to: str) -> list[dict]:
-    """One file for each range of doc_ids. ranked: the ids by falling frequency (at most 65,536, so it may go to every task)."""
+    """One file for each range of doc_ids. ranked: the ids by falling frequency (at most 65,536, so it may go to every task).
+    Each attempt of a task writes a file of its own name; the manifest has those of the attempts that Spark took."""
     rank = np.zeros(1 << 16, np.uint32)
     rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = name = None
+        out = name = part = None
         docs = n = 0
         for b in batches:
             if not len(b):
                 continue
             if out is None:
-                name = f"{to}/part-{b['part'][0].as_py():06d}.rvb"
+                part = b["part"][0].as_py()
+                name = f"{to}/part-{part:06d}-{uuid.uuid4().hex}.rvb"
                 fs, path = file_system(name)
                 fs.create_dir(os.path.dirname(path), recursive=True)
-                hidden = f"{path}.{os.getpid()}.{os.urandom(4).hex()}"
-                out = fs.open_output_stream(hidden)
+                out = fs.open_output_stream(path)
             for i, j, ids, at in _ids(b["ids"]):
                 control, data = pack(rank[ids])
                 keys = b["doc_id"].slice(i, j - i)
@@ -127,8 +129,6 @@ def write_files(tokens: DataFrame, ranked: np.ndarray, to: str) -> list[dict]:
                 docs, n = docs + j - i, n + len(ids)
         if out is not None:
             out.close()
-            fs.move(hidden, path)
-            part = int(name[-10:-4])
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "uri": [name], "docs": pa.array([docs], pa.int64()), "n": pa.array([n], pa.int64())})
 
     sorted_ = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").select("doc_id", "ids", F.spark_partition_id().alias("part"))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, held_out, row_of, running_hash, slices, span_hashes, spans, table
+from .common import PUNCTUATION, held_out, row_of, slices, span_hashes, spans, table
 
 #: Bounds of the fit: labelled documents, buckets, terms and factors.
 DOCS, BUCKETS, TERMS, FACTORS = 8_000, 1 << 20, 1536, 8
@@ -33,12 +33,12 @@ def terms(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[
         low = pc.utf8_lower(column.slice(i, j - i))
         for _, _, data, at in slices(low, 1 << 40):
             starts, ends, bounds = spans(data, at, PUNCTUATION)
-            text, upto = row_of(bounds), running_hash(data)
+            text = row_of(bounds)
             found = []
             for most in (*PREFIXES, None):
                 part = np.arange(len(starts)) if most is None else np.flatnonzero(ends - starts > most)
                 s = starts[part]
-                bucket = (span_hashes(data, s, ends[part] if most is None else s + most, upto) % np.uint64(BUCKETS)).astype(np.int64)
+                bucket = (span_hashes(data, s, ends[part] if most is None else s + most) % np.uint64(BUCKETS)).astype(np.int64)
                 if wanted is not None:
                     keep = wanted[bucket]
                     part, bucket = part[keep], bucket[keep]
