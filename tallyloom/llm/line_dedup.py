@@ -1,19 +1,22 @@
 """Operator 2: line dedup by pairwise alignment.
 
-Every line begins a run of lines of at least ``words`` words together (one long line is a run). Runs that stand in
-more than one document are the rare lines that make pairs: each document is paired with the first document that has
-the run, so the pairs are never more than the runs and no common run makes all pairs of its documents. Each pair's line hashes
-are aligned by patience diff (lines that are unique in both, longest rising chain, then between its links), what that
-leaves unaligned is aligned again on its own, and every aligned block of at least ``words`` words is deleted from the
-document with the larger id.
-
-Lines are compared without white space at their ends; lines without a word belong to no block and stay. Null texts
-are empty and stay empty; rows without an id, and rows of the same id, never delete from each other; an empty table
-gives no rows. Extra columns come through ``dedup_lines`` untouched, whatever their names.
+A run is a stretch of lines of at least ``words`` words together: from each line the shortest one that begins there, and the
+shortest one that ends there (one long line is both). How many documents hold a run is counted. A run that one document alone holds
+makes no pair; any other pairs each of its documents with the first one only, so the pairs are never more than the runs, however
+many documents hold a run. Each pair is aligned by patience diff (lines that are unique in both, longest rising chain, then between
+its links). Every aligned block of at least ``words`` words is deleted from the document with the larger id; of what moved and so
+isn't aligned, every run that the earlier document holds elsewhere. As each line of a block that a document shares with any
+earlier one lies in a run of the block, all such blocks of at least ``words`` words go, and nothing else.
+
+Lines are equal if the bytes between their first and last word are (told apart by 128-bit BLAKE2b digests). Lines without a word
+belong to no block and stay; so do copies of a passage that begin or end inside a line. Null texts are empty and stay empty; rows
+without an id, and rows of the same id, never delete from each other; an empty table gives no rows. Extra columns come through
+``dedup_lines`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -22,80 +25,95 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NEWLINE, drop_stage, materialize, slices, span_hashes, spans, table, texts
+from .common import NEWLINE, copied, dealt, drop_stage, materialize, places_of, slices, spans, table, texts
 
 WORDS = 25
+#: Rounds of alignment between the links of the last; what is left then is found by its runs.
+DEPTH = 64
+SIZE = 16
 
 
-def line_table(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and number of words of each line that has a word, and the bounds by text."""
+def digest(line: bytes, size: int = SIZE) -> bytes:
+    return hashlib.blake2b(line, digest_size=size).digest()
+
+
+def line_table(data: np.ndarray, at: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Digests (one after the other) and number of words of each line that has a word, and the bounds by text."""
     starts, ends, _ = spans(data, at)
     low, high, _ = spans(data, at, NEWLINE)
     first, last = np.searchsorted(starts, low), np.searchsorted(starts, high)
     full = last > first
     first, last = first[full], last[full]
-    return span_hashes(data, starts[first], ends[last - 1]).view(np.int64), last - first, np.searchsorted(low[full], at)
+    raw = data.tobytes()
+    every = b"".join([digest(raw[s:e]) for s, e in zip(starts[first].tolist(), ends[last - 1].tolist(), strict=True)])
+    return every, last - first, np.searchsorted(low[full], at)
+
+
+def split_digests(every: bytes) -> list[bytes]:
+    return [every[k : k + SIZE] for k in range(0, len(every), SIZE)]
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, hashes and words: of the lines with a word, in order."""
+    """doc_id, digests (binary) and words: of the lines with a word, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, at in slices(b["text"]):
-                h, n, bounds = line_table(data, at)
-                bounds = pa.array(bounds, pa.int32())
-                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.ListArray.from_arrays(bounds, pa.array(h)), pa.ListArray.from_arrays(bounds, pa.array(n.astype(np.int32)))], ["doc_id", "hashes", "words"])
+                every, n, bounds = line_table(data, at)
+                cut = (bounds * SIZE).tolist()
+                column = pa.array([every[s:e] for s, e in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), column, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(n.astype(np.int32)))], ["doc_id", "digests", "words"])
 
-    return docs.where("doc_id is not null").mapInArrow(run, "doc_id long, hashes array<long>, words array<int>")
+    return docs.where("doc_id is not null").mapInArrow(run, "doc_id long, digests binary, words array<int>")
 
 
-def run_hashes(hashes: np.ndarray, words: np.ndarray, least: int) -> dict[int, int]:
-    """Hash of the shortest run from each line that has ``least`` words, with its first place."""
+def run_bounds(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end lines of all runs, each once."""
+    n = len(words)
     upto = np.concatenate([[0], np.cumsum(words)])
-    out: dict[int, int] = {}
-    ends = np.searchsorted(upto, upto[:-1] + least).tolist()
-    values = hashes.tolist()
-    for i, e in enumerate(ends):
-        if e <= len(values):
-            h = values[i] if e == i + 1 else hash(tuple(values[i:e]))
-            out.setdefault(h, i)
-    return out
+    end = np.searchsorted(upto, upto[:-1] + least)
+    ahead = np.flatnonzero(end <= n)
+    begin = np.searchsorted(upto, upto[1:] - least, "right") - 1
+    back = np.flatnonzero(begin >= 0)
+    both = np.unique(np.concatenate([ahead * (n + 1) + end[ahead], begin[back] * (n + 1) + back + 1]))
+    return both // (n + 1), both % (n + 1)
 
 
 def runs(kept: DataFrame, least: int) -> DataFrame:
-    """doc_id, run: the different run hashes of each document."""
+    """doc_id, run: a key of each different run of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h, bounds = np.asarray(b["hashes"].flatten()), np.asarray(b["hashes"].offsets)
-            w = np.asarray(b["words"].flatten())
-            bounds = bounds - bounds[0]
-            found = [list(run_hashes(h[s:e], w[s:e], least)) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            n = np.array([len(f) for f in found], np.int64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"].take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array([x for f in found for x in f], pa.int64())], ["doc_id", "run"])
+            w, bounds = np.asarray(b["words"].flatten()), np.asarray(b["words"].offsets)
+            bounds = (bounds - bounds[0]).tolist()
+            found, n = [], []
+            for every, s, e in zip(b["digests"].to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                own = {digest(every[SIZE * x : SIZE * y], 8) for x, y in zip(*(k.tolist() for k in run_bounds(w[s:e], least)), strict=True)}
+                found += own
+                n.append(len(own))
+            yield pa.RecordBatch.from_arrays([b["doc_id"].take(pa.array(np.repeat(np.arange(len(n)), n), pa.int64())), pa.array(np.frombuffer(b"".join(found), np.int64))], ["doc_id", "run"])
 
     return kept.mapInArrow(run, "doc_id long, run long")
 
 
-def patience(a: list[int], b: list[int], low_a: int, high_a: int, low_b: int, high_b: int) -> list[tuple[int, int]]:
-    """Matched places (in a, in b) of two lists between the given bounds, both rising."""
+def patience(a: list, b: list) -> list[tuple[int, int]]:
+    """Matched places (in a, in b) of two lists of lines, rising in both."""
     out: list[tuple[int, int]] = []
-    todo = [(low_a, high_a, low_b, high_b)]
+    todo = [(0, len(a), 0, len(b), 0)]
     while todo:
-        la, ha, lb, hb = todo.pop()
+        la, ha, lb, hb, depth = todo.pop()
         while la < ha and lb < hb and a[la] == b[lb]:
             out.append((la, lb))
             la, lb = la + 1, lb + 1
         while la < ha and lb < hb and a[ha - 1] == b[hb - 1]:
             ha, hb = ha - 1, hb - 1
             out.append((ha, hb))
-        if la >= ha or lb >= hb:
+        if la >= ha or lb >= hb or depth == DEPTH:
             continue
-        once_a: dict[int, int] = {}
+        once_a: dict = {}
         for i in range(la, ha):
             once_a[a[i]] = -1 if a[i] in once_a else i
-        once_b: dict[int, int] = {}
+        once_b: dict = {}
         for j in range(lb, hb):
             once_b[b[j]] = -1 if b[j] in once_b else j
         pairs = [(i, once_b[x]) for x, i in once_a.items() if i >= 0 and once_b.get(x, -1) >= 0]
@@ -121,118 +139,127 @@ def patience(a: list[int], b: list[int], low_a: int, high_a: int, low_b: int, hi
         edge_a, edge_b = la, lb
         for i, j in reversed(links):
             out.append((i, j))
-            todo.append((edge_a, i, edge_b, j))
+            todo.append((edge_a, i, edge_b, j, depth + 1))
             edge_a, edge_b = i + 1, j + 1
-        todo.append((edge_a, ha, edge_b, hb))
+        todo.append((edge_a, ha, edge_b, hb, depth + 1))
     return sorted(out)
 
 
-def common_blocks(a: list[int], words: list[int], b: list[int], least: int, shared: dict[int, int] | None = None) -> list[tuple[int, int]]:
-    """(first line, end line) in ``a`` of all blocks of at least ``least`` words that ``b`` has too."""
-    done: list[tuple[int, int]] = []
-    todo = [(0, len(a))]
-    while todo:
-        low, high = todo.pop()
-        if sum(words[low:high]) < least:
-            continue
-        matched = patience(a, b, low, high, 0, len(b))
-        found, k = [], 0
-        while k < len(matched):
-            s, j = matched[k]
-            k += 1
-            e = s + 1
-            while k < len(matched) and matched[k] == (e, j + e - s):
-                e, k = e + 1, k + 1
-            if sum(words[s:e]) >= least:
-                found.append((s, e))
-        if not found:  # lines that repeat in the texts have no unique partner: any place of the first shared run will do
-            at_b = run_hashes(np.array(b, np.int64), shared_words(b, a, words), least) if b else {}
-            for h, i in run_hashes(np.array(a[low:high], np.int64), np.array(words[low:high]), least).items():
-                if h in at_b:
-                    s, j = low + i, at_b[h]
-                    e = s
-                    while e < high and j + e - s < len(b) and a[e] == b[j + e - s]:
-                        e += 1
-                    if e > s and sum(words[s:e]) >= least:
-                        found.append((s, e))
-                        break
-        edge = low
-        for s, e in found:
-            todo.append((edge, s))
-            edge = e
-        if found:
-            todo.append((edge, high))
-            done += found
-    return sorted(done)
-
-
-def shared_words(b: list[int], a: list[int], words: list[int]) -> np.ndarray:
-    """Words of b's lines: those it shares with a are known from there, others count as none."""
-    known = dict(zip(a, words, strict=True))
-    return np.array([known.get(x, 0) for x in b], np.int64)
-
-
-def find_blocks(docs: DataFrame, least: int = WORDS) -> DataFrame:
-    """doc_id, earlier_id, version, blocks (first and end line of each, one after the other) for each pair of documents with a
-    block in common. version tells rows of the same id and other lines apart."""
+def common_lines(a: list, words: list[int], b: list, least: int) -> np.ndarray:
+    """Flags of the lines of ``a`` in blocks of at least ``least`` words that ``b`` has too."""
+    gone = np.zeros(len(a), bool)
+    upto = np.concatenate([[0], np.cumsum(words)])
+    matched, k = patience(a, b), 0
+    while k < len(matched):
+        s, j = matched[k]
+        e, k = s + 1, k + 1
+        while k < len(matched) and matched[k] == (e, j + e - s):
+            e, k = e + 1, k + 1
+        if upto[e] - upto[s] >= least:
+            gone[s:e] = True
+    left, right = run_bounds(np.asarray(words), least)
+    rest = [(s, e) for s, e in zip(left.tolist(), right.tolist(), strict=True) if not gone[s:e].all()]
+    if rest:  # what moved, or repeats: runs of a that stand elsewhere in b
+        of = dict(zip(a, words, strict=True))
+        there = {tuple(b[s:e]) for s, e in zip(*(k.tolist() for k in run_bounds(np.array([of.get(x, least) for x in b]), least)), strict=True)}
+        for s, e in rest:
+            if tuple(a[s:e]) in there:
+                gone[s:e] = True
+    return gone
+
+
+def version_of(every: bytes) -> int:
+    return int.from_bytes(digest(every, 8), "little", signed=True)
+
+
+def find_lines(docs: DataFrame, least: int = WORDS) -> DataFrame:
+    """doc_id, version, gone (the numbers of its lines that go), earlier_ids (the documents that hold them) for each document
+    that shares a block with an earlier one. version tells rows of the same id and other lines apart."""
     kept = materialize(lines(docs), "lines")
     by_run = materialize(runs(kept, least), "runs")
-    firsts = by_run.groupBy("run").agg(F.min("doc_id").alias("earlier_id"), F.max("doc_id").alias("last")).where("earlier_id < last")
-    firsts = materialize(firsts.select("run", "earlier_id"), "firsts")
-    pairs = materialize(by_run.join(firsts.hint("merge"), "run").where("earlier_id < doc_id").select("doc_id", "earlier_id").distinct(), "pairs")
-    a = kept.select("doc_id", F.col("hashes").alias("a"), "words")
-    b = kept.select(F.col("doc_id").alias("earlier_id"), F.col("hashes").alias("b"))
+    held = by_run.groupBy("run").agg(F.min("doc_id").alias("earlier_id"), F.max("doc_id").alias("last"), F.count("*").alias("holders"))
+    held = materialize(held.where("earlier_id < last").select("run", "earlier_id", "holders"), "held")
+    pairs = by_run.join(held.hint("merge"), "run").where("earlier_id < doc_id").groupBy("doc_id", "earlier_id").agg(F.min("holders").alias("rarest"))
+    pairs = materialize(pairs, "pairs")
+    # an earlier document of many pairs goes to several places, each with a part of its pairs
+    places = places_of(pairs, ["earlier_id"])
+    asks = dealt(pairs, places, ["earlier_id"], "doc_id")
+    first = copied(kept.select(F.col("doc_id").alias("earlier_id"), "digests"), places, ["earlier_id"])
+    partners = asks.join(first.hint("merge"), ["earlier_id", "place"]).select("doc_id", "rarest", "earlier_id", "digests", F.lit(None).cast("array<int>").alias("words"))
+    own = kept.join(pairs.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select("doc_id", F.lit(-1).cast("long").alias("rarest"), F.lit(None).cast("long").alias("earlier_id"), "digests", "words")
+    # each document's own lines come first and then its partners one by one, the rarest shared lines first, so no task holds a document's pairs together
+    rows = own.union(partners).repartition("doc_id").sortWithinPartitions("doc_id", "rarest", "earlier_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of_a = batch["a"].to_pylist()
-            rows = zip(of_a, batch["words"].to_pylist(), batch["b"].to_pylist(), strict=True)
-            found = [[x for block in common_blocks(x_a, x_w, x_b, least) for x in block] for x_a, x_w, x_b in rows]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["earlier_id"], pa.array([hash(tuple(x)) for x in of_a], pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "earlier_id", "version", "blocks"])
-
-    both = pairs.join(a.hint("merge"), "doc_id").join(b.hint("merge"), "earlier_id").select("doc_id", "earlier_id", "a", "words", "b")
-    out = materialize(both.mapInArrow(run, "doc_id long, earlier_id long, version long, blocks array<int>").where(F.size("blocks") > 0), "blocks")
-    drop_stage(kept, by_run, firsts, pairs)
+        at, mine = None, {}
+
+        def result() -> pa.RecordBatch:
+            rows = [(at, v, np.flatnonzero(gone).tolist(), sorted(ids)) for v, (_, _, gone, ids) in mine.items() if ids]
+            doc, version, gone, ids = zip(*rows, strict=True) if rows else ((), (), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(version, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "version", "gone", "earlier_ids"])
+
+        for b in batches:
+            for doc, earlier, every, words in zip(*(b[c] for c in ("doc_id", "earlier_id", "digests", "words")), strict=True):
+                if doc.as_py() != at:
+                    if mine:
+                        yield result()
+                    at, mine = doc.as_py(), {}
+                every = every.as_py()
+                if not earlier.is_valid:
+                    mine.setdefault(version_of(every), (split_digests(every), words.as_py(), np.zeros(len(every) // SIZE, bool), set()))
+                    continue
+                other = split_digests(every)
+                for a, w, gone, ids in mine.values():
+                    found = common_lines(a, w, other, least)
+                    if found.any():
+                        gone |= found
+                        ids.add(earlier.as_py())
+        if mine:
+            yield result()
+
+    out = materialize(rows.mapInArrow(run, "doc_id long, version long, gone array<int>, earlier_ids array<long>"), "gone")
+    drop_stage(kept, by_run, held, pairs, places)
     return out
 
 
-def cut_lines(text: str, found: list[dict]) -> tuple[str, int]:
-    """The text without the lines of its blocks, and how many lines it lost."""
+def cut_lines(text: str, found: list[dict]) -> tuple[str, list[int], list[int]]:
+    """The text without the lines that go, their numbers, and the earlier documents that hold them."""
     data = np.frombuffer(text.encode(), np.uint8)
-    hashes, _, _ = line_table(data, np.array([0, len(data)]))
-    version = hash(tuple(hashes.tolist()))
-    gone = {k for f in found if f["version"] == version for s, e in zip(f["blocks"][::2], f["blocks"][1::2], strict=True) for k in range(s, e)}
-    parts, k, out = text.split("\n"), 0, []
-    for p in parts:
+    version = version_of(line_table(data, np.array([0, len(data)]))[0])
+    mine = next((f for f in found if f["version"] == version), None)
+    if mine is None:
+        return text, [], []
+    gone, k, out = set(mine["gone"]), 0, []
+    for p in text.split("\n"):
         if p.strip(" \t\n\v\f\r"):
             k += 1
             if k - 1 in gone:
                 continue
         out.append(p)
-    return "\n".join(out), len(gone)
+    return "\n".join(out), mine["gone"], mine["earlier_ids"]
 
 
 def dedup_lines(docs: DataFrame, least: int = WORDS, counts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the later copies of common blocks deleted from the text; with ``counts`` also removed_lines (long) and
     earlier_ids (sorted list of the documents that hold what was removed)."""
-    blocks = find_blocks(texts(docs, id_col, text_col), least)
-    mark = "__dedup_blocks"
-    grouped = blocks.groupBy(F.col("doc_id").alias("__dedup_id")).agg(F.collect_list(F.struct("version", "blocks", "earlier_id")).alias(mark))
-    grouped = materialize(grouped, "cuts")
-    drop_stage(blocks)
-    joined = docs.join(grouped.hint("merge"), docs[id_col].cast("long") == grouped["__dedup_id"], "left").drop("__dedup_id")
+    gone = find_lines(texts(docs, id_col, text_col), least)
+    # a row for each version of an id, of which there are as many as the id has rows
+    grouped = materialize(gone.groupBy("doc_id").agg(F.collect_list(F.struct("version", "gone", "earlier_ids")).alias("found")), "cuts")
+    drop_stage(gone)
     place = docs.columns.index(text_col)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    joined = plain.join(grouped.hint("merge"), plain[f"c{docs.columns.index(id_col)}"].cast("long") == grouped["doc_id"], "left").drop("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = b.column(place)
-            if b.column(b.num_columns - 1).null_count < len(b) or counts:
+            text, cuts = b.column(place), b.column(b.num_columns - 1)
+            if cuts.null_count < len(b) or counts:
                 new = text.to_pylist()
                 removed, ids = [0] * len(new), [[] for _ in new]
-                for i, found in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                for i, found in enumerate(cuts.to_pylist()):
                     if found and new[i]:
-                        new[i], removed[i] = cut_lines(new[i], found)
-                        ids[i] = sorted({f["earlier_id"] for f in found}) if removed[i] else []
+                        new[i], lost, ids[i] = cut_lines(new[i], found)
+                        removed[i] = len(lost)
                 text = pa.array(new, pa.string())
             columns = [text if k == place else b.column(k) for k in range(b.num_columns - 1)]
             names = [f"c{k}" for k in range(len(columns))]
@@ -240,9 +267,8 @@ def dedup_lines(docs: DataFrame, least: int = WORDS, counts: bool = False, id_co
                 columns, names = [*columns, pa.array(removed, pa.int64()), pa.array(ids, pa.list_(pa.int64()))], [*names, "removed_lines", "earlier_ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    plain = joined.toDF(*(f"c{k}" for k in range(len(docs.columns))), mark)
     schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema)) + ", removed_lines long, earlier_ids array<long>" * counts
-    out = plain.mapInArrow(run, schema)
+    out = joined.mapInArrow(run, schema)
     return out.toDF(*docs.columns, *(["removed_lines", "earlier_ids"] if counts else []))
 
 
