@@ -7,41 +7,45 @@ the region under its weights, up to a rank at which about k ln k + 2 k of them a
 still empty), and its signature holds, for each of k coordinates, the dart of lowest rank. Two texts agree in a
 coordinate with the probability of their weighted Jaccard similarity.
 
-1. Texts of equal weighted sets are one node (their smallest id).
-2. Signatures are cut into ``BANDS`` bands of ``ROWS`` coordinates; nodes that share a band are in a bucket.
-3. In each bucket the nodes are split by a hash into ``HUBS`` parts and each part's most central node (the one whose buckets hold most
-   nodes) is a hub; each node is a candidate of the bucket's hubs, so a bucket of m nodes gives at most ``HUBS`` m pairs in this pass.
-4. Candidates whose signatures agree far enough are verified by the exact weighted Jaccard similarity of the full shingle
-   sets: first each node's ``BEST`` of highest agreement, then, once the verified links have made classes, every other
-   candidate pair whose two classes still differ.
-5. Verified links are joined to classes by passing on the smallest id, with all state in shared storage.
-6. Nodes of a bucket that are not its hubs and whose classes still differ are all compared with one another, in blocks of about
-   ``SIDE`` nodes against blocks, and verified as in 4. Then no bucket holds a pair of two classes that wasn't compared.
-
-Null and empty texts have no shingles and are one class; a text of one to four words is one shingle; rows of the same
-id and text are one document;
-rows without an id get the class of the rows with their shingles, and none if no such row has an id. Ids should name one
-text; of an id with several, only each own text's class counts. An empty table gives no rows. Extra columns are ignored.
+1. Texts of equal weighted sets are one node.
+2. Signatures are cut into ``BANDS`` bands of ``ROWS`` coordinates; nodes that share a band are in a bucket. Nodes of a bucket whose
+   signatures agree far enough are candidates.
+3. First, the nodes of a bucket are split by a hash into ``HUBS`` parts, each part's most central node (the one whose buckets hold
+   most nodes) is a hub, and each node is compared with the ``BEST`` hubs of its buckets that agree most. Verified links (exact
+   weighted Jaccard similarity of the full shingle sets) make classes, so most copies are joined at a cost linear in the buckets.
+4. Then every candidate pair of two classes is verified, unless other links have joined the two meanwhile. A bucket is cut into
+   blocks; blocks meet in cells, but two blocks of the bucket's largest class don't, and a pair is handled in the first bucket that
+   it shares. A cell gives at most a link for each class that it joins, never its pairs. The first pass over the cells has signatures
+   only and names the nodes that have a candidate; the second has the shingle sets of those.
+5. Links are joined to classes by passing on the smallest id, with all state in shared storage.
+
+So no two classes hold a candidate pair of the similarity; hubs only save work. A pair is no candidate if it shares no band or if its
+signatures agree in less than ``AGREE``: of two texts of similarity exactly 0.8 that happens with probability 2e-5.
+
+Null and empty texts have no shingles and are one class; a text of one to four words is one shingle; rows of the same id and text
+are one document, rows of one id and several texts are judged each by its text, and the smallest id of a class names it. Rows
+without an id get the class of the rows with their shingles, and none if no such row has an id; they join no texts to
+others. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_stage, materialize, mix, ranges, row_of, slices, span_hashes, spans, table, texts, windows
+from .common import copied, dealt, drop_stage, materialize, mix, places_of, ranges, row_of, slices, span_hashes, spans, table, texts, windows
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 DARTS = BANDS * ROWS
-HUBS, BEST = 3, 3
-#: Nodes in a block of a bucket, where all of them are compared.
-SIDE = 128
+HUBS, BEST = 2, 3
+#: Nodes, and shingles of the nodes, in a block of a bucket.
+NODES, SHINGLES = 512, 1 << 18
 #: Pairs are verified only if their signatures agree so far at least: 4.3 standard deviations under the threshold.
 AGREE = 0.66
 _U = 2.0**-53
@@ -116,11 +120,6 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
             yield i, j, *weighted_sets(*windows(span_hashes(data, starts, ends), bounds, WORDS))
 
 
-def binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """A binary column of the bytes of runs of 64-bit values."""
-    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * 8).astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
-
-
 def content_keys(text: np.ndarray, element: np.ndarray, weight: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """128 bits that name a weighted set: two sums of different hashes of its elements with their weights."""
     out = []
@@ -132,7 +131,8 @@ def content_keys(text: np.ndarray, element: np.ndarray, weight: np.ndarray, rows
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, c1, c2 (the content), bands (array of long), sketch (a byte of each coordinate); null bands for no shingles."""
+    """doc_id, t (hash of the text), c1, c2 (the content), size (shingles), bands (64-bit each) and sketch (a byte of each
+    coordinate); the last two are null for no shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,13 +143,29 @@ def signed(docs: DataFrame) -> DataFrame:
                 for r in range(ROWS):
                     band = mix(band * np.uint64(0xD6E8FEB86659FD93) + sig[:, r::ROWS])
                 band = mix(band + np.arange(1, BANDS + 1, dtype=np.uint64))
-                some = np.bincount(text, minlength=n) > 0
-                offsets = pa.array(np.append(0, np.cumsum(np.where(some, BANDS, 0))).astype(np.int32))
+                size = np.bincount(text, minlength=n)
                 c1, c2 = content_keys(text, element, weight, n)
-                sketch = pa.array([x.tobytes() for x in (sig >> np.uint64(20)).astype(np.uint8)], pa.binary())
-                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, n), pa.array(c1), pa.array(c2), pa.ListArray.from_arrays(offsets, pa.array(band[some].ravel().view(np.int64))), sketch], ["doc_id", "c1", "c2", "bands", "sketch"])
+                full = (size > 0).tolist()
+                columns = [pa.array([x.tobytes() if f else None for x, f in zip(rows, full, strict=True)], pa.binary()) for rows in (band, (sig >> np.uint64(20)).astype(np.uint8))]
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, n), b["t"].slice(i, n), pa.array(c1), pa.array(c2), pa.array(size.astype(np.int64)), *columns], ["doc_id", "t", "c1", "c2", "size", "bands", "sketch"])
+
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(run, "doc_id long, t long, c1 long, c2 long, size long, bands binary, sketch binary")
+
 
-    return docs.mapInArrow(run, "doc_id long, c1 long, c2 long, bands array<long>, sketch binary")
+def matrix(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Rows of equally long binary values."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def banded(nodes: DataFrame) -> DataFrame:
+    """band, node of every band of ``nodes`` (node, bands)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bands = np.frombuffer(b"".join(b["bands"].to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bands), b["node"].take(pa.array(np.repeat(np.arange(len(b)), BANDS), pa.int64()))], ["band", "node"])
+
+    return nodes.select("node", "bands").mapInArrow(run, "band long, node long")
 
 
 def shares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -158,19 +174,91 @@ def shares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def agreement(pairs: DataFrame) -> DataFrame:
-    """Adds agree: the share of equal bytes of sketches a and b, freed of chance."""
+    """a, b, agree of ``pairs`` (a, b, and their sketches sa and sb) that agree far enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
-                continue
-            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint8).reshape(len(b), -1) for c in ("sa", "sb"))
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(shares(x, y))], ["a", "b", "agree"])
+            if len(b):
+                share = shares(matrix(b["sa"], np.uint8), matrix(b["sb"], np.uint8))
+                yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(share)], ["a", "b", "agree"]).filter(pa.array(share >= AGREE))
+
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, agree double")
+
+
+def sets_of(docs: DataFrame) -> DataFrame:
+    """c1, c2, shingles (binary, 64-bit) and weights (binary, 32-bit) of ``docs`` (text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, text, element, weight in shingle_sets(b["text"]):
+                bounds = np.searchsorted(text, np.arange(j - i + 1))
+                raw, heavy, cut = element.tobytes(), weight.astype(np.uint32).tobytes(), bounds.tolist()
+                ends = list(zip(cut[:-1], cut[1:], strict=True))
+                columns = [pa.array([raw[8 * s : 8 * e] for s, e in ends], pa.binary()), pa.array([heavy[4 * s : 4 * e] for s, e in ends], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, content_keys(text, element, weight, j - i)), *columns], ["c1", "c2", "shingles", "weights"])
+
+    return docs.select("text").mapInArrow(run, "c1 long, c2 long, shingles binary, weights binary")
+
+
+def as_set(shingles: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted shingles, their weights, and the weights together."""
+    w = np.frombuffer(weights, np.uint32)
+    return np.frombuffer(shingles, np.uint64), w, int(w.sum(dtype=np.int64))
+
 
-    return pairs.mapInArrow(run, "a long, b long, agree double")
+def similarity(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarray, int], least: float = 0) -> float:
+    """Weighted Jaccard similarity of two sets; 0 if the weights alone show that it is under ``least``."""
+    if len(a[0]) > len(b[0]):
+        a, b = b, a
+    if min(a[2], b[2]) < least * max(a[2], b[2]) or not len(a[0]):
+        return 0.0
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    has = b[0][at] == a[0]
+    both = int(np.minimum(a[1][has], b[1][at[has]]).sum(dtype=np.int64))
+    return both / (a[2] + b[2] - both)
 
 
-def cell_pairs(cell: np.ndarray, side: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose sets are at least ``threshold`` alike. A task reads the set of each b once and then those of
+    its a one by one; a b of many pairs is dealt to several places."""
+    places = places_of(pairs, ["b"])
+    asks = dealt(pairs.select("a", "b"), places, ["b"], "a").join(sets.withColumnRenamed("node", "a").hint("merge"), "a")
+    own = copied(pairs.select("b").distinct(), places, ["b"]).join(sets.withColumnRenamed("node", "b").hint("merge"), "b")
+    rows = asks.select("b", "place", "a", "shingles", "weights").union(own.select("b", "place", F.lit(None).cast("long").alias("a"), "shingles", "weights"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = ((), (), 0)
+        for batch in batches:
+            found = []
+            for k, (a, shingles, weights) in enumerate(zip(batch["a"].to_pylist(), batch["shingles"], batch["weights"], strict=True)):
+                one = as_set(shingles.as_py(), weights.as_py())
+                if a is None:
+                    own = one
+                elif similarity(one, own, threshold) >= threshold:
+                    found.append(k)
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).take(pa.array(found, pa.int64()))
+
+    return rows.repartition("b", "place").sortWithinPartitions("b", "place", F.col("a").asc_nulls_first()).mapInArrow(run, "a long, b long")
+
+
+def cells(rows: DataFrame, weight: Column, most: int) -> DataFrame:
+    """``rows`` (band, node, class and more) of buckets of two classes or more, once for each cell: with band, one and two (the
+    blocks that meet) and side (0 or 1; 2 where a block meets itself). Blocks hold about ``most`` of ``weight``; those of
+    the largest class of a bucket come first and meet no other of that class."""
+    held = rows.groupBy("band", "class").agg(F.count("*").alias("n"), F.sum(weight).alias("w"))
+    stats = held.groupBy("band").agg(F.max(F.struct("n", "class", "w")).alias("top"), F.sum("w").alias("w"), F.count("*").alias("classes")).where("classes > 1")
+    first, others = F.ceil(F.col("top.w") / most), F.ceil((F.col("w") - F.col("top.w")) / most)
+    stats = materialize(stats.select("band", F.col("top.class").alias("large"), first.cast("int").alias("first"), others.cast("int").alias("others")), "stats")
+    mine = F.col("class") == F.col("large")
+    own = F.when(mine, F.pmod(F.xxhash64("node", "band"), "first")).otherwise(F.col("first") + F.pmod(F.xxhash64("node", "band"), "others")).cast("int")
+    meets = F.sequence(F.when(mine, F.col("first")).otherwise(F.lit(0)), F.col("first") + F.col("others") - 1)
+    out = rows.join(stats.hint("merge"), "band").withColumn("own", own).withColumn("other", F.explode(meets))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    out = out.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other")).withColumn("side", side)
+    return out.drop("own", "other", "large", "first", "others")
+
+
+def cell_pairs(cell: np.ndarray, side: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places (at most about ``most`` at once) of rows that are sorted by cell and side: each row of side 0 with each
     of side 1 of its cell, or with each later one in a cell of one block, whose rows have side 2."""
     edge = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
@@ -188,20 +276,22 @@ def cell_pairs(cell: np.ndarray, side: np.ndarray, most: int = 1 << 17) -> Itera
         i = j
 
 
-def across(rest: DataFrame) -> DataFrame:
-    """a, b, agree: all pairs of nodes of different classes in a bucket whose signatures agree far enough. rest: band, node,
-    class, sketch, blocks (of the bucket). A task holds one pair of blocks at a time, so a large bucket is dealt over many."""
+def candidate_pairs(t: pa.Table, cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(place, place, agreement) of pairs of two classes in a cell that agree far enough, in the first band that they share."""
+    of, band = t["class"].to_numpy(), t["band"].to_numpy()
+    sketch, bands = matrix(t["sketch"], np.uint8), matrix(t["bands"], np.int64)
+    for x, y in cell_pairs(cell, t["side"].to_numpy()):
+        apart = of[x] != of[y]
+        x, y = x[apart], y[apart]
+        share = shares(sketch[x], sketch[y])
+        near = share >= AGREE
+        x, y, share = x[near], y[near], share[near]
+        here = bands[x, (bands[x] == bands[y]).argmax(1)] == band[x]
+        yield x[here], y[here], share[here]
 
-    def pairs_of(t: pa.Table, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
-        node, of, side = (t[c].to_numpy() for c in ("node", "class", "side"))
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(t), -1)
-        for x, y in cell_pairs(cell, side):
-            apart = of[x] != of[y]
-            x, y = x[apart], y[apart]
-            share = shares(sketch[x], sketch[y])
-            near = share >= AGREE
-            x, y = node[x[near]], node[y[near]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(share[near])], ["a", "b", "agree"])
+
+def by_cell(dealt_rows: DataFrame, handle: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``handle`` gives for whole cells of cells(); it gets a few of them at once, with a number for each row's cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
@@ -214,50 +304,53 @@ def across(rest: DataFrame) -> DataFrame:
             new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
             last, cell = int(np.flatnonzero(new)[-1]), np.cumsum(new)
             if last:
-                yield from pairs_of(t.slice(0, last), cell[:last])
+                yield from handle(t.slice(0, last), cell[:last])
             left = t.slice(last)
         if left is not None:
-            yield from pairs_of(left, np.zeros(len(left), np.int64))
+            yield from handle(left, np.zeros(len(left), np.int64))
 
-    own = rest.withColumn("own", F.pmod(F.xxhash64("node", "band"), "blocks"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    dealt = dealt.select("band", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), side.alias("side"), "node", "class", "sketch")
-    cells = dealt.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two", "side")
-    return cells.mapInArrow(run, "a long, b long, agree double").distinct()
+    return dealt_rows.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two", "side").mapInArrow(run, schema)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """node, shingles and weights (binary, 64-bit) of ``docs`` (node, text)."""
+def live(t: pa.Table, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """band, node of the rows that have a candidate in their cell."""
+    has = np.zeros(len(t), bool)
+    for x, y, _ in candidate_pairs(t, cell):
+        has[x] = has[y] = True
+    yield from t.select(["band", "node"]).filter(pa.array(has)).to_batches()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, j, text, element, weight in shingle_sets(b["text"]):
-                bounds = np.searchsorted(text, np.arange(j - i + 1))
-                yield pa.RecordBatch.from_arrays([b["node"].slice(i, j - i), binary(element, bounds), binary(weight.astype(np.int64), bounds)], ["node", "shingles", "weights"])
-
-    return docs.mapInArrow(run, "node long, shingles binary, weights binary")
 
+def class_links(threshold: float) -> Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]]:
+    def run(t: pa.Table, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """a, b: pairs of classes that a verified pair joins; at most one fewer than there are classes."""
+        of = t["class"].to_numpy()
+        over: dict[int, int] = {}
 
-def similarity(ka: np.ndarray, wa: np.ndarray, kb: np.ndarray, wb: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two sets with sorted keys."""
-    _, at_a, at_b = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
-    both = int(np.minimum(wa[at_a], wb[at_b]).sum())
-    return both / max(1, int(wa.sum() + wb.sum()) - both)
+        def find(c: int) -> int:
+            while (up := over.get(c, c)) != c:
+                over[c] = over.get(up, up)
+                c = up
+            return c
 
+        sets: dict[int, tuple] = {}
+        shingles, weights = t["shingles"], t["weights"]
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets are at least ``threshold`` alike."""
+        def set_at(k: int) -> tuple:
+            if k not in sets:
+                sets[k] = as_set(shingles[k].as_py(), weights[k].as_py())
+            return sets[k]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [[np.frombuffer(x, t) for x in batch[c].to_pylist()] for c, t in (("ka", np.uint64), ("wa", np.int64), ("kb", np.uint64), ("wb", np.int64))]
-            keep = pa.array([similarity(*x) >= threshold for x in zip(*columns, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(keep)
+        out = []
+        for x, y, share in candidate_pairs(t, cell):
+            order = np.argsort(-share, kind="stable")
+            for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+                a, b = find(int(of[i])), find(int(of[j]))
+                if a != b and similarity(set_at(i), set_at(j), threshold) >= threshold:
+                    over[max(a, b)] = min(a, b)
+                    out.append((a, b))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
-    of_a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("ka"), F.col("weights").alias("wa"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("kb"), F.col("weights").alias("wb"))
-    return pairs.select("a", "b").join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b").select("a", "b", "ka", "wa", "kb", "wb").mapInArrow(run, "a long, b long")
+    return run
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -276,90 +369,97 @@ def components(links: DataFrame) -> DataFrame:
         state = new
         if not moved:
             drop_stage(both)
-            return state.select("node", "class")
+            out = state.select("node", "class")
+            out._tallyloom_path = state._tallyloom_path
+            return out
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (smallest id of the class), verified_links (the links of the document that were verified on the way to the
-    classes; pairs within a class needn't be) of every row of ``docs`` (doc_id, text)."""
+def judged(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, t (hash of the text), class_id of every row of ``docs`` (doc_id, text)."""
     base = materialize(signed(docs), "signed")
-    nodes = base.groupBy("c1", "c2").agg(F.min("doc_id").alias("node"))
-    nodes = materialize(nodes, "nodes")
-    named = base.where("doc_id is not null").join(nodes.where("node is not null").withColumnRenamed("node", "doc_id").hint("merge"), ["c1", "c2", "doc_id"]).where(F.size("bands") > 0)
-    banded = named.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band")).distinct()
-    banded = materialize(banded, "bands")
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialize(banded.join(materialize(shared, "shared").hint("merge"), "band"), "members")
+    by_content = base.groupBy("c1", "c2").agg(F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    # the smallest id names a node; of several contents of one id, all but the first are named by their hash
+    same = Window.partitionBy("low").orderBy("c1", "c2")
+    name = F.when(F.row_number().over(same) == 1, F.col("low")).otherwise(F.xxhash64("c1", "c2"))
+    contents = materialize(by_content.where("low is not null").withColumn("node", name), "contents")
+    nodes = contents.where("bands is not null")
+    every = materialize(banded(nodes), "bands")
+    shared = every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(every.join(shared.hint("merge"), "band"), "members")
     central = materialize(members.groupBy("node").agg(F.sum("n").alias("degree")), "central")
-    ranked = members.join(central.hint("merge"), "node").select("band", "node", F.struct("degree", "node").alias("place"), F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("part"))
-    hubs = ranked.groupBy("band", "part").agg(F.max("place").alias("hub"))
-    hubs = materialize(hubs.select("band", F.col("hub.node").alias("b"), F.col("hub.degree").alias("hub_degree")), "hubs")
-    pairs = members.join(hubs.hint("merge"), "band").where("node <> b").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    about = materialize(nodes.join(central.select("node").hint("merge"), "node", "left_semi").select("node", "low", "c1", "c2", "size", "bands", "sketch"), "about")
+
+    # 3: each node with hubs
+    ranked = members.join(central.hint("merge"), "node").select("band", F.struct("degree", "node").alias("place"), F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("part"))
+    hubs = materialize(ranked.groupBy("band", "part").agg(F.max("place").alias("hub")).select("band", F.col("hub.node").alias("b")), "hubs")
+    pairs = members.join(hubs.hint("merge"), "band").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     pairs = materialize(pairs, "pairs")
-    sketches = materialize(named.join(central.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"]), "sketches")
-    sketched = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")).hint("merge"), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")).hint("merge"), "b")
-    agreed = materialize(agreement(sketched.select("a", "b", "sa", "sb")).where(F.col("agree") >= AGREE), "agreed")
-    # the less central end of a pair may choose it, so no hub has to choose among all its pairs
-    of_a = central.select(F.col("node").alias("a"), F.struct("degree", "node").alias("place_a"))
-    of_b = central.select(F.col("node").alias("b"), F.struct("degree", "node").alias("place_b"))
-    placed = agreed.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b")
-    up = placed.withColumn("end", F.least("place_a", "place_b")["node"]).withColumn("other", F.greatest("place_a", "place_b"))
-    order = Window.partitionBy("end").orderBy(F.desc("agree"), F.desc("other"))
-    chosen = materialize(up.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BEST).select("a", "b").distinct(), "chosen")
-    named_once = nodes.where("node is not null").select(F.col("node").alias("doc_id")).distinct()
-
-    def sets_in(asked: DataFrame) -> DataFrame:
-        ends = materialize(asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct(), "asked")
-        first = docs.join(ends.hint("merge"), "doc_id", "left_semi").join(named_once.hint("merge"), "doc_id", "left_semi")
-        return materialize(sets_of(first.select(F.col("doc_id").alias("node"), "text")).dropDuplicates(["node"]), "sets")
-
-    def classes_now(classes: DataFrame) -> DataFrame:
-        return materialize(central.select("node").join(classes.hint("merge"), "node", "left").select("node", F.coalesce("class", "node").alias("class")), "of")
-
-    def still_apart(pairs: DataFrame, of: DataFrame) -> DataFrame:
-        return pairs.select("a", "b").join(of.toDF("a", "class_a").hint("merge"), "a").join(of.toDF("b", "class_b").hint("merge"), "b").where("class_a <> class_b").select("a", "b")
-
-    sets = sets_in(agreed)
+    places = places_of(pairs, ["b"])
+    of_b = copied(pairs.select("b").distinct(), places, ["b"]).join(about.select(F.col("node").alias("b"), F.col("sketch").alias("sb")).hint("merge"), "b")
+    of_a = dealt(pairs, places, ["b"], "a").join(about.select(F.col("node").alias("a"), F.col("sketch").alias("sa")).hint("merge"), "a")
+    order = Window.partitionBy("a").orderBy(F.desc("agree"), "b")
+    best = agreement(of_a.join(of_b.hint("merge"), ["b", "place"])).withColumn("k", F.row_number().over(order)).where(F.col("k") <= BEST)
+    chosen = best.groupBy(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).agg(F.max(F.struct("agree", "a", "b")).alias("pair"))
+    chosen = materialize(chosen.select("pair.a", "pair.b"), "chosen")
+
+    def sets_in(wanted: DataFrame) -> DataFrame:
+        """node, shingles, weights of ``wanted`` (node), from one row of each content."""
+        asked = materialize(about.join(wanted.hint("merge"), "node", "left_semi").select("node", "low", "c1", "c2"), "asked")
+        rows = docs.join(asked.select(F.col("low").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+        found = sets_of(rows).join(asked.select("node", "c1", "c2").hint("merge"), ["c1", "c2"]).dropDuplicates(["c1", "c2", "node"])
+        found = materialize(found.select("node", "shingles", "weights"), "sets")
+        drop_stage(asked)
+        return found
+
+    sets = sets_in(chosen.select(F.col("a").alias("node")).union(chosen.select("b")).distinct())
     links = materialize(verified(chosen, sets, threshold), "verified")
-    classes = components(links)
-    of = classes_now(classes)
-    more = materialize(verified(still_apart(agreed, of).join(chosen, ["a", "b"], "left_anti"), sets, threshold), "more")
-    links = links.union(more)
-    classes = components(links)
-    # what no hub has joined: the other nodes of each bucket that holds several classes
-    of = classes_now(classes)
-    rest = members.select("band", "node").join(hubs.select("band", F.col("b").alias("node")).hint("merge"), ["band", "node"], "left_anti").join(of.hint("merge"), "node")
-    rest = materialize(rest, "rest")
-    mixed = rest.groupBy("band").agg(F.count("*").alias("m"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    mixed = materialize(mixed.select("band", F.ceil(F.col("m") / SIDE).cast("long").alias("blocks")), "mixed")
-    rest_sketched = rest.join(mixed.hint("merge"), "band").join(sketches.hint("merge"), "node")
-    unmet = materialize(across(rest_sketched).join(agreed.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), "unmet")
-    if unmet.limit(1).count():
-        more_sets = sets_in(unmet)
-        order = Window.partitionBy("b").orderBy(F.desc("agree"), F.desc("a"))
-        best = materialize(unmet.withColumn("k", F.row_number().over(order)).where(F.col("k") <= BEST).select("a", "b"), "best")
-        links = links.union(materialize(verified(best, more_sets, threshold), "across"))
-        of_best = classes_now(components(links))
-        left = materialize(still_apart(unmet, of_best).join(best, ["a", "b"], "left_anti"), "left")
-        links = links.union(materialize(verified(left, more_sets, threshold), "across"))
-        classes = components(links)
-        drop_stage(more_sets, best, left, of_best)
-    linked = links.groupBy("a").count().union(links.groupBy("b").count()).toDF("node", "n").groupBy("node").agg(F.sum("n").alias("verified_links"))
-    known = nodes.join(classes.hint("merge"), "node", "left").join(linked.hint("merge"), "node", "left")
-    known = materialize(known.select("c1", "c2", F.coalesce("class", "node").alias("class_id"), F.coalesce("verified_links", F.lit(0)).cast("long").alias("verified_links")), "known")
-    drop_stage(banded, members, hubs, pairs, sketches, agreed, chosen, sets, rest, mixed, unmet)
-    return base.select("doc_id", "c1", "c2").join(known.hint("merge"), ["c1", "c2"]).select("doc_id", "class_id", "verified_links")
+    first = components(links)
+    drop_stage(every, central, hubs, pairs, places, chosen, sets, links)
+
+    # 4: what is still apart
+    of = materialize(about.select("node").join(first.hint("merge"), "node", "left").select("node", F.coalesce("class", "node").alias("class")), "of")
+    rows = members.select("band", "node").join(of.hint("merge"), "node")
+    signs = about.select("node", "bands", "sketch", "size")
+    mixed = rows.join(rows.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band").hint("merge"), "band")
+    mixed = materialize(mixed.join(signs.hint("merge"), "node"), "mixed")
+    open_ = materialize(by_cell(cells(mixed, F.lit(1), NODES), live, "band long, node long").distinct(), "live")
+    sets = sets_in(open_.select("node").distinct())
+    asked = materialize(mixed.join(open_.hint("merge"), ["band", "node"]).join(sets.hint("merge"), "node"), "open")
+    joined = materialize(by_cell(cells(asked, F.col("size"), SHINGLES), class_links(threshold), "a long, b long"), "joined")
+    second = components(joined)
+    final = of.join(second.select(F.col("node").alias("class"), F.col("class").alias("to")).hint("merge"), "class", "left").select("node", F.coalesce("to", "class").alias("class"))
+    final = materialize(final, "final")
+    drop_stage(of, members, mixed, open_, sets, asked, joined, first, second)
+
+    names = final.join(about.select("node", "low").hint("merge"), "node").groupBy("class").agg(F.min("low").alias("class_id"))
+    named = final.join(names.hint("merge"), "class").select("node", "class_id")
+    known = contents.join(named.hint("merge"), "node", "left").select("c1", "c2", F.coalesce("class_id", "low").alias("class_id"))
+    known = materialize(known, "known")
+    places = places_of(base, ["c1", "c2"])
+    rows = dealt(base.select("doc_id", "t", "c1", "c2"), places, ["c1", "c2"], "doc_id")
+    out = rows.join(copied(known, places, ["c1", "c2"]).hint("merge"), ["c1", "c2", "place"], "left").select("doc_id", "t", "class_id")
+    out = materialize(out, "classes")
+    drop_stage(base, contents, about, final, known, places)
+    return out
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id (smallest id of the class) of every row of ``docs`` (doc_id, text)."""
+    return judged(docs, threshold).select("doc_id", "class_id")
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id, with all its columns. Rows without an id stay."""
-    gone = near_classes(texts(docs), threshold).where("doc_id <> class_id").select("doc_id").distinct()
-    gone = materialize(gone, "gone")
-    out = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if again:  # repeated rows of one document
-        out = out.where("doc_id is null").unionByName(out.where("doc_id is not null").dropDuplicates(["doc_id"]))
-    return out
+    """``docs`` with one row of each class, with all its columns: of the smallest id, if that has several texts of the class the one
+    of the smallest hash, and of repeated rows the first by the hash of all columns. Rows without an id stay."""
+    first = judged(texts(docs), threshold).where("doc_id = class_id").groupBy("class_id").agg(F.min("t").alias("t"))
+    first = materialize(first.select(F.col("class_id").alias("id"), "t"), "first")
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    doc_id, text = (plain[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
+    keyed = plain.withColumn("id", doc_id.cast("long")).withColumn("t", F.xxhash64(F.coalesce(text, F.lit(""))))
+    kept = keyed.where("id is not null").join(first.hint("merge"), ["id", "t"], "left_semi")
+    order = Window.partitionBy("id", "t").orderBy(F.xxhash64(*(c for c, kind in plain.dtypes if "map" not in kind)))
+    kept = kept.withColumn("k", F.row_number().over(order)).where("k = 1").select(*plain.columns)
+    return kept.union(keyed.where("id is null").select(*plain.columns)).toDF(*docs.columns)
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
