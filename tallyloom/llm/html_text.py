@@ -6,8 +6,10 @@ features by label and for labels side by side, are trained on the labelled pages
 page's best labels together. Blocks labelled as article are joined by one space.
 
 White space in a block becomes one space; character references are decoded; scripts, styles, comments and markup are
-never text. A null or empty page, or one without an article block, gives an empty text; broken and unclosed tags are
-read as far as they go; repeated rows stay; an empty table gives no rows. Extra columns are ignored.
+never text. A page is read once from left to right, in time that grows with its length, however deep or broken it is: a quote
+that never ends counts as no quote; a tag, comment or script that never ends takes the rest of the page; end tags without an
+open element are ignored. A null or empty page, or one without an article block, gives an empty text; repeated rows stay; an
+empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import html as html_lib
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,23 +31,72 @@ from .common import table
 # Fixed values of HTML: elements that stand in a line of text, have no content, or hold no text to read.
 INLINE = set("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|title"
+RAW = {t: re.compile(f"</{t}(?![a-z0-9])", re.I) for t in "script style noscript template svg math iframe object textarea title".split()}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|$)|<[!?][^>]*(?:>|$)"
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>|(?P<text>[^<]+|<)""",
-    re.S | re.I,
-)
+NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+MARK = re.compile(r">|=\s*")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 WORD = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
 
 
-def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
-    """(text, features) of each block of a page, in order."""
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", text, ""), ("open", tag, attributes) and ("close", tag, "") of a page, in order."""
+    n, i = len(page), 0
+    unclosed = set()  # quotes that don't occur any more
+    while i < n:
+        if page[i] != "<":
+            j = page.find("<", i)
+            j = n if j < 0 else j
+            yield "text", page[i:j], ""
+            i = j
+            continue
+        if page.startswith("<!--", i):
+            j = page.find("-->", i + 4)
+            i = n if j < 0 else j + 3
+            continue
+        if page[i + 1 : i + 2] in ("!", "?"):
+            j = page.find(">", i)
+            i = n if j < 0 else j + 1
+            continue
+        m = NAME.match(page, i + 1)
+        if m is None:
+            yield "text", "<", ""
+            i += 1
+            continue
+        at = m.end()
+        while True:
+            mark = MARK.search(page, at)
+            if mark is None:
+                return
+            at = mark.end()
+            if mark[0] == ">":
+                break
+            if (quote := page[at : at + 1]) in ("'", '"') and quote not in unclosed:
+                j = page.find(quote, at + 1)
+                if j < 0:
+                    unclosed.add(quote)
+                else:
+                    at = j + 1
+        tag = m[2].lower()
+        if m[1]:
+            yield "close", tag, ""
+        elif tag in RAW:
+            end = RAW[tag].search(page, at)
+            at = end.start() if end else n
+        else:
+            yield "open", tag, page[m.end() : at - 1]
+        i = at
+
+
+def leaf_blocks(page: str, known: set[str] | None = None) -> list[tuple[str, list[str]]]:
+    """(text, features) of each block of a page, in order. known: the only features of ancestors that count; a page may have
+    any number of others."""
     out: list[tuple[str, list[str]]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # block-level elements that are open
+    stack: list[tuple[str, list[str]]] = []  # block-level elements that are open, and their features
+    open_tags: Counter = Counter()
+    above: dict[str, int] = {}  # how many open elements have each feature
     pieces: list[str] = []
     linked = 0
     in_link = False
@@ -54,50 +106,53 @@ def leaf_blocks(page: str) -> list[tuple[str, list[str]]]:
         if pieces:
             text = SPACES.sub(" ", html_lib.unescape("".join(pieces))).strip()
             if text:
-                out.append((text, features(text, stack, linked)))
+                out.append((text, features(text, above, stack[-1][0] if stack else "", linked)))
             pieces.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
-        if (text := m["text"]) is not None:
-            pieces.append(text)
+    def pop() -> str:
+        tag, own = stack.pop()
+        open_tags[tag] -= 1
+        for f in own:
+            above[f] -= 1
+            if not above[f]:
+                del above[f]
+        return tag
+
+    for kind, tag, attributes in tokens(page):
+        if kind == "text":
+            pieces.append(tag)
             if in_link:
-                linked += len(text)
-            continue
-        tag = m["tag"]
-        if tag is None:
+                linked += len(tag)
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = not m["end"]
+                in_link = kind == "open"
             continue
         flush()
         in_link = False
-        if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if kind == "close":
+            while open_tags[tag] and pop() != tag:
+                pass
             continue
         if tag in VOID:
             continue
-        if stack and (stack[-1][0] == "p" or stack[-1][0] in CLOSES.get(tag, ())):
-            stack.pop()
-        named = tuple(w for g in NAMES.findall(m["attrs"]) for w in WORD.findall("".join(g).lower()))
-        if len(stack) < 200:
-            stack.append((tag, named))
+        while stack and (stack[-1][0] == "p" or stack[-1][0] in CLOSES.get(tag, ())):
+            pop()
+        own = ["in " + tag, *("named " + w for g in NAMES.findall(attributes) for w in WORD.findall("".join(g).lower()))]
+        own = [f for f in own if known is None or f in known]
+        for f in own:
+            above[f] = above.get(f, 0) + 1
+        stack.append((tag, own))
+        open_tags[tag] += 1
     flush()
     return out
 
 
-def features(text: str, stack: list[tuple[str, tuple[str, ...]]], linked: int) -> list[str]:
-    out = ["bias"]
-    for tag, named in stack:
-        out.append("in " + tag)
-        out += ["named " + w for w in named]
-    if stack:
-        out.append("leaf " + stack[-1][0])
+def features(text: str, above: dict[str, int], leaf: str, linked: int) -> list[str]:
+    out = ["bias", *above]
+    if leaf:
+        out.append("leaf " + leaf)
     n = text.count(" ") + 1
     out.append(f"words {min(n.bit_length(), 7)}")
     out.append(f"linked {min(3, 4 * linked // max(1, len(text)))}")
@@ -107,7 +162,7 @@ def features(text: str, stack: list[tuple[str, tuple[str, ...]]], linked: int) -
         out.append("sign")
     if sum(map(str.isdigit, text)) * 5 > len(text):
         out.append("digits")
-    return list(dict.fromkeys(out))
+    return out
 
 
 class Field:
@@ -115,6 +170,7 @@ class Field:
 
     def __init__(self, weights: dict[str, float], begin: np.ndarray, step: np.ndarray):
         self.weights, self.begin, self.step = weights, begin, step
+        self.known = set(weights)
 
     def decode(self, blocks: list[tuple[str, list[str]]]) -> list[int]:
         """The most likely labels together (Viterbi)."""
@@ -282,7 +338,7 @@ def trained_field() -> Field:
 
 
 def main_text(page: str, field: Field) -> str:
-    blocks = leaf_blocks(page)
+    blocks = leaf_blocks(page, field.known)
     return " ".join(text for (text, _), label in zip(blocks, field.decode(blocks), strict=True) if label)
 
 
