@@ -7,13 +7,19 @@ and items get one-permutation MinHash signatures of ``BINS`` bins; a window and
 candidates, and a candidate pair counts if the document holds at least ``threshold`` of the item's different shingles
 exactly (compared as 64-bit hashes of five lower-cased words).
 
-Items go to the tasks in blocks of at most ``ITEMS`` rows, so a benchmark of any size takes more passes, not more
-memory. Null and empty texts, on either side, match nothing; a text of fewer than five words is one shingle; repeated
-rows give repeated pairs of documents and one of items; empty tables give no rows. Extra columns are ignored.
+Items of at most ``FEW`` shingles have too few bins to be found for sure: of n shingles of which m must stand in a document,
+n - m + 1 are looked up themselves, so that one of them is there if the item is.
+
+Items are indexed in blocks of at most ``ITEMS`` rows, which the driver makes and writes to shared storage one at a time; a task
+holds one block at a time too, so a benchmark of any size takes more searches of each batch of documents, not more memory or more
+scans. Null and empty texts, on either side, match nothing; a text of fewer than five words is one shingle; repeated rows give
+repeated pairs of documents and one of items; empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import os
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, row_of, slices, span_hashes, spans, table, texts, windows
+from .common import file_system, mix, ranges, row_of, shared_dir, slices, span_hashes, spans, table, texts, windows
 
-WORDS, THRESHOLD, BINS, SMALLEST = 5, 0.8, 128, 16
+WORDS, THRESHOLD, BINS, SMALLEST, FEW = 5, 0.8, 128, 16, 8
 #: Most items, and most bytes of their texts, in a pass over the documents.
 ITEMS, ITEM_BYTES = 20_000, 32 << 20
 _NONE = np.uint64(2**64 - 1)
@@ -49,7 +55,8 @@ def signature(hashes: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
 class Index:
     """Signatures of a block of items by size, and their shingles."""
 
-    def __init__(self, ids: list[int], texts_: list[str]):
+    def __init__(self, ids: list[int], texts_: list[str], threshold: float):
+        self.threshold = threshold
         sets = {}
         for i, j, hashes, bounds in shingles(pa.array(texts_, pa.string())):
             for k in range(i, j):
@@ -57,7 +64,12 @@ class Index:
                     sets.setdefault(tuple(own.tolist()), []).append(ids[k])
         self.items = [(sorted(set(v)), np.array(k, np.uint64)) for k, v in sorted(sets.items(), key=lambda x: x[1])]
         by_size: dict[int, list[int]] = {}
+        looked: list[tuple[int, int]] = []
         for n, (_, own) in enumerate(self.items):
+            if len(own) <= FEW:
+                must = int(np.ceil(threshold * len(own) - 1e-9))
+                looked += [(h, n) for h in own[: len(own) - max(must, 1) + 1].tolist()]
+                continue
             by_size.setdefault(max(SMALLEST, 1 << (len(own) - 1).bit_length()), []).append(n)
         self.sizes = {}
         for size, members in sorted(by_size.items()):
@@ -68,6 +80,8 @@ class Index:
             flags = np.zeros(1 << 16, bool)
             flags[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
             self.sizes[size] = (keys[order], np.array(members)[at[order]], flags)
+        looked.sort()
+        self.few = np.array([h for h, _ in looked], np.uint64), np.array([n for _, n in looked], np.int64)
 
     def candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Rows of (text, item) of windows and items that agree in a bin, each pair once."""
@@ -75,23 +89,26 @@ class Index:
         place = np.arange(len(hashes)) - bounds[text]
         count = np.diff(bounds)
         found = []
+
+        def add(value: np.ndarray, owner: np.ndarray, keys: np.ndarray, item: np.ndarray) -> None:
+            low, high = np.searchsorted(keys, value, "left"), np.searchsorted(keys, value, "right")
+            n = high - low
+            if n.any():
+                found.append(np.stack([np.repeat(owner, n), item[ranges(low, n)]], 1))
+
+        if len(self.few[0]):
+            add(hashes, text, *self.few)
         for size, (keys, item, flags) in self.sizes.items():
             for phase in (0, size):
                 per = np.where(count > 0, (count + phase - 1) // (2 * size) + 1, 0)
                 base = np.cumsum(per) - per
                 window = base[text] + (place + phase) // (2 * size)
-                mins = signature(hashes, window, int(per.sum()))
-                hit = np.flatnonzero(flags[(mins.ravel() & np.uint64(0xFFFF)).astype(np.int64)])
-                value = mins.ravel()[hit]
-                low, high = np.searchsorted(keys, value, "left"), np.searchsorted(keys, value, "right")
-                hit, low, n = hit[(high > low) & (value != _NONE)], low[(high > low) & (value != _NONE)], (high - low)[(high > low) & (value != _NONE)]
-                if len(hit):
-                    owner = np.repeat(np.arange(len(per)), per)[hit // BINS]
-                    which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    found.append(np.stack([np.repeat(owner, n), item[which]], 1))
+                mins = signature(hashes, window, int(per.sum())).ravel()
+                hit = np.flatnonzero(flags[(mins & np.uint64(0xFFFF)).astype(np.int64)] & (mins != _NONE))
+                add(mins[hit], np.repeat(np.arange(len(per)), per)[hit // BINS], keys, item)
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
-    def search(self, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, float]]:
+    def search(self, column: pa.Array) -> Iterator[tuple[int, int, float]]:
         """(row, item, containment) of every exact hit."""
         for i, _, hashes, bounds in shingles(column):
             text_before, own = -1, None
@@ -101,61 +118,73 @@ class Index:
                 ids, wanted = self.items[n]
                 at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
                 share = float((own[at] == wanted).sum()) / len(wanted)
-                if share >= threshold:
+                if share >= self.threshold:
                     for item in ids:
                         yield i + text, item, share
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """The items in blocks of bounded size."""
+def write_indexes(benchmark: DataFrame, threshold: float) -> list[str]:
+    """The items in blocks of bounded size, each written to the shared folder; the URIs."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     sizes = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n, size = sizes["n"], sizes["b"] or 0
     blocks = 1 if n <= ITEMS and size <= ITEM_BYTES else 2 * max(-(-n // ITEMS), -(-size // ITEM_BYTES))
+    to, out = shared_dir(benchmark.sparkSession, "items"), []
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        yield Index([r["item_id"] for r in rows], [r["text"] for r in rows])
+        fs, path = file_system(f"{to}/{k}.index")
+        fs.create_dir(os.path.dirname(path), recursive=True)
+        with fs.open_output_stream(path) as stream:
+            stream.write(pickle.dumps(Index([r["item_id"] for r in rows], [r["text"] for r in rows], threshold)))
+        out.append(f"{to}/{k}.index")
+    return out
+
+
+_loaded: dict[str, Index] = {}
+
+
+def load_index(uri: str) -> Index:
+    """A worker keeps the block that it used last."""
+    if uri not in _loaded:
+        _loaded.clear()
+        fs, path = file_system(uri)
+        with fs.open_input_stream(path) as stream:
+            _loaded[uri] = pickle.loads(stream.read())
+    return _loaded[uri]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, containment of every pair at or over ``threshold``. docs: doc_id, text; benchmark: item_id, text."""
+    blocks = write_indexes(benchmark, threshold)
 
-    def pass_over(index: Index) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                rows = list(index.search(b["text"], threshold))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for uri in blocks:
+                rows = list(load_index(uri).search(b["text"]))
                 yield pa.RecordBatch.from_arrays(
                     [b["doc_id"].take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
                     ["doc_id", "item_id", "containment"],
                 )
 
-        return docs.mapInArrow(run, "doc_id long, item_id long, containment double")
-
-    out = None
-    for index in indexes(benchmark):
-        part = pass_over(index)
-        out = part if out is None else out.union(part)
-    return out
+    return docs.mapInArrow(run, "doc_id long, item_id long, containment double")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns; judged where they stand, so no text is shuffled."""
+    blocks = write_indexes(benchmark, threshold)
     place = docs.columns.index(text_col)
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
 
-    def pass_over(rows: DataFrame, index: Index) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                text = b.column(place)
-                keep = np.ones(len(b), bool)
-                keep[[r for r, _, _ in index.search(text.fill_null("") if text.null_count else text, threshold)]] = False
-                yield b.filter(pa.array(keep))
-
-        return rows.mapInArrow(run, rows.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = b.column(place)
+            text = text.fill_null("") if text.null_count else text
+            keep = np.ones(len(b), bool)
+            for uri in blocks:
+                keep[[r for r, _, _ in load_index(uri).search(text)]] = False
+            yield b.filter(pa.array(keep))
 
-    for index in indexes(benchmark):
-        plain = pass_over(plain, index)
-    return plain.toDF(*docs.columns)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
