@@ -1,9 +1,12 @@
 """Operator 9: language identification by cross-parsing entropy.
 
-For each language a suffix automaton is built over labelled text (a bounded, documented sample: ``DOCS`` documents and
-``CHARS`` characters a language). A text is parsed against it from left to right into longest matches, in blocks of
-``BLOCK`` characters; the language that needs the fewest phrases, weighted by the bits that name a place in its
-reference, wins. Letters are lower-cased, all else is a single space.
+For each language a suffix automaton is built over labelled text (a bounded, documented sample: ``DOCS`` documents, of which each
+gives a like share of at most ``BYTES`` bytes a language). A text is parsed against it from left to right into longest matches; the
+language that needs the fewest phrases, weighted by the bits that name a place in its reference, wins. Letters are lower-cased, all
+else is a single space; both sides are bytes in UTF-8, so no script has too many letters to be told apart.
+
+Texts are parsed in blocks of ``BLOCK`` bytes side by side. Each block begins in the state that the bytes before it suggest; where
+the block before it in fact ends in another, it is parsed again from there, until all agree: the phrases are those of the whole text.
 
 A text that is null or has no letter is ``und`` with score 0; ties go to the first language by name; with no learned
 language every text is ``und``. Repeated rows stay, an empty table gives no rows, extra columns are ignored.
@@ -11,20 +14,20 @@ language every text is ``und``. Repeated rows stay, an empty table gives no rows
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import buffers, held_out, slices, table
+from .common import buffers, held_out, ranges, slices, table
 
-#: Bounds of what is learned from: documents and characters a language, and different characters told apart.
-DOCS, CHARS, LETTERS = 64, 20_000, 120
-BLOCK = 1024
+#: Bounds of what is learned from: documents and bytes a language.
+DOCS, BYTES = 64, 20_000
+#: Bytes of a block, and bytes before it that suggest the state in which it begins.
+BLOCK, BEFORE = 1024, 48
 
 
 def normalise(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,6 +49,12 @@ def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.repeat(np.arange(len(low)), lengths)
 
 
+def as_bytes(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points as UTF-8, and the row of each byte."""
+    data = np.frombuffer(codes.astype("<u4").tobytes().decode("utf-32-le", "replace").encode(), np.uint8)
+    return data, np.repeat(owner, 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF))
+
+
 def automaton(word: np.ndarray, letters: int) -> np.ndarray:
     """The suffix automaton of ``word`` as a table of states by letters: twice the next state, plus 1 where a phrase begins.
 
@@ -89,43 +98,53 @@ def automaton(word: np.ndarray, letters: int) -> np.ndarray:
 class Parser:
     def __init__(self, references: dict[str, str]):
         self.languages = sorted(references)
-        points = {k: np.frombuffer(v.lower().encode("utf-32-le"), np.uint32) for k, v in references.items()}
-        points = {k: normalise(v, np.zeros(len(v), np.int8))[0] for k, v in points.items()}
-        seen = Counter()
-        for v in points.values():
-            seen.update(v.tolist())
-        self.known = np.array(sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]), np.uint32)
-        self.letters = len(self.known) + 8
-        tables = [automaton(self.letter(points[k]), self.letters) for k in self.languages]
-        self.base = np.cumsum([0, *(len(t) for t in tables[:-1])])
-        self.table = np.concatenate(tables).ravel() + np.repeat(2 * self.base, [t.size for t in tables]).astype(np.int32)
-        self.bits = np.array([np.log2(max(2, len(points[k]))) for k in self.languages])
-
-    def letter(self, codes: np.ndarray) -> np.ndarray:
-        """A small number for each character: its own if it is among the most frequent, else one of eight."""
-        at = np.minimum(np.searchsorted(self.known, codes), len(self.known) - 1)
-        return np.where(self.known[at] == codes, at, len(self.known) + codes % 8)
-
-    def phrases(self, codes: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases by row and language, and characters by row."""
-        size = np.bincount(owner, minlength=rows)
-        begin = np.cumsum(size) - size
-        blocks = -(-size // BLOCK)
-        row = np.repeat(np.arange(rows), blocks)
-        k = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        low = begin[row] + k * BLOCK
-        length = np.minimum(BLOCK, begin[row] + size[row] - low)
+        words = []
+        for k in self.languages:
+            codes = np.frombuffer(references[k].lower().encode("utf-32-le"), np.uint32)
+            words.append(as_bytes(*normalise(codes, np.zeros(len(codes), np.int8)))[0])
+        # a column for each byte of the language's reference, and one for all others
+        self.column, tables = np.zeros((len(words), 256), np.int32), []
+        for k, word in enumerate(words):
+            have = np.unique(word)
+            self.column[k] = len(have)
+            self.column[k, have] = np.arange(len(have))
+            tables.append(automaton(self.column[k, word], len(have) + 1))
+        # states as the place of their row in the one table
+        base = np.cumsum([0, *(t.size for t in tables)])
+        self.fresh = np.array([b + t.shape[1] for b, t in zip(base, tables)], np.int64)
+        self.table = np.concatenate([((t >> 1).astype(np.int64) * t.shape[1] + b) * 2 + (t & 1) for b, t in zip(base, tables)], axis=None).astype(np.int32 if 2 * base[-1] < 2**31 else np.int64)
+        self.bits = np.array([np.log2(max(2, len(w))) for w in words])
+
+    def parse(self, text: np.ndarray, low: np.ndarray, length: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that begin in each block and the state after it, by language and block. state: that before it."""
         order = np.argsort(-length, kind="stable")
-        row, low, length = row[order], low[order], length[order]
-        text = np.concatenate([self.letter(codes), np.zeros(BLOCK, np.int64)]).astype(np.int32)
-        active = np.searchsorted(-length, -np.arange(BLOCK), "left")  # blocks longer than each step
-        state = np.repeat((self.base + 1)[:, None], len(row), 1).astype(np.int64)
+        low, length, state = low[order], length[order], state[:, order]
         count = np.zeros(state.shape, np.int32)
-        for step in range(int(length[0]) if len(length) else 0):
+        longest = int(length[0]) if len(length) else 0
+        active = np.searchsorted(-length, -np.arange(longest), "left")  # blocks longer than each step
+        for step in range(longest):
             n = active[step]
-            got = self.table[state[:, :n] * self.letters + text[low[:n] + step]]
+            got = self.table[state[:, :n] + self.column[:, text[low[:n] + step]]]
             count[:, :n] += got & 1
             state[:, :n] = got >> 1
+        back = np.argsort(order)
+        return count[:, back], state[:, back]
+
+    def phrases(self, text: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases by row and language, and bytes by row."""
+        size = np.bincount(owner, minlength=rows)
+        blocks = -(-size // BLOCK)
+        row = np.repeat(np.arange(rows), blocks)
+        k = ranges(np.zeros(rows, np.int64), blocks)
+        low = (np.cumsum(size) - size)[row] + k * BLOCK
+        length = np.minimum(BLOCK, size[row] - k * BLOCK)
+        begin = np.repeat(self.fresh[:, None], len(row), 1)
+        later = np.flatnonzero(k > 0)
+        begin[:, later] = self.parse(text, low[later] - BEFORE, np.full(len(later), BEFORE), begin[:, later])[1]
+        count, end = self.parse(text, low, length, begin)
+        while len(off := later[(begin[:, later] != end[:, later - 1]).any(0)]):
+            begin[:, off] = end[:, off - 1]
+            count[:, off], end[:, off] = self.parse(text, low[off], length[off], begin[:, off])
         out = np.zeros((rows, len(self.languages)), np.int64)
         np.add.at(out, row, count.T)
         return out, size
@@ -142,22 +161,34 @@ def parser(references: dict[str, str]) -> Parser:
     return _parsers[key]
 
 
+def shares(texts: list[str]) -> str:
+    """The texts one after the other, each cut at the most bytes with which all fit into ``BYTES``."""
+    raw = [t.encode() for t in texts]
+    left, most = BYTES, 0
+    for k, n in enumerate(sorted(map(len, raw))):
+        most = left // (len(raw) - k)
+        if n > most:
+            break
+        left -= n
+        most = n
+    return "\n".join(r[:most].decode("utf-8", "ignore") for r in raw)
+
+
 def learn(docs: DataFrame) -> dict[str, str]:
     """Reference text by language from ``docs`` (doc_id, text, lang): of each language the ``DOCS`` documents that are not
-    held out and have the smallest hashes, cut at ``CHARS`` characters together."""
-    spark = docs.sparkSession
-    open_ = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    languages = [r[0] for r in open_.select("lang").distinct().orderBy("lang").collect()]
-    picked = [open_.where(F.col("lang") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCS) for k in languages]
-    if not picked:
+    held out and have the smallest hashes, a like share of ``BYTES`` bytes of each."""
+    open_ = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    ranked = open_.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
+    chosen = [tuple(r) for r in ranked.where(F.col("k") <= DOCS).select("doc_id", "lang").distinct().collect()]
+    if not chosen:
         return {}
-    rows = [tuple(r) for p in picked for r in p.collect()]
-    chosen = F.broadcast(spark.createDataFrame(rows, "doc_id long, lang string").distinct())
-    got = docs.where(F.col("text").isNotNull()).join(chosen, ["doc_id", "lang"]).select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, CHARS).alias("text"))
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, lang string"))
+    got = docs.where(F.col("text").isNotNull()).join(wanted, ["doc_id", "lang"]).select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, BYTES).alias("text"))
     by: dict[str, list[str]] = {}
     for r in sorted(got.collect()):
         by.setdefault(r["lang"], []).append(r["text"])
-    return {k: "\n".join(v)[:CHARS] for k, v in by.items() if any(map(str.isalpha, "".join(v)))}
+    found = {k: shares(v) for k, v in by.items()}
+    return {k: v for k, v in found.items() if any(map(str.isalpha, v))}
 
 
 def identify(docs: DataFrame, references: dict[str, str]) -> DataFrame:
@@ -167,11 +198,11 @@ def identify(docs: DataFrame, references: dict[str, str]) -> DataFrame:
         model = parser(references) if references else None
         for b in batches:
             for i, j, _, _ in slices(b["text"], 1 << 22):
-                codes, owner = normalise(*code_points(b["text"].slice(i, j - i)))
-                letters = np.bincount(owner[codes > 0], minlength=j - i) > 0
+                data, owner = as_bytes(*normalise(*code_points(b["text"].slice(i, j - i))))
+                letters = np.bincount(owner[data > 0], minlength=j - i) > 0
                 names, scores = ["und"] * (j - i), np.zeros(j - i)
                 if model is not None:
-                    n, size = model.phrases(codes, owner, j - i)
+                    n, size = model.phrases(data, owner, j - i)
                     bits = n * model.bits / np.maximum(size, 1)[:, None]
                     best = bits.argmin(1)
                     share = np.exp2(-8 * (bits - bits.min(1, keepdims=True)))
