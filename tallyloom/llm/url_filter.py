@@ -1,12 +1,13 @@
 """Operator 10: URL filter over a sorted digest array.
 
-Rules (``host/path-prefix`` and a verdict) are hashed to 64-bit xxhash keys. Spark range-partitions and sorts them by
-key and each task writes one shard: the sorted keys, then offsets, verdicts and the full strings. A probe maps the
-shard into memory, finds the keys of a whole batch by one vectorised binary search and confirms every hit with the
-stored string, so a hash collision cannot give a verdict.
+Rules (``host/path-prefix`` and a verdict, allow or block) are hashed to 64-bit xxhash keys. Spark range-partitions and sorts
+them by key and each task writes one shard: the sorted keys, then offsets, verdicts and the full strings. A probe finds the
+shards of a batch's keys by their first keys, maps those into memory, finds the keys by vectorised binary search and confirms
+every hit with the stored string, so a hash collision cannot give a verdict.
 
 Nulls and URLs without ``://`` have an empty host and path and so no rule; repeated rules keep the smallest verdict
-("allow"); an empty rule table gives the default verdict to all. Extra columns of the page table are ignored.
+("allow"); rules or verdicts that are null are ignored, other verdicts raise a ValueError; an empty rule table gives the default
+verdict to all; repeated pages stay and an empty page table gives no rows. Extra columns of the page table are ignored.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import mmap
 import os
 import struct
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import file_system, shared_dir
+from .common import drop_stage, file_system, materialize, shared_dir, table
 
 VERDICTS = ("allow", "block")
 _HEAD = "<8sQQ"
@@ -40,7 +42,9 @@ def host_path(url):
 
 
 def key(rule: str) -> int:
-    return xxhash.xxh64_intdigest(rule.encode())
+    """As Spark's xxhash64: signed, of the UTF-8 bytes."""
+    h = xxhash.xxh64_intdigest(rule.encode(), 42)
+    return h - (h >> 63 << 64)
 
 
 def write_index(rules: DataFrame, shard_rows: int = 4_000_000) -> dict:
@@ -48,39 +52,35 @@ def write_index(rules: DataFrame, shard_rows: int = 4_000_000) -> dict:
     per shard its URI and first and last key, and the lengths of the rules' paths (both small)."""
     spark = rules.sparkSession
     rules = rules.where("rule is not null and verdict is not null").groupBy("rule").agg(F.min("verdict").alias("verdict"))
-    rules = rules.select("rule", "verdict", F.xxhash64("rule").alias("spread"))
+    rules = materialize(rules.select("rule", "verdict", F.xxhash64("rule").alias("key")), "rules")
+    if unlike := rules.where(~F.col("verdict").isin(*VERDICTS)).select("rule", "verdict").first():
+        raise ValueError(f"a rule's verdict is allow or block: {tuple(unlike)}")
     total = rules.count()
     path_lengths = [r[0] for r in rules.select((F.length("rule") - F.instr("rule", "/") + 1).alias("n")).distinct().orderBy("n").collect()] if total else []
     to = shared_dir(spark, "digests")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(key(r), r.encode(), VERDICTS.index(v)) for b in batches for r, v in zip(b["rule"].to_pylist(), b["verdict"].to_pylist(), strict=True)]
+        rows = [(k, r.encode(), VERDICTS.index(v)) for b in batches for k, r, v in zip(b["key"].to_pylist(), b["rule"].to_pylist(), b["verdict"].to_pylist(), strict=True)]
         if not rows:
             return
         rows.sort()
         strings = [r[1] for r in rows]
-        body = b"".join(
-            [
-                struct.pack(_HEAD, _MAGIC, len(rows), sum(map(len, strings))),
-                np.array([r[0] for r in rows], np.uint64).tobytes(),
-                np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.uint64).tobytes(),
-                np.array([r[2] for r in rows], np.uint8).tobytes(),
-                *strings,
-            ]
-        )
-        name = f"{to}/{rows[0][0]:016x}-{rows[-1][0]:016x}.digests"
+        name = f"{to}/{uuid.uuid4().hex}.digests"  # of this attempt alone; the manifest has the one that Spark took
         fs, path = file_system(name)
         fs.create_dir(os.path.dirname(path), recursive=True)
-        part = f"{path}.{os.getpid()}.{os.urandom(4).hex()}"
-        with fs.open_output_stream(part) as out:
-            out.write(body)
-        fs.move(part, path)
-        yield pa.RecordBatch.from_pydict({"uri": [name], "first": [f"{rows[0][0]:016x}"], "last": [f"{rows[-1][0]:016x}"]})
+        with fs.open_output_stream(path) as out:
+            out.write(struct.pack(_HEAD, _MAGIC, len(rows), sum(map(len, strings))))
+            out.write(np.array([r[0] for r in rows], np.int64).tobytes())
+            out.write(np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.uint64).tobytes())
+            out.write(np.array([r[2] for r in rows], np.uint8).tobytes())
+            out.write(b"".join(strings))
+        yield pa.RecordBatch.from_pydict({"uri": [name], "first": [rows[0][0]], "last": [rows[-1][0]]})
 
     parts = max(1, -(-total // shard_rows))
-    dealt = rules.repartitionByRange(parts, "spread") if parts > 1 else rules.coalesce(1)
-    found = dealt.mapInArrow(shards, "uri string, first string, last string").collect() if total else []
-    return {"shards": sorted((r["uri"], r["first"], r["last"]) for r in found), "path_lengths": path_lengths}
+    dealt = rules.repartitionByRange(parts, "key") if parts > 1 else rules.coalesce(1)
+    found = dealt.mapInArrow(shards, "uri string, first long, last long").collect() if total else []
+    drop_stage(rules)
+    return {"shards": sorted((r["first"], r["last"], r["uri"]) for r in found), "path_lengths": path_lengths}
 
 
 _open: dict[str, tuple] = {}
@@ -106,7 +106,7 @@ def _shard(uri: str) -> tuple:
         if magic != _MAGIC:
             raise ValueError(f"{uri} isn't a digest shard")
         at = struct.calcsize(_HEAD)
-        keys = np.frombuffer(m, np.uint64, n, at)
+        keys = np.frombuffer(m, np.int64, n, at)
         offsets = np.frombuffer(m, np.uint64, n + 1, at + 8 * n)
         verdicts = np.frombuffer(m, np.uint8, n, at + 8 * (2 * n + 1))
         _open[uri] = (keys, offsets, verdicts, m, at + 8 * (2 * n + 1) + n)
@@ -118,12 +118,16 @@ def probe(manifest: dict, candidates: list[str]) -> list[str | None]:
     out: list[str | None] = [None] * len(candidates)
     if not candidates:
         return out
-    keys = np.fromiter(map(key, candidates), np.uint64, len(candidates))
-    for uri, _, _ in manifest["shards"]:
+    keys = np.fromiter(map(key, candidates), np.int64, len(candidates))
+    order = np.argsort(keys)
+    for first, last, uri in manifest["shards"]:
+        own = order[np.searchsorted(keys, first, "left", sorter=order) : np.searchsorted(keys, last, "right", sorter=order)]
+        if not len(own):  # this shard isn't opened
+            continue
         stored, offsets, verdicts, m, base = _shard(uri)
-        at = np.searchsorted(stored, keys)
-        hit = np.flatnonzero((at < len(stored)) & (stored[np.minimum(at, len(stored) - 1)] == keys))
-        for i in hit.tolist():
+        at = np.zeros(len(keys), np.int64)
+        at[own] = np.searchsorted(stored, keys[own])
+        for i in own[stored[np.minimum(at[own], len(stored) - 1)] == keys[own]].tolist():
             j, want = int(at[i]), candidates[i].encode()
             while j < len(stored) and stored[j] == keys[i]:  # equal keys stand together
                 if m[base + int(offsets[j]) : base + int(offsets[j + 1])] == want:
@@ -184,6 +188,4 @@ FROM h LEFT JOIN m ON m.page_id = h.page_id AND m.k = 1
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import table
-
     return filter_urls(table(spark, sf_dir, "pages"), page_rules(spark))
