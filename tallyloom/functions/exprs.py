@@ -14,7 +14,10 @@ ORDER_TYPE_RULES = [("掃碼|qr", 8), ("快一點自取", 6), ("快一點外送"
 ORDER_TYPES = {0: "unknown", 1: "in_store", 2: "foodpanda", 3: "delivery", 4: "pickup", 5: "ubereats", 6: "quick_pickup", 7: "quick_delivery", 8: "qr_order", 9: "other"}
 PAYMENT_TYPES = {0: "unknown_payment", 1: "cash", 2: "card", 3: "e_wallet", 4: "platform_payment", 5: "coupon", 8: "mixed", 9: "other"}
 STATUSES = {1: "normal_sales", -2: "void", -1: "cancelled_like", 2: "other_excluded"}
-WALLETS = ["linepay", "easycard", "uupay"]
+#: First match wins; cards come before the wallets.
+PAYMENT_TYPE_RULES = [("^undefined_pay$", 0), ("^cash$", 1), ("card", 2), ("^(linepay|easycard|uupay)$", 3), ("foodpanda|uber eats|ubereats", 4), ("coupon|voucher|gift|禮券|折抵", 5)]
+#: Why an order is or isn't allocated, in the order of the tests.
+BUCKETS = ["invalid_non_finite_amount", "amount_outlier_over_threshold", "status_not_completed_or_voided", "no_valid_items", "zero_tax_allocation_denominator", "allocatable"]
 SPECIAL_PRODUCT = "幣|券|折抵|折扣|點數|贈|服務費|運費|調整|測試"
 
 
@@ -72,20 +75,21 @@ def hour_of_day(s_hour: Column, ts: Column) -> Column:
     return F.greatest(F.least(F.coalesce(null_if_blank(s_hour).try_cast("int"), F.hour(ts), F.lit(0)), F.lit(23)), F.lit(0))
 
 
-def order_type_id(destination: Column) -> Column:
-    d = F.lower(F.coalesce(trim_ws(destination), F.lit("")))
-    out = F.when(d == "", 0)
-    for pattern, n in ORDER_TYPE_RULES:
-        out = out.when(d.rlike(pattern), n)
+def first_match(name: Column, rules: list[tuple[str, int]]) -> Column:
+    """The number of the first rule that the trimmed name in small letters matches; 0 for a blank one, 9 for none."""
+    n = F.lower(F.coalesce(trim_ws(name), F.lit("")))
+    out = F.when(n == "", 0)
+    for pattern, number in rules:
+        out = out.when(n.rlike(pattern), number)
     return out.otherwise(9)
 
 
+def order_type_id(destination: Column) -> Column:
+    return first_match(destination, ORDER_TYPE_RULES)
+
+
 def payment_type_id(name: Column) -> Column:
-    n = F.lower(F.coalesce(trim_ws(name), F.lit("")))
-    return (
-        F.when(n.isin("", "undefined_pay"), 0).when(n == "cash", 1).when(n.rlike("card"), 2).when(n.isin(*WALLETS), 3)
-        .when(n.rlike("foodpanda|uber eats|ubereats"), 4).when(n.rlike("coupon|voucher|gift|禮券|折抵"), 5).otherwise(9)
-    )
+    return first_match(name, PAYMENT_TYPE_RULES)
 
 
 def _code(c: Column, names: dict[int, str], other: str) -> Column:
@@ -124,11 +128,8 @@ def share_of(total: Column, part: Column, whole: Column) -> Column:
 
 
 def reconciliation_bucket() -> Column:
-    return (
-        F.when(F.col("has_invalid_amount") == 1, "invalid_non_finite_amount").when(F.col("is_amount_outlier") == 1, "amount_outlier_over_threshold")
-        .when(F.col("is_completed_proxy") == 0, "status_not_completed_or_voided").when(F.col("item_count") <= 0, "no_valid_items")
-        .when(F.abs("order_net_sales") <= 0.000001, "zero_tax_allocation_denominator").otherwise("allocatable")
-    )
+    tests = [F.col("has_invalid_amount") == 1, F.col("is_amount_outlier") == 1, F.col("is_completed_proxy") == 0, F.col("item_count") <= 0, F.abs("order_net_sales") <= 0.000001]
+    return F.coalesce(*(F.when(t, b) for t, b in zip(tests, BUCKETS, strict=False)), F.lit(BUCKETS[-1]))
 
 
 def financial_signature(*amounts: Column) -> Column:

@@ -1,12 +1,15 @@
 """From orders, items, additions and payments to allocated lines and the hourly fact.
 
 Every join and order-level group has the keys (order_id, business_date), so one run over many days equals as many
-one-day runs, and each source is shuffled once. Money is summed as decimals and divided as doubles.
+one-day runs. The flow over the newest sales reads and shuffles each source once, by those keys: an order's totals are sums over
+its lines in place, not a join with a summary. Money is summed as decimals and divided as doubles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as x
@@ -17,18 +20,28 @@ from .orders import orders_base, sales_candidates
 LINE = [*D, "hour_of_day", "branch_id", "product_no", "order_type_id"]
 
 
-def item_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Items of the orders by product; items without a product number are left out. ``orders`` may repeat a key."""
-    item = items.where(x.has_product(F.col("product_no"))).select(
+def clean_items(items: DataFrame) -> DataFrame:
+    """Items with a product number: keys, quantity in thousandths, exact money."""
+    return items.where(x.has_product(F.col("product_no"))).select(
         "order_id", F.col("t_open_date").alias("business_date"), x.default_if_blank(F.col("product_no"), "UNKNOWN_PRODUCT").alias("product_no"),
         x.qty_milli(F.col("current_qty")).alias("qty"),
         x.money(x.finite_or_zero(F.col("current_subtotal"))).alias("net"), x.money(x.positive_or_zero(F.col("current_discount"))).alias("discount"),
         x.money(x.positive_or_zero(F.col("current_surcharge"))).alias("surcharge"),
     )
-    joined = orders.select(*D, "hour_of_day", "branch_id", "order_type_id").join(item, D)
-    return joined.groupBy(*LINE).agg(
-        F.sum("qty").alias("qty_milli"), F.sum("net").alias("item_net"), F.sum("discount").alias("item_discount"), F.sum("surcharge").alias("item_surcharge"),
-    ).withColumn("item_gross", F.col("item_net") + F.col("item_discount") - F.col("item_surcharge"))
+
+
+def _line_sums() -> list[Column]:
+    return [F.sum(v).alias(k) for k, v in {"qty_milli": "qty", "item_net": "net", "item_discount": "discount", "item_surcharge": "surcharge"}.items()]
+
+
+def _gross() -> Column:
+    return F.col("item_net") + F.col("item_discount") - F.col("item_surcharge")
+
+
+def item_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Items of the orders by product; items without a product number are left out. ``orders`` may repeat a key."""
+    joined = orders.select(*D, "hour_of_day", "branch_id", "order_type_id").join(clean_items(items), D)
+    return joined.groupBy(*LINE).agg(*_line_sums()).withColumn("item_gross", _gross())
 
 
 def order_item_totals(lines: DataFrame) -> DataFrame:
@@ -43,9 +56,9 @@ def order_additions_totals(additions: DataFrame) -> DataFrame:
 
 
 def payment_groups(payments: DataFrame) -> DataFrame:
-    return payments.groupBy("order_id", F.col("t_open_date").alias("business_date"), x.payment_type_id(F.col("name")).alias("payment_type_id")).agg(
-        x.money_sum(x.finite_or_zero(F.col("amount"))).alias("payment_amount")
-    )
+    """Amounts by order and type. Dealt by order only (an order has few payments), so what follows by order needs no other shuffle."""
+    named = payments.select("order_id", F.col("t_open_date").alias("business_date"), x.payment_type_id(F.col("name")).alias("payment_type_id"), x.finite_or_zero(F.col("amount")).alias("amount"))
+    return named.repartition(*D).groupBy(*D, "payment_type_id").agg(x.money_sum(F.col("amount")).alias("payment_amount"))
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:
@@ -57,13 +70,15 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     )
 
 
-def order_financials(orders: DataFrame, lines: DataFrame, additions: DataFrame) -> DataFrame:
-    """One row for each row of ``orders``, with the totals of its items and additions (0 where it has none)."""
+TOTALS = ["sum_gross", "sum_discount", "sum_surcharge", "sum_net"]
+
+
+def financial_columns(joined: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the money of an order, from the totals of its items and additions (0 where it has none)."""
     double = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     exact = lambda c: F.coalesce(F.col(c), F.lit(0).cast("decimal(18,6)"))
-    joined = orders.join(order_item_totals(lines), D, "left").join(order_additions_totals(additions), D, "left")
     return joined.select(
-        *orders.columns, F.coalesce("item_count", F.lit(0)).alias("item_count"),
+        *keep, F.coalesce("item_count", F.lit(0)).alias("item_count"),
         double("sum_gross").alias("order_gross_sales"), double("sum_net").alias("order_item_net_sales"),
         double("addition_discount").alias("addition_discount_total"), double("addition_surcharge").alias("addition_surcharge_total"), double("addition_include_tax").alias("addition_include_tax_total"),
         (exact("sum_discount") + exact("addition_discount")).cast("double").alias("order_discount_total"),
@@ -72,24 +87,45 @@ def order_financials(orders: DataFrame, lines: DataFrame, additions: DataFrame)
     ).withColumn("order_sales_ex_tax", F.col("order_net_sales") - (F.col("order_included_tax") + F.col("order_excluded_tax")))
 
 
+def order_financials(orders: DataFrame, lines: DataFrame, additions: DataFrame) -> DataFrame:
+    """One row for each row of ``orders``, with the totals of its items and additions. ``orders`` may repeat a key."""
+    joined = orders.join(order_item_totals(lines), D, "left").join(order_additions_totals(additions), D, "left")
+    return financial_columns(joined, *orders.columns)
+
+
+def order_flow(orders: DataFrame, items: DataFrame, additions: DataFrame, payments: DataFrame) -> DataFrame:
+    """A row for each line of ``orders`` (one row a key), or one without product for an order that has none: the order's columns and
+    money, its payment type, and the line's sums as item_... What a step doesn't use is pruned from the sources."""
+    others = [k for k in orders.columns if k not in LINE]
+    lines = orders.join(clean_items(items), D, "left").groupBy(*LINE).agg(*_line_sums(), *(F.first(k).alias(k) for k in others)).withColumn("item_gross", _gross())
+    of_order = Window.partitionBy(*D)
+    sums = {f"sum_{k}": F.sum(f"item_{k}").over(of_order) for k in ("gross", "discount", "surcharge", "net")}
+    lines = lines.withColumns({"item_count": F.count("product_no").over(of_order), **sums})
+    joined = lines.join(order_additions_totals(additions), D, "left").join(payment_summary(payments), D, "left").withColumn("payment_type_id", F.coalesce("payment_type_id", F.lit(0)))
+    return financial_columns(joined, *LINE, *others, "payment_type_id", "qty_milli", *ITEM)
+
+
+ITEM = ["item_gross", "item_net", "item_discount", "item_surcharge"]
+ORDER_MONEY = ["order_included_tax", "order_excluded_tax", "order_gross_sales", "order_net_sales", "addition_discount_total", "addition_surcharge_total"]
+
+
 def line_enriched(lines: DataFrame, financials: DataFrame, payments: DataFrame) -> DataFrame:
-    money = ["order_included_tax", "order_excluded_tax", "order_gross_sales", "order_net_sales", "addition_discount_total", "addition_surcharge_total"]
-    double = ["item_gross", "item_net", "item_discount", "item_surcharge"]
+    """Lines with the money of their orders; ``financials`` may repeat a key, which repeats its lines."""
     return (
-        lines.withColumns({c: F.col(c).cast("double") for c in double})
-        .join(financials.select(*D, *money), D)
+        lines.withColumns({k: F.col(k).cast("double") for k in ITEM})
+        .join(financials.select(*D, *ORDER_MONEY), D)
         .join(payment_summary(payments), D, "left")
         .withColumn("payment_type_id", F.coalesce("payment_type_id", F.lit(0)))
     )
 
 
-def line_allocations(enriched: DataFrame) -> DataFrame:
-    """Each line's measures in thousandths. Rounded by line; what follows is whole-number addition."""
+def line_allocations(enriched: DataFrame, *keep: str) -> DataFrame:
+    """Each line's measures in thousandths, with the columns ``keep``. Rounded by line; what follows is whole-number addition."""
     c = F.col
     discount = c("item_discount") + x.share_of(c("addition_discount_total"), c("item_gross"), c("order_gross_sales"))
     surcharge = c("item_surcharge") + x.share_of(c("addition_surcharge_total"), c("item_gross"), c("order_gross_sales"))
     parts = enriched.select(
-        *LINE, "payment_type_id", "qty_milli", x.to_milli(c("item_gross")).alias("gross_sales_milli"), x.to_milli(discount).alias("discount_milli"), x.to_milli(surcharge).alias("surcharge_milli"),
+        *LINE, "payment_type_id", *keep, "qty_milli", x.to_milli(c("item_gross")).alias("gross_sales_milli"), x.to_milli(discount).alias("discount_milli"), x.to_milli(surcharge).alias("surcharge_milli"),
         *(x.to_milli(x.share_of(c(f"order_{k}_tax"), c("item_gross") - discount + surcharge, c("order_net_sales"))).alias(f"{k}_tax_milli") for k in ("included", "excluded")),
     )
     net = c("gross_sales_milli") - c("discount_milli") + c("surcharge_milli")
@@ -101,24 +137,56 @@ def order_allocation_summary(allocations: DataFrame) -> DataFrame:
 
 
 class Chain:
-    """The steps over one set of sources, each built once."""
+    """The steps over one set of sources, each built once. dedup: over the newest sales; else over all rows of orders, where rows of
+    one key repeat each other's lines."""
 
     def __init__(self, src: Sources, dedup: bool = True):
         self.src, self.dedup = src, dedup
+        self.kept: dict[str, DataFrame] = {}
         self.base = orders_base(src.orders)
         self.orders = sales_candidates(self.base) if dedup else self.base
-        self.lines = item_lines(self.orders, src.items)
-        self.financials = order_financials(self.orders, self.lines, src.additions)
-        self.enriched = line_enriched(self.lines, self.financials, src.payments)
+        if dedup:
+            self.flow = order_flow(self.orders, src.items, src.additions, src.payments)
+            sold = self.flow.where("product_no is not null")
+            self.lines = sold.select(*LINE, "qty_milli", *ITEM)
+            self.enriched = sold.select(*LINE, "payment_type_id", "qty_milli", *(F.col(k).cast("double").alias(k) for k in ITEM), *ORDER_MONEY)
+        else:
+            self.lines = item_lines(self.orders, src.items)
+            self.financials = order_financials(self.orders, self.lines, src.additions)
+            self.enriched = line_enriched(self.lines, self.financials, src.payments)
         self.allocations = line_allocations(self.enriched)
         self.summary = order_allocation_summary(self.allocations)
+        if dedup:
+            self.financials = self._by_order().select(*self._order_columns())
+
+    def _order_columns(self) -> list[str]:
+        money = [k for k in self.flow.columns if k not in (*LINE, *ITEM, "payment_type_id", "qty_milli")]
+        return [*D, *(k for k in LINE if k not in (*D, "product_no")), *money]
+
+    def _by_order(self) -> DataFrame:
+        """The flow by order: its columns, and what its lines were given."""
+        keep = [k for k in self._order_columns() if k not in LINE]
+        lines = line_allocations(self.flow.withColumns({k: F.col(k).cast("double") for k in ITEM}), *keep)
+        once = [F.first(k).alias(k) for k in self._order_columns() if k not in D]
+        given = [F.sum(m).alias(f"allocated_{m}") for m in MEASURES]
+        return lines.groupBy(*D).agg(*once, *given, F.when(F.count("product_no") > 0, 1).otherwise(0).alias("appears_in_preview_allocation"))
+
+    def keep(self, write: Callable[[DataFrame, str], DataFrame]) -> None:
+        """Has the scope and the fact written once (``write`` gives them back), so that many reports share them."""
+        self.kept = {"scope": write(self.scope(), "scope"), "fact": write(self.fact(), "fact")}
+        self.financials = self.kept["scope"].select(*self.financials.columns)
 
     def scope(self) -> DataFrame:
         """One row for each order row: its source totals beside what was allocated."""
+        if "scope" in self.kept:
+            return self.kept["scope"]
         c = F.col
         source = {"gross_sales": "order_gross_sales", "discount": "order_discount_total", "surcharge": "order_surcharge_total", "net_sales": "order_net_sales", "included_tax": "order_included_tax", "sales_ex_tax": "order_sales_ex_tax"}
-        given = self.summary.select(*D, *(c(m).alias(f"allocated_{m}") for m in MEASURES), F.lit(1).alias("appears_in_preview_allocation"))
-        joined = self.financials.join(given, D, "left")
+        if self.dedup:
+            joined = self._by_order()
+        else:
+            given = self.summary.select(*D, *(c(m).alias(f"allocated_{m}") for m in MEASURES), F.lit(1).alias("appears_in_preview_allocation"))
+            joined = self.financials.join(given, D, "left")
         return joined.select(
             *self.financials.columns,
             F.when(c("item_count") > 0, 1).otherwise(0).alias("has_valid_items"),
@@ -132,6 +200,8 @@ class Chain:
         )
 
     def fact(self, owner: int = 1) -> DataFrame:
+        if "fact" in self.kept:
+            return self.kept["fact"].withColumn("owner_user_id", F.lit(owner).cast("bigint"))
         return hourly_fact(self.allocations, owner)
 
 

@@ -20,6 +20,7 @@ def orders_base(orders: DataFrame) -> DataFrame:
         x.hour_of_day(F.col("s_hour"), F.col("transaction_created")).alias("hour_of_day"),
         x.default_if_blank(F.col("branch_id"), "UNKNOWN_BRANCH").alias("branch_id"),
         x.default_if_blank(F.col("branch"), "UNKNOWN_BRANCH_NAME").alias("branch_name"),
+        F.coalesce(x.trim_ws(F.col("branch")), F.lit("")).alias("branch_raw"),
         F.coalesce(x.trim_ws(F.col("destination")), F.lit("")).alias("destination_raw"),
         x.order_type_id(F.col("destination")).alias("order_type_id"),
         F.coalesce("status", F.lit(-1)).alias("order_status"),
@@ -55,8 +56,14 @@ def orders_status_latest(base: DataFrame) -> DataFrame:
 
 
 def with_status(base: DataFrame, *statuses: int) -> DataFrame:
-    """The newest versions of some statuses; the filter comes first, as status is a key of the ranking."""
-    return orders_status_latest(base.where(F.col("order_status").isin(*statuses)))
+    """The newest versions of some statuses; the filter comes first, as status is a key of the ranking. Of one status, the rows are
+    dealt by order and day alone, as in all that follows."""
+    wanted = base.where(F.col("order_status").isin(*statuses))
+    if len(statuses) > 1:
+        return orders_status_latest(wanted)
+    down, keys = NEWEST
+    newest = Window.partitionBy(*D).orderBy(*(down(c) for c in keys))
+    return wanted.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")
 
 
 def sales_candidates(base: DataFrame) -> DataFrame:

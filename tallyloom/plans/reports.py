@@ -7,16 +7,38 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as x
 from ..operators import orders as o
-from ..operators.allocation import Chain
+from ..operators.allocation import Chain, line_allocations
 from ..schemas import D, MEASURES
 
 c = F.col
 PARTS = ["gross_sales", "discount", "surcharge", "net_sales", "included_tax", "sales_ex_tax"]
 
 
+#: What a metric means, where its name doesn't say it.
+NOTES = {
+    "source_orders_all": "every order row of the scope",
+    "source_orders_valid": "finite amounts within the limit",
+    "source_completed_orders": "valid, completed and not voided",
+    "preview_allocatable_orders": "completed, with items and money to allocate by",
+    "preview_excluded_zero_denominator": "completed, with items but nothing to allocate by",
+    "preview_excluded_no_items": "completed, without items",
+    "preview_excluded_status": "orders of an excluded or uncompleted status",
+    "preview_after_allocation": "what the lines of allocatable orders were given",
+    "rounding_delta": "given less source",
+    "preview_excluded_invalid_or_outlier": "an amount is not finite or over the limit",
+    "orders_minus_items_tax_milli": "tax of orders that no line was given",
+    "orders_minus_items_minus_additions_tax_milli": "the same, less the tax of additions",
+    "affected_order_count": "orders whose lines add up to another tax than theirs",
+    "avg_abs_order_delta_milli": "over all allocatable orders, rounded",
+}
+
+
 def rows_of(df: DataFrame, metrics: list[tuple[str, dict[str, Column]]]) -> DataFrame:
-    """One row for each metric of an aggregated one-row frame: sort_order, metric and the named values."""
-    structs = [F.struct(F.lit(k).alias("sort_order"), F.lit(m).alias("metric"), *(v.cast("bigint").alias(n) for n, v in values.items())) for k, (m, values) in enumerate(metrics, 1)]
+    """One row for each metric of an aggregated one-row frame: sort_order, metric, the named values, and a note (may be empty)."""
+    structs = [
+        F.struct(F.lit(k).alias("sort_order"), F.lit(m).alias("metric"), *(v.cast("bigint").alias(n) for n, v in values.items()), F.lit(NOTES.get(m, "")).alias("note"))
+        for k, (m, values) in enumerate(metrics, 1)
+    ]
     return df.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
@@ -112,27 +134,39 @@ def order_trace(chain: Chain, n: int = 5) -> DataFrame:
         (chain.src.additions.withColumnRenamed("t_open_date", "business_date").join(top.select(*key), D), "raw_addition_row_count"),
     ):
         counts = counts.join(count(df, name), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    counts = counts.withColumn("additions_after_order_aggregation_row_count", F.when(c("raw_addition_row_count") > 0, 1).otherwise(0))
     counts = counts.join(paid.select(*key, "payment_after_order_aggregation_row_count"), key, "left").withColumn("payment_after_order_aggregation_row_count", F.coalesce("payment_after_order_aggregation_row_count", F.lit(0)))
-    section = lambda df, k, name, row=None: df.withColumn("section_order", F.lit(k)).withColumn("section", F.lit(name)).withColumn("row_order", F.lit(1) if row is None else row)
+    section = lambda df, k, name, note, row=None: df.withColumns({"section_order": F.lit(k), "section": F.lit(name), "row_order": F.lit(1) if row is None else row, "note": note})
     head = chain.orders.join(top.select(*key), D).select(*key, c("order_status").alias("status"), c("destination_raw").alias("destination"), c("order_type_id").alias("normalized_order_type_id"), "branch_id",
-        *(x.to_milli(c(f"order_{k}")).alias(f"{v}_milli") for k, v in (("total", "total"), ("item_subtotal", "item_subtotal"), ("discount_subtotal", "discount"), ("surcharge_subtotal", "surcharge"), ("included_tax", "included_tax"), ("tax_subtotal", "tax_subtotal"))), "void_sale_period")
+        *(x.to_milli(c(f"order_{k}")).alias(f"{v}_milli") for k, v in (("total", "total"), ("item_subtotal", "item_subtotal"), ("discount_subtotal", "discount"), ("surcharge_subtotal", "surcharge"), ("included_tax", "included_tax"), ("tax_subtotal", "tax_subtotal"))), "transaction_voided", "void_sale_period")
     by_row = Window.partitionBy(*key).orderBy("payment_row_id", "payment_name", "payment_amount_milli")
-    second = pays.join(paid.select(*key, "final_payment_type_id", "is_mixed", "has_offsetting_payments"), key, "left")
+    second = pays.join(paid.drop("best"), key, "left").join(counts.select(*key, "raw_payment_row_count"), key, "left").withColumn("payment_row_count", c("raw_payment_row_count"))
     share = x.share_of(c("addition_discount_total"), c("item_gross"), c("order_gross_sales")), x.share_of(c("addition_surcharge_total"), c("item_gross"), c("order_gross_sales"))
-    third = lines.join(meta, [*key, "product_no"], "left").select(
-        *key, c("order_type_id").alias("normalized_order_type_id"), "branch_id", c("payment_type_id").alias("final_payment_type_id"), "item_id", "product_no", "product_name", c("qty_milli").alias("current_qty_milli"),
+    given = line_allocations(lines, "trace_rank").select("trace_rank", *D, "product_no", "included_tax_milli")
+    net = c("item_gross") - (c("item_discount") + share[0]) + (c("item_surcharge") + share[1])
+    ratio = F.when(F.abs("order_net_sales") <= 0.000001, F.lit(0.0)).otherwise(net / F.when(c("order_net_sales") != 0, c("order_net_sales")))
+    third = lines.join(meta, [*key, "product_no"], "left").join(given, [*key, "product_no"], "left").join(top.select(*key, "status", "destination"), key).select(
+        *key, "status", "destination", c("order_type_id").alias("normalized_order_type_id"), "branch_id", c("payment_type_id").alias("final_payment_type_id"), "item_id", "product_no", "product_name", c("qty_milli").alias("current_qty_milli"),
         x.to_milli(c("item_net")).alias("current_subtotal_milli"), x.to_milli(c("item_discount")).alias("current_discount_milli"), x.to_milli(c("item_surcharge")).alias("current_surcharge_milli"), "raw_item_included_tax_milli",
         x.to_milli(c("order_net_sales")).alias("allocation_denominator_milli"), x.to_milli(share[0]).alias("allocated_discount_milli"), x.to_milli(share[1]).alias("allocated_surcharge_milli"), "raw_item_row_count",
+        (F.round(ratio * 1000000) / 1000000).alias("allocation_ratio"), c("included_tax_milli").alias("allocated_included_tax_milli"),
     )
     given, source = c("allocated_included_tax_milli"), c("source_included_tax_milli")
     fourth = chain.scope().join(counts.drop("status", "destination"), D).join(paid.drop("payment_after_order_aggregation_row_count"), key, "left").select(
         *key, c("order_status").alias("status"), c("destination_raw").alias("destination"), *(F.coalesce(k, F.lit(0)).alias(k) for k in ("final_payment_type_id", "is_mixed", "has_offsetting_payments", "normalized_payment_type_count")),
         "allocation_denominator_milli", source.alias("source_order_included_tax_milli"), given.alias("sum_allocated_included_tax_milli"), (given - source).alias("delta_milli"), c("source_net_sales_milli").alias("source_order_net_milli"),
         c("allocated_net_sales_milli").alias("sum_allocated_net_milli"), (c("allocated_net_sales_milli") - c("source_net_sales_milli")).alias("net_delta_milli"),
-        "raw_item_row_count", "grouped_item_row_count", "raw_payment_row_count", "payment_after_order_aggregation_row_count", "final_joined_row_count", "raw_addition_row_count",
+        "raw_item_row_count", "grouped_item_row_count", "raw_payment_row_count", "payment_after_order_aggregation_row_count", "final_joined_row_count", "raw_addition_row_count", "additions_after_order_aggregation_row_count",
+        c("raw_item_row_count").alias("item_line_count"), c("grouped_item_row_count").alias("product_group_count"), c("raw_payment_row_count").alias("payment_row_count"),
     )
-    fifth = counts.withColumn("note", F.when(c("final_joined_row_count") > c("grouped_item_row_count"), "joined rows exceed grouped items").otherwise("no amplification"))
-    parts = [section(head, 1, "order_header"), section(second, 2, "payment_trace", F.row_number().over(by_row)), section(third, 3, "item_allocation_trace", F.row_number().over(Window.partitionBy(*key).orderBy("product_no"))), section(fourth, 4, "allocation_summary"), section(fifth, 5, "join_duplication_check")]
+    mixed = F.concat_ws(", ", F.when(c("is_mixed") == 1, "mixed"), F.when(c("has_offsetting_payments") == 1, "offsetting"))
+    merged = F.when(c("raw_item_row_count") > 1, "several items as one product").otherwise("one item")
+    amplified = F.when(c("final_joined_row_count") > c("grouped_item_row_count"), "joined rows exceed grouped items").otherwise("no amplification")
+    parts = [
+        section(head, 1, "order_header", F.lit("newest row of status 1")), section(second, 2, "payment_trace", mixed, F.row_number().over(by_row)),
+        section(third, 3, "item_allocation_trace", merged, F.row_number().over(Window.partitionBy(*key).orderBy("product_no"))),
+        section(fourth, 4, "allocation_summary", F.lit("order beside its lines")), section(counts, 5, "join_duplication_check", amplified),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -143,10 +177,11 @@ def duplicate_order_trace(chain: Chain, n: int = 5) -> DataFrame:
     """Every version of the top orders, newest first."""
     top = F.broadcast(traced_orders(chain, n).select("trace_rank", *D, c("status").alias("top_sample_status"), c("destination").alias("top_sample_destination")))
     ranked = o.duplicate_row_rank(chain.base.join(top, D))
+    money = {"total": "total", "item_subtotal": "item_subtotal", "discount_subtotal": "discount_subtotal", "payment_subtotal": "payment_subtotal", "included_tax": "included_tax_subtotal", "tax_subtotal": "tax_subtotal", "item_surcharge_subtotal": "item_surcharge_subtotal", "trans_surcharge_subtotal": "trans_surcharge_subtotal"}
     return ranked.select(
-        "trace_rank", c("duplicate_rank").alias("raw_row_rank"), "duplicate_row_count", *D, c("order_status").alias("status"), c("destination_raw").alias("destination"), "branch_id",
-        x.to_milli(c("order_total")).alias("total_milli"), x.to_milli(c("order_payment_subtotal")).alias("payment_subtotal_milli"), x.to_milli(c("order_included_tax")).alias("included_tax_subtotal_milli"),
-        "sequence", "shift_number", "top_sample_status", "top_sample_destination",
+        "trace_rank", c("duplicate_rank").alias("raw_row_rank"), "duplicate_row_count", *D, c("order_status").alias("status"), c("destination_raw").alias("destination"), "branch_id", c("branch_raw").alias("branch"),
+        *(x.to_milli(c(f"order_{k}")).alias(f"{v}_milli") for k, v in money.items()),
+        "transaction_created", "transaction_submitted", "transaction_voided", "void_sale_period", "created", "modified", "sequence", "sale_period", "shift_number", "top_sample_status", "top_sample_destination",
     )
 
 
@@ -163,10 +198,11 @@ def duplicate_order_summary(stats: DataFrame) -> DataFrame:
     return rows_of(one, [(k, {"value": v}) for k, v in [*first, *((k, c(k)) for k in tests)]])
 
 
-def status_dedup_candidate_summary(chain: Chain) -> DataFrame:
-    """Sixteen counts over raw rows, candidates and which statuses meet in one key."""
+def status_dedup_candidate_summary(chain: Chain, stats: DataFrame | None = None) -> DataFrame:
+    """Sixteen counts over raw rows, candidates and which statuses meet in one key. stats: order_duplicate_stats, if made already."""
     dup = c("row_count") > 1
-    stats = o.order_duplicate_stats(chain.src.orders).agg(
+    stats = o.order_duplicate_stats(chain.src.orders) if stats is None else stats
+    stats = stats.agg(
         total(c("row_count")).alias("raw_order_rows"), F.count("*").alias("raw_order_keys"), number(dup).alias("duplicate_order_keys"), total(c("row_count"), dup).alias("duplicate_raw_rows"),
         *(number(dup & (c(f"{k}_count") > 1)).alias(f"{k}_mismatch_duplicate_keys") for k in ("status", "financial", "included_tax", "total")),
     )
@@ -204,8 +240,9 @@ def payment_mapping_summary(chain: Chain) -> DataFrame:
 
 def reconciliation_summary(chain: Chain) -> DataFrame:
     """One row: source sums of orders with items beside the sums of the fact."""
-    source = {"gross": "order_gross_sales", "discount": "order_discount_total", "surcharge": "order_surcharge_total", "net": "order_net_sales", "ex_tax": "order_sales_ex_tax", "included_tax": "order_included_tax", "addition_discount": "addition_discount_total", "addition_surcharge": "addition_surcharge_total", "addition_include_tax": "addition_include_tax_total"}
-    left = chain.financials.where(c("item_count") > 0).agg(F.count("*").alias("source_order_count"), *(F.coalesce(x.to_milli(x.money_sum(c(v))), F.lit(0)).alias(f"source_{k}_milli") for k, v in source.items()))
+    source = {"gross": "order_gross_sales", "discount": "order_discount_total", "surcharge": "order_surcharge_total", "net": "order_net_sales", "ex_tax": "order_sales_ex_tax", "included_tax": "order_included_tax", "excluded_tax": "order_excluded_tax", "tax": "order_tax_total", "addition_discount": "addition_discount_total", "addition_surcharge": "addition_surcharge_total", "addition_include_tax": "addition_include_tax_total"}
+    rows = chain.financials.withColumn("order_tax_total", c("order_included_tax") + c("order_excluded_tax"))
+    left = rows.where(c("item_count") > 0).agg(F.count("*").alias("source_order_count"), *(F.coalesce(x.to_milli(x.money_sum(c(v))), F.lit(0)).alias(f"source_{k}_milli") for k, v in source.items()))
     right = chain.fact().agg(F.count("*").alias("preview_group_count"), *(total(c(m)).alias(f"preview_{m}") for m in MEASURES))
     return left.crossJoin(right)
 

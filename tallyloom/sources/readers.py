@@ -18,7 +18,8 @@ class Sources(NamedTuple):
 
 
 def read_raw_text(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A table of pipe-delimited text in folders by day (``t_open_date=...``)."""
+    """A table of pipe-delimited text in folders by day (``t_open_date=...``). An empty field is null, as \\N is; the sales rules take
+    a blank text and none for the same."""
     return spark.read.schema(f"{SOURCES[name]}, {DAY}").option("sep", "|").option("nullValue", "\\N").option("quote", "").csv(path)
 
 
@@ -41,7 +42,7 @@ def raw_to_parquet(spark: SparkSession, path: str, name: str, to: str) -> None:
 
 def write_raw_text(df: DataFrame, path: str) -> None:
     """The text twin of a source, by day."""
-    df.write.mode("overwrite").partitionBy("t_open_date").option("sep", "|").option("nullValue", "\\N").option("quote", "\u0000").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    df.write.mode("overwrite").partitionBy("t_open_date").option("sep", "|").option("nullValue", "\\N").option("emptyValue", "").option("quote", "\u0000").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def window(src: Sources, start: str | None = None, end: str | None = None) -> Sources:
