@@ -26,6 +26,15 @@ def allowed(allow: tuple[str, ...] = (), deny: tuple[str, ...] = ()) -> Column:
     return out & ~c("product_no").isin(*deny) if deny else out
 
 
+def product_summary(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """Quantity and net sales of each product of the dimension, by owner; no product is left out."""
+    return sums(with_products(fact, products), "owner_user_id", "product_no", "product_name")
+
+
+def product_summary_top(fact: DataFrame, products: DataFrame, n: int = 5) -> DataFrame:
+    return product_summary(fact, products).orderBy(F.desc_nulls_last("net_sales_milli"), "product_no", "owner_user_id").limit(n)
+
+
 def product_leaderboard(fact: DataFrame, products: DataFrame, n: int = 5, allow: tuple[str, ...] = (), deny: tuple[str, ...] = ()) -> DataFrame:
     named = with_products(fact, products).where(c("is_active") & allowed(allow, deny))
     return sums(named, "owner_user_id", "product_no", "product_name").orderBy(F.desc("net_sales_milli"), F.desc("qty_milli"), "product_no").limit(n)
@@ -40,6 +49,17 @@ def top(fact: DataFrame, key: str, measure: str, n: int = 5) -> DataFrame:
     return sums(fact, key, measures=tuple(MEASURES)).orderBy(F.desc_nulls_last(measure), key).limit(n)
 
 
+def top_branches(fact: DataFrame, branches: DataFrame, measure: str, n: int = 5) -> DataFrame:
+    """The branches of largest sums of a measure, with their names."""
+    return top(fact, "branch_id", measure, n).join(branches.select("branch_id", "branch_name"), "branch_id", "left")
+
+
+def with_code(by: DataFrame, key: str) -> DataFrame:
+    """Sums by type with the type's code."""
+    name = {"order_type_id": x.order_type_code, "payment_type_id": x.payment_type_code}[key]
+    return by.withColumn("code", name(c(key)))
+
+
 def mix(fact: DataFrame, key: str) -> DataFrame:
     """Sums by key with their share of the net sales of all."""
     by = sums(fact, key)

@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import exprs as x
 from ..operators.allocation import Chain
-from ..schemas import MEASURES
+from ..schemas import GRAIN, MEASURES
 from ..sources import readers
 from ..sources.pos_adapter import pos_sources
-from . import analytics, contracts, dims, gates, oracle, writing
+from . import analytics, contracts, dims, gates, jobs, oracle, writing
 from .catalog import ORACLE, QUERIES, register
+from .jobs import branch_dim, product_dim, scratch
 
 c = F.col
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder (spark.checkpoint.dir); a temporary one only where that isn't set."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or 'file://' + tempfile.mkdtemp()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # dimensions
 PDS = f"""pds AS (SELECT trim(i.product_no) AS product_no, {oracle.blank('i.product_name', 'UNKNOWN_PRODUCT_NAME')} AS product_name, nullif(trim(i.cate_no), '') AS cate_no, nullif(trim(i.cate_name), '') AS cate_name, max(i.t_open_date) AS last_seen, count(*) AS row_count
  FROM od o JOIN pos_items i ON i.order_id = o.order_id AND i.t_open_date = o.business_date WHERE trim(coalesce(i.product_no, '')) <> '' GROUP BY 1, 2, 3, 4),
@@ -47,14 +41,6 @@ register("product_conflict_samples", lambda k: dims.conflict_samples(dims.produc
 register("branch_conflict_samples", lambda k: dims.conflict_samples(dims.branch_ranked(dims.branch_dim_source(k)), "branch_id", dims.branch_label()), _samples("br", "branch_id", "branch_name || '|group=' || coalesce(group_code, '') || '|rows=' || cast(row_count AS varchar)"), BDS)
 
 
-def product_dim(k: Chain) -> DataFrame:
-    return dims.product_dim(dims.candidates(dims.product_ranked(dims.product_dim_source(k))))
-
-
-def branch_dim(k: Chain) -> DataFrame:
-    return dims.branch_dim(dims.candidates(dims.branch_ranked(dims.branch_dim_source(k))))
-
-
 _norm = "regexp_replace(lower(trim({c})), '\\s+', ' ', 'g')"
 PD = f"pd AS (SELECT cast(1 AS bigint) AS owner_user_id, product_no, product_name, {_norm.format(c='product_name')} AS product_name_normalized, cate_no, cate_name, true AS is_active, cast(last_seen AS timestamp) AS last_seen_at FROM pr WHERE variant_rank = 1)"
 BD = f"bd AS (SELECT cast(1 AS bigint) AS owner_user_id, branch_id, branch_name, {_norm.format(c='branch_name')} AS branch_name_normalized, group_code, true AS is_active, last_seen AS last_seen_at FROM br WHERE variant_rank = 1)"
@@ -76,28 +62,220 @@ ZERO = ", ".join(f"cast(0 AS bigint) AS {m}_delta" for m in ["row_count", *MEASU
 SUMS = ", ".join(f"cast(sum({m}) AS bigint) AS {m}" for m in MEASURES)
 register("candidate_metrics", lambda k: gates.fact_metrics(k.fact()), f"SELECT owner_user_id, business_date, count(*) AS row_count, {SUMS} FROM fact GROUP BY 1, 2")
 SRC = f"srcm AS (SELECT f.*, l.item_count, o.n AS status_1_row_count, cast(0 AS bigint) AS non_status_1_row_count, o.n AS latest_row_count FROM (SELECT owner_user_id, business_date, count(*) AS row_count, {SUMS} FROM fact GROUP BY 1, 2) f LEFT JOIN (SELECT business_date, count(*) AS item_count FROM al GROUP BY 1) l ON l.business_date = f.business_date LEFT JOIN (SELECT business_date, count(*) AS n FROM od GROUP BY 1) o ON o.business_date = f.business_date)"
-register("source_metrics", gates.source_metrics, "SELECT * FROM srcm", SRC)
-spoiled = lambda k: k.fact().withColumn("discount_milli", F.when((c("product_no") == "P3") & (F.dayofmonth("business_date") == 7), c("discount_milli") + 1).otherwise(c("discount_milli")))
-register("compare_metrics", lambda k: gates.compare_metrics(gates.source_metrics(k), gates.fact_metrics(spoiled(k))).select(*gates.KEY, "discount_milli_delta", "net_sales_milli_delta", "reasons", "passed", "rounding_warning"),
-         "SELECT owner_user_id, business_date, n AS discount_milli_delta, cast(0 AS bigint) AS net_sales_milli_delta, CASE WHEN n > 0 THEN 'discount_milli_delta=' || cast(n AS varchar) ELSE '' END AS reasons, n = 0 AS passed, false AS rounding_warning FROM (SELECT owner_user_id, business_date, count(*) FILTER (product_no = 'P3' AND day(business_date) = 7) AS n FROM fact GROUP BY 1, 2)")
-register("dimension_gate", lambda k: gates.dimension_gate(k.fact(), product_dim(k).where("product_no <> 'P5'"), branch_dim(k), dims.code_dims(k.orders.sparkSession)), "SELECT owner_user_id, business_date, count(*) FILTER (product_no = 'P5') AS product_miss_count, cast(0 AS bigint) AS branch_miss_count, cast(0 AS bigint) AS order_type_miss_count, cast(0 AS bigint) AS payment_type_miss_count, count(*) FILTER (product_no = 'P5') = 0 AS passed FROM fact GROUP BY 1, 2")
-register("pre_insert_report", lambda k: gates.pre_insert_report(s := gates.source_metrics(k), gates.fact_metrics(k.fact()).join(s.select(*gates.KEY, "item_count"), gates.KEY, "left"), gates.dimension_gate(k.fact(), product_dim(k), branch_dim(k), dims.code_dims(k.orders.sparkSession)), k.fact().columns).select(*gates.KEY, "reasons", "metrics_passed", "dims_passed", "forbidden_columns", "passed"), "SELECT owner_user_id, business_date, '' AS reasons, true AS metrics_passed, true AS dims_passed, '' AS forbidden_columns, true AS passed FROM fact GROUP BY 1, 2")
-register("forbidden_columns", lambda k: k.fact().withColumn("order_num", F.lit(1)).agg(F.count("*").alias("row_count")).withColumn("forbidden_columns", F.lit(",".join(gates.forbidden_columns([*k.fact().columns, "order_num"])))), "SELECT count(*) AS row_count, 'order_num' AS forbidden_columns FROM fact")
-register("fact_contract_check", lambda k: gates.fact_contract_check(k.fact().union(k.fact().where("product_no = 'P3'"))), "SELECT count(*) FILTER (product_no = 'P3') AS duplicate_rows, cast(0 AS bigint) AS hour_violations, cast(0 AS bigint) AS null_key_rows, cast(0 AS bigint) AS identity_violations FROM fact")
-register("smoke_checks", lambda k: product_dim(k).agg(F.count("*").alias("product_count")).crossJoin(branch_dim(k).agg(F.count("*").alias("branch_count"))).crossJoin(k.fact().agg(F.count("*").alias("fact_count"))).withColumn("passed", (c("product_count") > 0) & (c("branch_count") > 0) & (c("fact_count") > 0)), "SELECT *, product_count > 0 AND branch_count > 0 AND fact_count > 0 AS passed FROM (SELECT (SELECT count(*) FROM pd) AS product_count, (SELECT count(*) FROM bd) AS branch_count, (SELECT count(*) FROM fact) AS fact_count)", ALL)
+register("source_metrics", lambda k: gates.source_metrics(k.allocations, k.orders), "SELECT * FROM srcm", SRC)
+
+
+def spoiled(k: Chain) -> DataFrame:
+    """The fact with a thousandth more discount on product P3 on each 7th."""
+    wrong = (c("product_no") == "P3") & (F.dayofmonth("business_date") == 7)
+    return k.fact().withColumn("discount_milli", F.when(wrong, c("discount_milli") + 1).otherwise(c("discount_milli")))
+
+
+SPOILED = "(SELECT owner_user_id, business_date, count(*) FILTER (product_no = 'P3' AND day(business_date) = 7) AS n FROM fact GROUP BY 1, 2)"
+
+
+def compared(k: Chain) -> DataFrame:
+    target = gates.fact_metrics(spoiled(k)).withColumn("rounding_delta_milli", F.dayofmonth("business_date").cast("bigint"))
+    out = gates.compare_metrics(gates.source_metrics(k.allocations, k.orders), target)
+    return out.select(*gates.KEY, "discount_milli_delta", "net_sales_milli_delta", "reasons", "passed", "rounding_warning")
+
+
+register(
+    "compare_metrics",
+    compared,
+    f"""SELECT owner_user_id, business_date, 0 - n AS discount_milli_delta, cast(0 AS bigint) AS net_sales_milli_delta,
+  CASE WHEN n > 0 THEN 'discount_milli_delta=' || cast(0 - n AS varchar) ELSE '' END AS reasons, n = 0 AS passed, day(business_date) > 1 AS rounding_warning
+ FROM {SPOILED}""",
+)
+register(
+    "post_insert_report",
+    lambda k: gates.post_insert_report(gates.source_metrics(k.allocations, k.orders), spoiled(k)).select(*gates.KEY, "scope", "reasons", "passed"),
+    f"""SELECT owner_user_id, business_date, 'persisted_fact' AS scope, CASE WHEN n > 0 THEN 'discount_milli_delta=' || cast(0 - n AS varchar) ELSE '' END AS reasons,
+  n = 0 AS passed FROM {SPOILED}""",
+)
+
+
+def gate_with_faults(k: Chain) -> DataFrame:
+    """Every count of the dimension gate above 0 on some day: a product, a branch and two codes are missing, rows of product P2 are
+    written for the day after theirs, and the metrics name orders of another status and older versions."""
+    day = F.dayofmonth("business_date")
+    fact = k.fact().withColumn("sale_period", F.when(c("product_no") == "P2", F.date_add("business_date", 1)).otherwise(c("business_date")))
+    source = gates.source_metrics(k.allocations, k.orders)
+    source = source.withColumn("non_status_1_row_count", F.when(day == 3, 2).otherwise(0)).withColumn("latest_row_count", c("status_1_row_count") - F.when(day == 4, 1).otherwise(0))
+    codes = dims.code_dims(k.orders.sparkSession).where("not (kind = 'order_type' and id = 7) and not (kind = 'payment_type' and id = 5)")
+    return gates.dimension_gate(fact, product_dim(k).where("product_no <> 'P5'"), branch_dim(k).where("branch_id <> 'B3'"), codes, source)
+
+
+FAULTS = """gf AS (SELECT owner_user_id, CASE WHEN product_no = 'P2' THEN business_date + interval 1 day ELSE business_date END :: date AS business_date,
+  count(*) FILTER (product_no = 'P5') AS product_miss_count, count(*) FILTER (branch_id = 'B3') AS branch_miss_count, count(*) FILTER (order_type_id = 7) AS order_type_miss_count,
+  count(*) FILTER (payment_type_id = 5) AS payment_type_miss_count, count(*) FILTER (product_no = 'P2') AS other_day_count FROM fact GROUP BY 1, 2),
+ days AS (SELECT DISTINCT business_date FROM fact),
+ gt AS (SELECT gf.*, cast(CASE WHEN days.business_date IS NOT NULL AND day(gf.business_date) = 3 THEN 2 ELSE 0 END AS bigint) AS non_status_1_count,
+  cast(CASE WHEN days.business_date IS NOT NULL AND day(gf.business_date) = 4 THEN 1 ELSE 0 END AS bigint) AS not_latest_count FROM gf LEFT JOIN days ON days.business_date = gf.business_date)"""
+_counted = ", ".join(f"CASE WHEN {n} > 0 THEN '{n}=' || cast({n} AS varchar) END" for n in gates.DIMENSION_COUNTS)
+register("dimension_gate", gate_with_faults, f"SELECT *, concat_ws(';', {_counted}) AS dim_reasons, {' + '.join(gates.DIMENSION_COUNTS)} = 0 AS passed FROM gt", FAULTS)
+
+
+def pre_insert(k: Chain) -> DataFrame:
+    """The report before writing, of a spoiled candidate with a forbidden column and a missing product."""
+    source, fact = gates.source_metrics(k.allocations, k.orders), spoiled(k)
+    candidate = gates.fact_metrics(fact).join(source.select(*gates.KEY, "item_count"), gates.KEY, "left")
+    gate = gates.dimension_gate(fact, product_dim(k).where("product_no <> 'P5'"), branch_dim(k), dims.code_dims(k.orders.sparkSession), source)
+    return gates.pre_insert_report(source, candidate, gate, [*fact.columns, "order_num"]).select(*gates.KEY, "reasons", "metrics_passed", "dims_passed", "forbidden_columns", "passed")
+
+
+register(
+    "pre_insert_report",
+    pre_insert,
+    """SELECT owner_user_id, business_date, concat_ws(';', CASE WHEN n > 0 THEN 'discount_milli_delta=' || cast(0 - n AS varchar) END,
+  CASE WHEN m > 0 THEN 'product_miss_count=' || cast(m AS varchar) END, 'forbidden_column_count=1') AS reasons, n = 0 AS metrics_passed, m = 0 AS dims_passed, 'order_num' AS forbidden_columns, false AS passed
+ FROM (SELECT owner_user_id, business_date, count(*) FILTER (product_no = 'P3' AND day(business_date) = 7) AS n, count(*) FILTER (product_no = 'P5') AS m FROM fact GROUP BY 1, 2)""",
+)
+register(
+    "forbidden_columns",
+    lambda k: k.orders.select(*(F.lit(n).alias(n) for n in gates.forbidden_columns(k.orders.columns))).limit(1).select(F.concat_ws(",", "*").alias("forbidden_columns")),
+    "SELECT 'void_sale_period' AS forbidden_columns FROM od LIMIT 1",
+)
+register(
+    "fact_contract_check",
+    lambda k: gates.fact_contract_check(k.fact().union(k.fact().where("product_no = 'P3'"))),
+    """SELECT count(*) FILTER (product_no = 'P3') AS duplicate_rows, cast(0 AS bigint) AS hour_violations, cast(0 AS bigint) AS null_key_rows,
+  cast(0 AS bigint) AS identity_violations FROM fact""",
+)
 
 # writing and planning
 
 
 def gated_write(k: Chain, mode: str = "write") -> DataFrame:
+    """Syncs the dimensions, then writes the fact against them."""
     spark = k.orders.sparkSession
-    return writing.write_fact(k, product_dim(k), branch_dim(k), dims.code_dims(spark), scratch(spark, "fact"), mode).select(*gates.KEY, "row_count", "passed", "post_passed", "status", "rows_written")
+    place = scratch(spark, "job")
+    jobs.sync_dims(k, place, "apply")
+    products, branches = (spark.read.parquet(f"{place}/{n}") for n in jobs.DIMENSIONS)
+    return writing.write_fact(k, products, branches, dims.code_dims(spark), f"{place}/fact", mode)
 
 
+DAYS = [*gates.KEY, "row_count", *gates.DIMENSION_COUNTS, "metrics_passed", "reasons", "passed", "post_passed", "status", "rows_written"]
 DAILY = "(SELECT owner_user_id, business_date, count(*) AS n FROM fact GROUP BY 1, 2)"
-register("gated_write", gated_write, f"SELECT owner_user_id, business_date, n AS row_count, true AS passed, true AS post_passed, 'succeeded' AS status, n AS rows_written FROM {DAILY}")
-register("gated_validate", lambda k: gated_write(k, "validate"), f"SELECT owner_user_id, business_date, n AS row_count, true AS passed, cast(NULL AS boolean) AS post_passed, 'validated' AS status, cast(0 AS bigint) AS rows_written FROM {DAILY}")
-register("run_summary", lambda k: writing.run_summary(gated_write(k)), f"SELECT count(*) AS processed_days, count(*) AS succeeded_days, cast(0 AS bigint) AS failed_days, cast(0 AS bigint) AS skipped_days, true AS all_gates_passed, cast(sum(n) AS bigint) AS rows_written FROM {DAILY}")
+_none = ", ".join(f"cast(0 AS bigint) AS {n}" for n in gates.DIMENSION_COUNTS)
+register(
+    "gated_write",
+    lambda k: gated_write(k).select(*DAYS),
+    f"""SELECT owner_user_id, business_date, n AS row_count, {_none}, true AS metrics_passed, '' AS reasons, true AS passed, true AS post_passed,
+  'succeeded' AS status, n AS rows_written FROM {DAILY}""",
+)
+register(
+    "gated_validate",
+    lambda k: gated_write(k, "validate").select(*DAYS),
+    f"""SELECT owner_user_id, business_date, n AS row_count, {_none}, true AS metrics_passed, '' AS reasons, true AS passed, cast(NULL AS boolean) AS post_passed,
+  'validated' AS status, cast(0 AS bigint) AS rows_written FROM {DAILY}""",
+)
+FIRST_BAD = "(SELECT min(business_date) FROM fact WHERE product_no = 'P5')"
+
+
+def write_without_product(k: Chain) -> DataFrame:
+    """A product isn't in the dimension: its first day fails, and the days from there aren't written."""
+    spark = k.orders.sparkSession
+    out = writing.write_fact(k, product_dim(k).where("product_no <> 'P5'"), branch_dim(k), dims.code_dims(spark), scratch(spark, "fact"))
+    return out.select(*gates.KEY, "product_miss_count", "status", "rows_written")
+
+
+register(
+    "gated_write_stops",
+    write_without_product,
+    f"""SELECT owner_user_id, business_date, m AS product_miss_count, CASE WHEN m > 0 THEN 'failed' WHEN business_date < {FIRST_BAD} THEN 'succeeded' ELSE 'skipped' END AS status,
+  CASE WHEN business_date < {FIRST_BAD} THEN n ELSE 0 END AS rows_written
+ FROM (SELECT owner_user_id, business_date, count(*) AS n, count(*) FILTER (product_no = 'P5') AS m FROM fact GROUP BY 1, 2)""",
+)
+register(
+    "run_summary",
+    lambda k: writing.run_summary(gated_write(k)),
+    f"""SELECT count(*) AS processed_days, count(*) AS succeeded_days, cast(0 AS bigint) AS failed_days, cast(0 AS bigint) AS skipped_days, true AS source_candidate_equal,
+  true AS source_persisted_equal, {_none}, cast(0 AS bigint) AS failed_gate_days, cast(sum(n) AS bigint) AS rows_written FROM {DAILY}""",
+)
+register(
+    "smoke_checks",
+    lambda k: gates.smoke_checks(k.fact(), product_dim(k), branch_dim(k)),
+    """SELECT *, least(product_count, branch_count, fact_count, leaderboard_count, summary_count) > 0 AS passed FROM (SELECT (SELECT count(*) FROM pd) AS product_count,
+  (SELECT count(*) FROM bd) AS branch_count, (SELECT count(*) FROM fact) AS fact_count, cast(5 AS bigint) AS leaderboard_count, (SELECT count(DISTINCT product_no) FROM fact) AS summary_count)""",
+    ALL,
+)
+
+
+def synced_twice(k: Chain) -> tuple[DataFrame, DataFrame]:
+    """The report of a second sync over all days, after a first one over those until the middle of 1996, and the product dimension then."""
+    spark = k.orders.sparkSession
+    place = scratch(spark, "dims")
+    jobs.sync_dims(Chain(readers.window(k.src, None, "1996-06-30")), place, "apply")
+    report = jobs.sync_dims(k, place, "apply")
+    return report, spark.read.parquet(f"{place}/pos_product_dim")
+
+
+def _synced(dim: str, rows: str, key: str, first: str, samples: str, mode: str) -> str:
+    return f"""SELECT '{dim}' AS dimension, count(*) AS candidate_count, count(*) FILTER (f.k IS NULL) AS inserted, count(f.k) AS updated,
+  (SELECT count(*) FROM (SELECT {key} FROM {rows} GROUP BY 1 HAVING count(*) > 1)) AS conflict_count, coalesce((SELECT string_agg({key} || ': ' || variants, chr(10) ORDER BY {key} || ': ' || variants) FROM ({samples})), '') AS conflict_samples,
+  (SELECT count(*) FROM {first}) AS rows_before, (SELECT count(*) FROM {first}) + count(*) FILTER (f.k IS NULL) AS rows_after, {mode} AS written
+ FROM (SELECT DISTINCT {key} AS k FROM {rows}) a LEFT JOIN {first} f ON f.k = a.k"""
+
+
+SYNCED = f"""{ALL}, pf AS (SELECT DISTINCT trim(i.product_no) AS k FROM od o JOIN pos_items i ON i.order_id = o.order_id AND i.t_open_date = o.business_date
+  WHERE trim(coalesce(i.product_no, '')) <> '' AND o.business_date <= date '1996-06-30'),
+ bf AS (SELECT DISTINCT branch_id AS k FROM od WHERE business_date <= date '1996-06-30'), nf AS (SELECT k FROM pf WHERE false)"""
+_PS = _samples("pr", "product_no", "product_name || '|' || coalesce(cate_no, '') || '|' || coalesce(cate_name, '') || '|rows=' || cast(row_count AS varchar)")
+_BS = _samples("br", "branch_id", "branch_name || '|group=' || coalesce(group_code, '') || '|rows=' || cast(row_count AS varchar)")
+register(
+    "sync_dims_apply",
+    lambda k: synced_twice(k)[0],
+    _synced("pos_product_dim", "pds", "product_no", "pf", _PS, "true") + " UNION ALL " + _synced("pos_branch_dim", "bds", "branch_id", "bf", _BS, "true"),
+    SYNCED,
+)
+register(
+    "sync_dims_plan",
+    lambda k: jobs.sync_dims(k, scratch(k.orders.sparkSession, "dims")),
+    _synced("pos_product_dim", "pds", "product_no", "nf", _PS, "false") + " UNION ALL " + _synced("pos_branch_dim", "bds", "branch_id", "nf", _BS, "false"),
+    SYNCED,
+)
+register("synced_product_dim", lambda k: synced_twice(k)[1], "SELECT * FROM pd", ALL)
+
+# The columns of each report that a dry run's lines have; the reports' own entries compare all columns.
+DRY = {
+    "source_counts": ["source_table", "row_count"],
+    "preview_count": ["preview_group_count"],
+    "reconciliation_summary": ["source_order_count", "source_net_milli", "source_tax_milli", "preview_group_count", "preview_net_sales_milli", "preview_tax_milli"],
+    "top_tax_delta_sample": ["business_date", "order_id", "delta_milli", "status"],
+    "status_excluded_summary": ["status", "order_keys", "raw_rows", "total_milli", "destination_distribution"],
+    "preview_sample": ["business_date", "branch_id", "product_no", "net_sales_milli"],
+    "order_mapping_summary": ["order_type_id", "row_count", "raw_destination_count"],
+    "payment_mapping_summary": ["payment_type_id", "row_count", "raw_payment_name_count"],
+    "tax_reconciliation_breakdown": ["sort_order", "metric", "order_count", "net_sales_milli", "included_tax_milli"],
+    "additions_tax_debug": ["sort_order", "metric", "tax_milli"],
+    "rounding_debug": ["sort_order", "metric", "value_milli"],
+    "order_trace": ["trace_rank", "section_order", "section", "row_order", "order_id", "delta_milli"],
+    "duplicate_order_summary": ["sort_order", "metric", "value"],
+    "duplicate_order_trace": ["trace_rank", "raw_row_rank", "order_id", "sequence"],
+    "status_dedup_candidate_summary": ["sort_order", "metric", "value"],
+    "status_dedup_reconciliation_comparison": ["sort_order", "metric", "value_milli"],
+    "top_delta_before_after": ["order_id", "business_date", "raw_status_list", "current_delta_milli", "status_dedup_delta_milli"],
+}
+
+
+def dry_lines(reports_: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all reports as text, with the report's name."""
+    out = None
+    for name, df in reports_.items():
+        part = df.select(F.lit(name).alias("section"), F.concat_ws("|", *(F.coalesce(c(k).cast("string"), F.lit("")) for k in DRY[name])).alias("line"))
+        out = part if out is None else out.union(part)
+    return out
+
+
+def _dry_sql(names: list[str]) -> str:
+    line = lambda n: "concat_ws('|', " + ", ".join(f"coalesce(cast({k} AS varchar), '')" for k in DRY[n]) + ")"
+    return " UNION ALL ".join(f"SELECT '{n}' AS section, {line(n)} AS line FROM ({ORACLE[n]})" for n in names)
+
+
+QUERIES["dry_run_fast"] = lambda spark, sf_dir: dry_lines(jobs.dry_run(Chain(pos_sources(spark, sf_dir))))
+QUERIES["dry_run_full"] = lambda spark, sf_dir: dry_lines(jobs.dry_run(Chain(s := pos_sources(spark, sf_dir)), "full", Chain(s, False)))
+ORACLE["dry_run_fast"], ORACLE["dry_run_full"] = _dry_sql(jobs.FAST), _dry_sql(list(DRY))
 
 
 def target_metrics(k: Chain) -> DataFrame:
@@ -108,40 +286,72 @@ def target_metrics(k: Chain) -> DataFrame:
 
 
 register("target_metrics_after_replace", target_metrics, "SELECT owner_user_id, business_date, count(*) AS row_count, cast(sum(qty_milli) + CASE WHEN month(business_date) = 3 THEN count(*) ELSE 0 END AS bigint) AS qty_milli, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli FROM fact GROUP BY 1, 2")
-register("persisted_daily_counts", lambda k: writing.persisted_daily_counts(k.fact()), "SELECT business_date, count(*) AS row_count FROM fact GROUP BY 1")
+register(
+    "persisted_daily_counts",
+    lambda k: writing.persisted_daily_counts(k.fact().union(k.fact(2)), 2, "1995-01-01", "1996-06-30"),
+    "SELECT business_date, count(*) AS row_count FROM fact WHERE business_date BETWEEN date '1995-01-01' AND date '1996-06-30' GROUP BY 1",
+)
 register("plan_days", lambda k: writing.plan_days(k.orders.sparkSession, k.fact(), "1995-01-01", "2001-12-31"), "SELECT cast(d AS date) AS business_date, coalesce(n, 0) AS persisted_rows, CASE WHEN n IS NULL THEN 'pending' ELSE 'completed' END AS status FROM (SELECT unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) AS d) LEFT JOIN (SELECT business_date, count(*) AS n FROM fact GROUP BY 1) f ON f.business_date = cast(d AS date)")
 
 
-def raw_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payments as text by day, converted to Parquet and read back within a window."""
-    wanted = [f.split()[0] for f in " ".join(readers.SOURCES["order_payments"].split()).split(", ")]
-    payments = pos_sources(spark, sf_dir).payments
-    full = payments.select(*(c(n) if n in payments.columns else F.lit(None).cast("string").alias(n) for n in wanted), "t_open_date")
+def raw_round_trip(spark: SparkSession, sf_dir: str, name: str = "order_payments") -> DataFrame:
+    """A source as text by day, converted to Parquet and read back; columns that the source hasn't are null."""
+    declared = [f.split()[:2] for f in " ".join(readers.SOURCES[name].split()).split(", ")]
+    rows = dict(zip(("orders", "order_items", "order_additions", "order_payments"), pos_sources(spark, sf_dir), strict=True))[name]
+    full = rows.select(*((c(n) if n in rows.columns else F.lit(None)).cast(kind).alias(n) for n, kind in declared), "t_open_date")
     text, parquet = scratch(spark, "text"), scratch(spark, "parquet")
     readers.write_raw_text(full.repartition("t_open_date"), text)
-    readers.raw_to_parquet(spark, text, "order_payments", parquet)
-    return readers.read_source(spark, parquet, "order_payments", "1996-01-01", "1996-12-31").select("id", "order_id", "name", c("amount").cast("double").alias("amount"), "t_open_date")
+    readers.raw_to_parquet(spark, text, name, parquet)
+    return readers.read_source(spark, parquet, name, "1900-01-01", "2999-12-31")
 
 
-QUERIES["raw_text_to_parquet"] = raw_round_trip
-ORACLE["raw_text_to_parquet"] = oracle.sql("SELECT id, order_id, name, amount, t_open_date FROM pos_payments WHERE t_open_date BETWEEN date '1996-01-01' AND date '1996-12-31'")
-register("code_dims", lambda k: k.base.groupBy("order_status").agg(F.count("*").alias("row_count")).join(F.broadcast(dims.code_dims(k.orders.sparkSession).where("kind = 'status'")), c("order_status") == c("id"), "left").select("order_status", "code", "row_count"), "SELECT order_status, CASE order_status WHEN 1 THEN 'normal_sales' WHEN -2 THEN 'void' WHEN -1 THEN 'cancelled_like' WHEN 2 THEN 'other_excluded' END AS code, count(*) AS row_count FROM ob GROUP BY 1")
+QUERIES["raw_text_to_parquet"] = lambda spark, sf_dir: raw_round_trip(spark, sf_dir).select("id", "order_id", "name", c("amount").cast("double").alias("amount"), "t_open_date")
+ORACLE["raw_text_to_parquet"] = oracle.sql("SELECT id, order_id, name, amount, t_open_date FROM pos_payments")
+def coded(k: Chain) -> DataFrame:
+    """Orders by status and type, with codes of a table whose labels were changed and then seeded again."""
+    fixed = dims.code_dims(k.orders.sparkSession)
+    codes = F.broadcast(dims.reseed(fixed.withColumn("code", F.lit("changed")), fixed))
+    by = k.base.groupBy("order_status", "order_type_id").agg(F.count("*").alias("row_count"))
+    of = lambda kind, key: codes.where(c("kind") == kind).select(c("id").alias(key), c("code").alias(f"{kind}_code"))
+    return by.join(of("status", "order_status"), "order_status", "left").join(of("order_type", "order_type_id"), "order_type_id", "left")
+
+
+register(
+    "seed_dims",
+    coded,
+    f"""SELECT order_status, order_type_id, count(*) AS row_count, {oracle.names("order_status", x.STATUSES)} AS status_code,
+  {oracle.names("order_type_id", x.ORDER_TYPES)} AS order_type_code FROM ob GROUP BY 1, 2""",
+)
 
 # analytics
-NORMAL = "NOT regexp_matches(p.product_name, '幣|券|折抵|折扣|點數|贈|服務費|運費|調整|測試') AND NOT contains(lower(p.product_name), 'test')"
+NORMAL = f"NOT regexp_matches(p.product_name, '{x.SPECIAL_PRODUCT}') AND NOT contains(lower(p.product_name), 'test')"
 FP = "fact f JOIN pd p ON p.owner_user_id = f.owner_user_id AND p.product_no = f.product_no"
 QN = "cast(sum(qty_milli) AS bigint) AS qty_milli, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli"
 register("product_leaderboard", lambda k: analytics.product_leaderboard(k.fact(), product_dim(k)), f"SELECT f.owner_user_id, f.product_no, p.product_name, {QN} FROM {FP} WHERE {NORMAL} GROUP BY 1, 2, 3 ORDER BY net_sales_milli DESC, qty_milli DESC, product_no LIMIT 5", ALL)
-register("product_summary", lambda k: analytics.sums(k.fact(), "product_no"), f"SELECT product_no, {QN} FROM fact GROUP BY 1")
-register("product_summary_top", lambda k: analytics.sums(k.fact(), "product_no").orderBy(F.desc_nulls_last("net_sales_milli"), "product_no").limit(5), f"SELECT product_no, {QN} FROM fact GROUP BY 1 ORDER BY net_sales_milli DESC NULLS LAST, product_no LIMIT 5")
+SUMMARY = f"SELECT f.owner_user_id, f.product_no, p.product_name, {QN} FROM {FP} GROUP BY 1, 2, 3"
+register("product_summary", lambda k: analytics.product_summary(k.fact(), product_dim(k)), SUMMARY, ALL)
+register("product_summary_top", lambda k: analytics.product_summary_top(k.fact(), product_dim(k)), f"{SUMMARY} ORDER BY net_sales_milli DESC NULLS LAST, product_no LIMIT 5", ALL)
+register("fact_sorted", lambda k: k.fact().orderBy(*GRAIN[1:]), f"SELECT * FROM fact ORDER BY {', '.join(GRAIN[1:])}")
 register("excluded_products_audit", lambda k: analytics.excluded_products_audit(k.fact(), product_dim(k), deny=("P3",)), f"SELECT f.owner_user_id, f.product_no, p.product_name, {QN} FROM {FP} WHERE NOT ({NORMAL}) OR f.product_no = 'P3' GROUP BY 1, 2, 3", ALL)
 for _m in ("qty_milli", "gross_sales_milli", "net_sales_milli", "sales_ex_tax_milli"):
     register(f"top_products_by_{_m.removesuffix('_milli')}", lambda k, m=_m: analytics.top(k.fact(), "product_no", m), f"SELECT product_no, {SUMS} FROM fact GROUP BY 1 ORDER BY {_m} DESC NULLS LAST, product_no LIMIT 5")
-register("top_branches", lambda k: analytics.top(k.fact(), "branch_id", "net_sales_milli").join(branch_dim(k).select("branch_id", "branch_name"), "branch_id", "left"), f"SELECT t.*, b.branch_name FROM (SELECT branch_id, {SUMS} FROM fact GROUP BY 1 ORDER BY net_sales_milli DESC NULLS LAST, branch_id LIMIT 5) t LEFT JOIN bd b ON b.branch_id = t.branch_id", ALL)
+for _m in ("net_sales_milli", "qty_milli", "tax_milli", "discount_milli", "surcharge_milli"):
+    register(
+        f"top_branches_by_{_m.removesuffix('_milli')}",
+        lambda k, m=_m: analytics.top_branches(k.fact(), branch_dim(k), m),
+        f"""SELECT t.*, b.branch_name FROM (SELECT branch_id, {SUMS} FROM fact GROUP BY 1 ORDER BY {_m} DESC NULLS LAST, branch_id LIMIT 5) t
+ LEFT JOIN bd b ON b.branch_id = t.branch_id""",
+        ALL,
+    )
 for _n, _by in {"hourly_sales": ("hour_of_day",), "branch_hour_sales": ("branch_id", "hour_of_day"), "product_hour_sales": ("product_no", "hour_of_day"), "product_branch_cross": ("product_no", "branch_id"), "daily_trend": ("business_date",)}.items():
     register(_n, lambda k, by=_by: analytics.sums(k.fact(), *by), f"SELECT {', '.join(_by)}, {QN} FROM fact GROUP BY ALL")
-for _n, _key in {"order_type_mix": "order_type_id", "payment_type_mix": "payment_type_id"}.items():
-    register(_n, lambda k, key=_key: analytics.mix(k.fact(), key), f"SELECT *, cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER () AS bigint) AS double) AS net_share FROM (SELECT {_key}, {QN} FROM fact GROUP BY 1)")
+for _n, _key, _codes in (("order_type_mix", "order_type_id", x.ORDER_TYPES), ("payment_type_mix", "payment_type_id", x.PAYMENT_TYPES)):
+    register(
+        _n,
+        lambda k, key=_key: analytics.with_code(analytics.mix(k.fact(), key), key),
+        f"""SELECT *, cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER () AS bigint) AS double) AS net_share,
+  {oracle.names(_key, _codes)} AS code FROM (SELECT {_key}, {QN} FROM fact GROUP BY 1)""",
+    )
 register("tax_discount_summary", lambda k: analytics.sums(k.fact(), "owner_user_id", "business_date", measures=("discount_milli", "surcharge_milli", "included_tax_milli", "tax_milli")), "SELECT owner_user_id, business_date, cast(sum(discount_milli) AS bigint) AS discount_milli, cast(sum(surcharge_milli) AS bigint) AS surcharge_milli, cast(sum(included_tax_milli) AS bigint) AS included_tax_milli, cast(sum(tax_milli) AS bigint) AS tax_milli FROM fact GROUP BY 1, 2")
 for _key in ("product_no", "branch_id", "hour_of_day"):
     register(f"share_of_sales_by_{_key}", lambda k, key=_key: analytics.share_of_sales(k.fact(), key), f"SELECT *, cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER () AS bigint) AS double) AS share FROM (SELECT owner_user_id, {_key}, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli FROM fact GROUP BY 1, 2)")
@@ -155,7 +365,12 @@ LOCATIONS = """loc AS (SELECT cast(1 AS bigint) AS owner_user_id, branch_id, 'S'
  CASE WHEN branch_id = 'B8' THEN 'lost' ELSE 'matched' END AS location_status FROM ob GROUP BY branch_id)"""
 WEATHER = """wea AS (SELECT DISTINCT cast(1 AS bigint) AS owner_user_id, CASE WHEN month(business_date) = 1 THEN NULL ELSE branch_id END AS location, business_date AS signal_date, CASE WHEN day(business_date) % 2 = 0 THEN 'forecast' ELSE 'actual' END AS observation_kind,
  cast(day(business_date) AS double) AS value, business_date AS updated_at FROM ob WHERE order_status = 1)"""
-PROMOTION = "prom AS (SELECT DISTINCT cast(1 AS bigint) AS owner_user_id, cast(NULL AS string) AS location, CASE WHEN month(business_date) = 2 THEN NULL ELSE product_no END AS item, business_date AS signal_date, cast(month(business_date) AS double) AS value, business_date AS updated_at FROM il0 WHERE product_no IN ('P10', 'P20'))"
+#: A third of the days each: for a product in a branch, for a product, for a branch; and for all on each 28th. Each scope has another value.
+PROMOTION = """prom AS (SELECT DISTINCT cast(1 AS bigint) AS owner_user_id, CASE WHEN day(business_date) % 3 = 0 OR day(business_date) % 3 = 2 THEN branch_id END AS location,
+  CASE WHEN day(business_date) % 3 < 2 THEN product_no END AS item, business_date AS signal_date, cast(100 + month(business_date) * 10 + day(business_date) % 3 AS double) AS value, business_date AS updated_at
+ FROM il0 WHERE product_no IN ('P10', 'P20', 'P30', 'P40', 'P50') AND branch_id <> 'B4'
+ UNION ALL SELECT DISTINCT cast(1 AS bigint), cast(NULL AS string), cast(NULL AS string), business_date, cast(7 AS double), business_date FROM il0 WHERE day(business_date) >= 20
+ UNION ALL SELECT DISTINCT cast(1 AS bigint), branch_id, cast(NULL AS string), business_date, cast(8 AS double), business_date FROM il0 WHERE day(business_date) IN (21, 24) AND branch_id IN ('B1', 'B2'))"""
 
 
 def _made(k: Chain, sql: str) -> DataFrame:
@@ -179,14 +394,59 @@ def imported(k: Chain) -> tuple[DataFrame, DataFrame]:
 
 
 register("location_replace_import", lambda k: imported(k)[0].select("branch_id", "station_id", "valid_from", "valid_to"), "SELECT branch_id, station_id, valid_from, CASE WHEN branch_id IN ('B9', 'B10') THEN date '1997-12-31' END AS valid_to FROM loc UNION ALL SELECT branch_id, 'new', date '1998-01-01', NULL FROM loc WHERE branch_id IN ('B9', 'B10')", LOCATIONS)
-register("location_import_audit", lambda k: imported(k)[1], "SELECT count(*) AS previous_current, count(*) FILTER (branch_id IN ('B9', 'B10')) AS closed, count(*) FILTER (branch_id IN ('B9', 'B10')) AS inserted FROM loc", LOCATIONS)
+_json = "'{\"branch_id\":\"' || branch_id || '\",\"station_id\":\"' || {station} || '\",\"valid_from\":\"' || cast({day} AS varchar) || '\"}}'"
+
+
+def _snapshot(station: str, day: str, test: str) -> str:
+    row = _json.replace("{station}", station).replace("{day}", day).replace("}}", "}")
+    return f"'[' || string_agg({row}, ',' ORDER BY branch_id) FILTER ({test}) || ']'"
+
+
+register(
+    "location_import_audit",
+    lambda k: imported(k)[1],
+    f"""SELECT cast(1 AS bigint) AS owner_user_id, count(*) FILTER ({{b}}) AS row_count, count(*) AS previous_current, count(*) FILTER ({{b}}) AS closed, count(*) FILTER ({{b}}) AS inserted,
+  {_snapshot("station_id", "valid_from", "true")} AS previous_mappings, {_snapshot("'new'", "date '1998-01-01'", "{b}")} AS imported_mappings FROM loc""".replace("{b}", "branch_id IN ('B9', 'B10')"),
+    LOCATIONS,
+)
 register("location_as_of", lambda k: contracts.location_as_of(k.fact(), imported(k)[0]).groupBy("branch_id", "station_id").agg(F.count("*").alias("row_count")), "SELECT f.branch_id, CASE WHEN l.verification_status <> 'verified' THEN NULL WHEN f.branch_id IN ('B9', 'B10') AND f.business_date >= date '1998-01-01' THEN 'new' ELSE l.station_id END AS station_id, count(*) AS row_count FROM fact f LEFT JOIN loc l ON l.branch_id = f.branch_id GROUP BY 1, 2", LOCATIONS)
-register("signal_upsert", lambda k: contracts.signal_upsert(w := _made(k, WEATHER), w.where("day(signal_date) < 15").withColumn("value", c("value") + 100), "weather").select("owner_user_id", "location", "signal_date", "observation_kind", "value"), "SELECT owner_user_id, location, signal_date, observation_kind, max(value) + CASE WHEN day(signal_date) < 15 THEN 100 ELSE 0 END AS value FROM wea GROUP BY 1, 2, 3, 4", WEATHER)
+register(
+    "signal_upsert_weather",
+    lambda k: contracts.signal_upsert(w := _made(k, WEATHER), w.where("day(signal_date) < 15").withColumn("value", c("value") + 100), "weather").select("owner_user_id", "location", "signal_date", "observation_kind", "value"),
+    "SELECT owner_user_id, location, signal_date, observation_kind, max(value) + CASE WHEN day(signal_date) < 15 THEN 100 ELSE 0 END AS value FROM wea GROUP BY 1, 2, 3, 4",
+    WEATHER,
+)
+for _kind, _test in (("promotion", "true"), ("availability", "item IS NOT NULL")):
+    register(
+        f"signal_upsert_{_kind}",
+        lambda k, kind=_kind, test=_test: contracts.signal_upsert(p := _made(k, PROMOTION).where(test), p.where("day(signal_date) < 24").withColumn("value", c("value") + 100), kind).select("owner_user_id", "location", "item", "signal_date", "value"),
+        f"SELECT owner_user_id, location, item, signal_date, max(value) + CASE WHEN day(signal_date) < 24 THEN 100 ELSE 0 END AS value FROM prom WHERE {_test} GROUP BY 1, 2, 3, 4",
+        PROMOTION,
+    )
 register("signal_contract_check", lambda k: contracts.signal_contract_check(_made(k, WEATHER), _made(k, PROMOTION)), "SELECT (SELECT count(*) FROM wea WHERE observation_kind NOT IN ('forecast', 'actual')) AS weather_kind, cast(0 AS bigint) AS weather_date, (SELECT count(*) FROM prom WHERE item IS NULL) AS availability_item, cast(0 AS bigint) AS availability_date", f"{WEATHER}, {PROMOTION}")
 _key = ["business_date", "hour_of_day", "branch_id", "product_no", "order_type_id", "payment_type_id"]
 _frame = lambda k: k.fact().withColumn("location", c("branch_id"))
-_W = "(SELECT max(value) FROM wea w WHERE w.signal_date = f.business_date AND w.location = f.branch_id AND observation_kind = '{k}')"
-_WN = "(SELECT max(value) FROM wea w WHERE w.signal_date = f.business_date AND w.location IS NULL AND observation_kind = '{k}')"
-_P = "coalesce((SELECT max(value) FROM prom p WHERE p.signal_date = f.business_date AND p.item = f.product_no), (SELECT max(value) FROM prom p WHERE p.signal_date = f.business_date AND p.item IS NULL))"
-register("forecast_frame", lambda k: contracts.forecast_frame(_frame(k), _made(k, WEATHER), _made(k, PROMOTION)).select(*_key, "weather_forecast", "promotion"), f"SELECT {', '.join(_key)}, coalesce({_W.format(k='forecast')}, {_WN.format(k='forecast')}) AS weather_forecast, {_P} AS promotion FROM fact f", f"{WEATHER}, {PROMOTION}")
-register("retrospective_frame", lambda k: contracts.retrospective_frame(_frame(k), _made(k, WEATHER), _made(k, PROMOTION), _made(k, PROMOTION).where("item is not null")).select(*_key, "weather_forecast", "promotion", "weather_actual", "availability"), f"SELECT {', '.join(_key)}, coalesce({_W.format(k='forecast')}, {_WN.format(k='forecast')}) AS weather_forecast, {_P} AS promotion, coalesce({_W.format(k='actual')}, {_WN.format(k='actual')}) AS weather_actual, (SELECT max(value) FROM prom p WHERE p.signal_date = f.business_date AND p.item = f.product_no) AS availability FROM fact f", f"{WEATHER}, {PROMOTION}")
+
+
+def _best(table: str, scopes: list[str], more: str = "true") -> str:
+    """The value of the first scope that has one."""
+    return "coalesce(" + ", ".join(f"(SELECT max(value) FROM {table} s WHERE s.signal_date = f.business_date AND {scope} AND {more})" for scope in scopes) + ")"
+
+
+_at, _any = "s.location = f.branch_id", "s.location IS NULL"
+_of, _all = "s.item = f.product_no", "s.item IS NULL"
+FOUR = [f"{a} AND {b}" for a, b in ((_at, _of), (_at, _all), (_any, _of), (_any, _all))]
+_forecast, _actual = (_best("wea", [_at, _any], f"observation_kind = '{kind}'") for kind in ("forecast", "actual"))
+register(
+    "forecast_frame",
+    lambda k: contracts.forecast_frame(_frame(k), _made(k, WEATHER), _made(k, PROMOTION)).select(*_key, "weather_forecast", "promotion"),
+    f"SELECT {', '.join(_key)}, {_forecast} AS weather_forecast, {_best('prom', FOUR)} AS promotion FROM fact f",
+    f"{WEATHER}, {PROMOTION}",
+)
+register(
+    "retrospective_frame",
+    lambda k: contracts.retrospective_frame(_frame(k), _made(k, WEATHER), _made(k, PROMOTION), _made(k, PROMOTION).where("item is not null")).select(*_key, "weather_forecast", "promotion", "weather_actual", "availability"),
+    f"""SELECT {', '.join(_key)}, {_forecast} AS weather_forecast, {_best('prom', FOUR)} AS promotion, {_actual} AS weather_actual,
+  {_best('prom', [FOUR[0], FOUR[2]])} AS availability FROM fact f""",
+    f"{WEATHER}, {PROMOTION}",
+)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,43 +42,59 @@ def location_as_of(fact: DataFrame, m: DataFrame) -> DataFrame:
 
 
 def location_replace_import(current: DataFrame, batch: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
-    """The mapping after an import, and its audit row. Open versions of the batch's branches end the day before."""
+    """The mapping after an import, and its audit row for each owner: rows of the batch, open versions before, closed ones, inserted
+    ones, and both as JSON (an owner's branches, one by one in order). Open versions of the batch's branches end the day before."""
     keys = batch.select("owner_user_id", "branch_id").distinct().withColumn("__new", F.lit(True))
     marked = current.join(keys, ["owner_user_id", "branch_id"], "left")
     closing = c("__new") & c("valid_to").isNull()
     after = marked.withColumn("valid_to", F.when(closing, F.date_sub(F.lit(day).cast("date"), 1)).otherwise(c("valid_to"))).select(*current.columns).unionByName(batch.select(*current.columns))
-    audit = marked.agg(F.count(F.when(c("valid_to").isNull(), 1)).alias("previous_current"), F.count(F.when(closing, 1)).alias("closed")).crossJoin(batch.agg(F.count("*").alias("inserted")))
+    snapshot = lambda name: F.to_json(F.array_sort(F.collect_list(F.struct("branch_id", "station_id", c("valid_from").cast("string").alias("valid_from"))))).alias(name)
+    owners = batch.select("owner_user_id").distinct()
+    before = marked.join(owners, "owner_user_id", "left_semi").groupBy("owner_user_id").agg(F.count(F.when(c("valid_to").isNull(), 1)).alias("previous_current"), F.count(F.when(closing, 1)).alias("closed"), snapshot("previous_mappings"))
+    new = batch.groupBy("owner_user_id").agg(F.count("*").alias("row_count"), F.count("*").alias("inserted"), snapshot("imported_mappings"))
+    audit = new.join(before, "owner_user_id", "left").withColumns({k: F.coalesce(k, F.lit(0)) for k in ("previous_current", "closed")}).withColumn("previous_mappings", F.coalesce("previous_mappings", F.lit("[]")))
     return after, audit
 
 
 def signal_upsert(current: DataFrame, new: DataFrame, kind: str) -> DataFrame:
-    """One row for each grain, null keys equal; new rows win, of several the latest ``updated_at``."""
+    """One row for each grain, null keys equal; new rows win, of several the latest ``updated_at``, then the largest values."""
     grain = GRAINS[kind]
     both = current.withColumn("__order", F.lit(0)).unionByName(new.withColumn("__order", F.lit(1)))
     values = [k for k in current.columns if k not in grain]
-    return both.groupBy(*grain).agg(F.max_by(F.struct(*values), F.struct("__order", "updated_at", "value")).alias("v")).select(*grain, "v.*")
+    return both.groupBy(*grain).agg(F.max_by(F.struct(*values), F.struct("__order", "updated_at", *(k for k in values if k != "updated_at"))).alias("v")).select(*grain, "v.*")
 
 
 def signal_contract_check(weather: DataFrame, availability: DataFrame) -> DataFrame:
     return weather.agg(_count(~c("observation_kind").isin("forecast", "actual"), "weather_kind"), _count(c("signal_date").isNull(), "weather_date")).crossJoin(availability.agg(_count(c("item").isNull(), "availability_item"), _count(c("signal_date").isNull(), "availability_date")))
 
 
-def scoped(fact: DataFrame, signal: DataFrame, name: str, narrow: str) -> DataFrame:
-    """``fact`` with a signal's value: that of its own ``narrow`` key, else the wider one whose key is null. Two equi-joins."""
+def scoped(fact: DataFrame, signal: DataFrame, name: str, keys: tuple[str, ...]) -> DataFrame:
+    """``fact`` with a signal's value for the row's day and scope. A null key of a signal holds for all values of it; of the signals
+    that fit, the one with most own keys counts, and of equally many the one whose earlier key (in ``keys``) is its own. One
+    equi-join for each scope, never a test of null in a join."""
     base = ["owner_user_id", "business_date"]
     s = signal.withColumnRenamed("signal_date", "business_date")
-    own = s.where(c(narrow).isNotNull()).groupBy(*base, narrow).agg(F.max("value").alias("__own"))
-    wide = s.where(c(narrow).isNull()).groupBy(*base).agg(F.max("value").alias("__wide"))
-    return fact.join(own, [*base, narrow], "left").join(wide, base, "left").withColumn(name, F.coalesce("__own", "__wide")).drop("__own", "__wide")
+    out, found = fact, []
+    for n in range(len(keys), -1, -1):
+        for own in combinations(keys, n):
+            test = F.lit(True)
+            for k in keys:
+                test = test & (c(k).isNotNull() if k in own else c(k).isNull())
+            found.append(f"__{len(found)}")
+            out = out.join(s.where(test).groupBy(*base, *own).agg(F.max("value").alias(found[-1])), [*base, *own], "left")
+    return out.withColumn(name, F.coalesce(*found)).drop(*found)
+
+
+PLACE, ITEM = ("location",), ("location", "product_no")
 
 
 def forecast_frame(fact: DataFrame, weather: DataFrame, promotion: DataFrame) -> DataFrame:
-    """Only what is known ahead: forecasts and promotions."""
-    out = scoped(fact, weather.where(c("observation_kind") == "forecast"), "weather_forecast", "location")
-    return scoped(out, promotion.withColumnRenamed("item", "product_no"), "promotion", "product_no")
+    """Only what is known ahead: forecasts and promotions. fact: with the column location."""
+    out = scoped(fact, weather.where(c("observation_kind") == "forecast"), "weather_forecast", PLACE)
+    return scoped(out, promotion.withColumnRenamed("item", "product_no"), "promotion", ITEM)
 
 
 def retrospective_frame(fact: DataFrame, weather: DataFrame, promotion: DataFrame, availability: DataFrame) -> DataFrame:
     """The forecast frame with what is known afterwards: actual weather and availability."""
-    out = scoped(forecast_frame(fact, weather, promotion), weather.where(c("observation_kind") == "actual"), "weather_actual", "location")
-    return scoped(out, availability.withColumnRenamed("item", "product_no"), "availability", "product_no")
+    out = scoped(forecast_frame(fact, weather, promotion), weather.where(c("observation_kind") == "actual"), "weather_actual", PLACE)
+    return scoped(out, availability.withColumnRenamed("item", "product_no"), "availability", ITEM)

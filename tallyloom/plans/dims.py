@@ -89,3 +89,9 @@ def code_dims(spark: SparkSession) -> DataFrame:
     """All fixed codes: kind, id, code."""
     rows = [(k, i, n) for k, d in (("order_type", x.ORDER_TYPES), ("payment_type", x.PAYMENT_TYPES), ("status", x.STATUSES)) for i, n in d.items()]
     return spark.createDataFrame(rows, "kind string, id int, code string")
+
+
+def reseed(current: DataFrame, codes: DataFrame) -> DataFrame:
+    """``current`` codes (kind, id, code) with the fixed ones put in: labels are overwritten, other ids stay."""
+    own = codes.withColumnRenamed("code", "__code")
+    return current.join(F.broadcast(own), ["kind", "id"], "full_outer").select("kind", "id", F.coalesce("__code", "code").alias("code"))

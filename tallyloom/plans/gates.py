@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.allocation import Chain
-from ..schemas import FORBIDDEN, GRAIN, MEASURES
+from ..schemas import FORBIDDEN, GRAIN, MEASURES, D
+from . import analytics
 
 c = F.col
 KEY = ["owner_user_id", "business_date"]
@@ -18,37 +18,59 @@ def fact_metrics(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*KEY).agg(F.count("*").alias("row_count"), *(F.sum(m).alias(m) for m in MEASURES))
 
 
-def source_metrics(chain: Chain, owner: int = 1) -> DataFrame:
-    """The fact's sums with the number of allocated lines and of status 1 orders by day."""
-    grain = chain.allocations.withColumn("owner_user_id", F.lit(owner).cast("bigint")).groupBy(*GRAIN).agg(*(F.sum(m).alias(m) for m in MEASURES), F.count("*").alias("lines"))
+def source_metrics(allocations: DataFrame, orders: DataFrame, owner: int = 1) -> DataFrame:
+    """What the allocated lines add up to by day, with the number of fact rows and lines that they make, and of the chosen orders
+    those of status 1, of another status, and the newest ones (one for each order and day)."""
+    keyed = allocations.withColumn("owner_user_id", F.lit(owner).cast("bigint"))
+    grain = keyed.groupBy(*GRAIN).agg(*(F.sum(m).alias(m) for m in MEASURES), F.count("*").alias("lines"))
     days = grain.groupBy(*KEY).agg(F.count("*").alias("row_count"), *(F.sum(m).alias(m) for m in MEASURES), F.sum("lines").alias("item_count"))
-    orders = chain.orders.groupBy("business_date").agg(F.count("*").alias("status_1_row_count"))
-    return days.join(orders, "business_date", "left").withColumn("non_status_1_row_count", F.lit(0).cast("bigint")).withColumn("latest_row_count", c("status_1_row_count"))
+    by_order = orders.groupBy(*D).agg(F.count_if(c("order_status") == 1).alias("ones"), F.count("*").alias("n"))
+    counts = by_order.groupBy("business_date").agg(F.sum("ones").alias("status_1_row_count"), F.sum(c("n") - c("ones")).alias("non_status_1_row_count"), F.count("*").alias("latest_row_count"))
+    return days.join(counts, "business_date", "left")
 
 
 def compare_metrics(source: DataFrame, target: DataFrame, scope: str = "persisted_fact") -> DataFrame:
-    """Per owner and day: the deltas (target - source), whether all are 0 and both sides are there, and the reasons if not.
-    Scope pre_insert_candidate compares item_count too. A rounding delta over 1 only warns."""
-    measures = COMPARED + ["item_count"] * (scope == "pre_insert_candidate")
-    side = lambda df, tag: df.select(*KEY, *(c(m).alias(f"{tag}{m}") for m in measures))
+    """Per owner and day: the deltas (source - target), whether all are 0 and both sides are there, and the reasons if not.
+    Scope pre_insert_candidate compares item_count too, which must be known on both sides. If a side has a column
+    rounding_delta_milli, one over 1 warns but fails nothing."""
+    items = scope == "pre_insert_candidate"
+    measures = COMPARED + ["item_count"] * items
+    given = lambda df: [k for k in (*measures, "rounding_delta_milli") if k in df.columns]
+    side = lambda df, tag: df.select(*KEY, *(c(m).alias(f"{tag}{m}") for m in given(df)))
     joined = side(source, "s_").join(side(target, "t_"), KEY, "full_outer")
-    delta = {m: F.coalesce(f"t_{m}", F.lit(0)) - F.coalesce(f"s_{m}", F.lit(0)) for m in measures}
-    out = joined.select(*KEY, F.lit(scope).alias("scope"), c("s_row_count").isNull().alias("source_missing"), c("t_row_count").isNull().alias("target_missing"), *(d.alias(f"{m}_delta") for m, d in delta.items()))
-    reasons = F.array_compact(F.array(F.when(c("source_missing"), "source missing"), F.when(c("target_missing"), "target missing"), *(F.when(c(f"{m}_delta") != 0, F.concat(F.lit(f"{m}_delta="), c(f"{m}_delta").cast("string"))) for m in measures)))
-    return out.withColumn("reasons", F.array_join(reasons, ";")).withColumn("passed", c("reasons") == "").withColumn("rounding_warning", F.abs("net_sales_milli_delta") > 1)
+    value = lambda m, df, tag: c(f"{tag}{m}") if m in df.columns else F.lit(None).cast("bigint")
+    delta = {m: F.coalesce(f"s_{m}", F.lit(0)) - F.coalesce(f"t_{m}", F.lit(0)) for m in COMPARED}
+    if items:
+        delta["item_count"] = value("item_count", source, "s_") - value("item_count", target, "t_")
+    rounding = F.coalesce(value("rounding_delta_milli", source, "s_"), value("rounding_delta_milli", target, "t_"), F.lit(0))
+    out = joined.select(*KEY, F.lit(scope).alias("scope"), c("s_row_count").isNull().alias("source_missing"), c("t_row_count").isNull().alias("target_missing"), *(d.alias(f"{m}_delta") for m, d in delta.items()), (F.abs(rounding) > 1).alias("rounding_warning"))
+    tests = [F.when(c("source_missing"), "source missing"), F.when(c("target_missing"), "target missing"), *(F.when(c(f"{m}_delta") != 0, F.concat(F.lit(f"{m}_delta="), c(f"{m}_delta").cast("string"))) for m in measures)]
+    tests += [F.when(c("item_count_delta").isNull(), "item_count unknown")] * items
+    return out.withColumn("reasons", F.array_join(F.array_compact(F.array(*tests)), ";")).withColumn("passed", c("reasons") == "")
 
 
-def dimension_gate(fact: DataFrame, products: DataFrame, branches: DataFrame, codes: DataFrame) -> DataFrame:
-    """Fact rows by owner and day whose product, branch or codes aren't in the dimensions. The fixed codes are broadcast (22
-    rows); Spark chooses for the others by their size."""
+MISSES = {"product_miss_count": "has_product", "branch_miss_count": "has_branch", "order_type_miss_count": "has_order_type_id", "payment_type_miss_count": "has_payment_type_id"}
+DIMENSION_COUNTS = [*MISSES, "other_day_count", "non_status_1_count", "not_latest_count"]
+
+
+def dimension_gate(fact: DataFrame, products: DataFrame, branches: DataFrame, codes: DataFrame, source: DataFrame) -> DataFrame:
+    """By owner and day: fact rows whose product, branch or codes aren't in the dimensions; rows of another day than the one they are
+    written for (column sale_period, if the fact has it); and of the ``source`` metrics, orders of another status and older versions.
+    The fixed codes are broadcast (22 rows); Spark chooses for the others by their size."""
     of = lambda kind, k: F.broadcast(codes.where(c("kind") == kind).select(c("id").cast("smallint").alias(k), F.lit(1).alias(f"has_{k}")))
+    rows = fact if "sale_period" in fact.columns else fact.withColumn("sale_period", c("business_date"))
     joined = (
-        fact.join(products.select("owner_user_id", "product_no", F.lit(1).alias("has_product")), ["owner_user_id", "product_no"], "left")
+        rows.join(products.select("owner_user_id", "product_no", F.lit(1).alias("has_product")), ["owner_user_id", "product_no"], "left")
         .join(branches.select("owner_user_id", "branch_id", F.lit(1).alias("has_branch")), ["owner_user_id", "branch_id"], "left")
         .join(of("order_type", "order_type_id"), "order_type_id", "left").join(of("payment_type", "payment_type_id"), "payment_type_id", "left")
     )
-    miss = {"product_miss_count": "has_product", "branch_miss_count": "has_branch", "order_type_miss_count": "has_order_type_id", "payment_type_miss_count": "has_payment_type_id"}
-    return joined.groupBy(*KEY).agg(*(F.count(F.when(c(v).isNull(), 1)).alias(k) for k, v in miss.items())).withColumn("passed", F.greatest(*miss) == 0)
+    other_day = F.count_if(~c("business_date").eqNullSafe(c("sale_period"))).alias("other_day_count")
+    counts = joined.groupBy("owner_user_id", c("sale_period").alias("business_date")).agg(*(F.count(F.when(c(v).isNull(), 1)).alias(k) for k, v in MISSES.items()), other_day)
+    zero = lambda v: F.coalesce(v, F.lit(0))
+    status = source.select(*KEY, zero(c("non_status_1_row_count")).alias("non_status_1_count"), F.greatest(zero(c("status_1_row_count") - c("latest_row_count")), F.lit(0)).alias("not_latest_count"))
+    out = counts.join(status, KEY, "left").withColumns({k: zero(c(k)) for k in ("non_status_1_count", "not_latest_count")})
+    reasons = F.array_compact(F.array(*(F.when(c(k) > 0, F.concat(F.lit(f"{k}="), c(k).cast("string"))) for k in DIMENSION_COUNTS)))
+    return out.select(*KEY, *DIMENSION_COUNTS).withColumn("dim_reasons", F.array_join(reasons, ";")).withColumn("passed", F.greatest(*DIMENSION_COUNTS) == 0)
 
 
 def forbidden_columns(names: list[str]) -> list[str]:
@@ -64,8 +86,23 @@ def fact_contract_check(fact: DataFrame) -> DataFrame:
 
 
 def pre_insert_report(source: DataFrame, candidate: DataFrame, dims: DataFrame, names: list[str]) -> DataFrame:
-    """Comparison, dimension gate and forbidden columns together, by owner and day."""
+    """Comparison, dimension gate and forbidden columns together, by owner and day, with the reasons of all three."""
     bad = forbidden_columns(names)
     compared = compare_metrics(source, candidate, "pre_insert_candidate").withColumnRenamed("passed", "metrics_passed")
     joined = compared.join(dims.withColumnRenamed("passed", "dims_passed"), KEY, "left")
-    return joined.withColumn("forbidden_columns", F.lit(",".join(bad))).withColumn("passed", c("metrics_passed") & F.coalesce("dims_passed", F.lit(False)) & F.lit(not bad))
+    columns = f"forbidden_column_count={len(bad)}" if bad else ""
+    reasons = F.array_join(F.filter(F.array(c("reasons"), F.coalesce("dim_reasons", F.lit("dimension gate missing")), F.lit(columns)), lambda r: r != ""), ";")
+    return joined.withColumn("reasons", reasons).withColumn("forbidden_columns", F.lit(",".join(bad))).withColumn("passed", c("metrics_passed") & F.coalesce("dims_passed", F.lit(False)) & F.lit(not bad))
+
+
+def post_insert_report(source: DataFrame, persisted: DataFrame) -> DataFrame:
+    """The source against what was written and read back, by owner and day."""
+    return compare_metrics(source, fact_metrics(persisted), "persisted_fact")
+
+
+def smoke_checks(fact: DataFrame, products: DataFrame, branches: DataFrame) -> DataFrame:
+    """One row: products, branches, fact rows, rows of the leaderboard and of the product summary, and whether there are any of each."""
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    one = count(products, "product_count").crossJoin(count(branches, "branch_count")).crossJoin(count(fact, "fact_count"))
+    one = one.crossJoin(count(analytics.product_leaderboard(fact, products), "leaderboard_count")).crossJoin(count(analytics.product_summary(fact, products), "summary_count"))
+    return one.withColumn("passed", F.least(*one.columns) > 0)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.allocation import Chain
+from ..operators.allocation import Chain, hourly_fact
 from ..schemas import GRAIN, MEASURES
 from . import gates
 
@@ -27,41 +27,66 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: DataFrame, path: str, mode: str = "write", owner: int = 1) -> DataFrame:
     """Gates, then writes: validate stops after the gates before writing, plan too but reports days, write publishes.
 
-    The fact is written once to staging; what is gated is what is published. Days from the first that fails on aren't
-    published. Returns a row for each day: gates, status and rows written."""
+    The chain runs once, to lines in staging that both the gates and the fact are made from. Of the days before the first that
+    fails a gate the fact is written to staging, read back and compared with its source; what equals it is published, up to the
+    first day that doesn't. Staging is deleted in the end. Returns a row for each day: gates, status and rows written."""
     if mode not in ("validate", "plan", "write"):
         raise ValueError(mode)
     spark = products.sparkSession
-    staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
-    write_fact_day_replace(chain.fact(owner), staging)
-    staged = read_fact(spark, staging)
-    source = gates.source_metrics(chain, owner).persist()  # a row for each day
-    candidate = gates.fact_metrics(staged).join(source.select(*gates.KEY, "item_count"), gates.KEY, "left")
-    pre = gates.pre_insert_report(source, candidate, gates.dimension_gate(staged, products, branches, codes), staged.columns)
-    days = pre.select(*gates.KEY, "reasons", "passed").join(candidate.select(*gates.KEY, "row_count"), gates.KEY, "left").persist()
-    first_bad = days.where(~c("passed")).agg(F.min("business_date")).first()[0]
-    good = F.lit(True) if first_bad is None else c("business_date") < F.lit(first_bad)
-    if mode == "write":
-        write_fact_day_replace(staged.where(good), path)
-        post = gates.compare_metrics(candidate, gates.fact_metrics(read_fact(spark, path)), "persisted_fact").select(*gates.KEY, c("passed").alias("post_passed"))
-        days = days.join(post, gates.KEY, "left")
-    else:
-        days = days.withColumn("post_passed", F.lit(None).cast("boolean"))
-    status = F.when(~c("passed"), "failed").when(~good, "skipped").when(F.lit(mode != "write"), F.lit("validated" if mode == "validate" else "planned")).when(c("post_passed"), "succeeded").otherwise("failed")
-    return days.withColumn("status", status).withColumn("rows_written", F.when(c("status") == "succeeded", F.coalesce("row_count", F.lit(0))).otherwise(0))
-
-
-def persisted_daily_counts(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("business_date").agg(F.count("*").alias("row_count"))
-
-
-def plan_days(spark: SparkSession, fact: DataFrame, start: str, end: str, force: bool = False) -> DataFrame:
+    place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
+    staged = lambda df, name: (df.write.parquet(f"{place}/{name}"), spark.read.schema(df.schema).parquet(f"{place}/{name}"))[1]
+    try:
+        lines = staged(chain.allocations, "lines")
+        fact = hourly_fact(lines, owner)
+        source = staged(gates.source_metrics(lines, chain.orders, owner), "source")
+        candidate = gates.fact_metrics(fact).join(source.select(*gates.KEY, "item_count"), gates.KEY, "left")
+        pre = gates.pre_insert_report(source, candidate, gates.dimension_gate(fact, products, branches, codes, source), fact.columns)
+        days = staged(pre.join(source.select(*gates.KEY, "row_count"), gates.KEY, "left").select(*gates.KEY, "row_count", *gates.DIMENSION_COUNTS, "metrics_passed", "reasons", "passed"), "days")
+        first = lambda failed: days.where(failed).agg(F.min("business_date")).first()[0]
+        before = lambda day: F.lit(True) if day is None else c("business_date") < F.lit(day)
+        good = before(first(~c("passed")))
+        if mode == "write":
+            write_fact_day_replace(fact.where(good), f"{place}/fact")
+            written = read_fact(spark, f"{place}/fact")
+            post = gates.post_insert_report(source.where(good), written).select(*gates.KEY, c("passed").alias("post_passed"))
+            days = staged(days.join(post, gates.KEY, "left"), "compared")
+            good = good & before(first(c("post_passed") == F.lit(False)))
+            write_fact_day_replace(written.where(good), path)
+        else:
+            days = days.withColumn("post_passed", F.lit(None).cast("boolean"))
+        done = {"validate": "validated", "plan": "planned", "write": "succeeded"}[mode]
+        status = F.when(~c("passed") | (c("post_passed") == F.lit(False)), "failed").when(~good, "skipped").otherwise(done)
+        out = days.withColumn("status", status).withColumn("rows_written", F.when(F.lit(mode == "write") & (c("status") == done), F.coalesce("row_count", F.lit(0))).otherwise(0))
+        return spark.createDataFrame(out.toArrow(), out.schema)  # a row for each day
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(place)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def persisted_daily_counts(fact: DataFrame, owner: int = 1, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows by day of an owner, in a window of days with both ends."""
+    mine = fact.where(c("owner_user_id") == owner)
+    mine = mine if start is None else mine.where(c("business_date") >= F.lit(start).cast("date"))
+    mine = mine if end is None else mine.where(c("business_date") <= F.lit(end).cast("date"))
+    return mine.groupBy("business_date").agg(F.count("*").alias("row_count"))
+
+
+def plan_days(spark: SparkSession, fact: DataFrame, start: str, end: str, force: bool = False, owner: int = 1) -> DataFrame:
     """One row for each day of the window: completed if the fact has it, else pending; forced days are pending too."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("business_date"))
-    done = persisted_daily_counts(fact.where(c("business_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
+    done = persisted_daily_counts(fact, owner, start, end)
     return days.join(done, "business_date", "left").select("business_date", F.coalesce("row_count", F.lit(0)).alias("persisted_rows"), F.when(c("row_count").isNull() | F.lit(force), "pending").otherwise("completed").alias("status"))
 
 
 def run_summary(days: DataFrame) -> DataFrame:
-    count = lambda s: F.count(F.when(c("status") == s, 1)).alias(f"{s}_days")
-    return days.agg(F.count("*").alias("processed_days"), count("succeeded"), count("failed"), count("skipped"), F.coalesce(F.bool_and(c("passed")), F.lit(True)).alias("all_gates_passed"), F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written"))
+    """One row over the days of a run: their numbers by status (skipped ones aren't processed), whether source and candidate, and
+    source and what was written, were equal on all days that were compared, misses, failed days and rows written."""
+    count = lambda name, *s: F.count(F.when(c("status").isin(*s), 1)).alias(name)
+    judged = ~c("status").isin("planned", "skipped")
+    every = lambda test, of: F.coalesce(F.bool_and(F.when(of, test)), F.lit(True))
+    total = lambda k: F.coalesce(F.sum(F.when(judged, c(k))), F.lit(0))
+    return days.agg(
+        F.count(F.when(c("status") != "skipped", 1)).alias("processed_days"), count("succeeded_days", "succeeded", "validated", "planned"), count("failed_days", "failed"), count("skipped_days", "skipped"),
+        every(c("metrics_passed"), judged).alias("source_candidate_equal"), (every(c("post_passed"), judged) & (F.count("post_passed") > 0)).alias("source_persisted_equal"),
+        *(total(k).alias(k) for k in gates.DIMENSION_COUNTS), F.count(F.when(judged & (c("status") == "failed"), 1)).alias("failed_gate_days"), F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written"),
+    )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import exprs as x
 from tallyloom.operators import allocation, orders
-from tallyloom.plans import analytics, catalog_more, gates, writing
+from tallyloom.plans import analytics, catalog_more, contracts, dims, gates, jobs, writing
+from tallyloom.sources import readers
 from tallyloom.sources.readers import Sources
 
 DAY = dt.date(2025, 1, 1)
@@ -100,11 +101,117 @@ def test_gate_sees_one_thousandth(spark):
     fact = allocation.Chain(sources(spark, [order()])).fact()
     bad = fact.withColumn("tax_milli", F.col("tax_milli") + 1)
     row = gates.compare_metrics(gates.fact_metrics(fact), gates.fact_metrics(bad)).first()
-    assert not row.passed and row.reasons == "tax_milli_delta=1"
+    assert not row.passed and row.reasons == "tax_milli_delta=-1"  # source less target
     missing = gates.compare_metrics(gates.fact_metrics(fact), gates.fact_metrics(fact.limit(0))).first()
     assert missing.target_missing and not missing.passed
 
 
+def test_item_count_must_be_known_before_writing(spark):
+    chain = allocation.Chain(sources(spark, [order()]))
+    source = gates.source_metrics(chain.allocations, chain.orders)
+    candidate = gates.fact_metrics(chain.fact())
+    compare = lambda t: gates.compare_metrics(source, t, "pre_insert_candidate").first()
+    assert compare(candidate.withColumn("item_count", F.lit(1).cast("bigint"))).passed
+    assert compare(candidate.withColumn("item_count", F.lit(2).cast("bigint"))).reasons == "item_count_delta=-1"
+    assert compare(candidate.withColumn("item_count", F.lit(None).cast("bigint"))).reasons == compare(candidate).reasons == "item_count unknown"
+
+
+def job(spark, chain, path, **more):
+    products, branches = jobs.product_dim(chain), jobs.branch_dim(chain)
+    return writing.write_fact(chain, more.get("products", products), branches, dims.code_dims(spark), path, more.get("mode", "write"))
+
+
+def test_what_fails_after_writing_isnt_published(spark, tmp_path, monkeypatch):
+    other = DAY + dt.timedelta(1)
+    src = sources(spark, [order(), order(oid="2", day=other)], items=[("1", "P1", 100.0, DAY), ("2", "P1", 40.0, other)])
+    chain, path = allocation.Chain(src), str(tmp_path / "fact")
+    assert [r.status for r in job(spark, chain, path).collect()] == ["succeeded"] * 2
+    before = {tuple(r) for r in writing.read_fact(spark, path).collect()}
+    assert {p.name for p in tmp_path.iterdir()} == {"fact"}  # no staging is left
+    read = writing.read_fact
+    spoilt = lambda s, p: read(s, p).withColumn("qty_milli", F.col("qty_milli") + (F.col("business_date") == F.lit(other)).cast("bigint"))
+    monkeypatch.setattr(writing, "read_fact", spoilt)
+    days = {r.business_date: (r.passed, r.post_passed, r.status, r.rows_written) for r in job(spark, chain, path).collect()}
+    monkeypatch.undo()
+    assert days == {DAY: (True, True, "succeeded", 1), other: (True, False, "failed", 0)}
+    assert {tuple(r) for r in writing.read_fact(spark, path).collect()} == before
+
+
+def test_run_stops_at_the_first_bad_day(spark, tmp_path):
+    days = [DAY + dt.timedelta(k) for k in range(3)]
+    src = sources(spark, [order(oid=str(k), day=d) for k, d in enumerate(days)], items=[(str(k), "P2" if k == 1 else "P1", 10.0, d) for k, d in enumerate(days)])
+    chain = allocation.Chain(src)
+    out = job(spark, chain, str(tmp_path / "fact"), products=jobs.product_dim(chain).where("product_no = 'P1'"))
+    assert [(r.status, r.product_miss_count, r.reasons) for r in out.orderBy("business_date").collect()] == [("succeeded", 0, ""), ("failed", 1, "product_miss_count=1"), ("skipped", 0, "")]
+    summary = writing.run_summary(out).first()
+    assert (summary.processed_days, summary.succeeded_days, summary.failed_days, summary.skipped_days, summary.product_miss_count, summary.rows_written) == (2, 1, 1, 1, 1, 1)
+    assert summary.source_candidate_equal and summary.source_persisted_equal
+    assert [r.business_date for r in writing.read_fact(spark, str(tmp_path / "fact")).collect()] == days[:1]
+    planned = job(spark, chain, str(tmp_path / "other"), mode="plan")
+    assert {r.status for r in planned.collect()} == {"planned"} and not (tmp_path / "other").exists()
+
+
+def test_every_count_of_the_dimension_gate(spark):
+    chain = allocation.Chain(sources(spark, [order()]))
+    source, codes = gates.source_metrics(chain.allocations, chain.orders), dims.code_dims(spark)
+    products, branches = jobs.product_dim(chain), jobs.branch_dim(chain)
+    gate = lambda fact=chain.fact(), p=products, b=branches, c=codes, s=source: gates.dimension_gate(fact, p, b, c, s).first()  # noqa: E731, B008
+    assert gate().passed and gate().dim_reasons == ""
+    assert gate(p=products.limit(0)).product_miss_count == gate(b=branches.limit(0)).branch_miss_count == 1
+    assert gate(c=codes.where("kind <> 'order_type'")).order_type_miss_count == gate(c=codes.where("kind <> 'payment_type'")).payment_type_miss_count == 1
+    assert gate(fact=chain.fact().withColumn("sale_period", F.date_add("business_date", 1))).other_day_count == 1
+    assert gate(s=source.withColumn("non_status_1_row_count", F.lit(2))).dim_reasons == "non_status_1_count=2"
+    assert gate(s=source.withColumn("latest_row_count", F.lit(0))).not_latest_count == 1
+
+
+def test_signals_of_the_narrowest_scope_count(spark):
+    fact = spark.createDataFrame([(1, DAY, b, p) for b in ("B1", "B2") for p in ("P1", "P2")], "owner_user_id long, business_date date, location string, product_no string")
+    signal = spark.createDataFrame([(1, "B1", "P1", DAY, 1.0), (1, "B1", None, DAY, 2.0), (1, None, "P1", DAY, 3.0), (1, None, None, DAY, 4.0)], "owner_user_id long, location string, product_no string, signal_date date, value double")
+    value = lambda s: {(r.location, r.product_no): r.v for r in contracts.scoped(fact, s, "v", contracts.ITEM).collect()}
+    assert value(signal) == {("B1", "P1"): 1, ("B1", "P2"): 2, ("B2", "P1"): 3, ("B2", "P2"): 4}
+    assert value(signal.where("value = 2")) == {("B1", "P1"): 2, ("B1", "P2"): 2, ("B2", "P1"): None, ("B2", "P2"): None}
+
+
+def test_dims_are_planned_then_applied(spark, tmp_path):
+    chain = allocation.Chain(sources(spark, [order(), order(oid="2")], items=[("1", "P1", 1.0), ("2", "P2", 1.0)]))
+    path = str(tmp_path / "dims")
+    plan = jobs.sync_dims(chain, path).collect()
+    assert [(r.dimension, r.candidate_count, r.inserted, r.updated, r.rows_after, r.written) for r in plan] == [("pos_product_dim", 2, 2, 0, 2, False), ("pos_branch_dim", 1, 1, 0, 1, False)]
+    assert not (tmp_path / "dims").exists()
+    jobs.sync_dims(chain, path, "apply")
+    more = allocation.Chain(sources(spark, [order()], items=[("1", "P3", 1.0)]))
+    assert [(r.inserted, r.updated, r.rows_after) for r in jobs.sync_dims(more, path, "apply").collect()] == [(1, 0, 3), (0, 1, 1)]
+    assert {r.product_no for r in spark.read.parquet(f"{path}/pos_product_dim").collect()} == {"P1", "P2", "P3"}
+
+
+def test_reseeding_overwrites_labels_only(spark):
+    current = spark.createDataFrame([("status", 1, "old"), ("status", 77, "own")], "kind string, id int, code string")
+    got = {(r.kind, r.id): r.code for r in dims.reseed(current, dims.code_dims(spark)).collect()}
+    assert got[("status", 1)] == "normal_sales" and got[("status", 77)] == "own" and len(got) == 23
+
+
+@pytest.mark.parametrize("name", sorted(readers.SOURCES))
+def test_text_twins_of_all_tables(spark, tmp_path, name):
+    value = {"string": "a b", "int": 3, "float": 1.5, "boolean": True, "date": DAY, "timestamp_ntz": dt.datetime(2025, 1, 1, 7, 5)}
+    declared = [f.split() for f in " ".join(readers.SOURCES[name].split()).split(", ")]
+    full, none = [value[k] for _, k in declared], [None] * len(declared)
+    spaces = ["" if k == "string" and n == "id" else " x " if k == "string" else None for n, k in declared]
+    rows = [(*r, DAY) for r in (full, none, spaces)]
+    df = spark.createDataFrame(rows, f"{readers.SOURCES[name]}, {readers.DAY}")
+    readers.write_raw_text(df, str(tmp_path / "text"))
+    readers.raw_to_parquet(spark, str(tmp_path / "text"), name, str(tmp_path / "parquet"))
+    got = readers.read_source(spark, str(tmp_path / "parquet"), name, "2025-01-01", "2025-01-01")
+    rows[2] = tuple(v if v != "" else None for v in rows[2])
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rows))
+    assert readers.read_source(spark, str(tmp_path / "parquet"), name, "2025-01-02", "2025-01-09").count() == 0
+
+
+def test_the_fact_reads_and_shuffles_each_source_once(spark):
+    plan = catalog_more.QUERIES["hourly_sales_fact"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # orders makes four of the sources here, lineitem (joined with it by a broadcast at this size) one
+    assert plan.count("FileScan parquet") <= 5 and plan.count("Exchange hashpartitioning") <= 6
+
+
 def test_day_replace_leaves_other_days(spark, tmp_path):
     other = DAY + dt.timedelta(1)
     src = sources(spark, [order(), order(oid="2", day=other)], items=[("1", "P1", 100.0, DAY), ("2", "P1", 40.0, other)])
@@ -129,7 +236,7 @@ def _rows(pairs):
 
 
 
-@pytest.mark.parametrize("name", ["hourly_sales_fact", "hourly_sales_fact_legacy", "order_scope", "tax_reconciliation_breakdown", "status_excluded_summary", "dimension_gate", "product_conflict_samples", "product_leaderboard", "location_as_of", "forecast_frame"])
+@pytest.mark.parametrize("name", ["hourly_sales_fact", "hourly_sales_fact_legacy", "order_scope", "tax_reconciliation_breakdown", "status_excluded_summary", "dimension_gate", "product_conflict_samples", "product_leaderboard", "location_as_of", "forecast_frame", "pre_insert_report", "order_trace", "sync_dims_apply", "dry_run_fast", "location_import_audit"])
 def test_query_equals_sql(spark, name):
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()
