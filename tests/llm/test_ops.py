@@ -3,8 +3,11 @@ repeated rows, extra columns, empty tables."""
 
 import collections
 import hashlib
+import html.parser
 import itertools
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -13,12 +16,17 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import common, decontaminate, html_text, language_id, line_dedup, near_dedup, quality_rules, token_ids, toxicity, url_filter
+from tallyloom.llm import bpe_chunks, common, decontaminate, html_text, language_id, line_dedup, near_dedup, quality_rules, token_ids, toxicity, url_filter
 from tallyloom.llm.bpe_chunks import encode_decode
 
 P = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "It's <|endoftext|> ÀÉß 東京 don't 12ab ½"), (5, "It's <|endoftext|> ÀÉß 東京 don't 12ab ½"), (6, "x" * 30_000), (7, ("La casa es azul y grande. " * 400)), (8, "a\n\n b  c \x00 d"), (None, "no id here")]
+#: Two words of 1,024 letters that any polynomial modulo 2 ** 64 hashes alike.
+TWINS = ["a", "b"]
+for _ in range(10):
+    TWINS = [TWINS[0] + TWINS[1], TWINS[1] + TWINS[0]]
+ODD += list(enumerate(TWINS, 10))
 
 
 def words(t):
@@ -57,6 +65,17 @@ def test_kernels_agree_with_python():
         assert bounds.tolist() == np.cumsum([0, *(len(words(t)) for t in texts)]).tolist()
 
 
+def test_bytes_decide_where_hashes_are_equal(monkeypatch):
+    texts = [*TWINS, TWINS[0], "one", "two", "one"]
+    data, at = common.buffers(pa.array(texts))
+    for _ in range(2):  # with the hashes, and with one hash for all
+        first, inverse = common.distinct_spans(data, at[:-1], at[1:])
+        assert [texts[first[k]] for k in inverse] == texts and len(first) == 4
+        first, inverse = common.distinct_spans(data, at[:-1], at[1:], np.array([0, 0, 1, 0, 0, 0]))
+        assert [texts[first[k]] for k in inverse] == texts and len(first) == 5
+        monkeypatch.setattr(common, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+
+
 def test_op1_classes(spark, docs, odd, empty):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     sets = {d: bag(t) for d, t in rows}
@@ -80,7 +99,7 @@ def test_op1_classes(spark, docs, odd, empty):
     classes = {r.doc_id: r.class_id for r in near_dedup.near_classes(common.texts(odd)).collect()}
     assert classes[1] == classes[2] == classes[3] == 1 and classes[4] == 4 and classes[None] is None
     kept = near_dedup.keep_first(odd)
-    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "5", "6", "7", "8", "None"]
+    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "10", "11", "4", "5", "6", "7", "8", "None"]
     assert near_dedup.near_classes(common.texts(empty)).count() == 0
 
 
@@ -101,11 +120,23 @@ def test_op1_pairs_without_a_hub(spark, monkeypatch):
     bags = [bag(t) for _, t in rows]
     like = lambda a, b: (both := sum((a & b).values())) / (sum(a.values()) + sum(b.values()) - both)
     assert all(like(bags[a], bags[b]) >= 0.8 if a // 2 == b // 2 else like(bags[a], bags[b]) < 0.8 for a, b in itertools.combinations(range(20), 2))
-    monkeypatch.setattr(near_dedup, "SIDE", 16, raising=False)
+    monkeypatch.setattr(near_dedup, "NODES", 16)
+    monkeypatch.setattr(near_dedup, "SHINGLES", 16 * 340)
     got = {r.doc_id: r.class_id for r in near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {d: d - d % 2 for d, _ in rows}
 
 
+def test_op1_rows_of_one_id(spark):
+    """Texts under one id are judged each by its own; repeated rows are one document."""
+    part = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    rows = [(3, part("a"), "x"), (5, part("a") + " end", "y"), (5, part("b"), "z"), (7, part("b"), "u"), (7, part("c"), "v"), (7, part("c"), "v"), (None, part("b"), "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, t string")
+    got = sorted((str(r.doc_id), r.class_id) for r in near_dedup.near_classes(common.texts(df.select("doc_id", "text"))).collect())
+    assert got == [("3", 3), ("5", 3), ("5", 5), ("7", 5), ("7", 7), ("7", 7), ("None", 5)]
+    kept = sorted((str(r.doc_id), r.t) for r in near_dedup.keep_first(df).collect())
+    assert kept == [("3", "x"), ("5", "z"), ("7", "v"), ("None", "w")]
+
+
 def test_op1_cells_hold_each_pair_once():
     cell, side = np.array([0, 0, 0, 1, 1, 1, 1, 2, 3, 3]), np.array([2, 2, 2, 0, 1, 1, 1, 2, 1, 1])
     for most in (1, 4, 100):
@@ -113,6 +144,36 @@ def test_op1_cells_hold_each_pair_once():
         assert got == [(0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (3, 6)]
 
 
+def plain_dedup(rows, least=25):
+    """Each text without the lines of every block of at least so many words that it shares with an earlier one."""
+    real = {d: [(k, x.strip(" \t\n\v\f\r"), len(words(x))) for k, x in enumerate((t or "").split("\n")) if words(x)] for d, t in rows}
+    where = collections.defaultdict(list)
+    for d, lines in real.items():
+        for j, (_, x, _) in enumerate(lines):
+            where[x].append((d, j))
+    out = {}
+    for d, t in rows:
+        lines, gone = real[d], set()
+        for i, (_, x, _) in enumerate(lines):
+            for e, j in where[x]:
+                other = real[e]
+                if e < d and not (i and j and lines[i - 1][1] == other[j - 1][1]):  # a block begins here
+                    n = 0
+                    while i + n < len(lines) and j + n < len(other) and lines[i + n][1] == other[j + n][1]:
+                        n += 1
+                    if sum(w for _, _, w in lines[i : i + n]) >= least:
+                        gone |= {lines[k][0] for k in range(i, i + n)}
+        out[d] = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
+    return out
+
+
+def repeating():
+    """Texts of few lines, some short, in many orders: blocks that move, repeat and overlap."""
+    r = random.Random(5)
+    lines = [" ".join(f"w{k}{j}" for j in range(r.choice([1, 3, 8, 14, 26]))) for k in range(12)]
+    return [(d, "\n".join(r.choice(lines) for _ in range(r.randint(0, 14)))) for d in range(80)]
+
+
 def test_op2_blocks(spark, docs, odd, empty):
     block = [f"line {k} " + "word " * 12 for k in range(3)]
     a, b = "\n".join(["first own line", *block, "tail a"]), "\n".join(["other start", *block, "tail b"])
@@ -121,27 +182,22 @@ def test_op2_blocks(spark, docs, odd, empty):
     got = {(r.doc_id, r.removed_lines): r.text for r in line_dedup.dedup_lines(df, counts=True).collect()}
     assert got[(1, 0)] == a and got[(2, 3)] == "other start\ntail b" and got[(9, 0)] is None and got[(None, 0)] == a
     assert (3, 2) in got  # two lines of the block stand together; the third alone is too short
-    first, covered, removed = {}, 0, {r.doc_id: r.removed_lines for r in line_dedup.dedup_lines(docs, counts=True).collect()}
-    for r in docs.orderBy("doc_id").collect():
-        lines = [x.strip(" \t\n\v\f\r") for x in (r.text or "").split("\n") if words(x)]
-        count, mine, cover = [len(words(x)) for x in lines], [], set()
-        for i in range(len(lines)):
-            j = i
-            while j < len(lines) and sum(count[i:j]) < 25:
-                j += 1
-            if sum(count[i:j]) >= 25:
-                mine.append(tuple(lines[i:j]))
-                if mine[-1] in first:
-                    cover |= set(range(i, j))
-        for k in mine:
-            first.setdefault(k, r.doc_id)
-        assert len(cover) <= removed[r.doc_id]
-        covered += len(cover)
-    assert covered
+    assert {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(TWINS)), "doc_id long, text string")).where("text = ''").collect()} == set()
+    for frame in (docs, spark.createDataFrame(repeating(), "doc_id long, text string")):
+        removed = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, counts=True).collect()}
+        assert removed == plain_dedup([(r.doc_id, r.text) for r in frame.collect()])
     out = line_dedup.dedup_lines(odd)
     assert out.columns == odd.columns and out.count() == len(ODD) and line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_op2_time_grows_with_the_lines():
+    lines = [b"%d" % k for k in range(20_000)]
+    began = time.time()
+    assert not line_dedup.common_lines(lines, [1] * len(lines), lines[::-1], 25).any()
+    assert line_dedup.common_lines(lines, [1] * len(lines), lines[10_000:] + lines[:10_000], 25).all()
+    assert time.time() - began < 10
+
+
 def test_op3_files(spark, odd, empty):
     from tokenizers import Tokenizer
 
@@ -170,6 +226,74 @@ def test_op4_round_trip(odd, docs, empty):
     assert encode_decode(common.texts(empty), path).count() == 0
 
 
+def test_op4_joins_are_repaired(monkeypatch, docs):
+    """With cuts inside of words, ids beside a join change; the windows grow until both sides agree."""
+    path = P.path("byte_bpe_50k.json")
+
+    def anywhere(data, begins):
+        flag = np.zeros(len(data), bool)
+        flag[::5] = (data[::5] & 0xC0) != 0x80
+        flag[begins] = True
+        return np.flatnonzero(flag)
+
+    monkeypatch.setattr(bpe_chunks, "safe_cuts", anywhere)
+    encoder = bpe_chunks.ChunkEncoder(path)
+    for _, _, data, at in common.slices(pa.array([r.text or "" for r in docs.collect()])):
+        encoder.encode(data, at)
+    assert encoder.repairs > 0
+
+
+def plain_article(page):
+    """The article of these tables' pages, by Python's own parser: text by block inside <article>, without scripts."""
+    out, pieces, depth, raw = [], [], 0, 0
+
+    class Reader(html.parser.HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            nonlocal depth, raw
+            flush(tag)
+            depth, raw = depth + (tag == "article"), raw + (tag in ("script", "style"))
+
+        def handle_endtag(self, tag):
+            nonlocal depth, raw
+            flush(tag)
+            depth, raw = depth - (tag == "article"), raw - (tag in ("script", "style"))
+
+        def handle_data(self, data):
+            if depth and not raw:
+                pieces.append(data)
+
+    def flush(tag):
+        if tag not in ("b", "i", "a", "em", "strong", "br", "span"):
+            out.append(" ".join("".join(pieces).split()))
+            pieces.clear()
+
+    reader = Reader()
+    reader.feed(page or "")
+    reader.close()
+    flush("p")
+    return " ".join(x for x in out if x)
+
+
+def test_op5_pages_of_the_tables(spark):
+    rows = html_text.extract(common.table(spark, "/root/testdata/sf0.01", "pages")).collect()
+    pages = {r.page_id: r.html for r in common.table(spark, "/root/testdata/sf0.01", "pages").collect()}
+    wrong = [r.page_id for r in rows if r.text != plain_article(pages[r.page_id]) or r.n_chars != len(r.text)]
+    assert len(rows) == len(pages) and not wrong, wrong[:5]
+
+
+def test_op5_broken_and_long_pages(spark):
+    field = html_text.trained_field()
+    began = time.time()
+    for page in ("<a " * 300_000, "<div class=x>a" * 50_000, '<a x="' * 150_000, "<div>" * 50_000 + "</p>" * 150_000, "<" * 300_000):
+        html_text.main_text(page, field)
+    assert time.time() - began < 30
+    inside = "<article><h1>Title of it</h1><nav><ul><li><a>x</a></li><li><a>y</a></li></ul></nav><p>" + "An article it is, with some sentences. " * 10 + "</p></article>"
+    text = html_text.main_text("<div>" * 400 + inside, field)
+    assert "An article it is" in text and " x " not in text and text == html_text.main_text("<div>" + inside, field)
+    pages = spark.createDataFrame([(1, "u", inside), (1, "u", inside)], "page_id long, url string, html string").withColumn("text", F.lit("own"))
+    assert html_text.extract(pages).count() == 2 and html_text.extract(pages.where("page_id < 0")).count() == 0
+
+
 def test_op5_blocks_and_pages(spark):
     field = html_text.trained_field()
     wrong = total = 0
@@ -196,6 +320,35 @@ def test_op6_containment(spark, docs, odd, empty):
     assert decontaminate.contaminated(common.texts(empty), mine).count() == 0 and decontaminate.contaminated(common.texts(odd), mine.where("item_id < 0")).count() == 0
 
 
+def test_op6_short_items_are_found(spark):
+    r = random.Random(4)
+    said = lambda n: " ".join(f"v{r.randrange(50_000)}" for _ in range(n))
+    items = [(k, said(r.choice([1, 3, 5, 5, 5, 6, 7, 9, 12, 40, 200]))) for k in range(300)]
+    rows = [(k, f"{said(r.randint(200, 900))} {t} {said(r.randint(200, 900))}") for k, t in items if len(t.split()) >= 5]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert found == {(k, k) for k, _ in rows}
+
+
+def test_op6_blocks_of_items(spark, docs, monkeypatch):
+    bench = common.table(spark, SF, "benchmark")
+    whole = sorted(map(tuple, decontaminate.contaminated(common.texts(docs), bench).collect()))
+    monkeypatch.setattr(decontaminate, "ITEMS", 20)
+    assert len(decontaminate.write_indexes(bench, 0.8)) > 2
+    assert sorted(map(tuple, decontaminate.contaminated(common.texts(docs), bench).collect())) == whole
+    assert decontaminate.drop_contaminated(docs, bench).count() == docs.count() - len({d for d, _, _ in whole})
+
+
+def test_op7_scores_are_those_of_all_pairs():
+    machine = toxicity.fit(["you idiot group"] * 20 + ["you idiot"] * 20 + ["nice group"] * 20, np.array([1] * 20 + [0] * 40))
+    place = {b: k for k, b in enumerate(machine.buckets.tolist())}
+    for text in ("you idiot group", "nice idiot", "", "unknown words"):
+        _, _, _, buckets = next(toxicity.terms(pa.array([text])), (0, 0, [], np.zeros(0, int)))
+        mine = [place[b] for b in buckets.tolist() if b in place]
+        z = machine.bias + sum(machine.linear[k] for k in mine) + sum(machine.factors[a] @ machine.factors[b] for a, b in itertools.combinations(mine, 2))
+        assert abs(machine.score(1, np.zeros(len(buckets), np.int64), buckets)[0] - 1 / (1 + np.exp(-z))) < 1e-5
+
+
 def test_op7_held_out(spark, odd, empty):
     d = "/root/testdata/sf0.01"
     docs, labels = common.table(spark, d, "documents"), common.table(spark, d, "labels")
@@ -229,6 +382,20 @@ def test_op8_counts(docs, odd, empty):
     assert quality_rules.judge(common.texts(empty)).count() == 0
 
 
+def test_op8_verdicts_are_not_all_must_pass(spark):
+    """On the tables, texts are kept against a single bad vote; labels say how many verdicts are wrong."""
+    d = "/root/testdata/sf0.1"
+    scored = common.materialize(quality_rules.score(common.texts(common.table(spark, d, "documents"))), "scored")
+    number = [r.votes for r in scored.where(~quality_rules.base_failed()).collect()]
+    kinds, n = np.unique(number, return_counts=True)
+    post = quality_rules.label_model(kinds, n.astype(float))
+    bad = (kinds[:, None] // 3 ** np.arange(quality_rules.RULES) % 3 == 0).any(1)
+    assert n[(post >= 0.5) & bad].sum() > 0  # the plain AND would reject these
+    judged = quality_rules.judge(common.texts(common.table(spark, d, "documents"))).where("not base_failed").drop("quality")
+    counts = {(r.quality, r.kept): r["count"] for r in judged.join(common.table(spark, d, "labels"), "doc_id").groupBy("quality", "kept").count().collect()}
+    assert counts.get((1, False), 0) <= 0.01 * counts[(1, True)] and counts.get((0, True), 0) <= 0.01 * counts[(0, False)]
+
+
 def test_op8_unreliable_rule_is_outvoted(spark):
     """Verse trips one rule that says nothing here, as junk trips it as often; junk trips two that agree."""
     prose = lambda d, end: "\n".join(" ".join(f"word{k}{c}{d}" for c in "abcdefghijklm") + end for k in range(5))
@@ -240,10 +407,48 @@ def test_op8_unreliable_rule_is_outvoted(spark):
     assert {d for d, (_, kept) in got.items() if kept} == set(range(100)) == {r.doc_id for r in quality_rules.keep_good(df).collect()}
 
 
+def fewest_phrases(text, reference):
+    n = i = 0
+    while i < len(text):
+        j = i + 1
+        while j <= len(text) and text[i:j] in reference:
+            j += 1
+        n, i = n + 1, max(i + 1, j - 1)
+    return n
+
+
+def test_op9_phrases_are_those_of_the_whole_text():
+    r = random.Random(3)
+    references = {"a": "".join(r.choice("abc ") for _ in range(3000)), "b": "漢字かな交じり文" * 50, "c": "中国人民大学漢語" * 50}
+    p = language_id.Parser(references)
+    texts = ["".join(r.choice("abcd ") for _ in range(n)) for n in (0, 1, 5, 1024, 1025, 2500, 9000)] + ["かな交じり漢字" * 300, "abcab" * 700]
+    as_bytes = lambda t: language_id.as_bytes(*language_id.normalise(*language_id.code_points(pa.array([t]))))[0].tobytes()
+    data, owner = language_id.as_bytes(*language_id.normalise(*language_id.code_points(pa.array(texts))))
+    got, _ = p.phrases(data, owner, len(texts))
+    assert got.tolist() == [[fewest_phrases(as_bytes(t), as_bytes(references[k])) for k in "abc"] for t in texts]
+
+
+def test_op9_scripts_of_many_letters(spark):
+    """Two languages that share most of thousands of letters and differ in what stands beside what."""
+    r = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    lexicon = {k: ["".join(r.choice(letters) for _ in range(3)) for _ in range(900)] for k in ("x1", "x2")}
+    write = lambda k, n: "。".join(r.choice(lexicon[k]) for _ in range(n))
+    rows = [(d, write(k, 300), k) for d, k in enumerate(["x1", "x2"] * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.identify(df, language_id.learn(df)).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert got and all(x.lang_pred == x.lang for x in got)
+
+
+def test_op9_shares_of_documents():
+    assert language_id.shares(["a" * 50_000, "b" * 100]) == "a" * 19_900 + "\n" + "b" * 100
+    assert language_id.shares(["é" * 30_000] * 2) == "é" * 5_000 + "\n" + "é" * 5_000
+
+
 def test_op9_parse_and_held_out(spark, docs, odd, empty):
     p = language_id.Parser({"a": "abracadabra", "b": "zzzz"})
-    codes = np.frombuffer("abradabraq".encode("utf-32-le"), np.uint32)
-    phrases, size = p.phrases(codes, np.zeros(len(codes), np.int64), 1)
+    text = np.frombuffer(b"abradabraq", np.uint8)
+    phrases, size = p.phrases(text, np.zeros(len(text), np.int64), 1)
     assert phrases.tolist() == [[3, 10]] and size.tolist() == [10]  # abra dabra q
     learnt = language_id.learn(docs.select("doc_id", "text", "lang"))
     got = language_id.identify(docs.select("doc_id", "text"), learnt).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
@@ -265,7 +470,48 @@ def test_op10_rules(spark):
     assert {r.verdict for r in none.collect()} == {"block"}
     many = spark.createDataFrame([(f"h{k}.com/p", "block") for k in range(50)], "rule string, verdict string")
     manifest = url_filter.write_index(many, shard_rows=20)
-    assert len(manifest["shards"]) > 1 and url_filter.probe(manifest, ["h7.com/p", "h77.com/p"]) == ["block", None]
+    assert len(manifest["shards"]) > 1
+    url_filter._open.clear()
+    assert url_filter.probe(manifest, ["h7.com/p"]) == ["block"] and len(url_filter._open) == 1  # the other shards stay closed
+    asked = [f"h{k}.com/p" for k in range(60)]
+    assert url_filter.probe(manifest, asked) == ["block"] * 50 + [None] * 10
+    assert [url_filter.key(r) for r, _ in url_filter.RULES] == [r[0] for r in spark.createDataFrame(url_filter.RULES, "rule string, verdict string").select(F.xxhash64("rule")).collect()]
+    twice = df.union(df)
+    assert url_filter.filter_urls(twice, url_filter.page_rules(spark)).count() == 2 * len(urls) and url_filter.filter_urls(df.where("page_id < 0"), url_filter.page_rules(spark)).count() == 0
+    with pytest.raises(ValueError, match="allow or block"):
+        url_filter.write_index(spark.createDataFrame([("a.b/", "maybe")], "rule string, verdict string"))
+
+
+def plain_stages(rows, bench, good):
+    """What the first four stages leave, by plain Python; ``good`` says which texts the quality model keeps."""
+    rows = [(d, t) for d, t in rows if t in good]
+    texts = plain_dedup(rows)
+    rows, sets = [], []
+    for d, t in sorted(texts.items()):
+        s = bag(t)
+        if not any(s == x or (both := sum((s & x).values())) >= 0.8 * (sum(s.values()) + sum(x.values()) - both) for x in sets):
+            rows.append((d, t))
+        sets.append(s)
+    return [(d, t) for d, t in rows if not any(x and len(x & set(bag(t))) >= 0.8 * len(x) for x in bench)]
+
+
+def test_pipeline_equals_plain_stages(spark):
+    docs = common.table(spark, SF, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    good = {r.text for r in quality_rules.keep_good(docs).collect()}
+    want = plain_stages(rows, [set(bag(r.text)) for r in common.table(spark, SF, "benchmark").collect()], good)
+    got = {(r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == {(d, hashlib.sha256(t.encode()).hexdigest()) for d, t in want}
+
+
+def test_pipeline_takes_odd_rows(odd, empty, spark):
+    for docs in (odd, empty, odd.drop("votes").withColumn("c0", F.lit(1)).withColumn("id", F.lit("x")).withColumn("t", F.lit(2))):
+        names = docs.columns
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF)
+            if stage is not corpus_pipeline.STAGES[-1][1]:
+                assert docs.columns == names
+        assert docs.count() == 0  # no odd text passes the base rule of quality
 
 
 def test_pipeline(spark):
