@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import exprs as x
@@ -48,11 +48,15 @@ def orders_base(orders: DataFrame) -> DataFrame:
 NEWEST = [F.desc_nulls_last, ("transaction_submitted", "modified", "transaction_created", "order_payment_subtotal", "order_total", "sequence")]
 
 
+def newest_first(*more: str) -> WindowSpec:
+    """The versions of each order and day (and ``more``)."""
+    down, keys = NEWEST
+    return Window.partitionBy(*D, *more).orderBy(*(down(k) for k in keys))
+
+
 def orders_status_latest(base: DataFrame) -> DataFrame:
     """The newest version of each order, day and status."""
-    down, keys = NEWEST
-    newest = Window.partitionBy(*D, "order_status").orderBy(*(down(c) for c in keys))
-    return base.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")
+    return base.withColumn("rank", F.row_number().over(newest_first("order_status"))).where("rank = 1").drop("rank")
 
 
 def with_status(base: DataFrame, *statuses: int) -> DataFrame:
@@ -61,9 +65,7 @@ def with_status(base: DataFrame, *statuses: int) -> DataFrame:
     wanted = base.where(F.col("order_status").isin(*statuses))
     if len(statuses) > 1:
         return orders_status_latest(wanted)
-    down, keys = NEWEST
-    newest = Window.partitionBy(*D).orderBy(*(down(c) for c in keys))
-    return wanted.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")
+    return wanted.withColumn("rank", F.row_number().over(newest_first())).where("rank = 1").drop("rank")
 
 
 def sales_candidates(base: DataFrame) -> DataFrame:

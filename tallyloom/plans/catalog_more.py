@@ -34,7 +34,15 @@ register("branch_conflict_keys", lambda k: dims.conflict_keys(dims.branch_dim_so
 
 
 def _samples(ranked: str, key: str, label: str) -> str:
-    return f"SELECT r.{key}, t.variant_count, string_agg({label}, ' ; ' ORDER BY variant_rank) AS variants FROM {ranked} r JOIN (SELECT {key}, count(*) AS variant_count FROM {ranked} GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 10) t ON t.{key} = r.{key} WHERE variant_rank <= 3 GROUP BY 1, 2"
+    return f"""SELECT r.{key}, t.variant_count, string_agg({label}, ' ; '
+  ORDER BY variant_rank) AS variants
+  FROM {ranked} r JOIN (SELECT {key}, count(*) AS variant_count
+  FROM {ranked}
+  GROUP BY 1
+  HAVING count(*) > 1
+  ORDER BY 2 DESC, 1 LIMIT 10) t ON t.{key} = r.{key}
+  WHERE variant_rank <= 3
+  GROUP BY 1, 2"""
 
 
 register("product_conflict_samples", lambda k: dims.conflict_samples(dims.product_ranked(dims.product_dim_source(k)), "product_no", dims.product_label()), _samples("pr", "product_no", "product_name || '|' || coalesce(cate_no, '') || '|' || coalesce(cate_name, '') || '|rows=' || cast(row_count AS varchar)"), PDS)
@@ -42,15 +50,27 @@ register("branch_conflict_samples", lambda k: dims.conflict_samples(dims.branch_
 
 
 _norm = "regexp_replace(lower(trim({c})), '\\s+', ' ', 'g')"
-PD = f"pd AS (SELECT cast(1 AS bigint) AS owner_user_id, product_no, product_name, {_norm.format(c='product_name')} AS product_name_normalized, cate_no, cate_name, true AS is_active, cast(last_seen AS timestamp) AS last_seen_at FROM pr WHERE variant_rank = 1)"
-BD = f"bd AS (SELECT cast(1 AS bigint) AS owner_user_id, branch_id, branch_name, {_norm.format(c='branch_name')} AS branch_name_normalized, group_code, true AS is_active, last_seen AS last_seen_at FROM br WHERE variant_rank = 1)"
+PD = f"""pd AS (SELECT cast(1 AS bigint) AS owner_user_id, product_no, product_name, {_norm.format(c='product_name')} AS product_name_normalized, cate_no, cate_name, true AS is_active, cast(last_seen AS timestamp) AS last_seen_at
+  FROM pr
+  WHERE variant_rank = 1)"""
+BD = f"""bd AS (SELECT cast(1 AS bigint) AS owner_user_id, branch_id, branch_name, {_norm.format(c='branch_name')} AS branch_name_normalized, group_code, true AS is_active, last_seen AS last_seen_at
+  FROM br
+  WHERE variant_rank = 1)"""
 ALL = f"{DIMS}, {PD}, {BD}"
 
 
 
 
-register("upsert_product_dim", lambda k: dims.upsert(old_products(k), product_dim(k).where("product_no not like 'P1%'"), "product_no"), "SELECT owner_user_id, product_no, CASE WHEN product_no LIKE 'P1%' THEN 'old' ELSE product_name END AS product_name, CASE WHEN product_no LIKE 'P1%' THEN 'old' ELSE product_name_normalized END AS product_name_normalized, cate_no, cate_name, product_no NOT LIKE 'P1%' AS is_active, last_seen_at FROM pd", ALL)
-register("upsert_branch_dim", lambda k: dims.upsert(branch_dim(k).withColumns({"branch_name": F.lit("old"), "is_active": F.lit(False)}), branch_dim(k).where("branch_id <> 'B3'"), "branch_id"), "SELECT owner_user_id, branch_id, CASE WHEN branch_id = 'B3' THEN 'old' ELSE branch_name END AS branch_name, branch_name_normalized, group_code, branch_id <> 'B3' AS is_active, last_seen_at FROM bd", ALL)
+register(
+    "upsert_product_dim",
+    lambda k: dims.upsert(old_products(k), product_dim(k).where("product_no not like 'P1%'"), "product_no"),
+    """SELECT owner_user_id, product_no, CASE WHEN product_no LIKE 'P1%' THEN 'old' ELSE product_name END AS product_name, CASE WHEN product_no LIKE 'P1%' THEN 'old' ELSE product_name_normalized END AS product_name_normalized, cate_no, cate_name, product_no NOT LIKE 'P1%' AS is_active, last_seen_at
+  FROM pd""", ALL)
+register(
+    "upsert_branch_dim",
+    lambda k: dims.upsert(branch_dim(k).withColumns({"branch_name": F.lit("old"), "is_active": F.lit(False)}), branch_dim(k).where("branch_id <> 'B3'"), "branch_id"),
+    """SELECT owner_user_id, branch_id, CASE WHEN branch_id = 'B3' THEN 'old' ELSE branch_name END AS branch_name, branch_name_normalized, group_code, branch_id <> 'B3' AS is_active, last_seen_at
+  FROM bd""", ALL)
 
 
 def old_products(k: Chain) -> DataFrame:
@@ -61,7 +81,16 @@ def old_products(k: Chain) -> DataFrame:
 ZERO = ", ".join(f"cast(0 AS bigint) AS {m}_delta" for m in ["row_count", *MEASURES])
 SUMS = ", ".join(f"cast(sum({m}) AS bigint) AS {m}" for m in MEASURES)
 register("candidate_metrics", lambda k: gates.fact_metrics(k.fact()), f"SELECT owner_user_id, business_date, count(*) AS row_count, {SUMS} FROM fact GROUP BY 1, 2")
-SRC = f"srcm AS (SELECT f.*, l.item_count, o.n AS status_1_row_count, cast(0 AS bigint) AS non_status_1_row_count, o.n AS latest_row_count FROM (SELECT owner_user_id, business_date, count(*) AS row_count, {SUMS} FROM fact GROUP BY 1, 2) f LEFT JOIN (SELECT business_date, count(*) AS item_count FROM al GROUP BY 1) l ON l.business_date = f.business_date LEFT JOIN (SELECT business_date, count(*) AS n FROM od GROUP BY 1) o ON o.business_date = f.business_date)"
+SRC = f"""srcm AS (SELECT f.*, l.item_count, o.n AS status_1_row_count, cast(0 AS bigint) AS non_status_1_row_count, o.n AS latest_row_count
+  FROM (SELECT owner_user_id, business_date, count(*) AS row_count, {SUMS}
+  FROM fact
+  GROUP BY 1, 2) f
+  LEFT JOIN (SELECT business_date, count(*) AS item_count
+  FROM al
+  GROUP BY 1) l ON l.business_date = f.business_date
+  LEFT JOIN (SELECT business_date, count(*) AS n
+  FROM od
+  GROUP BY 1) o ON o.business_date = f.business_date)"""
 register("source_metrics", lambda k: gates.source_metrics(k.allocations, k.orders), "SELECT * FROM srcm", SRC)
 
 
@@ -285,13 +314,25 @@ def target_metrics(k: Chain) -> DataFrame:
     return gates.fact_metrics(writing.read_fact(spark, path)).select(*gates.KEY, "row_count", "qty_milli", "net_sales_milli")
 
 
-register("target_metrics_after_replace", target_metrics, "SELECT owner_user_id, business_date, count(*) AS row_count, cast(sum(qty_milli) + CASE WHEN month(business_date) = 3 THEN count(*) ELSE 0 END AS bigint) AS qty_milli, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli FROM fact GROUP BY 1, 2")
+register(
+    "target_metrics_after_replace",
+    target_metrics,
+    """SELECT owner_user_id, business_date, count(*) AS row_count, cast(sum(qty_milli) + CASE WHEN month(business_date) = 3 THEN count(*) ELSE 0 END AS bigint) AS qty_milli, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli
+  FROM fact
+  GROUP BY 1, 2""")
 register(
     "persisted_daily_counts",
     lambda k: writing.persisted_daily_counts(k.fact().union(k.fact(2)), 2, "1995-01-01", "1996-06-30"),
     "SELECT business_date, count(*) AS row_count FROM fact WHERE business_date BETWEEN date '1995-01-01' AND date '1996-06-30' GROUP BY 1",
 )
-register("plan_days", lambda k: writing.plan_days(k.orders.sparkSession, k.fact(), "1995-01-01", "2001-12-31"), "SELECT cast(d AS date) AS business_date, coalesce(n, 0) AS persisted_rows, CASE WHEN n IS NULL THEN 'pending' ELSE 'completed' END AS status FROM (SELECT unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) AS d) LEFT JOIN (SELECT business_date, count(*) AS n FROM fact GROUP BY 1) f ON f.business_date = cast(d AS date)")
+register(
+    "plan_days",
+    lambda k: writing.plan_days(k.orders.sparkSession, k.fact(), "1995-01-01", "2001-12-31"),
+    """SELECT cast(d AS date) AS business_date, coalesce(n, 0) AS persisted_rows, CASE WHEN n IS NULL THEN 'pending' ELSE 'completed' END AS status
+  FROM (SELECT unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) AS d)
+  LEFT JOIN (SELECT business_date, count(*) AS n
+  FROM fact
+  GROUP BY 1) f ON f.business_date = cast(d AS date)""")
 
 
 def raw_round_trip(spark: SparkSession, sf_dir: str, name: str = "order_payments") -> DataFrame:
@@ -327,12 +368,25 @@ register(
 NORMAL = f"NOT regexp_matches(p.product_name, '{x.SPECIAL_PRODUCT}') AND NOT contains(lower(p.product_name), 'test')"
 FP = "fact f JOIN pd p ON p.owner_user_id = f.owner_user_id AND p.product_no = f.product_no"
 QN = "cast(sum(qty_milli) AS bigint) AS qty_milli, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli"
-register("product_leaderboard", lambda k: analytics.product_leaderboard(k.fact(), product_dim(k)), f"SELECT f.owner_user_id, f.product_no, p.product_name, {QN} FROM {FP} WHERE {NORMAL} GROUP BY 1, 2, 3 ORDER BY net_sales_milli DESC, qty_milli DESC, product_no LIMIT 5", ALL)
+register(
+    "product_leaderboard",
+    lambda k: analytics.product_leaderboard(k.fact(), product_dim(k)),
+    f"""SELECT f.owner_user_id, f.product_no, p.product_name, {QN}
+  FROM {FP}
+  WHERE {NORMAL}
+  GROUP BY 1, 2, 3
+  ORDER BY net_sales_milli DESC, qty_milli DESC, product_no LIMIT 5""", ALL)
 SUMMARY = f"SELECT f.owner_user_id, f.product_no, p.product_name, {QN} FROM {FP} GROUP BY 1, 2, 3"
 register("product_summary", lambda k: analytics.product_summary(k.fact(), product_dim(k)), SUMMARY, ALL)
 register("product_summary_top", lambda k: analytics.product_summary_top(k.fact(), product_dim(k)), f"{SUMMARY} ORDER BY net_sales_milli DESC NULLS LAST, product_no LIMIT 5", ALL)
 register("fact_sorted", lambda k: k.fact().orderBy(*GRAIN[1:]), f"SELECT * FROM fact ORDER BY {', '.join(GRAIN[1:])}")
-register("excluded_products_audit", lambda k: analytics.excluded_products_audit(k.fact(), product_dim(k), deny=("P3",)), f"SELECT f.owner_user_id, f.product_no, p.product_name, {QN} FROM {FP} WHERE NOT ({NORMAL}) OR f.product_no = 'P3' GROUP BY 1, 2, 3", ALL)
+register(
+    "excluded_products_audit",
+    lambda k: analytics.excluded_products_audit(k.fact(), product_dim(k), deny=("P3",)),
+    f"""SELECT f.owner_user_id, f.product_no, p.product_name, {QN}
+  FROM {FP}
+  WHERE NOT ({NORMAL}) OR f.product_no = 'P3'
+  GROUP BY 1, 2, 3""", ALL)
 for _m in ("qty_milli", "gross_sales_milli", "net_sales_milli", "sales_ex_tax_milli"):
     register(f"top_products_by_{_m.removesuffix('_milli')}", lambda k, m=_m: analytics.top(k.fact(), "product_no", m), f"SELECT product_no, {SUMS} FROM fact GROUP BY 1 ORDER BY {_m} DESC NULLS LAST, product_no LIMIT 5")
 for _m in ("net_sales_milli", "qty_milli", "tax_milli", "discount_milli", "surcharge_milli"):
@@ -352,9 +406,17 @@ for _n, _key, _codes in (("order_type_mix", "order_type_id", x.ORDER_TYPES), ("p
         f"""SELECT *, cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER () AS bigint) AS double) AS net_share,
   {oracle.names(_key, _codes)} AS code FROM (SELECT {_key}, {QN} FROM fact GROUP BY 1)""",
     )
-register("tax_discount_summary", lambda k: analytics.sums(k.fact(), "owner_user_id", "business_date", measures=("discount_milli", "surcharge_milli", "included_tax_milli", "tax_milli")), "SELECT owner_user_id, business_date, cast(sum(discount_milli) AS bigint) AS discount_milli, cast(sum(surcharge_milli) AS bigint) AS surcharge_milli, cast(sum(included_tax_milli) AS bigint) AS included_tax_milli, cast(sum(tax_milli) AS bigint) AS tax_milli FROM fact GROUP BY 1, 2")
+register(
+    "tax_discount_summary",
+    lambda k: analytics.sums(k.fact(), "owner_user_id", "business_date", measures=("discount_milli", "surcharge_milli", "included_tax_milli", "tax_milli")),
+    """SELECT owner_user_id, business_date, cast(sum(discount_milli) AS bigint) AS discount_milli, cast(sum(surcharge_milli) AS bigint) AS surcharge_milli, cast(sum(included_tax_milli) AS bigint) AS included_tax_milli, cast(sum(tax_milli) AS bigint) AS tax_milli
+  FROM fact
+  GROUP BY 1, 2""")
 for _key in ("product_no", "branch_id", "hour_of_day"):
-    register(f"share_of_sales_by_{_key}", lambda k, key=_key: analytics.share_of_sales(k.fact(), key), f"SELECT *, cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER () AS bigint) AS double) AS share FROM (SELECT owner_user_id, {_key}, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli FROM fact GROUP BY 1, 2)")
+    register(f"share_of_sales_by_{_key}", lambda k, key=_key: analytics.share_of_sales(k.fact(), key), f"""SELECT *, cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER () AS bigint) AS double) AS share
+  FROM (SELECT owner_user_id, {_key}, cast(sum(net_sales_milli) AS bigint) AS net_sales_milli
+  FROM fact
+  GROUP BY 1, 2)""")
 register("category_mix", lambda k: analytics.sums(analytics.with_products(k.fact(), product_dim(k)), "cate_no", "cate_name"), f"SELECT p.cate_no, p.cate_name, {QN} FROM {FP} GROUP BY 1, 2", ALL)
 
 # contracts: mapping and signals made from the sales themselves
@@ -383,7 +445,11 @@ def _made(k: Chain, sql: str) -> DataFrame:
     return k.orders.sparkSession.sql(body, **used)
 
 
-register("location_contract_check", lambda k: contracts.location_contract_check(_made(k, LOCATIONS)), "SELECT count(*) FILTER (valid_to < valid_from) AS valid_range, count(*) FILTER ((latitude IS NULL) <> (longitude IS NULL)) AS coordinate_pair, count(*) FILTER (abs(latitude) > 90 OR abs(longitude) > 180) AS coordinate_bounds, count(*) FILTER (distance_meters < 0) AS distance, count(*) FILTER (trim(source_type) = '') AS source_type, count(*) FILTER (trim(source_reference) = '') AS source_reference, count(*) FILTER (verification_status = 'guess') AS verification_status, count(*) FILTER (verification_status = 'verified' AND verified_at IS NULL) AS verified_without_proof, count(*) FILTER (location_status = 'lost') AS location_status, cast(0 AS bigint) AS version_not_unique FROM loc", LOCATIONS)
+register(
+    "location_contract_check",
+    lambda k: contracts.location_contract_check(_made(k, LOCATIONS)),
+    """SELECT count(*) FILTER (valid_to < valid_from) AS valid_range, count(*) FILTER ((latitude IS NULL) <> (longitude IS NULL)) AS coordinate_pair, count(*) FILTER (abs(latitude) > 90 OR abs(longitude) > 180) AS coordinate_bounds, count(*) FILTER (distance_meters < 0) AS distance, count(*) FILTER (trim(source_type) = '') AS source_type, count(*) FILTER (trim(source_reference) = '') AS source_reference, count(*) FILTER (verification_status = 'guess') AS verification_status, count(*) FILTER (verification_status = 'verified' AND verified_at IS NULL) AS verified_without_proof, count(*) FILTER (location_status = 'lost') AS location_status, cast(0 AS bigint) AS version_not_unique
+  FROM loc""", LOCATIONS)
 register("location_current", lambda k: contracts.location_current(_made(k, LOCATIONS)).select("branch_id", "station_id", "valid_from"), "SELECT branch_id, station_id, valid_from FROM loc WHERE verification_status = 'verified' AND valid_to IS NULL", LOCATIONS)
 
 
@@ -393,7 +459,14 @@ def imported(k: Chain) -> tuple[DataFrame, DataFrame]:
     return contracts.location_replace_import(current, batch, "1998-01-01")
 
 
-register("location_replace_import", lambda k: imported(k)[0].select("branch_id", "station_id", "valid_from", "valid_to"), "SELECT branch_id, station_id, valid_from, CASE WHEN branch_id IN ('B9', 'B10') THEN date '1997-12-31' END AS valid_to FROM loc UNION ALL SELECT branch_id, 'new', date '1998-01-01', NULL FROM loc WHERE branch_id IN ('B9', 'B10')", LOCATIONS)
+register(
+    "location_replace_import",
+    lambda k: imported(k)[0].select("branch_id", "station_id", "valid_from", "valid_to"),
+    """SELECT branch_id, station_id, valid_from, CASE WHEN branch_id IN ('B9', 'B10') THEN date '1997-12-31' END AS valid_to
+  FROM loc
+  UNION ALL SELECT branch_id, 'new', date '1998-01-01', NULL
+  FROM loc
+  WHERE branch_id IN ('B9', 'B10')""", LOCATIONS)
 _json = "'{\"branch_id\":\"' || branch_id || '\",\"station_id\":\"' || {station} || '\",\"valid_from\":\"' || cast({day} AS varchar) || '\"}}'"
 
 
@@ -409,7 +482,13 @@ register(
   {_snapshot("station_id", "valid_from", "true")} AS previous_mappings, {_snapshot("'new'", "date '1998-01-01'", "{b}")} AS imported_mappings FROM loc""".replace("{b}", "branch_id IN ('B9', 'B10')"),
     LOCATIONS,
 )
-register("location_as_of", lambda k: contracts.location_as_of(k.fact(), imported(k)[0]).groupBy("branch_id", "station_id").agg(F.count("*").alias("row_count")), "SELECT f.branch_id, CASE WHEN l.verification_status <> 'verified' THEN NULL WHEN f.branch_id IN ('B9', 'B10') AND f.business_date >= date '1998-01-01' THEN 'new' ELSE l.station_id END AS station_id, count(*) AS row_count FROM fact f LEFT JOIN loc l ON l.branch_id = f.branch_id GROUP BY 1, 2", LOCATIONS)
+register(
+    "location_as_of",
+    lambda k: contracts.location_as_of(k.fact(), imported(k)[0]).groupBy("branch_id", "station_id").agg(F.count("*").alias("row_count")),
+    """SELECT f.branch_id, CASE WHEN l.verification_status <> 'verified' THEN NULL WHEN f.branch_id IN ('B9', 'B10') AND f.business_date >= date '1998-01-01' THEN 'new' ELSE l.station_id END AS station_id, count(*) AS row_count
+  FROM fact f
+  LEFT JOIN loc l ON l.branch_id = f.branch_id
+  GROUP BY 1, 2""", LOCATIONS)
 register(
     "signal_upsert_weather",
     lambda k: contracts.signal_upsert(w := _made(k, WEATHER), w.where("day(signal_date) < 15").withColumn("value", c("value") + 100), "weather").select("owner_user_id", "location", "signal_date", "observation_kind", "value"),
@@ -423,7 +502,14 @@ for _kind, _test in (("promotion", "true"), ("availability", "item IS NOT NULL")
         f"SELECT owner_user_id, location, item, signal_date, max(value) + CASE WHEN day(signal_date) < 24 THEN 100 ELSE 0 END AS value FROM prom WHERE {_test} GROUP BY 1, 2, 3, 4",
         PROMOTION,
     )
-register("signal_contract_check", lambda k: contracts.signal_contract_check(_made(k, WEATHER), _made(k, PROMOTION)), "SELECT (SELECT count(*) FROM wea WHERE observation_kind NOT IN ('forecast', 'actual')) AS weather_kind, cast(0 AS bigint) AS weather_date, (SELECT count(*) FROM prom WHERE item IS NULL) AS availability_item, cast(0 AS bigint) AS availability_date", f"{WEATHER}, {PROMOTION}")
+register(
+    "signal_contract_check",
+    lambda k: contracts.signal_contract_check(_made(k, WEATHER), _made(k, PROMOTION)),
+    """SELECT (SELECT count(*)
+  FROM wea
+  WHERE observation_kind NOT IN ('forecast', 'actual')) AS weather_kind, cast(0 AS bigint) AS weather_date, (SELECT count(*)
+  FROM prom
+  WHERE item IS NULL) AS availability_item, cast(0 AS bigint) AS availability_date""", f"{WEATHER}, {PROMOTION}")
 _key = ["business_date", "hour_of_day", "branch_id", "product_no", "order_type_id", "payment_type_id"]
 _frame = lambda k: k.fact().withColumn("location", c("branch_id"))
 

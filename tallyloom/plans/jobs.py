@@ -49,12 +49,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _replace(spark: SparkSession, new: str, old: str) -> None:
     """Puts the folder ``new`` in the place of ``old``."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(old).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(path(old)):
-        fs.delete(path(old), True)
+    _delete(spark, old)
+    fs.mkdirs(path(old).getParent())
     if not fs.rename(path(new), path(old)):
         raise OSError(f"can't rename {new} to {old}")
 
@@ -67,7 +72,7 @@ def sync_dims(chain: Chain, path: str, mode: str = "plan", owner: int = 1, sampl
     variants of each dimension are made once."""
     if mode not in ("plan", "apply"):
         raise ValueError(mode)
-    spark, out = chain.orders.sparkSession, None
+    spark, rows = chain.orders.sparkSession, []
     place = scratch(spark, "dims")
     for name, (key, variants, label, shape) in DIMENSIONS.items():
         ranked = variants(chain)
@@ -76,19 +81,18 @@ def sync_dims(chain: Chain, path: str, mode: str = "plan", owner: int = 1, sampl
         new = shape(dims.candidates(ranked), owner)
         file = f"{path.rstrip('/')}/{name}"
         current = spark.read.schema(new.schema).parquet(file) if _exists(spark, file) else new.where("false")
-        known = new.select("owner_user_id", key).join(current.select("owner_user_id", key, F.lit(1).alias("had")), ["owner_user_id", key], "left")
-        counts = known.agg(F.count("*").alias("candidate_count"), F.count_if(c("had").isNull()).alias("inserted"), F.count("had").alias("updated"))
-        conflicts = dims.conflict_keys(ranked, key).agg(F.count("*").alias("conflict_count"))
-        shown = dims.conflict_samples(ranked, key, label(), samples).agg(F.array_join(F.array_sort(F.collect_list(F.concat(key, F.lit(": "), "variants"))), "\n").alias("conflict_samples"))
-        had = current.agg(F.count("*").alias("rows_before"))
-        row = counts.crossJoin(conflicts).crossJoin(shown).crossJoin(had).withColumn("rows_after", c("rows_before") + c("inserted"))
-        row = row.select(F.lit(name).alias("dimension"), *row.columns, F.lit(mode == "apply").alias("written"))
-        row = spark.createDataFrame(row.toArrow(), row.schema)  # one row, as it was before the dimension is replaced
+        # each key has one variant of rank 1, and one of rank 2 if it has several
+        seen = ranked.withColumn("owner_user_id", F.lit(owner).cast("bigint")).join(current.select("owner_user_id", key, F.lit(1).alias("had")), ["owner_user_id", key], "left")
+        first, had = c("variant_rank") == 1, c("had").isNotNull()
+        n = seen.agg(F.count_if(first).alias("all"), F.count_if(first & ~had).alias("inserted"), F.count_if(first & had).alias("updated"), F.count_if(c("variant_rank") == 2).alias("several")).first()
+        shown = sorted(f"{r[key]}: {r['variants']}" for r in dims.conflict_samples(ranked, key, label(), samples).collect()) if n["several"] else []
+        before = current.count()
+        rows.append((name, n["all"], n["inserted"], n["updated"], n["several"], "\n".join(shown), before, before + n["inserted"], mode == "apply"))
         if mode == "apply":
             dims.upsert(current, new, key).write.parquet(f"{place}/{name}-new")
             _replace(spark, f"{place}/{name}-new", file)
-        out = row if out is None else out.union(row)
-    return out
+    _delete(spark, place)
+    return spark.createDataFrame(rows, "dimension string, candidate_count long, inserted long, updated long, conflict_count long, conflict_samples string, rows_before long, rows_after long, written boolean")
 
 
 FAST = ["source_counts", "preview_count", "reconciliation_summary", "top_tax_delta_sample", "status_excluded_summary"]
