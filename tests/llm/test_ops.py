@@ -76,26 +76,57 @@ def test_bytes_decide_where_hashes_are_equal(monkeypatch):
         monkeypatch.setattr(common, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
 
 
-def test_op1_classes(spark, docs, odd, empty):
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    sets = {d: bag(t) for d, t in rows}
-    parent = {d: d for d in sets}
+def plain_classes(rows, least=0.8):
+    """The smallest id of each text's class, and the number of linked pairs of unlike bags. Pairs are those that share one of the rarest
+    shingles of both that together weigh more than 1 - ``least`` of the bag, which no pair of that similarity can avoid."""
+    bags = {d: bag(t) for d, t in rows}
+    parent = {d: d for d in bags}
 
     def find(v):
         while parent[v] != v:
             v = parent[v]
         return v
 
-    ids = sorted(sets)
-    for i, a in enumerate(ids):
-        for b in ids[:i]:
-            both = sum((sets[a] & sets[b]).values())
-            union = sum(sets[a].values()) + sum(sets[b].values()) - both
-            if sets[a] == sets[b] or both >= 0.8 * union:
-                x, y = find(a), find(b)
-                parent[max(x, y)] = min(x, y)
+    def join(a, b):
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+
+    by_bag = collections.defaultdict(list)
+    for d, x in bags.items():
+        by_bag[frozenset(x.items())].append(d)
+    for same in by_bag.values():
+        for d in same:
+            join(d, same[0])
+    heads = {same[0]: bags[same[0]] for same in by_bag.values()}
+    often = collections.Counter(w for x in heads.values() for w in x)
+    index, links = collections.defaultdict(list), 0
+    for d, x in heads.items():
+        total, weight, near = sum(x.values()), 0, set()
+        for w in sorted(x, key=lambda w: (often[w], w)):
+            if weight > (1 - least) * total:
+                break
+            weight += x[w]
+            near.update(index[w])
+            index[w].append(d)
+        for e in near:
+            both = sum((x & heads[e]).values())
+            if both >= least * (total + sum(heads[e].values()) - both):
+                links += 1
+                join(d, e)
+    return {d: find(d) for d in bags}, links
+
+
+def test_op1_classes_of_more_documents(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
+    want, links = plain_classes([(r.doc_id, r.text) for r in docs.collect()])
+    assert links > 3
+    assert {r.doc_id: r.class_id for r in near_dedup.near_classes(common.texts(docs)).collect()} == want
+
+
+def test_op1_classes(spark, docs, odd, empty):
+    want, _ = plain_classes([(r.doc_id, r.text) for r in docs.collect()])
     got = {r.doc_id: r.class_id for r in near_dedup.near_classes(common.texts(docs)).collect()}
-    assert got == {d: find(d) for d in ids}
+    assert got == want
     classes = {r.doc_id: r.class_id for r in near_dedup.near_classes(common.texts(odd)).collect()}
     assert classes[1] == classes[2] == classes[3] == 1 and classes[4] == 4 and classes[None] is None
     kept = near_dedup.keep_first(odd)
