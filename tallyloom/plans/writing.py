@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.allocation import Chain, hourly_fact
 from ..schemas import GRAIN, MEASURES
@@ -24,6 +25,10 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*(c(k).cast("bigint" if k == "owner_user_id" else "date") if k in ("owner_user_id", "business_date") else c(k) for k in (*GRAIN, *MEASURES)))
 
 
+def read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: DataFrame, path: str, mode: str = "write", owner: int = 1) -> DataFrame:
     """Gates, then writes: validate stops after the gates before writing, plan too but reports days, write publishes.
 
@@ -34,7 +39,11 @@ def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: Da
         raise ValueError(mode)
     spark = products.sparkSession
     place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
-    staged = lambda df, name: (df.write.parquet(f"{place}/{name}"), spark.read.schema(df.schema).parquet(f"{place}/{name}"))[1]
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{place}/{name}")
+        return read_back(spark, f"{place}/{name}", df.schema)
+
     try:
         lines = staged(chain.allocations, "lines")
         fact = hourly_fact(lines, owner)
@@ -46,8 +55,7 @@ def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: Da
         before = lambda day: F.lit(True) if day is None else c("business_date") < F.lit(day)
         good = before(first(~c("passed")))
         if mode == "write":
-            write_fact_day_replace(fact.where(good), f"{place}/fact")
-            written = read_fact(spark, f"{place}/fact")
+            written = staged(fact.where(good), "fact")
             post = gates.post_insert_report(source.where(good), written).select(*gates.KEY, c("passed").alias("post_passed"))
             days = staged(days.join(post, gates.KEY, "left"), "compared")
             good = good & before(first(c("post_passed") == F.lit(False)))

@@ -128,9 +128,13 @@ def test_what_fails_after_writing_isnt_published(spark, tmp_path, monkeypatch):
     assert [r.status for r in job(spark, chain, path).collect()] == ["succeeded"] * 2
     before = {tuple(r) for r in writing.read_fact(spark, path).collect()}
     assert {p.name for p in tmp_path.iterdir()} == {"fact"}  # no staging is left
-    read = writing.read_fact
-    spoilt = lambda s, p: read(s, p).withColumn("qty_milli", F.col("qty_milli") + (F.col("business_date") == F.lit(other)).cast("bigint"))
-    monkeypatch.setattr(writing, "read_fact", spoilt)
+    read = writing.read_back
+
+    def spoilt(spark, path, schema):
+        df = read(spark, path, schema)
+        return df.withColumn("qty_milli", F.col("qty_milli") + (F.col("business_date") == F.lit(other)).cast("bigint")) if path.endswith("/fact") else df
+
+    monkeypatch.setattr(writing, "read_back", spoilt)
     days = {r.business_date: (r.passed, r.post_passed, r.status, r.rows_written) for r in job(spark, chain, path).collect()}
     monkeypatch.undo()
     assert days == {DAY: (True, True, "succeeded", 1), other: (True, False, "failed", 0)}
