@@ -69,6 +69,10 @@ pay AS (SELECT order_id, t_open_date AS business_date, {PAYMENT} AS ptype, cast(
 paid AS (SELECT order_id, business_date, CASE count(*) FILTER (abs(amount) > 0.0001 AND ptype <> 0) WHEN 0 THEN 0 WHEN 1 THEN (list(ptype ORDER BY abs(amount) DESC, ptype DESC))[1] ELSE 8 END AS payment_type_id FROM pay GROUP BY 1, 2)"""
 
 
+_tests = ["has_invalid_amount = 1", "is_amount_outlier = 1", "is_completed_proxy = 0", "item_count <= 0", "abs(order_net_sales) <= 0.000001"]
+BUCKET = "coalesce(" + ", ".join(f"CASE WHEN {t} THEN '{b}' END" for t, b in zip(_tests, x.BUCKETS, strict=False)) + f", '{x.BUCKETS[-1]}')"
+
+
 def chain(tag: str, orders: str) -> str:
     """The steps after the choice of orders; names end in ``tag``."""
     disc = "item_discount + CASE WHEN order_gross_sales = 0 THEN cast(0 AS double) ELSE addition_discount_total * (item_gross / order_gross_sales) END"
@@ -99,8 +103,7 @@ sc{tag} AS (SELECT f.*, CASE WHEN f.item_count > 0 THEN 1 ELSE 0 END AS has_vali
  {milli("f.order_net_sales")} AS source_net_sales_milli, {milli("f.order_included_tax")} AS source_included_tax_milli, {milli("f.order_net_sales - f.order_included_tax")} AS source_sales_ex_tax_milli,
  {milli("f.addition_include_tax_total")} AS addition_include_tax_milli, {milli("f.order_net_sales")} AS allocation_denominator_milli,
  {", ".join(f"coalesce(u.{m}, 0) AS allocated_{m}" for m in MEASURES)}, CASE WHEN u.order_id IS NULL THEN 0 ELSE 1 END AS appears_in_preview_allocation,
- CASE WHEN has_invalid_amount = 1 THEN 'invalid_non_finite_amount' WHEN is_amount_outlier = 1 THEN 'amount_outlier_over_threshold' WHEN is_completed_proxy = 0 THEN 'status_not_completed_or_voided'
-  WHEN item_count <= 0 THEN 'no_valid_items' WHEN abs(order_net_sales) <= 0.000001 THEN 'zero_tax_allocation_denominator' ELSE 'allocatable' END AS reconciliation_bucket
+ {BUCKET} AS reconciliation_bucket
  FROM fi{tag} f LEFT JOIN su{tag} u USING (order_id, business_date)),
 fact{tag} AS (SELECT cast(1 AS bigint) AS owner_user_id, business_date, cast(hour_of_day AS smallint) AS hour_of_day, branch_id, product_no, cast(order_type_id AS smallint) AS order_type_id, cast(payment_type_id AS smallint) AS payment_type_id, {sums}
  FROM al{tag} GROUP BY ALL)"""
