@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe_chunks import op4_bpe_roundtrip
 from .collocations import ORACLE_SQL as PHRASE_SQL
 from .collocations import op11_collocations
+from .conversations import op12_conversation_repair
 from .decontaminate import op6_decontaminate
 from .html_text import op5_html_text
 from .language_id import op9_language_id
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
     "op11_collocations": op11_collocations,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_token_counts": op13_token_counts,
 }
 ORACLE_SQL = {"op10_url_filter": URL_SQL, "op11_collocations": PHRASE_SQL}
