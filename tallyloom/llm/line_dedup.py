@@ -1,12 +1,15 @@
 """Operator 2: line dedup by pairwise alignment.
 
 A run is a stretch of lines of at least ``words`` words together: from each line the shortest one that begins there, and the
-shortest one that ends there (one long line is both). How many documents hold a run is counted. A run that one document alone holds
-makes no pair; any other pairs each of its documents with the first one only, so the pairs are never more than the runs, however
-many documents hold a run. Each pair is aligned by patience diff (lines that are unique in both, longest rising chain, then between
-its links). Every aligned block of at least ``words`` words is deleted from the document with the larger id; of what moved and so
-isn't aligned, every run that the earlier document holds elsewhere. As each line of a block that a document shares with any
-earlier one lies in a run of the block, all such blocks of at least ``words`` words go, and nothing else.
+shortest one that ends there (one long line is both). How many documents hold a run is counted. A rare run (``RARE`` documents at
+most) pairs all its holders with each other; a frequent one pairs each of its holders with the first one only, so that documents that
+have only frequent runs in common with earlier ones are aligned too, and pairs are never more than RARE times the runs.
+
+A pair is aligned by patience diff over the runs that both have: runs that stand once in each, their longest rising chain, then
+between its links. An aligned block is a matched run with the equal lines around it; it has at least ``words`` words and goes from the
+document with the larger id. What is left because it stands in another order, or repeats, is aligned again in further rising chains
+until the two have no run in common. Nothing else is deleted. The pairs of the rarest runs come first, and a later pair of a
+document looks only at what the earlier ones have left of it.
 
 Lines are equal if the bytes between their first and last word are (told apart by 128-bit BLAKE2b digests). Lines without a word
 belong to no block and stay; so do copies of a passage that begin or end inside a line. Null texts are empty and stay empty; rows
@@ -17,7 +20,7 @@ without an id, and rows of the same id, never delete from each other; an empty t
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import NEWLINE, copied, dealt, drop_stage, materialize, places_of, slices, spans, table, texts
 
 WORDS = 25
-#: Rounds of alignment between the links of the last; what is left then is found by its runs.
+#: A run that at most so many documents hold is rare.
+RARE = 3
+#: Rounds of alignment between the links of the last; what is left then is aligned again with what else is left.
 DEPTH = 64
 SIZE = 16
 
@@ -54,7 +59,8 @@ def split_digests(every: bytes) -> list[bytes]:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, digests (binary) and words: of the lines with a word, in order."""
+    """doc_id, version, digests (binary) and words: of the lines with a word, in order, once for equal rows. version: a hash of the text,
+    which tells rows of the same id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -62,9 +68,15 @@ def lines(docs: DataFrame) -> DataFrame:
                 every, n, bounds = line_table(data, at)
                 cut = (bounds * SIZE).tolist()
                 column = pa.array([every[s:e] for s, e in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), column, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(n.astype(np.int32)))], ["doc_id", "digests", "words"])
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), b["version"].slice(i, j - i), column, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(n.astype(np.int32)))], ["doc_id", "version", "digests", "words"])
 
-    return docs.where("doc_id is not null").mapInArrow(run, "doc_id long, digests binary, words array<int>")
+    known = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("version"), "text")
+    again = materialize(known.groupBy("doc_id", "version").count().where("count > 1").select("doc_id", "version"), "again")
+    every = known.mapInArrow(run, "doc_id long, version long, digests binary, words array<int>")
+    if again.isEmpty():
+        return every
+    once = every.join(again, ["doc_id", "version"], "left_anti")
+    return once.union(every.join(again, ["doc_id", "version"], "left_semi").dropDuplicates(["doc_id", "version"]))
 
 
 def run_bounds(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +92,7 @@ def run_bounds(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(kept: DataFrame, least: int) -> DataFrame:
-    """doc_id, run: a key of each different run of each document."""
+    """doc_id, version, run: a key of each different run of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -91,13 +103,51 @@ def runs(kept: DataFrame, least: int) -> DataFrame:
                 own = {digest(every[SIZE * x : SIZE * y], 8) for x, y in zip(*(k.tolist() for k in run_bounds(w[s:e], least)), strict=True)}
                 found += own
                 n.append(len(own))
-            yield pa.RecordBatch.from_arrays([b["doc_id"].take(pa.array(np.repeat(np.arange(len(n)), n), pa.int64())), pa.array(np.frombuffer(b"".join(found), np.int64))], ["doc_id", "run"])
-
-    return kept.mapInArrow(run, "doc_id long, run long")
+            row = pa.array(np.repeat(np.arange(len(n)), n), pa.int64())
+            yield pa.RecordBatch.from_arrays([b["doc_id"].take(row), b["version"].take(row), pa.array(np.frombuffer(b"".join(found), np.int64))], ["doc_id", "version", "run"])
+
+    return kept.mapInArrow(run, "doc_id long, version long, run long")
+
+
+def rising_chains(pairs: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Pairs of places (in a, in b), in the order of a, dealt into the fewest chains that rise in both, the longest first."""
+    tops: list[int] = []  # minus the last place in b of each chain, rising
+    chains: list[list[tuple[int, int]]] = []
+    for k, (i, j) in enumerate(pairs):
+        p = bisect_right(tops, -j)  # the first chain that ends before j
+        if p == len(tops):
+            tops.append(-j)
+            chains.append([(i, j)])
+        else:
+            tops[p] = -j
+            chains[p].append((i, j))
+    return sorted(chains, key=len, reverse=True)
+
+
+def longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest chain of pairs, in the order of a, that rises in b too: patience sorting."""
+    tops: list[int] = []
+    chain: list[int] = []
+    back: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        p = bisect_left(tops, j)
+        back.append(chain[p - 1] if p else -1)
+        if p == len(tops):
+            tops.append(j)
+            chain.append(k)
+        else:
+            tops[p], chain[p] = j, k
+    k = chain[-1] if chain else -1
+    out = []
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
-    """Matched places (in a, in b) of two lists of lines, rising in both."""
+    """Matched places (in a, in b) of two lists, rising in both: what both begin and end with, the longest rising chain of what stands
+    once in each, and between its links again. Where nothing stands once, the rarest that both have links its first places."""
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b), 0)]
     while todo:
@@ -110,34 +160,18 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
             out.append((ha, hb))
         if la >= ha or lb >= hb or depth == DEPTH:
             continue
-        once_a: dict = {}
+        in_a: dict = {}
         for i in range(la, ha):
-            once_a[a[i]] = -1 if a[i] in once_a else i
-        once_b: dict = {}
+            in_a.setdefault(a[i], [i, 0])[1] += 1
+        in_b: dict = {}
         for j in range(lb, hb):
-            once_b[b[j]] = -1 if b[j] in once_b else j
-        pairs = [(i, once_b[x]) for x, i in once_a.items() if i >= 0 and once_b.get(x, -1) >= 0]
-        # the longest chain that rises in both: patience sorting by the place in b
-        tops: list[int] = []
-        chain: list[int] = []
-        back: list[int] = []
-        for k, (_, j) in enumerate(pairs):
-            p = bisect_left(tops, j)
-            back.append(chain[p - 1] if p else -1)
-            if p == len(tops):
-                tops.append(j)
-                chain.append(k)
-            else:
-                tops[p], chain[p] = j, k
-        k = chain[-1] if chain else -1
-        links = []
-        while k >= 0:
-            links.append(pairs[k])
-            k = back[k]
-        if not links:
+            in_b.setdefault(b[j], [j, 0])[1] += 1
+        common = [(n * in_b[x][1], i, in_b[x][0]) for x, (i, n) in in_a.items() if x in in_b]
+        if not common:
             continue
+        links = longest_rise([(i, j) for n, i, j in common if n == 1]) or [min(common)[1:]]
         edge_a, edge_b = la, lb
-        for i, j in reversed(links):
+        for i, j in links:
             out.append((i, j))
             todo.append((edge_a, i, edge_b, j, depth + 1))
             edge_a, edge_b = i + 1, j + 1
@@ -145,126 +179,153 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+class Pair:
+    """The runs that a document (a) has in common with an earlier one (b), and what of it has been aligned."""
+
+    def __init__(self, a: list, words: list[int], b: list, least: int):
+        number = {x: k for k, x in enumerate(dict.fromkeys(a))}
+        self.a, self.b = np.array([number[x] for x in a], np.int64), np.array([number.get(x, -1) for x in b], np.int64)
+        size = np.zeros(len(number) + 1, np.int64)
+        size[self.a] = words
+        size[-1] = least  # of lines that a doesn't have; a run with one is in common with nothing
+        runs_a, runs_b = (list(zip(*(k.tolist() for k in run_bounds(size[x], least)), strict=True)) for x in (self.a, self.b))
+        raw_a, raw_b = self.a.tobytes(), self.b.tobytes()
+        keys_a, keys_b = ([raw[8 * s : 8 * e] for s, e in x] for raw, x in ((raw_a, runs_a), (raw_b, runs_b)))
+        both = set(keys_a) & set(keys_b)
+        self.at_a, self.keys_a = [x for x, k in zip(runs_a, keys_a, strict=True) if k in both], [k for k in keys_a if k in both]
+        self.at_b, self.keys_b = [x for x, k in zip(runs_b, keys_b, strict=True) if k in both], [k for k in keys_b if k in both]
+        self.gone = np.zeros(len(a), bool)
+
+    def take(self, matched: list[tuple[int, int]]) -> None:
+        """Deletes the aligned blocks: each matched run, and the equal lines next to it on either side."""
+        a, b, done = self.a, self.b, (0, -1)  # the offset of the last block, and where it ends in a
+        for x, y in matched:
+            (s, e), j = self.at_a[x], self.at_b[y][0]
+            if done[0] == j - s and e <= done[1]:
+                continue
+            off = j - s
+            while s > 0 and s + off > 0 and a[s - 1] == b[s + off - 1] and not self.gone[s - 1]:
+                s -= 1
+            while e < len(a) and e + off < len(b) and a[e] == b[e + off]:
+                e += 1
+            self.gone[s:e] = True
+            done = (off, e)
+
+
 def common_lines(a: list, words: list[int], b: list, least: int) -> np.ndarray:
-    """Flags of the lines of ``a`` in blocks of at least ``least`` words that ``b`` has too."""
-    gone = np.zeros(len(a), bool)
-    upto = np.concatenate([[0], np.cumsum(words)])
-    matched, k = patience(a, b), 0
-    while k < len(matched):
-        s, j = matched[k]
-        e, k = s + 1, k + 1
-        while k < len(matched) and matched[k] == (e, j + e - s):
-            e, k = e + 1, k + 1
-        if upto[e] - upto[s] >= least:
-            gone[s:e] = True
-    left, right = run_bounds(np.asarray(words), least)
-    rest = [(s, e) for s, e in zip(left.tolist(), right.tolist(), strict=True) if not gone[s:e].all()]
-    if rest:  # what moved, or repeats: runs of a that stand elsewhere in b
-        of = dict(zip(a, words, strict=True))
-        there = {tuple(b[s:e]) for s, e in zip(*(k.tolist() for k in run_bounds(np.array([of.get(x, least) for x in b]), least)), strict=True)}
-        for s, e in rest:
-            if tuple(a[s:e]) in there:
-                gone[s:e] = True
-    return gone
-
-
-def version_of(every: bytes) -> int:
-    return int.from_bytes(digest(every, 8), "little", signed=True)
+    """Flags of the lines of ``a`` in the aligned blocks, of at least ``least`` words, of ``a`` and the earlier ``b``. What the
+    patience diff leaves because its order is another, or because it repeats, is aligned again until no run is left."""
+    pair = Pair(a, words, b, least)
+    matched = patience(pair.keys_a, pair.keys_b)
+    if matched:
+        pair.take(matched)
+        left = [x for x, (s, e) in enumerate(pair.at_a) if not pair.gone[s:e].all()]
+        first = {k: y for y, k in reversed(list(enumerate(pair.keys_b)))}
+        for chain in rising_chains([(x, first[pair.keys_a[x]]) for x in left]):
+            pair.take(chain)
+    return pair.gone
+
+
+def document_pairs(by_run: DataFrame) -> DataFrame:
+    """doc_id, version, earlier_id, earlier_version, rarest (holders of the rarest run that pairs them). by_run: doc_id, version, run."""
+    holder = F.struct("doc_id", "version")
+    held = by_run.groupBy("run").agg(F.min(holder).alias("first"), F.max("doc_id").alias("last_id"), F.count("*").alias("holders"))
+    held = materialize(held.where("first.doc_id < last_id").select("run", "first", "holders"), "held")
+    shared = by_run.join(held.hint("merge"), "run")
+    # a rare run pairs all its holders; of a frequent one, each with the first
+    lists = shared.where(F.col("holders") <= RARE).groupBy("run", "holders").agg(F.collect_list(holder).alias("all"))
+    rare = lists.select("holders", "all", F.explode("all").alias("own")).select("own.*", F.explode("all").alias("first"), "holders")
+    frequent = shared.where(F.col("holders") > RARE).select("doc_id", "version", "first", "holders")
+    found = rare.union(frequent).where("first.doc_id < doc_id")
+    found = found.groupBy("doc_id", "version", F.col("first.doc_id").alias("earlier_id"), F.col("first.version").alias("earlier_version")).agg(F.min("holders").alias("rarest"))
+    return materialize(found, "pairs")
 
 
 def find_lines(docs: DataFrame, least: int = WORDS) -> DataFrame:
-    """doc_id, version, gone (the numbers of its lines that go), earlier_ids (the documents that hold them) for each document
-    that shares a block with an earlier one. version tells rows of the same id and other lines apart."""
+    """doc_id, version, gone (the numbers of its lines that go), earlier_ids (the documents that hold them) for each text
+    that shares a block with an earlier one."""
     kept = materialize(lines(docs), "lines")
     by_run = materialize(runs(kept, least), "runs")
-    held = by_run.groupBy("run").agg(F.min("doc_id").alias("earlier_id"), F.max("doc_id").alias("last"), F.count("*").alias("holders"))
-    held = materialize(held.where("earlier_id < last").select("run", "earlier_id", "holders"), "held")
-    pairs = by_run.join(held.hint("merge"), "run").where("earlier_id < doc_id").groupBy("doc_id", "earlier_id").agg(F.min("holders").alias("rarest"))
-    pairs = materialize(pairs, "pairs")
+    pairs = document_pairs(by_run)
     # an earlier document of many pairs goes to several places, each with a part of its pairs
-    places = places_of(pairs, ["earlier_id"])
-    asks = dealt(pairs, places, ["earlier_id"], "doc_id")
-    first = copied(kept.select(F.col("doc_id").alias("earlier_id"), "digests"), places, ["earlier_id"])
-    partners = asks.join(first.hint("merge"), ["earlier_id", "place"]).select("doc_id", "rarest", "earlier_id", "digests", F.lit(None).cast("array<int>").alias("words"))
-    own = kept.join(pairs.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select("doc_id", F.lit(-1).cast("long").alias("rarest"), F.lit(None).cast("long").alias("earlier_id"), "digests", "words")
-    # each document's own lines come first and then its partners one by one, the rarest shared lines first, so no task holds a document's pairs together
-    rows = own.union(partners).repartition("doc_id").sortWithinPartitions("doc_id", "rarest", "earlier_id")
+    earlier = ["earlier_id", "earlier_version"]
+    places = places_of(pairs, earlier)
+    asks = dealt(pairs, places, earlier, "doc_id")
+    first = copied(kept.select(F.col("doc_id").alias("earlier_id"), F.col("version").alias("earlier_version"), "digests"), places, earlier)
+    partners = asks.join(first.hint("merge"), [*earlier, "place"]).select("doc_id", "version", "rarest", "earlier_id", "digests", F.lit(None).cast("array<int>").alias("words"))
+    key = ["doc_id", "version"]
+    own = kept.join(pairs.select(*key).distinct().hint("merge"), key, "left_semi").select(*key, F.lit(-1).cast("long").alias("rarest"), F.lit(None).cast("long").alias("earlier_id"), "digests", "words")
+    # each text's own lines come first and then its partners one by one, those of the rarest runs first, so no task holds its pairs together
+    rows = own.union(partners).repartition(*key).sortWithinPartitions(*key, "rarest", "earlier_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mine = None, {}
+        at, mine, done = None, None, []
+
+        def close() -> None:
+            if mine is not None and mine[3]:
+                done.append((*at, np.flatnonzero(mine[2]).tolist(), sorted(mine[3])))
 
         def result() -> pa.RecordBatch:
-            rows = [(at, v, np.flatnonzero(gone).tolist(), sorted(ids)) for v, (_, _, gone, ids) in mine.items() if ids]
-            doc, version, gone, ids = zip(*rows, strict=True) if rows else ((), (), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(version, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "version", "gone", "earlier_ids"])
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            out = pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], kind) for k, kind in enumerate(kinds)], ["doc_id", "version", "gone", "earlier_ids"])
+            done.clear()
+            return out
 
         for b in batches:
-            for doc, earlier, every, words in zip(*(b[c] for c in ("doc_id", "earlier_id", "digests", "words")), strict=True):
-                if doc.as_py() != at:
-                    if mine:
-                        yield result()
-                    at, mine = doc.as_py(), {}
-                every = every.as_py()
-                if not earlier.is_valid:
-                    mine.setdefault(version_of(every), (split_digests(every), words.as_py(), np.zeros(len(every) // SIZE, bool), set()))
-                    continue
-                other = split_digests(every)
-                for a, w, gone, ids in mine.values():
-                    found = common_lines(a, w, other, least)
-                    if found.any():
-                        gone |= found
-                        ids.add(earlier.as_py())
-        if mine:
+            for doc, version, earlier, every, words in zip(*(b[c] for c in ("doc_id", "version", "earlier_id", "digests", "words")), strict=True):
+                if (now := (doc.as_py(), version.as_py())) != at:
+                    close()
+                    at, mine = now, None
+                if mine is None:
+                    every = every.as_py()
+                    mine = (split_digests(every), words.as_py(), np.zeros(len(every) // SIZE, bool), set())
+                elif not mine[2].all():
+                    found = common_lines(*mine[:2], split_digests(every.as_py()), least)
+                    if (found & ~mine[2]).any():
+                        np.logical_or(mine[2], found, out=mine[2])
+                        mine[3].add(earlier.as_py())
+            if done:
+                yield result()
+        close()
+        if done:
             yield result()
 
     out = materialize(rows.mapInArrow(run, "doc_id long, version long, gone array<int>, earlier_ids array<long>"), "gone")
-    drop_stage(kept, by_run, held, pairs, places)
+    drop_stage(kept, by_run, pairs, places)
     return out
 
 
-def cut_lines(text: str, found: list[dict]) -> tuple[str, list[int], list[int]]:
-    """The text without the lines that go, their numbers, and the earlier documents that hold them."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    version = version_of(line_table(data, np.array([0, len(data)]))[0])
-    mine = next((f for f in found if f["version"] == version), None)
-    if mine is None:
-        return text, [], []
-    gone, k, out = set(mine["gone"]), 0, []
+def cut_lines(text: str, gone: list[int]) -> str:
+    """The text without the lines (numbers of lines with a word) that go."""
+    away, k, out = set(gone), 0, []
     for p in text.split("\n"):
         if p.strip(" \t\n\v\f\r"):
             k += 1
-            if k - 1 in gone:
+            if k - 1 in away:
                 continue
         out.append(p)
-    return "\n".join(out), mine["gone"], mine["earlier_ids"]
+    return "\n".join(out)
 
 
 def dedup_lines(docs: DataFrame, least: int = WORDS, counts: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the later copies of common blocks deleted from the text; with ``counts`` also removed_lines (long) and
     earlier_ids (sorted list of the documents that hold what was removed)."""
-    gone = find_lines(texts(docs, id_col, text_col), least)
-    # a row for each version of an id, of which there are as many as the id has rows
-    grouped = materialize(gone.groupBy("doc_id").agg(F.collect_list(F.struct("version", "gone", "earlier_ids")).alias("found")), "cuts")
-    drop_stage(gone)
+    cuts = find_lines(texts(docs, id_col, text_col), least)
     place = docs.columns.index(text_col)
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
-    joined = plain.join(grouped.hint("merge"), plain[f"c{docs.columns.index(id_col)}"].cast("long") == grouped["doc_id"], "left").drop("doc_id")
+    own = [plain[f"c{docs.columns.index(id_col)}"].cast("long") == cuts["doc_id"], F.xxhash64(F.coalesce(plain[f"c{place}"], F.lit(""))) == cuts["version"]]
+    joined = plain.join(cuts.hint("merge"), own, "left").drop("doc_id", "version")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text, cuts = b.column(place), b.column(b.num_columns - 1)
-            if cuts.null_count < len(b) or counts:
-                new = text.to_pylist()
-                removed, ids = [0] * len(new), [[] for _ in new]
-                for i, found in enumerate(cuts.to_pylist()):
-                    if found and new[i]:
-                        new[i], lost, ids[i] = cut_lines(new[i], found)
-                        removed[i] = len(lost)
-                text = pa.array(new, pa.string())
-            columns = [text if k == place else b.column(k) for k in range(b.num_columns - 1)]
+            text, cut = b.column(place), b.column(b.num_columns - 2)
+            if cut.null_count < len(b):
+                text = pa.array([t if t is None or g is None else cut_lines(t, g) for t, g in zip(text.to_pylist(), cut.to_pylist(), strict=True)], pa.string())
+            columns = [text if k == place else b.column(k) for k in range(b.num_columns - 2)]
             names = [f"c{k}" for k in range(len(columns))]
             if counts:
-                columns, names = [*columns, pa.array(removed, pa.int64()), pa.array(ids, pa.list_(pa.int64()))], [*names, "removed_lines", "earlier_ids"]
+                ids = [x or [] for x in b.column(b.num_columns - 1).to_pylist()]
+                columns, names = [*columns, pa.array([len(g or ()) for g in cut.to_pylist()], pa.int64()), pa.array(ids, pa.list_(pa.int64()))], [*names, "removed_lines", "earlier_ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema)) + ", removed_lines long, earlier_ids array<long>" * counts

@@ -221,12 +221,93 @@ def test_op2_blocks(spark, docs, odd, empty):
     assert out.columns == odd.columns and out.count() == len(ODD) and line_dedup.dedup_lines(empty).count() == 0
 
 
+def aligned_by_hand(a, sizes, b, least):
+    """Which lines of a go: again and again the longest block that what is left of a and b have in common, as difflib finds it; then the
+    equal lines that adjoin a deleted block in both."""
+    import difflib
+
+    left, gone = list(a), set()
+    while True:
+        found = []
+        for m in difflib.SequenceMatcher(None, left, b, autojunk=False).get_matching_blocks():
+            if m.size and sum(sizes[m.a : m.a + m.size]) >= least:
+                found.append(m)
+        if not found:  # a block that the longest chain hides
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if sum(sizes[i : i + n]) >= least and not set(range(i, i + n)) <= gone:
+                        found.append(difflib.Match(i, j, n))
+            found = found[:1]
+        if not found:
+            return gone
+        for m in found:
+            s, e = m.a, m.a + m.size
+            while s > 0 and m.b - (m.a - s) > 0 and a[s - 1] == b[m.b - (m.a - s) - 1]:
+                s -= 1
+            gone |= set(range(s, e))
+        left = [("gone", k) if k in gone else x for k, x in enumerate(a)]
+
+
+def random_pairs(times):
+    r = random.Random(3)
+    for _ in range(times):
+        lines = [(f"l{k}", r.choice([1, 3, 8, 14, 26])) for k in range(r.choice([4, 8, 14, 40]))]
+        a, b = ([r.choice(lines) for _ in range(r.randint(0, 20))] for _ in range(2))
+        at = r.randrange(len(a) + 1)
+        b[at:at] = a[at : at + r.randint(0, 9)]
+        yield [x for x, _ in a], [n for _, n in a], [x for x, _ in b]
+
+
+def test_op2_alignment_decides_what_goes(monkeypatch, spark):
+    some = 0
+    for a, sizes, b in random_pairs(400):
+        gone = set(np.flatnonzero(line_dedup.common_lines(a, sizes, b, 25)).tolist())
+        some += bool(gone)
+        assert gone == aligned_by_hand(a, sizes, b, 25)
+    assert some > 100
+    for a, _, b in random_pairs(200):
+        matched = line_dedup.patience(a, b)
+        assert matched == sorted(matched) and all(x[1] < y[1] for x, y in itertools.pairwise(matched)) and all(a[i] == b[j] for i, j in matched)
+        assert bool(matched) == bool(set(a) & set(b))
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b: [])  # without the alignment nothing goes
+    assert not any(line_dedup.common_lines(a, sizes, b, 25).any() for a, sizes, b in random_pairs(100))
+
+
+def test_op2_longest_rise_and_chains():
+    r = random.Random(8)
+    for _ in range(200):
+        pairs = list(enumerate(r.sample(range(30), r.randint(0, 9))))
+        best = max((c for n in range(len(pairs) + 1) for c in itertools.combinations(pairs, n) if all(x[1] < y[1] for x, y in itertools.pairwise(c))), key=len)
+        assert len(line_dedup.longest_rise(pairs)) == len(best)
+        chains = line_dedup.rising_chains(pairs)
+        assert sorted(x for c in chains for x in c) == pairs and all(x[1] < y[1] for c in chains for x, y in itertools.pairwise(c))
+
+
+def test_op2_rare_runs_pair_all_holders_and_frequent_ones_the_first(spark):
+    runs = [(d, 0, 1) for d in range(3)] + [(d, 0, 2) for d in range(10, 20)] + [(50, 0, 3), (50, 1, 3), (60, 0, 4)]
+    got = {(r.doc_id, r.earlier_id, r.rarest) for r in line_dedup.document_pairs(spark.createDataFrame(runs, "doc_id long, version long, run long")).collect()}
+    assert got == {(1, 0, 3), (2, 0, 3), (2, 1, 3), *((d, 10, 10) for d in range(11, 20))}
+
+
+def test_op2_many_texts_of_one_id(spark):
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(1, f"own {k % 40}\n{shared}") for k in range(80)] + [(2, f"{shared}\nnew {k % 40}") for k in range(80)]
+    out = [tuple(r) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()]
+    assert sorted(x[:2] for x in out) == sorted([*rows[:80], *((2, f"new {k % 40}") for k in range(80))])
+    assert {x[2:] and tuple(x[3]) for x in out} == {(), (1,)}
+
+
 def test_op2_time_grows_with_the_lines():
     lines = [b"%d" % k for k in range(20_000)]
     began = time.time()
     assert not line_dedup.common_lines(lines, [1] * len(lines), lines[::-1], 25).any()
     assert line_dedup.common_lines(lines, [1] * len(lines), lines[10_000:] + lines[:10_000], 25).all()
-    assert time.time() - began < 10
+    assert line_dedup.common_lines(lines, [30] * len(lines), lines[::-1], 25).all()
+    assert line_dedup.common_lines([b"x"] * 50_000, [30] * 50_000, [b"x"], 25).all()
+    assert time.time() - began < 15
 
 
 def test_op3_files(spark, odd, empty):
