@@ -10,9 +10,9 @@ exactly (compared as 64-bit hashes of five lower-cased words).
 Items of at most ``FEW`` shingles have too few bins to be found for sure: of n shingles of which m must stand in a document,
 n - m + 1 are looked up themselves, so that one of them is there if the item is.
 
-Items are indexed in blocks of at most ``ITEMS`` rows, which the driver makes and writes to shared storage one at a time; a task
-holds one block at a time too, so a benchmark of any size takes more searches of each batch of documents, not more memory or more
-scans. Null and empty texts, on either side, match nothing; a text of fewer than five words is one shingle; repeated rows give
+Equal items are one. Items are indexed in blocks of at most ``ITEMS`` rows, which the driver makes and writes to shared storage one
+at a time; a task holds one block at a time too and loads it once for ``GROUP_BYTES`` of texts, of which the shingles are made once, so
+a benchmark of any size takes more searches of each group, not more memory or more scans. Null and empty texts, on either side, match nothing; a text of fewer than five words is one shingle; repeated rows give
 repeated pairs of documents and one of items; empty tables give no rows. Extra columns are ignored.
 """
 
@@ -33,6 +33,8 @@ from .common import file_system, mix, ranges, row_of, shared_dir, slices, span_h
 WORDS, THRESHOLD, BINS, SMALLEST, FEW = 5, 0.8, 128, 16, 8
 #: Most items, and most bytes of their texts, in a pass over the documents.
 ITEMS, ITEM_BYTES = 20_000, 32 << 20
+#: Bytes of texts for which a task loads each block of items once.
+GROUP_BYTES = 32 << 20
 _NONE = np.uint64(2**64 - 1)
 
 
@@ -108,24 +110,23 @@ class Index:
                 add(mins[hit], np.repeat(np.arange(len(per)), per)[hit // BINS], keys, item)
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
-    def search(self, column: pa.Array) -> Iterator[tuple[int, int, float]]:
-        """(row, item, containment) of every exact hit."""
-        for i, _, hashes, bounds in shingles(column):
-            text_before, own = -1, None
-            for text, n in self.candidates(hashes, bounds).tolist():
-                if text != text_before:
-                    text_before, own = text, np.unique(hashes[bounds[text] : bounds[text + 1]])
-                ids, wanted = self.items[n]
-                at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
-                share = float((own[at] == wanted).sum()) / len(wanted)
-                if share >= self.threshold:
-                    for item in ids:
-                        yield i + text, item, share
+    def search(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(text, item, containment) of every exact hit among the shingles of some texts."""
+        text_before, own = -1, None
+        for text, n in self.candidates(hashes, bounds).tolist():
+            if text != text_before:
+                text_before, own = text, np.unique(hashes[bounds[text] : bounds[text + 1]])
+            ids, wanted = self.items[n]
+            at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+            share = float((own[at] == wanted).sum()) / len(wanted)
+            if share >= self.threshold:
+                for item in ids:
+                    yield text, item, share
 
 
 def write_indexes(benchmark: DataFrame, threshold: float) -> list[str]:
     """The items in blocks of bounded size, each written to the shared folder; the URIs."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     sizes = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n, size = sizes["n"], sizes["b"] or 0
     blocks = 1 if n <= ITEMS and size <= ITEM_BYTES else 2 * max(-(-n // ITEMS), -(-size // ITEM_BYTES))
@@ -153,20 +154,42 @@ def load_index(uri: str) -> Index:
     return _loaded[uri]
 
 
+def grouped(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of a task together, up to ``GROUP_BYTES`` of texts."""
+    group, size = [], 0
+    for b in batches:
+        group.append(b)
+        size += b.column(place).nbytes
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def hits(group: list[pa.RecordBatch], place: int, blocks: list[str]) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
+    """(number of a batch, its hits by row, item and containment). The shingles of the group are made once, and each block of items
+    is loaded once for all of them."""
+    made = [(k, i, hashes, bounds) for k, b in enumerate(group) for i, _, hashes, bounds in shingles(b.column(place).fill_null(""))]
+    for uri in blocks:
+        index = load_index(uri)
+        for k, i, hashes, bounds in made:
+            yield k, [(i + text, item, share) for text, item, share in index.search(hashes, bounds)]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, containment of every pair at or over ``threshold``. docs: doc_id, text; benchmark: item_id, text."""
     blocks = write_indexes(benchmark, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for uri in blocks:
-                rows = list(load_index(uri).search(b["text"]))
+        for group in grouped(batches, 1):
+            for k, rows in hits(group, 1, blocks):
                 yield pa.RecordBatch.from_arrays(
-                    [b["doc_id"].take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
+                    [group[k]["doc_id"].take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
                     ["doc_id", "item_id", "containment"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, containment double")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, containment double")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -176,13 +199,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = b.column(place)
-            text = text.fill_null("") if text.null_count else text
-            keep = np.ones(len(b), bool)
-            for uri in blocks:
-                keep[[r for r, _, _ in load_index(uri).search(text)]] = False
-            yield b.filter(pa.array(keep))
+        for group in grouped(batches, place):
+            keep = [np.ones(len(b), bool) for b in group]
+            for k, rows in hits(group, place, blocks):
+                keep[k][[r for r, _, _ in rows]] = False
+            for b, own in zip(group, keep, strict=True):
+                yield b.filter(pa.array(own))
 
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 

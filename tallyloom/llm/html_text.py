@@ -6,7 +6,8 @@ features by label and for labels side by side, are trained on the labelled pages
 page's best labels together. Blocks labelled as article are joined by one space.
 
 White space in a block becomes one space; character references are decoded; scripts, styles, comments and markup are
-never text. A page is read once from left to right, in time that grows with its length, however deep or broken it is: a quote
+never text; nor are templates and frames (never shown) and text areas. Formulas, drawings and fallbacks (math, svg, object, noscript)
+are text of the block that they stand in. A page is read once from left to right, in time that grows with its length, however deep or broken it is: a quote
 that never ends counts as no quote; a tag, comment or script that never ends takes the rest of the page; end tags without an
 open element are ignored. A null or empty page, or one without an article block, gives an empty text; repeated rows stay; an
 empty table gives no rows. Extra columns are ignored.
@@ -30,8 +31,9 @@ from .common import table
 
 # Fixed values of HTML: elements that stand in a line of text, have no content, or hold no text to read.
 INLINE = set("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE |= set("math semantics annotation mi mo mn ms mtext mspace mrow mstyle mfrac msqrt mroot msub msup msubsup munder mover munderover mpadded mphantom svg g text tspan textpath noscript object ruby rb rt rp rtc".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = {t: re.compile(f"</{t}(?![a-z0-9])", re.I) for t in "script style noscript template svg math iframe object textarea title".split()}
+RAW = {t: re.compile(f"</{t}(?![a-z0-9])", re.I) for t in "script style template iframe textarea title".split()}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
@@ -104,7 +106,7 @@ def leaf_blocks(page: str, known: set[str] | None = None) -> list[tuple[str, lis
     def flush() -> None:
         nonlocal linked
         if pieces:
-            text = SPACES.sub(" ", html_lib.unescape("".join(pieces))).strip()
+            text = SPACES.sub(" ", "".join(pieces)).strip()
             if text:
                 out.append((text, features(text, above, stack[-1][0] if stack else "", linked)))
             pieces.clear()
@@ -121,9 +123,12 @@ def leaf_blocks(page: str, known: set[str] | None = None) -> list[tuple[str, lis
 
     for kind, tag, attributes in tokens(page):
         if kind == "text":
-            pieces.append(tag)
+            text = html_lib.unescape(tag)  # each by itself: a tag ends a reference
+            pieces.append(text)
             if in_link:
-                linked += len(tag)
+                linked += len(text)
+            continue
+        if tag in RAW:  # its end: the block goes on
             continue
         if tag in INLINE:
             if tag == "a":

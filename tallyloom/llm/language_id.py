@@ -6,7 +6,9 @@ language that needs the fewest phrases, weighted by the bits that name a place i
 else is a single space; both sides are bytes in UTF-8, so no script has too many letters to be told apart.
 
 Texts are parsed in blocks of ``BLOCK`` bytes side by side. Each block begins in the state that the bytes before it suggest; where
-the block before it in fact ends in another, it is parsed again from there, until all agree: the phrases are those of the whole text.
+the block before it in fact ends in another, it is parsed again from there, ``ROUNDS`` times at most; blocks that are off after that
+(a periodic text hands a wrong phase on from block to block) are parsed once more from left to right, each from the true end of the
+one before it. So the phrases are those of the whole text, and no block is parsed more than ROUNDS + 2 times.
 
 A text that is null or has no letter is ``und`` with score 0; ties go to the first language by name; with no learned
 language every text is ``und``. Repeated rows stay, an empty table gives no rows, extra columns are ignored.
@@ -26,8 +28,12 @@ from .common import buffers, held_out, ranges, slices, table
 
 #: Bounds of what is learned from: documents and bytes a language.
 DOCS, BYTES = 64, 20_000
+#: Parts in which a language's rows are ranked first, so that no task ranks all of them.
+PARTS = 64
 #: Bytes of a block, and bytes before it that suggest the state in which it begins.
 BLOCK, BEFORE = 1024, 48
+#: Times that blocks are parsed again side by side.
+ROUNDS = 3
 
 
 def normalise(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,6 +136,15 @@ class Parser:
         back = np.argsort(order)
         return count[:, back], state[:, back]
 
+    def walk(self, language: int, text: np.ndarray, state: int) -> tuple[int, int]:
+        """Phrases that begin in one block, and the state after it, byte by byte."""
+        table, count = memoryview(self.table), 0
+        for c in self.column[language, text].tolist():
+            got = table[state + c]
+            count += got & 1
+            state = got >> 1
+        return count, state
+
     def phrases(self, text: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by row and language, and bytes by row."""
         size = np.bincount(owner, minlength=rows)
@@ -142,9 +157,17 @@ class Parser:
         later = np.flatnonzero(k > 0)
         begin[:, later] = self.parse(text, low[later] - BEFORE, np.full(len(later), BEFORE), begin[:, later])[1]
         count, end = self.parse(text, low, length, begin)
-        while len(off := later[(begin[:, later] != end[:, later - 1]).any(0)]):
+        for _ in range(ROUNDS):
+            if not len(off := later[(begin[:, later] != end[:, later - 1]).any(0)]):
+                break
             begin[:, off] = end[:, off - 1]
             count[:, off], end[:, off] = self.parse(text, low[off], length[off], begin[:, off])
+        for m, _ in enumerate(self.languages):
+            for block in later[begin[m, later] != end[m, later - 1]].tolist():
+                while block < len(k) and k[block] > 0 and begin[m, block] != end[m, block - 1]:
+                    begin[m, block] = end[m, block - 1]
+                    count[m, block], end[m, block] = self.walk(m, text[low[block] : low[block] + length[block]], int(begin[m, block]))
+                    block += 1
         out = np.zeros((rows, len(self.languages)), np.int64)
         np.add.at(out, row, count.T)
         return out, size
@@ -175,17 +198,14 @@ def shares(texts: list[str]) -> str:
 
 
 def learn(docs: DataFrame) -> dict[str, str]:
-    """Reference text by language from ``docs`` (doc_id, text, lang): of each language the ``DOCS`` documents that are not
-    held out and have the smallest hashes, a like share of ``BYTES`` bytes of each."""
-    open_ = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    ranked = open_.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-    chosen = [tuple(r) for r in ranked.where(F.col("k") <= DOCS).select("doc_id", "lang").distinct().collect()]
-    if not chosen:
-        return {}
-    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, lang string"))
-    got = docs.where(F.col("text").isNotNull()).join(wanted, ["doc_id", "lang"]).select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, BYTES).alias("text"))
+    """Reference text by language from ``docs`` (doc_id, text, lang): of each language the ``DOCS`` rows that are not held out and
+    have the smallest hashes of id and text, a like share of ``BYTES`` bytes of each. At most DOCS x BYTES characters a language come
+    to the driver, however often an id is repeated."""
+    open_ = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.struct(F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t")).alias("h"), F.substring("text", 1, BYTES).alias("text"))
+    some = open_.withColumn("k", F.row_number().over(Window.partitionBy("lang", F.pmod(F.col("h.t"), F.lit(PARTS))).orderBy("h"))).where(F.col("k") <= DOCS)
+    ranked = some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= DOCS)
     by: dict[str, list[str]] = {}
-    for r in sorted(got.collect()):
+    for r in sorted(ranked.select("lang", "h", "text").collect()):
         by.setdefault(r["lang"], []).append(r["text"])
     found = {k: shares(v) for k, v in by.items()}
     return {k: v for k, v in found.items() if any(map(str.isalpha, v))}

@@ -108,7 +108,8 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 200, rate: float = 0
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
-    """Fits on rows of ``labels`` (doc_id, toxic) that are not held out, with their ``docs`` (doc_id, text)."""
+    """Fits on rows of ``labels`` (doc_id, toxic) that are not held out, with their ``docs`` (doc_id, text): at most ``DOCS`` ids, and of
+    their texts at most ``DOCS`` (those of the smallest hashes), however often an id is repeated."""
     open_ = labels.where(~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = [(r["doc_id"], r["toxic"]) for r in open_.orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCS).collect()]
     if not chosen:
@@ -122,7 +123,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
             words = [" ".join(sorted(set("".join(c if c.isalnum() or ord(c) > 127 else " " for c in t.lower()).split()))) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array(words, pa.string())], ["doc_id", "toxic", "words"])
 
-    rows = sample.mapInArrow(reduce, "doc_id long, toxic int, words string").toArrow().sort_by([("doc_id", "ascending"), ("words", "ascending")])
+    rows = sample.mapInArrow(reduce, "doc_id long, toxic int, words string").orderBy(F.xxhash64("doc_id", "words"), "doc_id", "words").limit(DOCS).toArrow().sort_by([("doc_id", "ascending"), ("words", "ascending")])
     return fit(rows["words"].to_pylist(), rows["toxic"].to_numpy())
 
 

@@ -5,6 +5,9 @@ them by key and each task writes one shard: the sorted keys, then offsets, verdi
 shards of a batch's keys by their first keys, maps those into memory, finds the keys by vectorised binary search and confirms
 every hit with the stored string, so a hash collision cannot give a verdict.
 
+A rule's host is what stands before its first ``/``; a rule without one fits any path of its host, a rule without a host fits nothing.
+Of a URL's host only suffixes of the lengths that rules' hosts have are looked up, so a host of any length costs its own length.
+
 Nulls and URLs without ``://`` have an empty host and path and so no rule; repeated rules keep the smallest verdict
 ("allow"); rules or verdicts that are null are ignored, other verdicts raise a ValueError; an empty rule table gives the default
 verdict to all; repeated pages stay and an empty page table gives no rows. Extra columns of the page table are ignored.
@@ -49,14 +52,18 @@ def key(rule: str) -> int:
 
 def write_index(rules: DataFrame, shard_rows: int = 4_000_000) -> dict:
     """Shards of ``rules`` (rule, verdict) in the shared folder, written by the executors. Returns the manifest:
-    per shard its URI and first and last key, and the lengths of the rules' paths (both small)."""
+    per shard its URI and first and last key, and the different lengths of the rules' hosts and of the paths for each (both small)."""
     spark = rules.sparkSession
     rules = rules.where("rule is not null and verdict is not null").groupBy("rule").agg(F.min("verdict").alias("verdict"))
     rules = materialize(rules.select("rule", "verdict", F.xxhash64("rule").alias("key")), "rules")
     if unlike := rules.where(~F.col("verdict").isin(*VERDICTS)).select("rule", "verdict").first():
         raise ValueError(f"a rule's verdict is allow or block: {tuple(unlike)}")
     total = rules.count()
-    path_lengths = [r[0] for r in rules.select((F.length("rule") - F.instr("rule", "/") + 1).alias("n")).distinct().orderBy("n").collect()] if total else []
+    slash = F.instr("rule", "/")
+    shape = rules.select(F.when(slash == 0, F.length("rule")).otherwise(slash - 1).alias("host"), F.when(slash == 0, 0).otherwise(F.length("rule") - slash + 1).alias("path"))
+    lengths: dict[int, list[int]] = {}
+    for r in shape.where("host > 0").distinct().orderBy("host", "path").collect() if total else []:
+        lengths.setdefault(r["host"], []).append(r["path"])
     to = shared_dir(spark, "digests")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +87,7 @@ def write_index(rules: DataFrame, shard_rows: int = 4_000_000) -> dict:
     dealt = rules.repartitionByRange(parts, "key") if parts > 1 else rules.coalesce(1)
     found = dealt.mapInArrow(shards, "uri string, first long, last long").collect() if total else []
     drop_stage(rules)
-    return {"shards": sorted((r["first"], r["last"], r["uri"]) for r in found), "path_lengths": path_lengths}
+    return {"shards": sorted((r["first"], r["last"], r["uri"]) for r in found), "lengths": lengths}
 
 
 _open: dict[str, tuple] = {}
@@ -148,12 +155,14 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_c
         for b in batches:
             owner, asks = [], []
             for i, (h, p) in enumerate(zip(b["host"].to_pylist(), b["path"].to_pylist(), strict=True)):
-                ends = [n for n in manifest["path_lengths"] if n <= len(p)]
-                while h and ends:
-                    for n in ends:
-                        owner.append(i)
-                        asks.append(h + p[:n])
-                    h = h.partition(".")[2]
+                for host_length, path_lengths in manifest["lengths"].items():
+                    if host_length == len(h) or host_length < len(h) and h[-host_length - 1] == ".":  # only suffixes that a rule may have
+                        tail = h[len(h) - host_length :]
+                        for n in path_lengths:
+                            if n > len(p):
+                                break
+                            owner.append(i)
+                            asks.append(tail + p[:n])
             rule: list[str | None] = [None] * len(b)
             verdict = [default] * len(b)
             for i, ask, found in zip(owner, asks, probe(manifest, asks), strict=True):

@@ -406,6 +406,11 @@ def test_op5_broken_and_long_pages(spark):
     assert html_text.extract(pages).count() == 2 and html_text.extract(pages.where("page_id < 0")).count() == 0
 
 
+def test_op5_references_and_formulas():
+    page = "<article><p>AT&<b>amp;</b>T &lt;b&gt; &#233;<i>&eacute;</i> &amp<b>;</b>, E = <math><mi>m</mi><mo>&middot;</mo></math> c; <svg><text>fig</text></svg> <object>alt</object> <noscript>plain</noscript> <template>no</template><script>no</script> end.</p></article>"
+    assert [t for t, _ in html_text.leaf_blocks(page)] == ["AT&amp;T <b> éé &;, E = m· c; fig alt plain end."]
+
+
 def test_op5_blocks_and_pages(spark):
     field = html_text.trained_field()
     wrong = total = 0
@@ -451,6 +456,20 @@ def test_op6_blocks_of_items(spark, docs, monkeypatch):
     assert decontaminate.drop_contaminated(docs, bench).count() == docs.count() - len({d for d, _, _ in whole})
 
 
+def test_op6_blocks_are_loaded_once_for_many_batches(spark, docs, monkeypatch):
+    bench = common.table(spark, SF, "benchmark")
+    bench = bench.union(bench.limit(1)).union(bench.limit(1).select("item_id", "text"))
+    assert len(set(map(tuple, decontaminate.contaminated(common.texts(docs), bench).collect()))) == decontaminate.contaminated(common.texts(docs), bench).count()
+    monkeypatch.setattr(decontaminate, "ITEMS", 20)
+    blocks = decontaminate.write_indexes(bench, 0.8)
+    assert len(blocks) >= 4
+    batches = pa.Table.from_pydict(common.texts(docs).toPandas().to_dict("list")).to_batches(max_chunksize=20)
+    loaded, load = [], decontaminate.load_index
+    monkeypatch.setattr(decontaminate, "load_index", lambda uri: loaded.append(uri) or load(uri))
+    rows = [x for g in decontaminate.grouped(iter(batches), 1) for _, found in decontaminate.hits(g, 1, blocks) for x in found]
+    assert loaded == blocks and len(batches) > 4 and len(rows) == decontaminate.contaminated(common.texts(docs), bench).count()
+
+
 def test_op7_scores_are_those_of_all_pairs():
     machine = toxicity.fit(["you idiot group"] * 20 + ["you idiot"] * 20 + ["nice group"] * 20, np.array([1] * 20 + [0] * 40))
     place = {b: k for k, b in enumerate(machine.buckets.tolist())}
@@ -473,6 +492,15 @@ def test_op7_held_out(spark, odd, empty):
     assert {r.score for r in toxicity.score(odd, None).collect()} == {0.0}
 
 
+def test_op7_fit_is_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "DOCS", 20)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: seen.append(len(texts)))
+    docs = spark.createDataFrame([(k % 3 + 1, f"text {k}") for k in range(300)], "doc_id long, text string")
+    toxicity.learn(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int"))
+    assert seen == [20]
+
+
 def test_op8_counts(docs, odd, empty):
     def plain(t):
         w = words(t)
@@ -540,6 +568,24 @@ def test_op9_phrases_are_those_of_the_whole_text():
     assert got.tolist() == [[fewest_phrases(as_bytes(t), as_bytes(references[k])) for k in "abc"] for t in texts]
 
 
+def test_op9_periodic_text_takes_time_by_its_length(docs):
+    parser = language_id.Parser(language_id.learn(docs))
+    for word in ("ha ", "la la que ", "der the "):
+        text = word * (1_000_000 // len(word))
+        data, owner = language_id.as_bytes(*language_id.normalise(*language_id.code_points(pa.array([text]))))
+        began = time.process_time()
+        got = parser.phrases(data, owner, 1)[0][0].tolist()
+        assert time.process_time() - began < 2
+        assert got == [parser.walk(m, data, int(parser.fresh[m]))[0] for m in range(len(parser.languages))]
+
+
+def test_op9_learns_from_rows_not_ids(spark):
+    rows = [(1, f"palabra {k} " * 3, "es") for k in range(500)] + [(1, None, "es"), (1, "und", None), (2, "words here", "en"), (None, "no id", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_id.learn(docs)
+    assert found["en"] == "words here" and found["de"] == "no id" and len(found["es"].split("\n")) == language_id.DOCS
+
+
 def test_op9_scripts_of_many_letters(spark):
     """Two languages that share most of thousands of letters and differ in what stands beside what."""
     r = random.Random(8)
@@ -570,6 +616,19 @@ def test_op9_parse_and_held_out(spark, docs, odd, empty):
     assert language_id.identify(empty, learnt).count() == 0 and {r.lang_pred for r in language_id.identify(odd, {}).collect()} == {"und"}
 
 
+def test_op10_long_hosts_and_rules_without_a_path(spark):
+    rules = spark.createDataFrame([("b.c", "block"), ("x.b.c/ok", "allow"), ("/nowhere", "block"), ("", "block"), ("c/long/", "allow")], "rule string, verdict string")
+    long = "a." * 100_000 + "b.c"
+    urls = [f"http://{long}/p", "http://b.c", "http://b.c/ok", "http://y.x.b.c/ok/1", "http://xb.c/", "http:///nowhere", "http://c/long/1", "http://b.c./p", long]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = url_filter.filter_urls(pages, rules)
+    out.count()
+    began = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in out.select("page_id", "rule", "verdict").collect()}
+    assert time.time() - began < 5
+    assert got == {0: ("b.c", "block"), 1: ("b.c", "block"), 2: ("b.c", "block"), 3: ("x.b.c/ok", "allow"), 4: (None, "allow"), 5: (None, "allow"), 6: ("c/long/", "allow"), 7: (None, "allow"), 8: (None, "allow")}
+
+
 def test_op10_rules(spark):
     urls = ["http://a.Example.ORG/es/x?q", "https://example.org/es", "ftp://x.com/fr/#y", "http://xcom/fr/", "http://com/de/1", "nothing", None, "://example.org/en/12", "http://a.net/"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1))
