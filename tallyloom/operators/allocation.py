@@ -55,17 +55,18 @@ def order_additions_totals(additions: DataFrame) -> DataFrame:
     )
 
 
-def payment_groups(payments: DataFrame) -> DataFrame:
-    """Amounts by order and type. Dealt by order only (an order has few payments), so what follows by order needs no other shuffle."""
+def payment_groups(payments: DataFrame, dealt: bool = False) -> DataFrame:
+    """Amounts by order and type. Dealt by order only (an order has few payments), so what follows by order needs no other shuffle;
+    not at all if they are ``dealt`` by order already."""
     named = payments.select("order_id", F.col("t_open_date").alias("business_date"), x.payment_type_id(F.col("name")).alias("payment_type_id"), x.finite_or_zero(F.col("amount")).alias("amount"))
-    return named.repartition(*D).groupBy(*D, "payment_type_id").agg(x.money_sum(F.col("amount")).alias("payment_amount"))
+    return (named if dealt else named.repartition(*D)).groupBy(*D, "payment_type_id").agg(x.money_sum(F.col("amount")).alias("payment_amount"))
 
 
-def payment_summary(payments: DataFrame) -> DataFrame:
+def payment_summary(payments: DataFrame, dealt: bool = False) -> DataFrame:
     """The payment type of each order: 0 without a known one that counts, itself if one, else 8. Of one, the type of the
     largest amount of all groups is taken (ties: the larger type)."""
     real = F.count_if((F.abs("payment_amount") > 0.0001) & (F.col("payment_type_id") != 0))
-    return payment_groups(payments).groupBy(*D).agg(real.alias("n"), F.max_by("payment_type_id", F.struct(F.abs("payment_amount").alias("a"), "payment_type_id")).alias("best")).select(
+    return payment_groups(payments, dealt).groupBy(*D).agg(real.alias("n"), F.max_by("payment_type_id", F.struct(F.abs("payment_amount").alias("a"), "payment_type_id")).alias("best")).select(
         *D, F.when(F.col("n") == 0, 0).when(F.col("n") == 1, F.col("best")).otherwise(8).alias("payment_type_id")
     )
 
@@ -93,7 +94,7 @@ def order_financials(orders: DataFrame, lines: DataFrame, additions: DataFrame)
     return financial_columns(joined, *orders.columns)
 
 
-def order_flow(orders: DataFrame, items: DataFrame, additions: DataFrame, payments: DataFrame) -> DataFrame:
+def order_flow(orders: DataFrame, items: DataFrame, additions: DataFrame, payments: DataFrame, dealt: bool = False) -> DataFrame:
     """A row for each line of ``orders`` (one row a key), or one without product for an order that has none: the order's columns and
     money, its payment type, and the line's sums as item_... What a step doesn't use is pruned from the sources."""
     others = [k for k in orders.columns if k not in LINE]
@@ -101,7 +102,7 @@ def order_flow(orders: DataFrame, items: DataFrame, additions: DataFrame, paymen
     of_order = Window.partitionBy(*D)
     sums = {f"sum_{k}": F.sum(f"item_{k}").over(of_order) for k in ("gross", "discount", "surcharge", "net")}
     lines = lines.withColumns({"item_count": F.count("product_no").over(of_order), **sums})
-    joined = lines.join(order_additions_totals(additions), D, "left").join(payment_summary(payments), D, "left").withColumn("payment_type_id", F.coalesce("payment_type_id", F.lit(0)))
+    joined = lines.join(order_additions_totals(additions), D, "left").join(payment_summary(payments, dealt), D, "left").withColumn("payment_type_id", F.coalesce("payment_type_id", F.lit(0)))
     return financial_columns(joined, *LINE, *others, "payment_type_id", "qty_milli", *ITEM)
 
 
@@ -138,26 +139,35 @@ def order_allocation_summary(allocations: DataFrame) -> DataFrame:
 
 class Chain:
     """The steps over one set of sources, each built once. dedup: over the newest sales; else over all rows of orders, where rows of
-    one key repeat each other's lines."""
+    one key repeat each other's lines. dealt: the sources are bucketed by order (``readers.bucketed``)."""
 
-    def __init__(self, src: Sources, dedup: bool = True):
+    def __init__(self, src: Sources, dedup: bool = True, dealt: bool = False):
         self.src, self.dedup = src, dedup
         self.kept: dict[str, DataFrame] = {}
         self.base = orders_base(src.orders)
         self.orders = sales_candidates(self.base) if dedup else self.base
         if dedup:
-            self.flow = order_flow(self.orders, src.items, src.additions, src.payments)
-            sold = self.flow.where("product_no is not null")
-            self.lines = sold.select(*LINE, "qty_milli", *ITEM)
-            self.enriched = sold.select(*LINE, "payment_type_id", "qty_milli", *(F.col(k).cast("double").alias(k) for k in ITEM), *ORDER_MONEY)
+            self.flow = order_flow(self.orders, src.items, src.additions, src.payments, dealt)
+            self._after_flow()
         else:
             self.lines = item_lines(self.orders, src.items)
             self.financials = order_financials(self.orders, self.lines, src.additions)
             self.enriched = line_enriched(self.lines, self.financials, src.payments)
+            self.allocations = line_allocations(self.enriched)
+            self.summary = order_allocation_summary(self.allocations)
+
+    def _after_flow(self) -> None:
+        sold = self.flow.where("product_no is not null")
+        self.lines = sold.select(*LINE, "qty_milli", *ITEM)
+        self.enriched = sold.select(*LINE, "payment_type_id", "qty_milli", *(F.col(k).cast("double").alias(k) for k in ITEM), *ORDER_MONEY)
         self.allocations = line_allocations(self.enriched)
         self.summary = order_allocation_summary(self.allocations)
-        if dedup:
-            self.financials = self._by_order().select(*self._order_columns())
+        self.financials = self._by_order().select(*self._order_columns())
+
+    def keep_flow(self, write: Callable[[DataFrame, str], DataFrame]) -> None:
+        """Has the flow written once (``write`` gives it back), so that all that follows reads it."""
+        self.flow = write(self.flow, "flow")
+        self._after_flow()
 
     def _order_columns(self) -> list[str]:
         money = [k for k in self.flow.columns if k not in (*LINE, *ITEM, "payment_type_id", "qty_milli")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,3 +73,39 @@ def share_of_sales(fact: DataFrame, key: str) -> DataFrame:
     by = sums(fact, "owner_user_id", key, measures=("net_sales_milli",))
     whole = by.groupBy("owner_user_id").agg(F.sum("net_sales_milli").alias("whole"))
     return by.join(whole, "owner_user_id").select("owner_user_id", key, "net_sales_milli", F.when(c("whole") != 0, c("net_sales_milli").cast("double") / c("whole").cast("double")).alias("share"))
+
+
+#: The sums that reports want, by report; and those of which the largest are ranked, by which measures.
+SETS = {
+    "products": ("product_no",), "branches": ("branch_id",), "hours": ("hour_of_day",), "branch_hours": ("branch_id", "hour_of_day"), "product_hours": ("product_no", "hour_of_day"),
+    "order_types": ("order_type_id",), "payment_types": ("payment_type_id",), "days": ("business_date",), "product_branches": ("product_no", "branch_id"),
+}
+RANKED = {"products": ("qty_milli", "gross_sales_milli", "net_sales_milli", "sales_ex_tax_milli"), "branches": ("net_sales_milli", "qty_milli", "tax_milli", "discount_milli", "surcharge_milli")}
+
+
+def all_sums(fact: DataFrame) -> DataFrame:
+    """owner_user_id, report, key_1, key_2 and all measures, for each of ``SETS`` and the whole (report ``all``): one reading of the fact, by
+    grouping sets, summed before it is shuffled."""
+    keys = ["owner_user_id", "business_date", "hour_of_day", "branch_id", "product_no", "order_type_id", "payment_type_id"]
+    of = {"all": (), **SETS}
+    grouped = fact.groupingSets([[c("owner_user_id"), *(c(k) for k in own)] for own in of.values()], *keys)
+    made = grouped.agg(F.grouping_id(*keys).alias("g"), *(F.sum(m).alias(m) for m in MEASURES))
+    number = {sum(0 if k in ("owner_user_id", *own) else 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)): name for name, own in of.items()}
+    text = lambda n: F.coalesce(*(F.when(c("g") == g, c(of[name][n]).cast("string")) for g, name in number.items() if len(of[name]) > n))
+    report = F.coalesce(*(F.when(c("g") == g, name) for g, name in number.items()))
+    return made.select("owner_user_id", report.alias("report"), text(0).alias("key_1"), text(1).alias("key_2"), *MEASURES)
+
+
+def in_one_pass(fact: DataFrame, write: Callable[[DataFrame], DataFrame], n: int = 5) -> DataFrame:
+    """All mixes, shares, trends and rankings at once: each sum of ``all_sums`` with its share of the owner's net sales (measure ``all``), and
+    the n largest of each measure in ``RANKED`` with their rank. The fact is read once; ``write`` keeps the sums. The limit stands
+    in the ranking, so tasks send n rows of each report and measure."""
+    every = write(all_sums(fact))
+    whole = every.where("report = 'all'").select("owner_user_id", c("net_sales_milli").alias("whole"))
+    rows = every.where("report <> 'all'").join(whole, "owner_user_id")
+    rows = rows.withColumn("net_share", F.when(c("whole") != 0, c("net_sales_milli").cast("double") / c("whole").cast("double")))
+    values = F.coalesce(*(F.when(c("report") == r, F.array(*(F.struct(F.lit(m).alias("measure"), c(m).alias("value")) for m in ms))) for r, ms in RANKED.items()))
+    ranked = rows.withColumn("by", F.explode(values)).withColumn("measure", c("by.measure"))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("owner_user_id", "report", "measure").orderBy(F.desc("by.value"), "key_1"))).where(c("rank") <= n)
+    columns = ["owner_user_id", "report", "measure", "rank", "key_1", "key_2", "qty_milli", "net_sales_milli", "net_share"]
+    return rows.withColumns({"measure": F.lit("all"), "rank": F.lit(None).cast("int")}).select(*columns).union(ranked.select(*columns))

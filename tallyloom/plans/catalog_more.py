@@ -12,7 +12,8 @@ from ..sources import readers
 from ..sources.pos_adapter import pos_sources
 from . import analytics, contracts, dims, gates, jobs, oracle, writing
 from .catalog import ORACLE, QUERIES, register
-from .jobs import branch_dim, product_dim, scratch
+from .jobs import branch_dim, product_dim
+from .storage import few_rows, scratch, staged
 
 c = F.col
 
@@ -180,7 +181,7 @@ def gated_write(k: Chain, mode: str = "write") -> DataFrame:
     spark = k.orders.sparkSession
     place = scratch(spark, "job")
     jobs.sync_dims(k, place, "apply")
-    products, branches = (spark.read.parquet(f"{place}/{n}") for n in jobs.DIMENSIONS)
+    products, branches = (jobs.read_dim(spark, place, n) for n in jobs.DIMENSIONS)
     return writing.write_fact(k, products, branches, dims.code_dims(spark), f"{place}/fact", mode)
 
 
@@ -222,9 +223,17 @@ register(
     f"""SELECT count(*) AS processed_days, count(*) AS succeeded_days, cast(0 AS bigint) AS failed_days, cast(0 AS bigint) AS skipped_days, true AS source_candidate_equal,
   true AS source_persisted_equal, {_none}, cast(0 AS bigint) AS failed_gate_days, cast(sum(n) AS bigint) AS rows_written FROM {DAILY}""",
 )
+
+
+def smoked(k: Chain) -> DataFrame:
+    """The checks of a fact and dimensions that are written, each read once."""
+    place = scratch(k.orders.sparkSession, "smoke")
+    return gates.smoke_checks(*(staged(df, f"{place}/{n}") for n, df in (("fact", k.fact()), ("products", product_dim(k)), ("branches", branch_dim(k)))))
+
+
 register(
     "smoke_checks",
-    lambda k: gates.smoke_checks(k.fact(), product_dim(k), branch_dim(k)),
+    smoked,
     """SELECT *, least(product_count, branch_count, fact_count, leaderboard_count, summary_count) > 0 AS passed FROM (SELECT (SELECT count(*) FROM pd) AS product_count,
   (SELECT count(*) FROM bd) AS branch_count, (SELECT count(*) FROM fact) AS fact_count, cast(5 AS bigint) AS leaderboard_count, (SELECT count(DISTINCT product_no) FROM fact) AS summary_count)""",
     ALL,
@@ -237,7 +246,7 @@ def synced_twice(k: Chain) -> tuple[DataFrame, DataFrame]:
     place = scratch(spark, "dims")
     jobs.sync_dims(Chain(readers.window(k.src, None, "1996-06-30")), place, "apply")
     report = jobs.sync_dims(k, place, "apply")
-    return report, spark.read.parquet(f"{place}/pos_product_dim")
+    return report, jobs.read_dim(spark, place, "pos_product_dim")
 
 
 def _synced(dim: str, rows: str, key: str, first: str, samples: str, mode: str) -> str:
@@ -302,8 +311,15 @@ def _dry_sql(names: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS section, {line(n)} AS line FROM ({ORACLE[n]})" for n in names)
 
 
-QUERIES["dry_run_fast"] = lambda spark, sf_dir: dry_lines(jobs.dry_run(Chain(pos_sources(spark, sf_dir))))
-QUERIES["dry_run_full"] = lambda spark, sf_dir: dry_lines(jobs.dry_run(Chain(s := pos_sources(spark, sf_dir)), "full", Chain(s, False)))
+def dry(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """The lines of a dry run (metrics, top-k samples and traces: few), made before its scratch is deleted."""
+    src = pos_sources(spark, sf_dir)
+    with jobs.dry_run(Chain(src), mode, Chain(src, False) if mode == "full" else None) as made:
+        return few_rows(dry_lines(made))
+
+
+QUERIES["dry_run_fast"] = lambda spark, sf_dir: dry(spark, sf_dir, "fast")
+QUERIES["dry_run_full"] = lambda spark, sf_dir: dry(spark, sf_dir, "full")
 ORACLE["dry_run_fast"], ORACLE["dry_run_full"] = _dry_sql(jobs.FAST), _dry_sql(list(DRY))
 
 
@@ -523,16 +539,112 @@ _at, _any = "s.location = f.branch_id", "s.location IS NULL"
 _of, _all = "s.item = f.product_no", "s.item IS NULL"
 FOUR = [f"{a} AND {b}" for a, b in ((_at, _of), (_at, _all), (_any, _of), (_any, _all))]
 _forecast, _actual = (_best("wea", [_at, _any], f"observation_kind = '{kind}'") for kind in ("forecast", "actual"))
+
+
+def framed(k: Chain, frame: object, names: list[str]) -> DataFrame:
+    """The signals are written, as an import leaves them; their maps are made once, and the frame is built on those."""
+    spark = k.orders.sparkSession
+    place = scratch(spark, "signals")
+    promotions = _made(k, PROMOTION)
+    weather, promotion, availability = (staged(df, f"{place}/{n}") for n, df in (("weather", _made(k, WEATHER)), ("promotion", promotions), ("availability", promotions.where("item is not null"))))
+    maps = staged(contracts.scope_maps(weather, promotion, availability), f"{place}/maps")
+    return frame(_frame(k), maps).select(*_key, *names)
+
+
 register(
     "forecast_frame",
-    lambda k: contracts.forecast_frame(_frame(k), _made(k, WEATHER), _made(k, PROMOTION)).select(*_key, "weather_forecast", "promotion"),
+    lambda k: framed(k, contracts.forecast_frame, contracts.FORECAST),
     f"SELECT {', '.join(_key)}, {_forecast} AS weather_forecast, {_best('prom', FOUR)} AS promotion FROM fact f",
     f"{WEATHER}, {PROMOTION}",
 )
 register(
     "retrospective_frame",
-    lambda k: contracts.retrospective_frame(_frame(k), _made(k, WEATHER), _made(k, PROMOTION), _made(k, PROMOTION).where("item is not null")).select(*_key, "weather_forecast", "promotion", "weather_actual", "availability"),
+    lambda k: framed(k, contracts.retrospective_frame, contracts.RETROSPECTIVE),
     f"""SELECT {', '.join(_key)}, {_forecast} AS weather_forecast, {_best('prom', FOUR)} AS promotion, {_actual} AS weather_actual,
   {_best('prom', [FOUR[0], FOUR[2]])} AS availability FROM fact f""",
     f"{WEATHER}, {PROMOTION}",
 )
+
+#: Ten versions of each branch, one every 200 days; each third is closed after 90 days, all others are open, so versions overlap.
+VERSIONS = """ver AS (SELECT cast(1 AS bigint) AS owner_user_id, branch_id, 'S' || cast(k AS string) AS station_id, cast(first_day + cast(200 * k AS int) AS date) AS valid_from,
+ CASE WHEN k % 3 = 1 THEN cast(first_day + cast(200 * k + 90 AS int) AS date) END AS valid_to, 'verified' AS verification_status
+ FROM (SELECT branch_id, min(business_date) AS first_day FROM ob GROUP BY branch_id) b CROSS JOIN (SELECT order_type_id AS k FROM (SELECT DISTINCT order_type_id FROM ob)) n)"""
+register(
+    "location_as_of_overlapping",
+    lambda k: contracts.location_as_of(k.fact(), _made(k, VERSIONS)).groupBy("branch_id", "business_date", "station_id").agg(F.count("*").alias("row_count")),
+    """SELECT f.branch_id, f.business_date, (SELECT arg_max(v.station_id, v.valid_from) FROM ver v WHERE v.branch_id = f.branch_id AND v.valid_from <= f.business_date
+   AND coalesce(v.valid_to, date '9999-12-31') >= f.business_date) AS station_id, f.n AS row_count
+  FROM (SELECT branch_id, business_date, count(*) AS n FROM fact GROUP BY 1, 2) f""", VERSIONS)
+
+# all analytics from one reading of the fact
+_FIVE = "qty_milli gross_sales_milli net_sales_milli sales_ex_tax_milli"
+
+
+def _one_pass_sql() -> str:
+    out = []
+    text = lambda k: f"cast({k} AS varchar)"
+    for report, keys in analytics.SETS.items():
+        one, two = text(keys[0]), text(keys[1]) if len(keys) > 1 else "cast(NULL AS varchar)"
+        grouped = f"SELECT owner_user_id, {', '.join(keys)}, {SUMS} FROM fact GROUP BY {', '.join(['owner_user_id', *keys])}"
+        out.append(f"""SELECT owner_user_id, '{report}' AS report, 'all' AS measure, cast(NULL AS integer) AS rank, {one} AS key_1, {two} AS key_2, qty_milli, net_sales_milli,
+  cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER (PARTITION BY owner_user_id) AS bigint) AS double) AS net_share FROM ({grouped})""")
+        for m in analytics.RANKED.get(report, ()):
+            out.append(f"""SELECT owner_user_id, '{report}', '{m}', rank, key_1, key_2, qty_milli, net_sales_milli, net_share FROM (SELECT *, {one} AS key_1, {two} AS key_2,
+  cast(row_number() OVER (PARTITION BY owner_user_id ORDER BY {m} DESC, {one}) AS integer) AS rank,
+  cast(net_sales_milli AS double) / cast(cast(sum(net_sales_milli) OVER (PARTITION BY owner_user_id) AS bigint) AS double) AS net_share FROM ({grouped})) WHERE rank <= 5""")
+    return " UNION ALL ".join(out)
+
+
+register("analytics_in_one_pass", lambda k: analytics.in_one_pass(k.fact(), lambda df: staged(df, scratch(df.sparkSession, "sums"))), _one_pass_sql())
+
+
+# text with broken rows
+def raw_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments as text in which every row of an id that ends in 7 has a word for its amount: the gate's counts by day."""
+    declared = readers.columns_of("order_payments")
+    rows = pos_sources(spark, sf_dir).payments
+    full = rows.select(*((c(n) if n in rows.columns else F.lit(None)).cast(kind).alias(n) for n, kind in declared), "t_open_date")
+    text = full.select(*(F.when((F.lit(n) == "amount") & c("id").endswith("7"), F.lit("much")).otherwise(F.coalesce(c(n).cast("string"), F.lit("\\N"))).alias(n) for n, _ in declared), "t_open_date")
+    place = scratch(spark, "raw")
+    readers.write_raw_text(text.hint("rebalance", "t_open_date"), f"{place}/text")
+    return readers.ingest_raw(spark, f"{place}/text", "order_payments", f"{place}/parquet", f"{place}/quarantine").select("t_open_date", "good_rows", "bad_rows", "passed")
+
+
+QUERIES["raw_text_gate"] = raw_gate
+ORACLE["raw_text_gate"] = oracle.sql("""SELECT t_open_date, count(*) FILTER (NOT ends_with(id, '7')) AS good_rows, count(*) FILTER (ends_with(id, '7')) AS bad_rows, count(*) FILTER (ends_with(id, '7')) = 0 AS passed
+  FROM pos_payments GROUP BY 1""")
+
+
+def bucketed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over sources that were written in buckets by order."""
+    buckets = readers.bucketed(pos_sources(spark, sf_dir), scratch(spark, "buckets"), 8)
+    return Chain(buckets, dealt=True).fact()
+
+
+QUERIES["hourly_sales_fact_bucketed"] = bucketed_fact
+ORACLE["hourly_sales_fact_bucketed"] = ORACLE["hourly_sales_fact"]
+
+
+def windows_with_ledger(k: Chain) -> DataFrame:
+    """A run over the months of 1996 that stops at a product which isn't in the dimension, and a second one with it that goes on from there: the
+    summary of each attempt."""
+    spark = k.orders.sparkSession
+    place = scratch(spark, "runs")
+    products, branches = (staged(df, f"{place}/{n}") for n, df in (("products", product_dim(k)), ("branches", branch_dim(k))))
+    run = lambda p: writing.write_window(k.src, p, branches, dims.code_dims(spark), f"{place}/fact", f"{place}/ledger", "1996-01-01", "1996-02-29")
+    run(products.where("product_no <> 'P5'"))
+    run(products)
+    out = writing.attempt_summary(writing.read_ledger(spark, f"{place}/ledger"))
+    return few_rows(out.select("attempt", "processed_days", "succeeded_days", "failed_days", "skipped_days", "rows_written"))
+
+
+_window = "SELECT d, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad FROM (SELECT cast(unnest(generate_series(date '1996-01-01', date '1996-02-29', interval 1 day)) AS date) AS d) LEFT JOIN (SELECT business_date, count(*) AS n, count(*) FILTER (product_no = 'P5') AS bad FROM fact GROUP BY 1) ON business_date = d"
+register(
+    "window_attempts",
+    windows_with_ledger,
+    """SELECT 1 AS attempt, count(*) FILTER (d <= f) AS processed_days, count(*) FILTER (d < f) AS succeeded_days, count(*) FILTER (d >= f AND bad > 0) AS failed_days, count(*) FILTER (d > f AND bad = 0) AS skipped_days,
+  cast(coalesce(sum(n) FILTER (d < f), 0) AS bigint) AS rows_written FROM w
+ UNION ALL SELECT 2, count(*) FILTER (d >= f), count(*) FILTER (d >= f), 0, 0, cast(sum(n) FILTER (d >= f) AS bigint) FROM w HAVING count(*) FILTER (d >= f) > 0
+ UNION ALL SELECT 0, count(*), count(*), 0, 0, cast(sum(n) AS bigint) FROM w""",
+    f"w0 AS ({_window}), w AS (SELECT *, coalesce((SELECT min(d) FROM w0 WHERE bad > 0), date '1996-03-01') AS f FROM w0)",
+)

@@ -49,23 +49,31 @@ def compare_metrics(source: DataFrame, target: DataFrame, scope: str = "persiste
     return out.withColumn("reasons", F.array_join(F.array_compact(F.array(*tests)), ";")).withColumn("passed", c("reasons") == "")
 
 
-MISSES = {"product_miss_count": "has_product", "branch_miss_count": "has_branch", "order_type_miss_count": "has_order_type_id", "payment_type_miss_count": "has_payment_type_id"}
+MISSES = ["product_miss_count", "branch_miss_count", "order_type_miss_count", "payment_type_miss_count"]
 DIMENSION_COUNTS = [*MISSES, "other_day_count", "non_status_1_count", "not_latest_count"]
 
 
-def dimension_gate(fact: DataFrame, products: DataFrame, branches: DataFrame, codes: DataFrame, source: DataFrame) -> DataFrame:
-    """By owner and day: fact rows whose product, branch or codes aren't in the dimensions; rows of another day than the one they are
-    written for (column sale_period, if the fact has it); and of the ``source`` metrics, orders of another status and older versions.
-    The fixed codes are broadcast (22 rows); Spark chooses for the others by their size."""
-    of = lambda kind, k: F.broadcast(codes.where(c("kind") == kind).select(c("id").cast("smallint").alias(k), F.lit(1).alias(f"has_{k}")))
+ORDERS = ["status_1_row_count", "non_status_1_row_count", "latest_row_count"]
+
+
+def dimension_counts(fact: DataFrame, products: DataFrame, branches: DataFrame, codes: DataFrame, fact_sums: bool = False) -> DataFrame:
+    """By owner and day: fact rows whose product, branch or codes aren't in the dimensions, and rows of another day than the one they are
+    written for (column sale_period, if the fact has it); with ``fact_sums`` also the fact's metrics. Each dimension is a set of keys
+    that is joined to the fact's keys; the fixed codes are a test of a list. Spark chooses how to join by size."""
+    ids = {kind: [r["id"] for r in codes.where(c("kind") == kind).select("id").collect()] for kind in ("order_type", "payment_type")}  # 22 fixed rows
     rows = fact if "sale_period" in fact.columns else fact.withColumn("sale_period", c("business_date"))
-    joined = (
-        rows.join(products.select("owner_user_id", "product_no", F.lit(1).alias("has_product")), ["owner_user_id", "product_no"], "left")
-        .join(branches.select("owner_user_id", "branch_id", F.lit(1).alias("has_branch")), ["owner_user_id", "branch_id"], "left")
-        .join(of("order_type", "order_type_id"), "order_type_id", "left").join(of("payment_type", "payment_type_id"), "payment_type_id", "left")
-    )
+    joined = rows.join(products.select("owner_user_id", "product_no", F.lit(1).alias("has_product")), ["owner_user_id", "product_no"], "left")
+    joined = joined.join(branches.select("owner_user_id", "branch_id", F.lit(1).alias("has_branch")), ["owner_user_id", "branch_id"], "left")
+    missing = {"product_miss_count": c("has_product").isNull(), "branch_miss_count": c("has_branch").isNull()}
+    missing |= {f"{kind}_miss_count": ~F.coalesce(c(f"{kind}_id").isin(ids[kind]), F.lit(False)) for kind in ids}
     other_day = F.count_if(~c("business_date").eqNullSafe(c("sale_period"))).alias("other_day_count")
-    counts = joined.groupBy("owner_user_id", c("sale_period").alias("business_date")).agg(*(F.count(F.when(c(v).isNull(), 1)).alias(k) for k, v in MISSES.items()), other_day)
+    sums = [F.count("*").alias("row_count"), *(F.sum(m).alias(m) for m in MEASURES)] if fact_sums else []
+    return joined.groupBy("owner_user_id", c("sale_period").alias("business_date")).agg(*sums, *(F.count_if(v).alias(k) for k, v in missing.items()), other_day)
+
+
+def dimension_gate(fact: DataFrame, products: DataFrame, branches: DataFrame, codes: DataFrame, source: DataFrame) -> DataFrame:
+    """dimension_counts, and of the ``source`` metrics orders of another status and older versions; with reasons and whether all are 0."""
+    counts = dimension_counts(fact, products, branches, codes)
     zero = lambda v: F.coalesce(v, F.lit(0))
     status = source.select(*KEY, zero(c("non_status_1_row_count")).alias("non_status_1_count"), F.greatest(zero(c("status_1_row_count") - c("latest_row_count")), F.lit(0)).alias("not_latest_count"))
     out = counts.join(status, KEY, "left").withColumns({k: zero(c(k)) for k in ("non_status_1_count", "not_latest_count")})
@@ -100,9 +108,38 @@ def post_insert_report(source: DataFrame, persisted: DataFrame) -> DataFrame:
     return compare_metrics(source, fact_metrics(persisted), "persisted_fact")
 
 
-def smoke_checks(fact: DataFrame, products: DataFrame, branches: DataFrame) -> DataFrame:
-    """One row: products, branches, fact rows, rows of the leaderboard and of the product summary, and whether there are any of each."""
-    count = lambda df, name: df.agg(F.count("*").alias(name))
-    one = count(products, "product_count").crossJoin(count(branches, "branch_count")).crossJoin(count(fact, "fact_count"))
-    one = one.crossJoin(count(analytics.product_leaderboard(fact, products), "leaderboard_count")).crossJoin(count(analytics.product_summary(fact, products), "summary_count"))
-    return one.withColumn("passed", F.least(*one.columns) > 0)
+def gate_days(source: DataFrame, written: DataFrame, products: DataFrame, branches: DataFrame, codes: DataFrame) -> DataFrame:
+    """All gates of what was written and read back, by owner and day, in one pass: its sums against those of the ``source`` (both as the
+    candidate, with the item count, and as the persisted fact), the dimensions, and the columns. Sums and misses of the written rows
+    come from one aggregation."""
+    one = dimension_counts(written, products, branches, codes, fact_sums=True)
+    joined = source.select(*KEY, *COMPARED, "item_count", *ORDERS).join(one.withColumnsRenamed({k: f"t_{k}" for k in COMPARED}), KEY, "full_outer")
+    zero = lambda v: F.coalesce(v, F.lit(0))
+    joined = joined.withColumn("non_status_1_count", zero(c("non_status_1_row_count"))).withColumn("not_latest_count", F.greatest(zero(c("status_1_row_count") - c("latest_row_count")), F.lit(0)))
+    joined = joined.withColumns({k: zero(c(k)) for k in (*MISSES, "other_day_count")})
+    bad = forbidden_columns(written.columns)
+    deltas = {m: zero(c(m)) - zero(c(f"t_{m}")) for m in COMPARED}
+    compared = [F.when(c("row_count").isNull(), "source missing"), F.when(c("t_row_count").isNull(), "target missing"), *(F.when(d != 0, F.concat(F.lit(f"{m}_delta="), d.cast("string"))) for m, d in deltas.items()), F.when(c("row_count").isNotNull() & c("item_count").isNull(), "item_count unknown")]
+    dims = [F.when(c(k) > 0, F.concat(F.lit(f"{k}="), c(k).cast("string"))) for k in DIMENSION_COUNTS]
+    columns = [F.lit(f"forbidden_column_count={len(bad)}")] * bool(bad)
+    text = lambda tests: F.array_join(F.array_compact(F.array(*tests)), ";")
+    out = joined.withColumn("metrics_passed", text(compared) == "").withColumn("post_passed", text(compared[:-1]) == "").withColumn("reasons", text([*compared, *dims, *columns]))
+    return out.select(*KEY, "row_count", *DIMENSION_COUNTS, "metrics_passed", "reasons", (c("reasons") == "").alias("passed"), "post_passed")
+
+
+def smoke_checks(fact: DataFrame, products: DataFrame, branches: DataFrame, top: int = 5) -> DataFrame:
+    """One row: products, branches, fact rows, rows of the leaderboard and of the product summary, and whether there are any of each.
+    The fact and each dimension are read once: the fact is summed by product, and all counts but the branches' come from those rows
+    beside the products."""
+    by_product = fact.groupBy("owner_user_id", "product_no").agg(F.count("*").alias("rows"))
+    named = products.select("owner_user_id", "product_no", "product_name", (c("is_active") & analytics.allowed()).alias("ranked"))
+    joined = by_product.join(named.withColumn("known", F.lit(True)), ["owner_user_id", "product_no"], "full_outer")
+    sold = c("rows").isNotNull() & c("known").isNotNull()
+    names = F.struct("owner_user_id", "product_no", "product_name")
+    one = joined.agg(
+        F.count("known").alias("product_count"), F.coalesce(F.sum("rows"), F.lit(0)).alias("fact_count"),
+        F.least(F.countDistinct(F.when(sold & c("ranked"), names)), F.lit(top)).cast("bigint").alias("leaderboard_count"), F.countDistinct(F.when(sold, names)).alias("summary_count"),
+    )
+    one = one.crossJoin(branches.agg(F.count("*").alias("branch_count")))
+    counts = ["product_count", "branch_count", "fact_count", "leaderboard_count", "summary_count"]
+    return one.select(*counts, (F.least(*counts) > 0).alias("passed"))

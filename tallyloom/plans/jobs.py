@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,21 +11,11 @@ from ..operators import orders as o
 from ..operators.allocation import Chain
 from ..schemas import GRAIN
 from . import dims, reports
+from .storage import Published, delete, scratch, staged
 
 c = F.col
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder (spark.checkpoint.dir); a temporary one only where that isn't set and Spark runs on this
-    machine alone."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + os.path.abspath(tempfile.mkdtemp())
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def product_dim(k: Chain, owner: int = 1) -> DataFrame:
     return dims.product_dim(dims.candidates(dims.product_ranked(dims.product_dim_source(k))), owner)
 
@@ -44,62 +31,75 @@ DIMENSIONS: dict[str, tuple[str, Callable, Callable, Callable]] = {
 }
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+#: Parts of a dimension that are replaced apart, by a hash of owner and key.
+BUCKETS = 64
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+def dim_table(spark: SparkSession, path: str, name: str) -> Published:
+    return Published(spark, f"{path.rstrip('/')}/{name}", ["bucket"])
 
 
-def _replace(spark: SparkSession, new: str, old: str) -> None:
-    """Puts the folder ``new`` in the place of ``old``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(old).getFileSystem(spark._jsc.hadoopConfiguration())
-    _delete(spark, old)
-    fs.mkdirs(path(old).getParent())
-    if not fs.rename(path(new), path(old)):
-        raise OSError(f"can't rename {new} to {old}")
+def read_dim(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A dimension as it is published now."""
+    return dim_table(spark, path, name).read().drop("bucket")
 
 
 def sync_dims(chain: Chain, path: str, mode: str = "plan", owner: int = 1, samples: int = 10) -> DataFrame:
     """Plans or applies the dimensions that the sales give. A row for each dimension: candidates, keys of several variants and the
     first of them as text, keys that are new and that were there, rows afterwards, and whether it was written.
 
-    plan writes nothing. apply writes the upserted dimension beside the old one under ``path`` and then puts it in its place. The
-    variants of each dimension are made once."""
+    plan writes nothing. apply rewrites only the buckets in which a row is new or changes, beside the old ones, and then publishes them
+    together: readers always find a whole dimension. The variants of each dimension are made once."""
     if mode not in ("plan", "apply"):
         raise ValueError(mode)
     spark, rows = chain.orders.sparkSession, []
     place = scratch(spark, "dims")
     for name, (key, variants, label, shape) in DIMENSIONS.items():
-        ranked = variants(chain)
-        ranked.write.parquet(f"{place}/{name}")
-        ranked = spark.read.schema(ranked.schema).parquet(f"{place}/{name}")
-        new = shape(dims.candidates(ranked), owner)
-        file = f"{path.rstrip('/')}/{name}"
-        current = spark.read.schema(new.schema).parquet(file) if _exists(spark, file) else new.where("false")
+        ranked = staged(variants(chain), f"{place}/{name}")
+        bucket = F.pmod(F.xxhash64("owner_user_id", key), F.lit(BUCKETS)).cast("int")
+        new = shape(dims.candidates(ranked), owner).withColumn("bucket", bucket)
+        table = dim_table(spark, path, name)
+        current = table.read() if table.exists() else new.where("false")
+        values = [k for k in new.columns if k not in ("owner_user_id", key, "bucket")]
+        had = current.select("owner_user_id", key, F.struct(*values).alias("had"))
+        after = F.struct(*(F.coalesce(k, f"had.{k}").alias(k) if k == "last_seen_at" else c(k) for k in values))
+        seen = new.join(had, ["owner_user_id", key], "left").withColumn("changes", ~after.eqNullSafe(c("had")))
+        counts = seen.agg(F.count("*").alias("all"), F.count_if(c("had").isNull()).alias("inserted"), F.count("had").alias("updated"), F.collect_set(F.when(c("changes"), c("bucket"))).alias("touched"))
         # each key has one variant of rank 1, and one of rank 2 if it has several
-        seen = ranked.withColumn("owner_user_id", F.lit(owner).cast("bigint")).join(current.select("owner_user_id", key, F.lit(1).alias("had")), ["owner_user_id", key], "left")
-        first, had = c("variant_rank") == 1, c("had").isNotNull()
-        n = seen.agg(F.count_if(first).alias("all"), F.count_if(first & ~had).alias("inserted"), F.count_if(first & had).alias("updated"), F.count_if(c("variant_rank") == 2).alias("several")).first()
+        n = counts.crossJoin(ranked.agg(F.count_if(c("variant_rank") == 2).alias("several"))).crossJoin(current.agg(F.count("*").alias("before"))).first()
         shown = sorted(f"{r[key]}: {r['variants']}" for r in dims.conflict_samples(ranked, key, label(), samples).collect()) if n["several"] else []
-        before = current.count()
-        rows.append((name, n["all"], n["inserted"], n["updated"], n["several"], "\n".join(shown), before, before + n["inserted"], mode == "apply"))
-        if mode == "apply":
-            dims.upsert(current, new, key).write.parquet(f"{place}/{name}-new")
-            _replace(spark, f"{place}/{name}-new", file)
-    _delete(spark, place)
+        rows.append((name, n["all"], n["inserted"], n["updated"], n["several"], "\n".join(shown), n["before"], n["before"] + n["inserted"], mode == "apply"))
+        if mode == "apply" and n["touched"]:
+            mine = c("bucket").isin(n["touched"])
+            merged = dims.upsert(current.where(mine).drop("bucket"), new.where(mine).drop("bucket"), key)
+            table.replace(merged.withColumn("bucket", bucket))
+    delete(spark, place)
     return spark.createDataFrame(rows, "dimension string, candidate_count long, inserted long, updated long, conflict_count long, conflict_samples string, rows_before long, rows_after long, written boolean")
 
 
 FAST = ["source_counts", "preview_count", "reconciliation_summary", "top_tax_delta_sample", "status_excluded_summary"]
 
 
-def dry_run(chain: Chain, mode: str = "fast", legacy: Chain | None = None, samples: int = 20) -> dict[str, DataFrame]:
-    """The reports of a run without writing, by name. All share one scope and one fact, which are written to scratch once.
+class DryRun(dict):
+    """Reports by name. What they read stands in scratch until ``close`` (or the end of a with block)."""
+
+    def __init__(self, spark: SparkSession, place: str):
+        super().__init__()
+        self.spark, self.place = spark, place
+
+    def close(self) -> None:
+        delete(self.spark, self.place)
+
+    def __enter__(self) -> DryRun:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def dry_run(chain: Chain, mode: str = "fast", legacy: Chain | None = None, samples: int = 20) -> DryRun:
+    """The reports of a run without writing, by name. All share one scope and one fact, which are written to scratch once; close the
+    result when its reports have been read.
 
     fast: counts, reconciliation, largest differences, excluded statuses. full: also samples, mappings, breakdowns, traces,
     duplicates, and (with ``legacy``, the chain without de-duplication) the comparisons with it."""
@@ -108,12 +108,10 @@ def dry_run(chain: Chain, mode: str = "fast", legacy: Chain | None = None, sampl
     spark = chain.orders.sparkSession
     place = scratch(spark, "dry-run")
 
-    def write(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{place}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{place}/{name}")
-
+    write = lambda df, name: staged(df, f"{place}/{name}")
     chain.keep(write)
-    out = {
+    out = DryRun(spark, place)
+    out |= {
         "source_counts": reports.source_counts(chain), "preview_count": chain.fact().agg(F.count("*").alias("preview_group_count")), "reconciliation_summary": reports.reconciliation_summary(chain),
         "top_tax_delta_sample": reports.top_tax_delta_sample(chain), "status_excluded_summary": reports.status_excluded_summary(chain),
     }
@@ -123,7 +121,7 @@ def dry_run(chain: Chain, mode: str = "fast", legacy: Chain | None = None, sampl
     out |= {
         "preview_sample": chain.fact().orderBy(*GRAIN[1:]).limit(samples), "order_mapping_summary": reports.order_mapping_summary(chain), "payment_mapping_summary": reports.payment_mapping_summary(chain),
         "tax_reconciliation_breakdown": reports.tax_reconciliation_breakdown(chain), "additions_tax_debug": reports.additions_tax_debug(chain), "rounding_debug": reports.rounding_debug(chain),
-        "order_trace": reports.order_trace(chain), "duplicate_order_summary": reports.duplicate_order_summary(stats), "duplicate_order_trace": reports.duplicate_order_trace(chain),
+        "order_trace": reports.order_trace(chain, place=f"{place}/trace"), "duplicate_order_summary": reports.duplicate_order_summary(stats), "duplicate_order_trace": reports.duplicate_order_trace(chain),
         "status_dedup_candidate_summary": reports.status_dedup_candidate_summary(chain, stats),
     }
     if legacy is not None:

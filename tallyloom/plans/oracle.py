@@ -43,23 +43,26 @@ def first_match(c: str, blank_: int, rules: list[tuple[str, int]], other: int) -
 
 PAYMENT, DESTINATION = first_match("name", 0, x.PAYMENT_TYPE_RULES, 9), first_match("destination", 0, x.ORDER_TYPE_RULES, 9)
 
+# Fixed rule: the hour as written, else of the order's time, else 0; kept within 0 and 23.
+HOUR = "greatest(least(coalesce(try_cast(nullif(trim(s_hour), '') AS integer), hour(transaction_created), 0), 23), 0)"
+
 CLEAN = {  # the columns of an order version
     "order_id": "id",
     "business_date": "t_open_date",
-    "hour_of_day": f"least(23, greatest(0, ifnull(ifnull(try_cast(nullif(trim(s_hour), '') AS integer), hour(transaction_created)), 0)))",
+    "hour_of_day": HOUR,
     "branch_id": blank("branch_id", "UNKNOWN_BRANCH"),
     "branch_name": blank("branch", "UNKNOWN_BRANCH_NAME"),
-    "branch_raw": "ifnull(trim(branch), '')",
-    "destination_raw": "ifnull(trim(destination), '')",
+    "branch_raw": "coalesce(trim(branch), '')",
+    "destination_raw": "coalesce(trim(destination), '')",
     "order_type_id": DESTINATION,
-    "order_status": "ifnull(status, -1)",
+    "order_status": "coalesce(status, -1)",
     **{k: k for k in ("transaction_created", "transaction_submitted", "transaction_voided", "created", "modified", "sequence", "void_sale_period", "sale_period", "shift_number")},
     **{f"order_{k}": fin(v) for k, v in {"total": "total", "item_subtotal": "item_subtotal", "included_tax": "included_tax_subtotal", "tax_subtotal": "tax_subtotal", "payment_subtotal": "payment_subtotal"}.items()},
     **{f"order_{k}": pos(k) for k in ("discount_subtotal", "surcharge_subtotal", "item_surcharge_subtotal", "trans_surcharge_subtotal")},
-    "has_invalid_amount": f"cast(list_bool_or([NOT ifnull(abs(v) < cast('Infinity' AS double), true) FOR v IN [{', '.join(AMOUNTS)}]]) AS integer)",
+    "has_invalid_amount": f"cast(list_bool_or([NOT coalesce(abs(v) < cast('Infinity' AS double), true) FOR v IN [{', '.join(AMOUNTS)}]]) AS integer)",
     "is_amount_outlier": f"cast(list_max([{', '.join(pos(k) for k in AMOUNTS)}]) > 100000 AS integer)",
     "is_voided": "cast(transaction_voided IS NOT NULL AS integer)",
-    "is_completed_proxy": "cast(ifnull(status, -1) = 1 AND transaction_voided IS NULL AS integer)",
+    "is_completed_proxy": "cast(coalesce(status, -1) = 1 AND transaction_voided IS NULL AS integer)",
 }
 _BASE = f"""ob AS (SELECT {", ".join(f"{v} AS {k}" for k, v in CLEAN.items())} FROM pos_orders),
 latest AS (SELECT * FROM ob QUALIFY row_number() OVER (PARTITION BY order_id, business_date, order_status ORDER BY transaction_submitted DESC NULLS LAST, modified DESC NULLS LAST,

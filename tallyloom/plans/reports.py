@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as x
 from ..operators import orders as o
-from ..operators.allocation import Chain, line_allocations
+from ..operators.allocation import ITEM, ORDER_MONEY, Chain, line_allocations
 from ..schemas import D, MEASURES
+from ..sources.readers import Sources
+from .storage import few_rows, scratch, staged
 
 c = F.col
 PARTS = ["gross_sales", "discount", "surcharge", "net_sales", "included_tax", "sales_ex_tax"]
@@ -105,54 +107,80 @@ def traced_orders(chain: Chain, n: int = 5) -> DataFrame:
     return top_tax_delta_sample(chain, n).withColumn("trace_rank", F.row_number().over(order))
 
 
-def order_trace(chain: Chain, n: int = 5) -> DataFrame:
+def pinned(src: Sources, keys: list[tuple]) -> Sources:
+    """The rows of some orders (order_id, business_date). Ids and days are literals of plain tests, so they reach the scans: only the
+    days' folders are read, and of those only what may hold the ids."""
+    ids, days = sorted({k for k, _ in keys}), sorted({d for _, d in keys})
+
+    def only(df: DataFrame, key: str) -> DataFrame:
+        pairs = F.lit(False)
+        for k, d in keys:
+            pairs = pairs | ((c(key) == F.lit(k)) & (c("t_open_date") == F.lit(d)))
+        return df.where(c("t_open_date").isin(days) & c(key).isin(ids)).where(pairs)
+
+    return Sources(only(src.orders, "id"), *(only(df, "order_id") for df in src[1:]))
+
+
+def pinned_chain(chain: Chain, top: DataFrame) -> Chain:
+    """The chain over the orders of ``top`` (few rows, made already) alone."""
+    return Chain(pinned(chain.src, [(r["order_id"], r["business_date"]) for r in top.select(*D).distinct().collect()]), chain.dedup)
+
+
+def order_trace(chain: Chain, n: int = 5, place: str | None = None) -> DataFrame:
     """Five sections over the top orders: header, payments, item allocation, allocation summary, join check. Values that a
-    section doesn't have are null. The n orders are broadcast (n is a parameter), so each source is only filtered."""
-    top = F.broadcast(traced_orders(chain, n).select("trace_rank", *D, "status", "destination"))
-    key = ["trace_rank", *D]
-    pays = chain.src.payments.withColumnRenamed("t_open_date", "business_date").join(top, D).select(
-        *key, "status", "destination", F.coalesce(x.trim_ws(c("id")), F.lit("")).alias("payment_row_id"), F.coalesce(x.trim_ws(c("name")), F.lit("")).alias("payment_name"),
-        x.payment_type_id(c("name")).alias("normalized_payment_type_id"), x.safe_milli(c("amount")).alias("payment_amount_milli"),
-    )
+    section doesn't have are null.
+
+    First the n orders are found and made (n is a parameter). Then the sources are read for those orders alone, and their payments,
+    items and flow are written once under ``place`` (else to scratch); the sections read only that."""
+    top = few_rows(traced_orders(chain, n).select("trace_rank", *D, "status", "destination"))
+    place = place or scratch(top.sparkSession, "trace")
+    keep = lambda df, name: staged(df, f"{place}/{name}")
+    small = pinned_chain(chain, top)
+    small.keep_flow(keep)
+    top, key = F.broadcast(top), ["trace_rank", *D]
+    dated = lambda df: df.withColumnRenamed("t_open_date", "business_date").join(top.select(*key), D)
+    blank = lambda k: F.coalesce(x.trim_ws(c(k)), F.lit(""))
+    pays = keep(dated(small.src.payments).select(*key, blank("id").alias("payment_row_id"), blank("name").alias("payment_name"), x.payment_type_id(c("name")).alias("normalized_payment_type_id"), x.safe_milli(c("amount")).alias("payment_amount_milli")), "payments")
+    items_ = keep(dated(small.src.items.where(x.has_product(c("product_no")))).select(*key, x.trim_ws(c("product_no")).alias("product_no"), blank("id").alias("id"), blank("product_name").alias("name"), x.safe_milli(c("included_tax")).alias("tax")), "items")
+    scope = keep(small.scope().join(top.select(*key), D), "scope")
     grouped = pays.groupBy(*key, "normalized_payment_type_id").agg(F.sum("payment_amount_milli").alias("m"))
     known = (c("m") != 0) & (c("normalized_payment_type_id") != 0)
     paid = grouped.groupBy(*key).agg(
         F.count_if(known).alias("normalized_payment_type_count"), F.max_by("normalized_payment_type_id", F.struct(F.abs("m"), "normalized_payment_type_id")).alias("best"),
         F.when((F.count_if(c("m") > 0) > 0) & (F.count_if(c("m") < 0) > 0), 1).otherwise(0).alias("has_offsetting_payments"), F.count("*").alias("payment_after_order_aggregation_row_count"),
-    ).withColumn("final_payment_type_id", F.when(c("normalized_payment_type_count") == 0, 0).when(c("normalized_payment_type_count") == 1, c("best")).otherwise(8)).withColumn("is_mixed", (c("normalized_payment_type_count") > 1).cast("int")).drop("best")
-    items_ = chain.src.items.where(x.has_product(c("product_no"))).withColumnRenamed("t_open_date", "business_date").join(top.select(*key), D)
-    meta = items_.groupBy(*key, x.trim_ws(c("product_no")).alias("product_no")).agg(
-        F.count("*").alias("raw_item_row_count"), F.max(F.coalesce(x.trim_ws(c("id")), F.lit(""))).alias("one_id"),
-        F.max_by(F.coalesce(x.trim_ws(c("product_name")), F.lit("")), F.struct(F.length(F.coalesce(x.trim_ws(c("product_name")), F.lit(""))), F.coalesce(x.trim_ws(c("product_name")), F.lit("")))).alias("product_name"),
-        F.sum(x.safe_milli(c("included_tax"))).alias("raw_item_included_tax_milli"),
-    ).withColumn("item_id", F.when(c("raw_item_row_count") == 1, c("one_id")).otherwise(F.concat(F.lit("product_group:"), c("product_no")))).drop("one_id")
-    count = lambda df, name: df.groupBy(*key).agg(F.count("*").alias(name))
-    lines = chain.enriched.join(top.select(*key), D)
-    counts = top
-    for df, name in (
-        (items_, "raw_item_row_count"), (meta, "grouped_item_row_count"), (pays, "raw_payment_row_count"), (lines, "final_joined_row_count"),
-        (chain.src.additions.withColumnRenamed("t_open_date", "business_date").join(top.select(*key), D), "raw_addition_row_count"),
-    ):
-        counts = counts.join(count(df, name), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    counts = counts.withColumn("additions_after_order_aggregation_row_count", F.when(c("raw_addition_row_count") > 0, 1).otherwise(0))
-    counts = counts.join(paid.select(*key, "payment_after_order_aggregation_row_count"), key, "left").withColumn("payment_after_order_aggregation_row_count", F.coalesce("payment_after_order_aggregation_row_count", F.lit(0)))
+    )
+    kinds = c("normalized_payment_type_count")
+    paid = few_rows(paid.withColumn("final_payment_type_id", F.when(kinds == 0, 0).when(kinds == 1, c("best")).otherwise(8)).withColumn("is_mixed", (kinds > 1).cast("int")).drop("best"))
+    lines = small.enriched.join(top.select(*key), D)
+    # one aggregation counts the rows of all kinds
+    row = lambda df, kind, product=None: df.select(*key, F.lit(kind).alias("kind"), (F.lit(None).cast("string") if product is None else product).alias("product_no"))
+    every = row(items_, "item", c("product_no")).union(row(pays, "payment")).union(row(lines, "line")).union(row(dated(small.src.additions), "addition"))
+    of = lambda kind: F.count_if(c("kind") == kind)
+    made = every.groupBy(*key).agg(of("item").alias("raw_item_row_count"), F.size(F.collect_set("product_no")).cast("bigint").alias("grouped_item_row_count"), of("payment").alias("raw_payment_row_count"), of("line").alias("final_joined_row_count"), of("addition").alias("raw_addition_row_count"))
+    counts = top.join(made, key, "left").join(F.broadcast(paid.select(*key, "payment_after_order_aggregation_row_count")), key, "left")
+    counts = counts.withColumns({k: F.coalesce(k, F.lit(0)) for k in (*made.columns[len(key) :], "payment_after_order_aggregation_row_count")})
+    counts = few_rows(counts.withColumn("additions_after_order_aggregation_row_count", F.when(c("raw_addition_row_count") > 0, 1).otherwise(0)))
     section = lambda df, k, name, note, row=None: df.withColumns({"section_order": F.lit(k), "section": F.lit(name), "row_order": F.lit(1) if row is None else row, "note": note})
-    head = chain.orders.join(top.select(*key), D).select(*key, c("order_status").alias("status"), c("destination_raw").alias("destination"), c("order_type_id").alias("normalized_order_type_id"), "branch_id",
+    head = scope.select(*key, c("order_status").alias("status"), c("destination_raw").alias("destination"), c("order_type_id").alias("normalized_order_type_id"), "branch_id",
         *(x.to_milli(c(f"order_{k}")).alias(f"{v}_milli") for k, v in (("total", "total"), ("item_subtotal", "item_subtotal"), ("discount_subtotal", "discount"), ("surcharge_subtotal", "surcharge"), ("included_tax", "included_tax"), ("tax_subtotal", "tax_subtotal"))), "transaction_voided", "void_sale_period")
     by_row = Window.partitionBy(*key).orderBy("payment_row_id", "payment_name", "payment_amount_milli")
-    second = pays.join(paid.drop("best"), key, "left").join(counts.select(*key, "raw_payment_row_count"), key, "left").withColumn("payment_row_count", c("raw_payment_row_count"))
+    of_order = [F.broadcast(paid), F.broadcast(counts.select(*key, "raw_payment_row_count"))]
+    second = pays.join(top, key).join(of_order[0], key, "left").join(of_order[1], key, "left").withColumn("payment_row_count", c("raw_payment_row_count"))
+    meta = items_.groupBy(*key, "product_no").agg(
+        F.count("*").alias("raw_item_row_count"), F.max("id").alias("one_id"), F.max_by("name", F.struct(F.length("name"), "name")).alias("product_name"), F.sum("tax").alias("raw_item_included_tax_milli")
+    ).withColumn("item_id", F.when(c("raw_item_row_count") == 1, c("one_id")).otherwise(F.concat(F.lit("product_group:"), c("product_no")))).drop("one_id")
     share = x.share_of(c("addition_discount_total"), c("item_gross"), c("order_gross_sales")), x.share_of(c("addition_surcharge_total"), c("item_gross"), c("order_gross_sales"))
-    given = line_allocations(lines, "trace_rank").select("trace_rank", *D, "product_no", "included_tax_milli")
     net = c("item_gross") - (c("item_discount") + share[0]) + (c("item_surcharge") + share[1])
     ratio = F.when(F.abs("order_net_sales") <= 0.000001, F.lit(0.0)).otherwise(net / F.when(c("order_net_sales") != 0, c("order_net_sales")))
-    third = lines.join(meta, [*key, "product_no"], "left").join(given, [*key, "product_no"], "left").join(top.select(*key, "status", "destination"), key).select(
+    given = line_allocations(lines, "trace_rank", *ITEM, *ORDER_MONEY)
+    third = given.join(meta, [*key, "product_no"], "left").join(top, key).select(
         *key, "status", "destination", c("order_type_id").alias("normalized_order_type_id"), "branch_id", c("payment_type_id").alias("final_payment_type_id"), "item_id", "product_no", "product_name", c("qty_milli").alias("current_qty_milli"),
         x.to_milli(c("item_net")).alias("current_subtotal_milli"), x.to_milli(c("item_discount")).alias("current_discount_milli"), x.to_milli(c("item_surcharge")).alias("current_surcharge_milli"), "raw_item_included_tax_milli",
         x.to_milli(c("order_net_sales")).alias("allocation_denominator_milli"), x.to_milli(share[0]).alias("allocated_discount_milli"), x.to_milli(share[1]).alias("allocated_surcharge_milli"), "raw_item_row_count",
         (F.round(ratio * 1000000) / 1000000).alias("allocation_ratio"), c("included_tax_milli").alias("allocated_included_tax_milli"),
     )
     given, source = c("allocated_included_tax_milli"), c("source_included_tax_milli")
-    fourth = chain.scope().join(counts.drop("status", "destination"), D).join(paid.drop("payment_after_order_aggregation_row_count"), key, "left").select(
+    fourth = scope.join(F.broadcast(counts.drop("status", "destination")), key).join(F.broadcast(paid.drop("payment_after_order_aggregation_row_count")), key, "left").select(
         *key, c("order_status").alias("status"), c("destination_raw").alias("destination"), *(F.coalesce(k, F.lit(0)).alias(k) for k in ("final_payment_type_id", "is_mixed", "has_offsetting_payments", "normalized_payment_type_count")),
         "allocation_denominator_milli", source.alias("source_order_included_tax_milli"), given.alias("sum_allocated_included_tax_milli"), (given - source).alias("delta_milli"), c("source_net_sales_milli").alias("source_order_net_milli"),
         c("allocated_net_sales_milli").alias("sum_allocated_net_milli"), (c("allocated_net_sales_milli") - c("source_net_sales_milli")).alias("net_delta_milli"),
@@ -174,9 +202,9 @@ def order_trace(chain: Chain, n: int = 5) -> DataFrame:
 
 
 def duplicate_order_trace(chain: Chain, n: int = 5) -> DataFrame:
-    """Every version of the top orders, newest first."""
-    top = F.broadcast(traced_orders(chain, n).select("trace_rank", *D, c("status").alias("top_sample_status"), c("destination").alias("top_sample_destination")))
-    ranked = o.duplicate_row_rank(chain.base.join(top, D))
+    """Every version of the top orders, newest first. The orders are found first, and then read alone."""
+    top = few_rows(traced_orders(chain, n).select("trace_rank", *D, c("status").alias("top_sample_status"), c("destination").alias("top_sample_destination")))
+    ranked = o.duplicate_row_rank(pinned_chain(chain, top).base.join(F.broadcast(top), D))
     money = {"total": "total", "item_subtotal": "item_subtotal", "discount_subtotal": "discount_subtotal", "payment_subtotal": "payment_subtotal", "included_tax": "included_tax_subtotal", "tax_subtotal": "tax_subtotal", "item_surcharge_subtotal": "item_surcharge_subtotal", "trans_surcharge_subtotal": "trans_surcharge_subtotal"}
     return ranked.select(
         "trace_rank", c("duplicate_rank").alias("raw_row_rank"), "duplicate_row_count", *D, c("order_status").alias("status"), c("destination_raw").alias("destination"), "branch_id", c("branch_raw").alias("branch"),
@@ -261,7 +289,11 @@ def status_excluded_summary(chain: Chain) -> DataFrame:
 
 
 def top_delta_before_after(official: Chain, legacy: Chain, n: int = 5) -> DataFrame:
+    """The top orders by the legacy rule beside what both rules make of them. They are found first, and then both chains run over them
+    alone."""
     top = rounding_orders(legacy).groupBy(*D).agg(F.max(F.abs("delta_milli")).alias("current_max_abs_delta_milli")).orderBy(F.desc("current_max_abs_delta_milli"), "business_date", "order_id").limit(n)
+    top = few_rows(top)
+    official, legacy = pinned_chain(official, top), pinned_chain(legacy, top)
     top = F.broadcast(top)
     raw = legacy.base.join(top.select(*D), D).groupBy(*D).agg(F.count("*").alias("raw_order_row_count"), F.array_join(F.array_sort(F.collect_set(c("order_status").cast("string"))), ",").alias("raw_status_list"))
     before = legacy.scope().join(top.select(*D), D).groupBy(*D).agg(F.max("allocated_included_tax_milli").alias("current_included"), F.max("allocated_net_sales_milli").alias("current_net"))

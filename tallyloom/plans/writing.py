@@ -1,4 +1,4 @@
-"""Gated writing of the fact day by day, planning of days and run summaries."""
+"""Gated writing of the fact day by day, planning of days, the ledger of runs, and run summaries."""
 
 from __future__ import annotations
 
@@ -6,69 +6,64 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..operators.allocation import Chain, hourly_fact
 from ..schemas import GRAIN, MEASURES
+from ..sources.readers import Sources
 from . import gates
+from .storage import Published, delete, exists, few_rows, staged
 
 c = F.col
 
 
+def fact_table(spark: SparkSession, path: str) -> Published:
+    """The fact at ``path``, published by owner and day."""
+    return Published(spark, path, gates.KEY)
+
+
 def write_fact_day_replace(fact: DataFrame, path: str) -> None:
-    """Replaces the days that ``fact`` has and leaves all others. Rows are dealt by day, and adaptive execution splits a large day over
-    several tasks and joins small ones. Days are replaced together, but a reader may see some replaced before others."""
-    fact.hint("rebalance", "owner_user_id", "business_date").sortWithinPartitions(*GRAIN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("owner_user_id", "business_date").parquet(path)
+    """Replaces the days that ``fact`` has, all together, and leaves all others."""
+    fact_table(fact.sparkSession, path).replace(fact)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*(c(k).cast("bigint" if k == "owner_user_id" else "date") if k in ("owner_user_id", "business_date") else c(k) for k in (*GRAIN, *MEASURES)))
+    return fact_table(spark, path).read().select(*GRAIN, *MEASURES)
 
 
-def read_back(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+DAY_COLUMNS = [*gates.KEY, "row_count", *gates.DIMENSION_COUNTS, "metrics_passed", "reasons", "passed", "post_passed", "status", "rows_written"]
 
 
 def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: DataFrame, path: str, mode: str = "write", owner: int = 1) -> DataFrame:
-    """Gates, then writes: validate stops after the gates before writing, plan too but reports days, write publishes.
+    """Gates, then writes: validate stops after the gates, plan too but reports days, write publishes.
 
-    The chain runs once, to lines in staging that both the gates and the fact are made from. Of the days before the first that
-    fails a gate the fact is written to staging, read back and compared with its source; what equals it is published, up to the
-    first day that doesn't. Staging is deleted in the end. Returns a row for each day: gates, status and rows written."""
+    The chain runs once, to lines in staging. The fact is made of them, written beside what is live, and read back; one pass of gates
+    compares what was read with the lines, the orders and the dimensions. The days before the first that fails go live together; the
+    others' files are deleted. Returns a row for each day: gates, status and rows written."""
     if mode not in ("validate", "plan", "write"):
         raise ValueError(mode)
     spark = products.sparkSession
     place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
-
-    def staged(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{place}/{name}")
-        return read_back(spark, f"{place}/{name}", df.schema)
-
+    table = fact_table(spark, path if mode == "write" else f"{place}/fact")
+    parts: list[list[str]] = []
+    live: list[list[str]] = []
     try:
-        lines = staged(chain.allocations, "lines")
-        fact = hourly_fact(lines, owner)
-        source = staged(gates.source_metrics(lines, chain.orders, owner), "source")
-        candidate = gates.fact_metrics(fact).join(source.select(*gates.KEY, "item_count"), gates.KEY, "left")
-        pre = gates.pre_insert_report(source, candidate, gates.dimension_gate(fact, products, branches, codes, source), fact.columns)
-        days = staged(pre.join(source.select(*gates.KEY, "row_count"), gates.KEY, "left").select(*gates.KEY, "row_count", *gates.DIMENSION_COUNTS, "metrics_passed", "reasons", "passed"), "days")
-        first = lambda failed: days.where(failed).agg(F.min("business_date")).first()[0]
-        before = lambda day: F.lit(True) if day is None else c("business_date") < F.lit(day)
-        good = before(first(~c("passed")))
+        lines = staged(chain.allocations, f"{place}/lines")
+        _, parts, written = table.add(hourly_fact(lines, owner))
+        days = few_rows(gates.gate_days(gates.source_metrics(lines, chain.orders, owner), written, products, branches, codes))
+        first = days.where(~c("passed") | ~c("post_passed")).agg(F.min("business_date")).first()[0]
+        good = F.lit(True) if first is None else c("business_date") < F.lit(first)
         if mode == "write":
-            written = staged(fact.where(good), "fact")
-            post = gates.post_insert_report(source.where(good), written).select(*gates.KEY, c("passed").alias("post_passed"))
-            days = staged(days.join(post, gates.KEY, "left"), "compared")
-            good = good & before(first(c("post_passed") == F.lit(False)))
-            write_fact_day_replace(written.where(good), path)
+            live = [p for p in parts if first is None or p[1] < first.isoformat()]
+            table.publish(live, written.schema)
         else:
             days = days.withColumn("post_passed", F.lit(None).cast("boolean"))
         done = {"validate": "validated", "plan": "planned", "write": "succeeded"}[mode]
         status = F.when(~c("passed") | (c("post_passed") == F.lit(False)), "failed").when(~good, "skipped").otherwise(done)
         out = days.withColumn("status", status).withColumn("rows_written", F.when(F.lit(mode == "write") & (c("status") == done), F.coalesce("row_count", F.lit(0))).otherwise(0))
-        return spark.createDataFrame(out.toArrow(), out.schema)  # a row for each day
+        return out.select(*DAY_COLUMNS)
     finally:
-        at = spark._jvm.org.apache.hadoop.fs.Path(place)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        table.drop(p for p in parts if p not in live)
+        delete(spark, place)
 
 
 def persisted_daily_counts(fact: DataFrame, owner: int = 1, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -79,21 +74,82 @@ def persisted_daily_counts(fact: DataFrame, owner: int = 1, start: str | None =
     return mine.groupBy("business_date").agg(F.count("*").alias("row_count"))
 
 
-def plan_days(spark: SparkSession, fact: DataFrame, start: str, end: str, force: bool = False, owner: int = 1) -> DataFrame:
-    """One row for each day of the window: completed if the fact has it, else pending; forced days are pending too."""
+def plan_days(spark: SparkSession, fact: DataFrame | None, start: str, end: str, force: bool = False, owner: int = 1, ledger: DataFrame | None = None) -> DataFrame:
+    """One row for each day of the window: completed if the fact has it or its last attempt in the ``ledger`` succeeded (a day without
+    sales has no row in the fact), else pending; forced days are pending too."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("business_date"))
-    done = persisted_daily_counts(fact, owner, start, end)
-    return days.join(done, "business_date", "left").select("business_date", F.coalesce("row_count", F.lit(0)).alias("persisted_rows"), F.when(c("row_count").isNull() | F.lit(force), "pending").otherwise("completed").alias("status"))
+    if fact is None:
+        days = days.withColumn("row_count", F.lit(None).cast("bigint"))
+    else:
+        days = days.join(persisted_daily_counts(fact, owner, start, end), "business_date", "left")
+    done = c("row_count").isNotNull()
+    if ledger is not None:
+        last = last_attempts(ledger).where(c("owner_user_id") == owner).select("business_date", c("status").alias("last_status"))
+        days = days.join(last, "business_date", "left")
+        # what the ledger says of a day is newer than what the fact still has of it
+        done = F.when(c("last_status").isNull(), done).otherwise(c("last_status") == "succeeded")
+    return days.select("business_date", F.coalesce("row_count", F.lit(0)).alias("persisted_rows"), F.when(done & ~F.lit(force), "completed").otherwise("pending").alias("status"))
+
+
+LEDGER = "run_id string, attempt int, finished_at timestamp, " + ", ".join(f"{k} {t}" for k, t in {"owner_user_id": "bigint", "business_date": "date", "row_count": "bigint", **dict.fromkeys(gates.DIMENSION_COUNTS, "bigint"), "metrics_passed": "boolean", "reasons": "string", "passed": "boolean", "post_passed": "boolean", "status": "string", "rows_written": "bigint"}.items())
 
 
-def run_summary(days: DataFrame) -> DataFrame:
-    """One row over the days of a run: their numbers by status (skipped ones aren't processed), whether source and candidate, and
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each owner, day and attempt: the gates' counts and what became of the day. Rows are only ever added."""
+    return spark.read.schema(LEDGER).parquet(path) if exists(spark, path) else spark.createDataFrame([], LEDGER)
+
+
+def last_attempts(ledger: DataFrame) -> DataFrame:
+    """The newest attempt of each owner and day. Attempts that only validate or plan don't count."""
+    rows = ledger.where(c("status").isin("succeeded", "failed", "skipped"))
+    values = [k for k in ledger.columns if k not in gates.KEY]
+    return rows.groupBy(*gates.KEY).agg(F.max_by(F.struct(*values), F.struct("attempt", "finished_at", "run_id")).alias("v")).select(*gates.KEY, "v.*")
+
+
+def write_window(src: Sources, products: DataFrame, branches: DataFrame, codes: DataFrame, path: str, ledger: str, start: str, end: str, mode: str = "write", owner: int = 1, force: bool = False) -> DataFrame:
+    """Runs the pending days of a window and adds an attempt for each to the ``ledger`` (a path); days that are done already are left
+    out, after a crash too. A day whose sources have no sales succeeds with no rows, and what the fact had of it goes. Returns the
+    rows that were added."""
+    spark = products.sparkSession
+    table = fact_table(spark, path)
+    known = read_ledger(spark, ledger)
+    plan = plan_days(spark, table.read() if table.exists() else None, start, end, force, owner, known)
+    pending = sorted(r["business_date"] for r in plan.where("status = 'pending'").collect())  # at most the days of the window
+    if not pending:
+        return spark.createDataFrame([], LEDGER)
+    attempt = (known.where((c("owner_user_id") == owner) & c("business_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).agg(F.max("attempt")).first()[0] or 0) + 1
+    due = Sources(*(df.where(c("t_open_date").isin(pending)) for df in src))
+    days = write_fact(Chain(due), products, branches, codes, path, mode, owner)
+    seen = {r["business_date"]: r["status"] for r in days.select("business_date", "status").collect()}
+    stopped = min((d for d, s in seen.items() if s == "failed"), default=None)
+    done = {"validate": "validated", "plan": "planned", "write": "succeeded"}[mode]
+    empty = [d for d in pending if d not in seen]
+    if mode == "write" and (gone := [d for d in empty if stopped is None or d < stopped]) and table.exists():
+        table.publish([], table.read().schema, [(str(owner), d.isoformat()) for d in gone])
+    nothing = dict.fromkeys([*gates.DIMENSION_COUNTS, "row_count", "rows_written"], 0) | {"owner_user_id": owner, "metrics_passed": True, "reasons": "", "passed": True, "post_passed": True if mode == "write" else None}
+    of = lambda d: nothing | {"business_date": d, "status": done if stopped is None or d < stopped else "skipped"}
+    rows = [tuple(of(d)[k] for k in DAY_COLUMNS) for d in empty]
+    every = days.unionByName(spark.createDataFrame(rows, days.schema)) if rows else days
+    added = every.select(F.lit(uuid.uuid4().hex).alias("run_id"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("finished_at"), *DAY_COLUMNS)
+    added = few_rows(added.select(*(c(f.name).cast(f.dataType) for f in known.schema)))
+    added.coalesce(1).write.mode("append").parquet(ledger)
+    return added
+
+
+def attempt_summary(ledger: DataFrame) -> DataFrame:
+    """run_summary of each attempt in a ledger, by run, and of the last attempts of all days together (attempt 0)."""
+    each = run_summary(ledger, "run_id", "attempt")
+    return each.unionByName(run_summary(last_attempts(ledger)).select(F.lit("").alias("run_id"), F.lit(0).alias("attempt"), "*"))
+
+
+def run_summary(days: DataFrame, *by: str) -> DataFrame:
+    """One row over the days of a run (for each value of ``by``): their numbers by status (skipped ones aren't processed), whether source and candidate, and
     source and what was written, were equal on all days that were compared, misses, failed days and rows written."""
     count = lambda name, *s: F.count(F.when(c("status").isin(*s), 1)).alias(name)
     judged = ~c("status").isin("planned", "skipped")
     every = lambda test, of: F.coalesce(F.bool_and(F.when(of, test)), F.lit(True))
     total = lambda k: F.coalesce(F.sum(F.when(judged, c(k))), F.lit(0))
-    return days.agg(
+    return days.groupBy(*by).agg(
         F.count(F.when(c("status") != "skipped", 1)).alias("processed_days"), count("succeeded_days", "succeeded", "validated", "planned"), count("failed_days", "failed"), count("skipped_days", "skipped"),
         every(c("metrics_passed"), judged).alias("source_candidate_equal"), (every(c("post_passed"), judged) & (F.count("post_passed") > 0)).alias("source_persisted_equal"),
         *(total(k).alias(k) for k in gates.DIMENSION_COUNTS), F.count(F.when(judged & (c("status") == "failed"), 1)).alias("failed_gate_days"), F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from ..schemas import DAY, SOURCES
 
 
+#: The column in which the reader of text leaves a line that doesn't fit.
+BAD = "__bad"
+
+
 class Sources(NamedTuple):
     orders: DataFrame
     items: DataFrame
@@ -36,8 +41,58 @@ def in_window(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return df
 
 
+def columns_of(name: str) -> list[tuple[str, str]]:
+    """The declared columns of a source, without the day."""
+    return [tuple(f.split()[:2]) for f in " ".join(SOURCES[name].split()).split(", ")]
+
+
+def read_checked_text(spark: SparkSession, path: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of a text table that fit the schema, and those that don't (a bad number or date, too few or too many fields): t_open_date,
+    source_table, source_file, readable (the fields that can be read, as JSON) and line as it stands. Every line is in one of the two if
+    all columns are taken; Spark converts and so judges only those that are."""
+    reader = spark.read.schema(f"{SOURCES[name]}, {BAD} string, {DAY}").option("sep", "|").option("nullValue", "\\N").option("quote", "").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).option("columnPruning", "false")
+    rows = reader.csv(path)
+    good = rows.where(F.col(BAD).isNull()).drop(BAD)
+    bad = rows.withColumn("source_file", F.col("_metadata.file_path")).where(F.col(BAD).isNotNull()).select("t_open_date", F.lit(name).alias("source_table"), "source_file", F.to_json(F.struct(*(n for n, _ in columns_of(name)))).alias("readable"), F.col(BAD).alias("line"))
+    return good, bad
+
+
 def raw_to_parquet(spark: SparkSession, path: str, name: str, to: str) -> None:
-    read_raw_text(spark, path, name).repartition("t_open_date").write.mode("overwrite").partitionBy("t_open_date").parquet(to)
+    _by_day(read_raw_text(spark, path, name), to)
+
+
+def _by_day(df: DataFrame, to: str) -> None:
+    """Adaptive execution splits a large day over several tasks and joins small ones."""
+    df.hint("rebalance", "t_open_date").write.mode("overwrite").partitionBy("t_open_date").parquet(to)
+
+
+def ingest_raw(spark: SparkSession, path: str, name: str, to: str, quarantine: str) -> DataFrame:
+    """Text to Parquet by day; rows that don't fit go to the quarantine (added to what is there). Returns the gate: rows of both kinds by day,
+    and whether all fitted. Counts are of what was written."""
+    good, bad = read_checked_text(spark, path, name)
+    _by_day(good, to)
+    run = uuid.uuid4().hex
+    bad.withColumn("run_id", F.lit(run)).write.mode("append").parquet(quarantine)
+    kept = spark.read.schema(good.schema).parquet(to).groupBy("t_open_date").agg(F.count("*").alias("good_rows"))
+    lost = spark.read.parquet(quarantine).where(F.col("run_id") == run).groupBy("t_open_date").agg(F.count("*").alias("bad_rows"))
+    zero = lambda k: F.coalesce(k, F.lit(0)).alias(k)
+    out = kept.join(lost, "t_open_date", "full_outer").select("t_open_date", F.lit(name).alias("source_table"), zero("good_rows"), zero("bad_rows"))
+    return out.withColumn("passed", F.col("bad_rows") == 0)
+
+
+def bucketed(src: Sources, path: str, buckets: int) -> Sources:
+    """The sources written under ``path`` as tables by day and, within each, in buckets by order, sorted: what is joined or grouped by
+    order and day then needs no exchange, and a large day is spread over its buckets. Spark takes buckets of the order alone for joins
+    by order and day only if it needn't find all keys of a join in them; that is set in the session here."""
+    spark = src.orders.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    out = []
+    for name, df in zip(src._fields, src, strict=True):
+        key = "id" if name == "orders" else "order_id"
+        table = f"{name}_{uuid.uuid4().hex}"
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).partitionBy("t_open_date").option("path", f"{path.rstrip('/')}/{name}").saveAsTable(table)
+        out.append(spark.table(table))
+    return Sources(*out)
 
 
 def write_raw_text(df: DataFrame, path: str) -> None:
