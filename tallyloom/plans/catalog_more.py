@@ -177,12 +177,8 @@ register(
 
 
 def gated_write(k: Chain, mode: str = "write") -> DataFrame:
-    """Syncs the dimensions, then writes the fact against them."""
-    spark = k.orders.sparkSession
-    place = scratch(spark, "job")
-    jobs.sync_dims(k, place, "apply")
-    products, branches = (jobs.read_dim(spark, place, n) for n in jobs.DIMENSIONS)
-    return writing.write_fact(k, products, branches, dims.code_dims(spark), f"{place}/fact", mode)
+    """Syncs the dimensions and writes the fact against them."""
+    return jobs.sync_and_write(k, scratch(k.orders.sparkSession, "job"), mode)
 
 
 DAYS = [*gates.KEY, "row_count", *gates.DIMENSION_COUNTS, "metrics_passed", "reasons", "passed", "post_passed", "status", "rows_written"]

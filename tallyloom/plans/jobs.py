@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import orders as o
 from ..operators.allocation import Chain
 from ..schemas import GRAIN
-from . import dims, reports
+from . import dims, reports, writing
 from .storage import Published, delete, scratch, staged
 
 c = F.col
@@ -32,7 +33,7 @@ DIMENSIONS: dict[str, tuple[str, Callable, Callable, Callable]] = {
 
 
 #: Parts of a dimension that are replaced apart, by a hash of owner and key.
-BUCKETS = 64
+BUCKETS = 32
 
 
 def dim_table(spark: SparkSession, path: str, name: str) -> Published:
@@ -52,31 +53,51 @@ def sync_dims(chain: Chain, path: str, mode: str = "plan", owner: int = 1, sampl
     together: readers always find a whole dimension. The variants of each dimension are made once."""
     if mode not in ("plan", "apply"):
         raise ValueError(mode)
-    spark, rows = chain.orders.sparkSession, []
+    spark = chain.orders.sparkSession
     place = scratch(spark, "dims")
-    for name, (key, variants, label, shape) in DIMENSIONS.items():
-        ranked = staged(variants(chain), f"{place}/{name}")
-        bucket = F.pmod(F.xxhash64("owner_user_id", key), F.lit(BUCKETS)).cast("int")
-        new = shape(dims.candidates(ranked), owner).withColumn("bucket", bucket)
-        table = dim_table(spark, path, name)
-        current = table.read() if table.exists() else new.where("false")
-        values = [k for k in new.columns if k not in ("owner_user_id", key, "bucket")]
-        had = current.select("owner_user_id", key, F.struct(*values).alias("had"))
-        after = F.struct(*(F.coalesce(k, f"had.{k}").alias(k) if k == "last_seen_at" else c(k) for k in values))
-        seen = new.join(had, ["owner_user_id", key], "left").withColumn("changes", ~after.eqNullSafe(c("had")))
-        counts = seen.agg(F.count("*").alias("all"), F.count_if(c("had").isNull()).alias("inserted"), F.count("had").alias("updated"), F.collect_set(F.when(c("changes"), c("bucket"))).alias("touched"))
-        # each key has one variant of rank 1, and one of rank 2 if it has several
-        n = counts.crossJoin(ranked.agg(F.count_if(c("variant_rank") == 2).alias("several"))).crossJoin(current.agg(F.count("*").alias("before"))).first()
-        shown = sorted(f"{r[key]}: {r['variants']}" for r in dims.conflict_samples(ranked, key, label(), samples).collect()) if n["several"] else []
-        rows.append((name, n["all"], n["inserted"], n["updated"], n["several"], "\n".join(shown), n["before"], n["before"] + n["inserted"], mode == "apply"))
-        if mode == "apply" and n["touched"]:
-            mine = c("bucket").isin(n["touched"])
-            merged = dims.upsert(current.where(mine).drop("bucket"), new.where(mine).drop("bucket"), key)
-            table.replace(merged.withColumn("bucket", bucket))
+    one = lambda name: _sync_one(chain, path, f"{place}/{name}", name, mode == "apply", owner, samples)
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:  # neither needs the other
+        rows = list(pool.map(one, DIMENSIONS))
     delete(spark, place)
     return spark.createDataFrame(rows, "dimension string, candidate_count long, inserted long, updated long, conflict_count long, conflict_samples string, rows_before long, rows_after long, written boolean")
 
 
+def _sync_one(chain: Chain, path: str, place: str, name: str, apply: bool, owner: int, samples: int) -> tuple:
+    spark = chain.orders.sparkSession
+    key, variants, label, shape = DIMENSIONS[name]
+    ranked = staged(variants(chain), place)
+    bucket = F.pmod(F.xxhash64("owner_user_id", key), F.lit(BUCKETS)).cast("int")
+    new = shape(dims.candidates(ranked), owner).withColumn("bucket", bucket)
+    table = dim_table(spark, path, name)
+    current = table.read() if table.exists() else new.where("false")
+    values = [k for k in new.columns if k not in ("owner_user_id", key, "bucket")]
+    had = current.select("owner_user_id", key, F.struct(*values).alias("had"))
+    after = F.struct(*(F.coalesce(k, f"had.{k}").alias(k) if k == "last_seen_at" else c(k) for k in values))
+    seen = new.join(had, ["owner_user_id", key], "left").withColumn("changes", ~after.eqNullSafe(c("had")))
+    counts = seen.agg(F.count("*").alias("all"), F.count_if(c("had").isNull()).alias("inserted"), F.count("had").alias("updated"), F.collect_set(F.when(c("changes"), c("bucket"))).alias("touched"))
+    # each key has one variant of rank 1, and one of rank 2 if it has several
+    n = counts.crossJoin(ranked.agg(F.count_if(c("variant_rank") == 2).alias("several"))).crossJoin(current.agg(F.count("*").alias("before"))).first()
+    shown = sorted(f"{r[key]}: {r['variants']}" for r in dims.conflict_samples(ranked, key, label(), samples).collect()) if n["several"] else []
+    if apply and n["touched"]:
+        mine = c("bucket").isin(n["touched"])
+        merged = dims.upsert(current.where(mine).drop("bucket"), new.where(mine).drop("bucket"), key)
+        table.replace(merged.withColumn("bucket", bucket))
+    return (name, n["all"], n["inserted"], n["updated"], n["several"], "\n".join(shown), n["before"], n["before"] + n["inserted"], apply)
+
+
+def sync_and_write(chain: Chain, path: str, mode: str = "write", owner: int = 1) -> DataFrame:
+    """The whole job: the dimensions are synced and the candidate fact is written at the same time, then the fact is gated against
+    the dimensions as they are now and published. Dimensions and fact stand under ``path``. Returns a row for each day."""
+    spark = chain.orders.sparkSession
+    with ThreadPoolExecutor(2) as pool:
+        synced = pool.submit(sync_dims, chain, path, "apply", owner)
+        made = pool.submit(writing.Candidate, chain, f"{path.rstrip('/')}/fact", mode, owner)
+    if synced.exception() and not made.exception():
+        made.result().close([])
+    synced.result()
+    return made.result().finish(*(read_dim(spark, path, n) for n in DIMENSIONS), dims.code_dims(spark))
+
+
 FAST = ["source_counts", "preview_count", "reconciliation_summary", "top_tax_delta_sample", "status_excluded_summary"]
 
 

@@ -33,37 +33,56 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 DAY_COLUMNS = [*gates.KEY, "row_count", *gates.DIMENSION_COUNTS, "metrics_passed", "reasons", "passed", "post_passed", "status", "rows_written"]
 
 
-def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: DataFrame, path: str, mode: str = "write", owner: int = 1) -> DataFrame:
-    """Gates, then writes: validate stops after the gates, plan too but reports days, write publishes.
+class Candidate:
+    """The fact of a chain, written beside what is live but not published, read back, and the sums of its source.
+
+    The chain runs once, to lines in staging; the fact is made of them. What this needs no dimension for is done here, so it can run
+    while the dimensions are synced."""
+
+    def __init__(self, chain: Chain, path: str, mode: str = "write", owner: int = 1):
+        if mode not in ("validate", "plan", "write"):
+            raise ValueError(mode)
+        self.mode, self.spark = mode, chain.orders.sparkSession
+        self.place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
+        self.table = fact_table(self.spark, path if mode == "write" else f"{self.place}/fact")
+        self.parts: list[list[str]] = []
+        try:
+            lines = staged(chain.allocations, f"{self.place}/lines")
+            _, self.parts, self.written = self.table.add(hourly_fact(lines, owner))
+            self.source = staged(gates.source_metrics(lines, chain.orders, owner), f"{self.place}/source")
+        except BaseException:
+            self.close([])
+            raise
+
+    def close(self, live: list[list[str]]) -> None:
+        """Deletes staging and what isn't live."""
+        self.table.drop(p for p in self.parts if p not in live)
+        delete(self.spark, self.place)
+
+    def finish(self, products: DataFrame, branches: DataFrame, codes: DataFrame) -> DataFrame:
+        """One pass of gates compares what was read back with the source and the dimensions. The days before the first that fails go
+        live together (mode write); the others' files are deleted. Returns a row for each day: gates, status and rows written."""
+        live: list[list[str]] = []
+        try:
+            days = few_rows(gates.gate_days(self.source, self.written, products, branches, codes))
+            first = days.where(~c("passed") | ~c("post_passed")).agg(F.min("business_date")).first()[0]
+            good = F.lit(True) if first is None else c("business_date") < F.lit(first)
+            if self.mode == "write":
+                live = [p for p in self.parts if first is None or p[1] < first.isoformat()]
+                self.table.publish(live, self.written.schema)
+            else:
+                days = days.withColumn("post_passed", F.lit(None).cast("boolean"))
+            done = {"validate": "validated", "plan": "planned", "write": "succeeded"}[self.mode]
+            status = F.when(~c("passed") | (c("post_passed") == F.lit(False)), "failed").when(~good, "skipped").otherwise(done)
+            rows = F.when(F.lit(self.mode == "write") & (c("status") == done), F.coalesce("row_count", F.lit(0))).otherwise(0)
+            return days.withColumn("status", status).withColumn("rows_written", rows).select(*DAY_COLUMNS)
+        finally:
+            self.close(live)
 
-    The chain runs once, to lines in staging. The fact is made of them, written beside what is live, and read back; one pass of gates
-    compares what was read with the lines, the orders and the dimensions. The days before the first that fails go live together; the
-    others' files are deleted. Returns a row for each day: gates, status and rows written."""
-    if mode not in ("validate", "plan", "write"):
-        raise ValueError(mode)
-    spark = products.sparkSession
-    place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
-    table = fact_table(spark, path if mode == "write" else f"{place}/fact")
-    parts: list[list[str]] = []
-    live: list[list[str]] = []
-    try:
-        lines = staged(chain.allocations, f"{place}/lines")
-        _, parts, written = table.add(hourly_fact(lines, owner))
-        days = few_rows(gates.gate_days(gates.source_metrics(lines, chain.orders, owner), written, products, branches, codes))
-        first = days.where(~c("passed") | ~c("post_passed")).agg(F.min("business_date")).first()[0]
-        good = F.lit(True) if first is None else c("business_date") < F.lit(first)
-        if mode == "write":
-            live = [p for p in parts if first is None or p[1] < first.isoformat()]
-            table.publish(live, written.schema)
-        else:
-            days = days.withColumn("post_passed", F.lit(None).cast("boolean"))
-        done = {"validate": "validated", "plan": "planned", "write": "succeeded"}[mode]
-        status = F.when(~c("passed") | (c("post_passed") == F.lit(False)), "failed").when(~good, "skipped").otherwise(done)
-        out = days.withColumn("status", status).withColumn("rows_written", F.when(F.lit(mode == "write") & (c("status") == done), F.coalesce("row_count", F.lit(0))).otherwise(0))
-        return out.select(*DAY_COLUMNS)
-    finally:
-        table.drop(p for p in parts if p not in live)
-        delete(spark, place)
+
+def write_fact(chain: Chain, products: DataFrame, branches: DataFrame, codes: DataFrame, path: str, mode: str = "write", owner: int = 1) -> DataFrame:
+    """Gates, then writes: validate stops after the gates, plan too but reports days, write publishes. See ``Candidate``."""
+    return Candidate(chain, path, mode, owner).finish(products, branches, codes)
 
 
 def persisted_daily_counts(fact: DataFrame, owner: int = 1, start: str | None = None, end: str | None = None) -> DataFrame:
