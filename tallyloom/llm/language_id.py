@@ -28,8 +28,6 @@ from .common import buffers, held_out, ranges, slices, table
 
 #: Bounds of what is learned from: documents and bytes a language.
 DOCS, BYTES = 64, 20_000
-#: Parts in which a language's rows are ranked first, so that no task ranks all of them.
-PARTS = 64
 #: Bytes of a block, and bytes before it that suggest the state in which it begins.
 BLOCK, BEFORE = 1024, 48
 #: Times that blocks are parsed again side by side.
@@ -201,11 +199,16 @@ def learn(docs: DataFrame) -> dict[str, str]:
     """Reference text by language from ``docs`` (doc_id, text, lang): of each language the ``DOCS`` rows that are not held out and
     have the smallest hashes of id and text, a like share of ``BYTES`` bytes of each. At most DOCS x BYTES characters a language come
     to the driver, however often an id is repeated."""
-    open_ = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.struct(F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t")).alias("h"), F.substring("text", 1, BYTES).alias("text"))
-    some = open_.withColumn("k", F.row_number().over(Window.partitionBy("lang", F.pmod(F.col("h.t"), F.lit(PARTS))).orderBy("h"))).where(F.col("k") <= DOCS)
-    ranked = some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= DOCS)
+    key = ["lang", "h", "t"]
+    open_ = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text")
+    ranked = open_.select(*key).distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t")))  # each task sends DOCS rows a language
+    chosen = [tuple(r) for r in ranked.where(F.col("k") <= DOCS).select(*key).collect()]
+    if not chosen:
+        return {}
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, h long, t long"))
+    got = open_.join(wanted, key).select(*key, F.substring("text", 1, BYTES).alias("text")).dropDuplicates(key)
     by: dict[str, list[str]] = {}
-    for r in sorted(ranked.select("lang", "h", "text").collect()):
+    for r in sorted(got.collect()):
         by.setdefault(r["lang"], []).append(r["text"])
     found = {k: shares(v) for k, v in by.items()}
     return {k: v for k, v in found.items() if any(map(str.isalpha, v))}
