@@ -81,16 +81,15 @@ def ingest_raw(spark: SparkSession, path: str, name: str, to: str, quarantine: s
 
 
 def bucketed(src: Sources, path: str, buckets: int) -> Sources:
-    """The sources written under ``path`` as tables by day and, within each, in buckets by order, sorted: what is joined or grouped by
-    order and day then needs no exchange, and a large day is spread over its buckets. Spark takes buckets of the order alone for joins
-    by order and day only if it needn't find all keys of a join in them; that is set in the session here."""
+    """The sources written under ``path`` as tables in buckets by order and day, sorted by both: what is joined or grouped by these then
+    needs no exchange, and a large day is spread over all buckets. A table holds the days of one load; for a few of its days the readers
+    by day are better, as buckets are read whole."""
     spark = src.orders.sparkSession
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     out = []
     for name, df in zip(src._fields, src, strict=True):
-        key = "id" if name == "orders" else "order_id"
+        keys = ["id" if name == "orders" else "order_id", "t_open_date"]
         table = f"{name}_{uuid.uuid4().hex}"
-        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).partitionBy("t_open_date").option("path", f"{path.rstrip('/')}/{name}").saveAsTable(table)
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{path.rstrip('/')}/{name}").saveAsTable(table)
         out.append(spark.table(table))
     return Sources(*out)
 
