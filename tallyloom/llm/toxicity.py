@@ -4,7 +4,8 @@ Terms are words without case and punctuation, and their first ``PREFIXES`` bytes
 and compound words), hashed to ``BUCKETS``; the machine adds to the linear weights the inner
 products of the factors of every pair of terms in a text, so that an insult beside a mention of a group can weigh
 more than both alone. It is fitted on a bounded, documented sample of labelled rows (``DOCS``, those of the smallest
-hashes), over the ``TERMS`` buckets that tell most about the label there; scoring covers every word of every text.
+hashes), over the ``TERMS`` buckets that tell most about the label there by themselves and up to ``PAIRED`` more that tell in a pair what
+neither tells alone; scoring covers every word of every text.
 
 Null and empty texts get the score of no terms; equal texts get equal scores; without labels of both kinds every
 score is 0. Repeated rows stay, an empty table gives no rows, extra columns are ignored.
@@ -25,6 +26,9 @@ from .common import PUNCTUATION, held_out, row_of, slices, span_hashes, spans, t
 #: Bounds of the fit: labelled documents, buckets, terms and factors.
 DOCS, BUCKETS, TERMS, FACTORS = 8_000, 1 << 20, 1536, 8
 PREFIXES = (4, 5, 6, 7)
+#: Terms taken for their pairs, the terms among which pairs are sought (those nearest to standing in half of the texts), and the least
+#: gain of a pair over each of its terms, in nats over the whole sample: of millions of idle pairs, hardly one has as much.
+PAIRED, SOUGHT, LEAST_GAIN = 384, 2048, 20.0
 
 
 def terms(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -72,6 +76,36 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def information(has: np.ndarray, total: np.ndarray, yes: float, n: int) -> np.ndarray:
+    """The mutual information of a label that ``yes`` of ``n`` texts have and flags of ``total`` texts, ``has`` of them with the label."""
+    out = np.zeros(np.shape(has))
+    for part, of, share in ((has, total, yes), (total - has, total, n - yes), (yes - has, n - total, yes), (n - total - yes + has, n - total, n - yes)):
+        out += np.where(part > 0, part / n * np.log(np.maximum(part, 1e-9) * n / (np.maximum(of, 1e-9) * share)), 0)
+    return out
+
+
+def telling_pairs(text: np.ndarray, term: np.ndarray, total: np.ndarray, gain: np.ndarray, labels: np.ndarray, block: int = 256) -> np.ndarray:
+    """The terms of the pairs whose standing together tells most beyond what each of the two tells. total, gain: of each term."""
+    n, yes = len(labels), float(labels.sum())
+    sought = np.sort(np.argsort(-np.minimum(total, n - total), kind="stable")[:SOUGHT])
+    place = np.full(len(total), -1)
+    place[sought] = np.arange(len(sought))
+    x = np.zeros((n, len(sought)), np.float32)  # DOCS x SOUGHT at most
+    ours = place[term] >= 0
+    x[text[ours], place[term[ours]]] = 1
+    x_yes, alone = x[labels > 0], gain[sought]
+    best, partner = np.zeros(len(sought)), np.zeros(len(sought), np.int64)
+    for i in range(0, len(sought), block):
+        part = slice(i, i + block)
+        more = information((x_yes[:, part].T @ x_yes).astype(float), (x[:, part].T @ x).astype(float), yes, n) - np.maximum(alone[part, None], alone)
+        best[part], partner[part] = more.max(1), more.argmax(1)
+    order = np.argsort(-best, kind="stable")
+    order = order[n * best[order] >= LEAST_GAIN]
+    both = np.stack([order, partner[order]], 1).ravel()
+    _, first = np.unique(both, return_index=True)
+    return sought[both[np.sort(first)[:PAIRED]]]
+
+
 def fit(texts: list[str], labels: np.ndarray, rounds: int = 200, rate: float = 0.1, decay: float = 2e-3, seed: int = 5) -> Machine | None:
     """Logistic loss with weight decay, by AdaGrad over the whole sample."""
     labels = np.asarray(labels, np.float32)
@@ -80,17 +114,14 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 200, rate: float = 0
         return None
     text, bucket = [np.concatenate(x) for x in zip(*((t + i, b) for i, _, t, b in terms(pa.array(texts, pa.string()))), strict=True)]
     kinds, inverse = np.unique(bucket, return_inverse=True)
-    # the mutual information of term and label
-    yes, all_ = np.bincount(inverse, labels[text], len(kinds)), np.bincount(inverse, minlength=len(kinds)).astype(float)
-    gain = np.zeros(len(kinds))
-    for has, total in ((yes, labels.sum()), (all_ - yes, n - labels.sum())):
-        for part, of in ((has, all_), (total - has, n - all_)):
-            gain += np.where(part > 0, part / n * np.log(np.maximum(part, 1e-9) * n / (np.maximum(of, 1e-9) * total)), 0)
-    best = np.sort(np.lexsort((kinds, -np.where(all_ >= 3, gain, 0)))[:TERMS])
+    all_ = np.bincount(inverse, minlength=len(kinds)).astype(float)
+    gain = information(np.bincount(inverse, labels[text], len(kinds)), all_, float(labels.sum()), n)
+    best = np.lexsort((kinds, -np.where(all_ >= 3, gain, 0)))[:TERMS]
+    best = np.union1d(best, telling_pairs(text, inverse, all_, gain, labels))
     place = np.full(len(kinds), -1)
     place[best] = np.arange(len(best))
     term = place[inverse]
-    x = np.zeros((n, len(best)), np.float32)  # DOCS x TERMS at most
+    x = np.zeros((n, len(best)), np.float32)  # DOCS x (TERMS + PAIRED) at most
     x[text[term >= 0], term[term >= 0]] = 1
     draw = np.random.default_rng(seed)
     m = Machine(kinds[best], float(np.log(labels.sum() / (n - labels.sum()))), np.zeros(len(best), np.float32), draw.normal(0, 0.01, (len(best), FACTORS)).astype(np.float32))

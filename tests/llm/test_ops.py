@@ -480,6 +480,33 @@ def test_op7_scores_are_those_of_all_pairs():
         assert abs(machine.score(1, np.zeros(len(buckets), np.int64), buckets)[0] - 1 / (1 + np.exp(-z))) < 1e-5
 
 
+def test_op7_terms_that_tell_only_in_pairs(monkeypatch):
+    """Two words whose label is that both or neither stand in a text: no word alone tells anything, others that tell a little fill the places."""
+    draw = np.random.default_rng(1)
+    rows = []
+    for k in range(800):
+        a, b = k % 2, k // 2 % 2
+        y = int(a == b)
+        rows.append((" ".join(["alpha"] * a + ["omega"] * b + [f"hint{draw.integers(9)}"] * (draw.random() < (0.6 if y else 0.3)) + ["filler"]), y))
+    texts, labels = [t for t, _ in rows], np.array([y for _, y in rows])
+    monkeypatch.setattr(toxicity, "TERMS", 4)
+
+    def right():
+        m = toxicity.fit(texts, labels)
+        return np.mean([(m.score(1, *next((t, b) for _, _, t, b in toxicity.terms(pa.array([s]))))[0] >= 0.5) == y for s, y in rows])
+
+    assert right() > 0.97
+    monkeypatch.setattr(toxicity, "PAIRED", 0)
+    assert right() < 0.8  # the terms that tell most by themselves aren't enough
+
+
+def test_op7_information():
+    y = np.array([1, 1, 0, 0, 0, 1, 0, 0])
+    flags = np.array([[1, 1, 0, 0, 1, 0, 0, 0], [1, 1, 0, 0, 0, 1, 0, 0], [0] * 8, [1] * 8])
+    want = [sum(p * np.log(p / ((f == u).mean() * (y == v).mean())) for u in (0, 1) for v in (0, 1) if (p := ((f == u) & (y == v)).mean())) for f in flags]
+    assert np.allclose(toxicity.information(flags @ y, flags.sum(1), y.sum(), 8), want)
+
+
 def test_op7_held_out(spark, odd, empty):
     d = "/root/testdata/sf0.01"
     docs, labels = common.table(spark, d, "documents"), common.table(spark, d, "labels")
@@ -536,6 +563,34 @@ def test_op8_verdicts_are_not_all_must_pass(spark):
     assert counts.get((1, False), 0) <= 0.01 * counts[(1, True)] and counts.get((0, True), 0) <= 0.01 * counts[(0, False)]
 
 
+def plain_em(rows, rules, rounds):
+    """Expectation-maximisation row by row, with one dictionary of rates for each class and rule."""
+    rate = {(c, r, v): p for c, three in ((0, (0.3, 0.2, 0.5)), (1, (0.02, 0.08, 0.9))) for r in range(rules) for v, p in enumerate(three)}
+    prior, post = [0.2, 0.8], []
+    for _ in range(rounds):
+        like = [[prior[c] * np.prod([rate[c, r, v] for r, v in enumerate(row)]) for c in (0, 1)] for row in rows]
+        post = [b / (a + b) for a, b in like]
+        share = [[1 - p for p in post], post]
+        prior = [(sum(share[c]) + 1) / (len(rows) + 2) for c in (0, 1)]
+        for c, r, v in rate:
+            rate[c, r, v] = (sum(w for w, row in zip(share[c], rows, strict=True) if row[r] == v) + 0.1) / (sum(share[c]) + 0.3)
+    return post
+
+
+def test_op8_model_equals_plain_rows():
+    """The fit over patterns and their counts is the fit over rows; many of its verdicts aren't those of "no bad vote"."""
+    draw = np.random.default_rng(3)
+    good = draw.random(300) < 0.7
+    right = np.array([0.9, 0.85, 0.8, 0.8, 0.75, 0.55, 0.5, 0.5])  # the last rules hardly tell anything
+    votes = np.where(draw.random((300, 8)) < right, good[:, None], ~good[:, None]) * 2
+    votes[draw.random((300, 8)) < np.linspace(0, 0.7, 8)] = 1  # each rule abstains at a rate of its own
+    kinds, inverse, n = np.unique(votes @ 3 ** np.arange(8), return_inverse=True, return_counts=True)
+    for rounds in (1, 2, 30):
+        assert np.allclose(quality_rules.label_model(kinds, n.astype(float), rounds)[inverse], plain_em(votes.tolist(), 8, rounds), atol=1e-7)
+    kept = quality_rules.label_model(kinds, n.astype(float))[inverse] >= 0.5
+    assert (kept == good).mean() > 0.9 > ((votes > 0).all(1) == good).mean() and (kept != (votes > 0).all(1)).sum() > 100
+
+
 def test_op8_unreliable_rule_is_outvoted(spark):
     """Verse trips one rule that says nothing here, as junk trips it as often; junk trips two that agree."""
     prose = lambda d, end: "\n".join(" ".join(f"word{k}{c}{d}" for c in "abcdefghijklm") + end for k in range(5))
