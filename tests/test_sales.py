@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import duckdb
 import pytest
@@ -11,6 +12,7 @@ from tallyloom.functions import exprs as x
 from tallyloom.operators import allocation, orders
 from tallyloom.plans import analytics, catalog_more, contracts, dims, gates, jobs, storage, writing
 from tallyloom.sources import readers
+from tallyloom.sources.pos_adapter import pos_sources
 from tallyloom.sources.readers import Sources
 
 DAY = dt.date(2025, 1, 1)
@@ -466,5 +468,20 @@ def test_attempts_with_several_failed_days_equal_sql(spark):
     assert first.failed_days > 1 and first.processed_days == first.succeeded_days + first.failed_days
 
 
+@pytest.mark.parametrize("dedup", [True, False])
+def test_parts_grow_with_the_files(spark, monkeypatch, dedup):
+    """All sources meet in as many parts as their files' bytes ask for, each dealt once."""
+    make = lambda: allocation.Chain(pos_sources(spark, "/root/testdata/sf0.01"), dedup)
+    assert make().parts == 4
+    before = make().financials.agg(F.count("*"), F.sum("order_net_sales").cast("decimal(30,2)")).first()
+    monkeypatch.setattr(readers, "PART_BYTES", 200_000)
+    chain = make()
+    assert chain.parts > 8
+    frame = chain.fact()
+    dealt = re.findall(r"Exchange hashpartitioning\(order_id[^,]*, business_date[^,]*, (\d+)\)", frame._jdf.queryExecution().executedPlan().toString())
+    assert len(dealt) >= 4 and set(dealt) == {str(chain.parts)}
+    assert chain.financials.agg(F.count("*"), F.sum("order_net_sales").cast("decimal(30,2)")).first() == before
+
+
 def test_every_query_has_sql():
     assert set(catalog_more.QUERIES) == set(catalog_more.ORACLE)
