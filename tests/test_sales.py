@@ -483,5 +483,12 @@ def test_parts_grow_with_the_files(spark, monkeypatch, dedup):
     assert chain.financials.agg(F.count("*"), F.sum("order_net_sales").cast("decimal(30,2)")).first() == before
 
 
+def test_buckets_grow_with_the_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(readers, "PART_BYTES", 200_000)
+    src = pos_sources(spark, "/root/testdata/sf0.01")
+    buckets = readers.bucketed(src, str(tmp_path))
+    assert f"out of {readers.parts_for(src)}" in buckets.items.where("order_id = '1'").groupBy("order_id", "t_open_date").count()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_every_query_has_sql():
     assert set(catalog_more.QUERIES) == set(catalog_more.ORACLE)
