@@ -490,5 +490,17 @@ def test_buckets_grow_with_the_files(spark, monkeypatch, tmp_path):
     assert f"out of {readers.parts_for(src)}" in buckets.items.where("order_id = '1'").groupBy("order_id", "t_open_date").count()._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_dry_run_runs_the_chain_once(spark, tmp_path):
+    """The scope reads the lines that were written: no exchange, no source."""
+    chain = allocation.Chain(sources(spark, [order(), order(oid="2"), order(oid="3")], items=[("1", "P1", 60.0), ("1", "P2", 40.0), ("2", "P1", 100.0)]))
+    before = {tuple(r) for r in chain.scope().collect()}
+    names = []
+    chain.keep(lambda df, name: names.append(name) or storage.staged(df, f"{tmp_path}/{name}"))
+    assert names == ["lines", "fact"]
+    assert {tuple(r) for r in chain.scope().collect()} == before and len(before) == 3
+    plan = chain.scope()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
 def test_every_query_has_sql():
     assert set(catalog_more.QUERIES) == set(catalog_more.ORACLE)
