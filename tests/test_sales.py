@@ -502,5 +502,12 @@ def test_a_dry_run_runs_the_chain_once(spark, tmp_path):
     assert "Exchange" not in plan and plan.count("FileScan") == 1
 
 
+@pytest.mark.parametrize("name", ["pre_insert_report", "dimension_gate"])
+def test_a_gate_of_a_chain_runs_it_once(spark, name):
+    """Only the product dimension is still made of the items; source, candidate and gate read written lines."""
+    plan = catalog_more.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+
+
 def test_every_query_has_sql():
     assert set(catalog_more.QUERIES) == set(catalog_more.ORACLE)
