@@ -509,5 +509,26 @@ def test_a_gate_of_a_chain_runs_it_once(spark, name):
     assert plan.count("lineitem.parquet") == 1
 
 
+def test_a_gated_write_runs_the_chain_once(spark, tmp_path, monkeypatch):
+    """Fact, sums of the source, orders and names of items come of the lines that were written, the first two without an exchange by the grain; the
+    gate gets dimensions that are written. Products of two names in one order, an order of two versions, and one without items."""
+    src = sources(spark, [order(), order(seq="2"), order(oid="2"), order(oid="3")], items=[("1", "P1", 60.0), ("1", "P1", 40.0), ("1", "P2", 7.0), ("2", "P1", 5.0)])
+    chain = allocation.Chain(src._replace(items=src.items.withColumn("product_name", F.when(F.col("id") == "0", "other").otherwise(F.col("product_name")))))
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    want = [rows(f(chain)) for f in (dims.product_dim_source, lambda k: k.fact(), lambda k: gates.source_metrics(k.allocations, k.orders))]
+    made = writing.Candidate(chain, str(tmp_path / "fact"))
+    frames = [dims.product_dim_source(made.run), made.run.fact(), gates.source_metrics(made.run.allocations, made.run.orders)]
+    assert [rows(f) for f in frames] == want and len(want[0]) == 3
+    assert all("ExistingRDD" not in f._jdf.queryExecution().executedPlan().toString() for f in frames)
+    assert not [k for f in frames[1:] for k in re.findall(r"Exchange hashpartitioning\((.*)", f._jdf.queryExecution().executedPlan().toString()) if "hour_of_day" in k]
+    made.close([])
+    assert not spark.catalog.tableExists(made.lines) and not list(tmp_path.iterdir())
+    gate, given = gates.gate_days, []
+    monkeypatch.setattr(gates, "gate_days", lambda source, written, *more: given.extend(more[:2]) or gate(source, written, *more))
+    assert [r.status for r in job(spark, chain, str(tmp_path / "fact")).collect()] == ["succeeded"]
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in given]
+    assert all(p.startswith("Relation") for p in plans) and len(plans) == 2
+
+
 def test_every_query_has_sql():
     assert set(catalog_more.QUERIES) == set(catalog_more.ORACLE)
