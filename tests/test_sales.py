@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import exprs as x
 from tallyloom.operators import allocation, orders
-from tallyloom.plans import analytics, catalog_more, contracts, dims, gates, jobs, storage, writing
+from tallyloom.plans import analytics, catalog_more, contracts, dims, gates, jobs, reports, storage, writing
 from tallyloom.sources import readers
 from tallyloom.sources.pos_adapter import pos_sources
 from tallyloom.sources.readers import Sources
@@ -530,5 +530,21 @@ def test_a_gated_write_runs_the_chain_once(spark, tmp_path, monkeypatch):
     assert all(p.startswith("Relation") for p in plans) and len(plans) == 2
 
 
+def test_the_reconciliation_runs_the_chain_once(spark):
+    df = catalog_more.QUERIES["reconciliation_summary"](spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") <= 5
+    none = reports.reconciliation_summary(allocation.Chain(sources(spark, [order(oid="9")]))).first()
+    assert set(none.asDict().values()) == {0}
+
+
+def test_days_are_replaced_of_one_run(spark, monkeypatch):
+    fact, runs = allocation.Chain.fact, []
+    monkeypatch.setattr(allocation.Chain, "fact", lambda self, owner=1: runs.append(owner) or fact(self, owner))
+    march = DAY.replace(month=3)
+    src = sources(spark, [order(), order(oid="2", day=march)], items=[("1", "P1", 100.0, DAY), ("2", "P1", 40.0, march)])
+    got = {r.business_date: (r.row_count, r.qty_milli) for r in catalog_more.target_metrics(allocation.Chain(src)).collect()}
+    assert got == {DAY: (1, 1000), march: (1, 1001)} and len(runs) == 1
+
+
 def test_every_query_has_sql():
     assert set(catalog_more.QUERIES) == set(catalog_more.ORACLE)
