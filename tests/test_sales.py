@@ -502,6 +502,75 @@ def test_a_dry_run_runs_the_chain_once(spark, tmp_path):
     assert "Exchange" not in plan and plan.count("FileScan") == 1
 
 
+def test_a_dry_run_writes_what_its_reports_read(spark, monkeypatch):
+    """Neither the fact nor columns of an order that no report reads are written, the measures aren't shuffled for the number of groups, and the chain
+    without de-duplication deals each of its sources once."""
+    written, counted = {}, []
+    monkeypatch.setattr(jobs, "staged", lambda df, path: written.update({path.split("/")[-1]: df}) or storage.staged(df, path))
+    monkeypatch.setattr(jobs, "few_rows", lambda df: counted.append(df) or storage.few_rows(df))
+    src = pos_sources(spark, "/root/testdata/sf0.001")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+    with jobs.dry_run(allocation.Chain(src), "full", allocation.Chain(src, False)) as made:
+        assert set(written) == {"lines", "excluded", "stats", "deltas"}
+        columns = set(written["lines"].columns)
+        assert not columns & {"branch_name", "branch_raw", "sequence", "modified", "order_total", "tax_milli", "net_sales_milli"} and {"gross_sales_milli", "destination_raw"} <= columns
+        assert exchanges(written["stats"]) == 1 and exchanges(written["deltas"]) == 3  # orders; orders, items and additions
+        plan = counted[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert "qty_milli" not in plan.split("Relation")[0] and len(counted) == 1
+        plan = made["reconciliation_summary"]._jdf.queryExecution().optimizedPlan().toString() + made["order_mapping_summary"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "o_orderkey" not in plan and "l_orderkey" not in plan  # of the lines
+        got = [tuple(r) for r in made["preview_sample"].collect()], made["preview_count"].first()[0]
+    fact = allocation.Chain(src).fact()
+    assert got == ([tuple(r) for r in fact.orderBy(*allocation.GRAIN[1:]).limit(20).collect()], fact.count())
+
+
+def test_the_first_groups_of_some_days(spark):
+    days = [DAY + dt.timedelta(k) for k in range(4)]
+    src = sources(spark, [order(oid=str(k), day=d) for k, d in enumerate(days)], items=[(str(k), f"P{p}", 1.0, d) for k, d in enumerate(days) for p in range(3)])
+    for n in (1, 3, 4, 12, 20):
+        chain = allocation.Chain(src)
+        want = [tuple(r) for r in chain.first_groups(n).collect()]
+        chain.count_groups(storage.few_rows)
+        assert [tuple(r) for r in chain.first_groups(n).collect()] == want and len(want) == min(n, 12)
+        assert chain.totals().first() == allocation.Chain(src).totals().first() and chain.totals().first().preview_group_count == 12
+    none = allocation.Chain(sources(spark, [order(oid="9")]))
+    none.count_groups(storage.few_rows)
+    assert set(none.totals().first()) == {0} and none.first_groups(5).count() == 0
+
+
+def test_rows_of_one_key_repeat_its_lines(spark):
+    """One key with equal rows and one of another hour and type, one of two items as one product, one without items, one whose lines come to nothing,
+    and keys that are null: the flow in arrays gives what joining lines with orders gives."""
+    rows = [order(), order(seq="2", tax=7.0), order(seq="3", hour="9", destination=None, tax=float("nan")), order(oid="2", branch_id=" ", status=2), order(oid="3"), order(oid="4", tax=3.0), order(oid=None), order(oid=None, seq="2"), order(oid="5", total=1e6), order(oid="6", transaction_voided=dt.datetime(2025, 1, 1, 9))]
+    items = [("1", "P1", 60.0), ("1", "P1", 0.4), ("1", "P2", 40.0), ("2", "P1", 5.0), ("4", "P1", 0.0), ("5", "P3", 9.0), ("6", "P3", 9.0), ("6", " ", 1.0), ("7", "P1", 1.0)]
+    src = sources(spark, rows, items=items, additions=[("1", 3.0, 1.0, 0.0), ("4", 2.0, 0.0, 1.0)], payments=[("1", "cash", 50.0), ("2", "linepay", 5.0)])
+    k = allocation.Chain(src, False)
+    joined = allocation.line_enriched(k.lines, k.financials, src.payments, k.deal)
+    plain = lambda df: sorted(map(str, df.select(*k.enriched.columns).collect()))
+    assert plain(k.enriched) == plain(joined) and joined.where("order_id = '1'").count() == 12
+    assert [f.dataType for f in k.enriched.schema] == [f.dataType for f in joined.select(*k.enriched.columns).schema]
+    given = allocation.order_allocation_summary(allocation.line_allocations(joined)).select(*allocation.D, "tax_milli", "net_sales_milli", "sales_ex_tax_milli")
+    far = reports.rounding_orders(k).groupBy(*allocation.D).agg(F.max(F.abs("delta_milli")).alias("max_abs_delta_milli"))
+    want = sorted(map(str, given.join(far, allocation.D, "left").collect()))
+    assert sorted(map(str, reports.deltas(k).collect())) == want and len(want) == 5
+    # the newest sales alone have differences too
+    k = allocation.Chain(src)
+    far = reports.rounding_orders(k).select(*allocation.D, F.abs("delta_milli").alias("d"))
+    assert sorted(map(str, reports.deltas(k).where("max_abs_delta_milli is not null").select(*allocation.D, F.col("max_abs_delta_milli").alias("d")).collect())) == sorted(map(str, far.collect()))
+
+
+def test_values_of_one_key_are_counted_where_they_meet(spark):
+    """Missing and non-finite values count as 0, a missing status as -1, and what makes no thousandth of difference is one value."""
+    rows = [order(total=1.0), order(seq="2", total=1.0001, status=None), order(seq="3", total=float("nan"), status=-1, destination=" 外送 "), order(seq="4", total=None, submitted=dt.datetime(2025, 1, 1)), order(oid="2", destination=None)]
+    src = sources(spark, rows)
+    k = allocation.Chain(src)
+    got = {r.order_id: r for r in orders.order_duplicate_stats(src.orders, k.deal, presence=True).collect()}
+    one = got["1"]
+    assert (one.row_count, one.delivery_row_count, one.status_count, one.total_count, one.financial_count, one.submitted_count, got["2"].row_count, got["2"].delivery_row_count) == (4, 1, 2, 2, 2, 2, 1, 0)
+    seen = {r.order_id: r.asDict() for r in orders.order_status_presence(k.base).collect()}
+    assert all(got[o][n] == v for o, r in seen.items() for n, v in r.items())
+
+
 @pytest.mark.parametrize("name", ["pre_insert_report", "dimension_gate"])
 def test_a_gate_of_a_chain_runs_it_once(spark, name):
     """Only the product dimension is still made of the items; source, candidate and gate read written lines."""
